@@ -120,7 +120,7 @@ def upsert(
     own = [name for name in target.columns if name not in changes.columns]
     if own:
         held = target.select(*keys, *own).withColumn("_held", F.lit(True))
-        latest = lookup(latest, held, list(keys), "left", spread_by=keys)
+        latest = lookup(latest, held, list(keys), "left")
         latest = latest.withColumns(
             {
                 name: F.when(F.col("_held"), F.col(name)).otherwise(

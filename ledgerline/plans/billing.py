@@ -82,11 +82,12 @@ def payments_per_sale(tables: Tables, sales: DataFrame) -> DataFrame:
     )
 
 
-def _with_sale_fields(rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: list[str]) -> DataFrame:
+def _with_sale_fields(
+    rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: list[str], cut: Cut
+) -> DataFrame:
     """Add the sale's total, its two shown extra fields and the count of freight field values."""
     values = tables["attribute_value"].join(sales, "sale_id", "left_semi")
-    patterns = params.codes.sale_patterns()
-    fields = attribute_values(tables["attribute_type"], values, patterns)
+    fields = cut(attribute_values(tables["attribute_type"], values, params.codes.sale_patterns()))
     rows = lookup(rows, tables["sale_total"], "sale_id", spread_by=spread_by)
     rows = lookup(rows, values_of(fields, "traffic", "traffic_source"), "sale_id", spread_by=spread_by)
     rows = lookup(rows, values_of(fields, "prospect", "prospect_customer"), "sale_id", spread_by=spread_by)
@@ -154,7 +155,7 @@ def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: C
     exits = tables["document_exit"].join(document_ids, "document_id", "left_semi")
     documents = base.join(matches_per_key(exits, "document_id", "exits"), "document_id")
     documents = lookup(documents, payments_per_sale(tables, sale_ids), "sale_id", spread_by=["document_id"])
-    documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"])
+    documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"], cut)
     documents = _with_parties(documents, tables, params, "document_id", "sale_customer_id")
 
     items = tables["document_item"].join(document_ids, "document_id", "left_semi")
@@ -225,7 +226,7 @@ def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cu
     )
 
     sales = lookup(base, matches_per_key(order_totals, "order_id", "order_totals"), "order_id", spread_by=["sale_id"])
-    sales = _with_sale_fields(sales, tables, params, sale_ids, ["sale_id"])
+    sales = _with_sale_fields(sales, tables, params, sale_ids, ["sale_id"], cut)
     sales = _with_parties(sales.withColumn("sold_to", F.col("customer_id")), tables, params, "sale_id", "sold_to")
 
     products = parts.products_with_maker(tables).select(

@@ -24,7 +24,7 @@ from ledgerline.plans.stock import stock
 from ledgerline.plans.summary import report_locations, summary_lines
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sinks.tables import PartitionedTable, SnapshotTable, ddl
-from ledgerline.sources.readers import Tables
+from ledgerline.sources.readers import Tables, checkpointed
 
 BILLING_KEY = ("order_identifier", "sku")
 RETURN_KEY = ("document_number", "sku")
@@ -61,13 +61,13 @@ def _in_shape(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
 
 def load_billing(spark: SparkSession, tables: Tables, target: PartitionedTable, params: RunParams, run_id: str) -> int:
     ensure_checkpoint_dir(spark)
-    batch = _in_shape(billing(tables, params, cut=DataFrame.checkpoint), fv.BILLING_COLUMNS)
+    batch = _in_shape(billing(tables, params, cut=checkpointed), fv.BILLING_COLUMNS)
     return target.replace_by_key(batch, run_id, BILLING_KEY)
 
 
 def load_returns(spark: SparkSession, tables: Tables, target: PartitionedTable, params: RunParams, run_id: str) -> int:
     ensure_checkpoint_dir(spark)
-    batch = _in_shape(returns(tables, params, cut=DataFrame.checkpoint), fv.RETURN_COLUMNS)
+    batch = _in_shape(returns(tables, params, cut=checkpointed), fv.RETURN_COLUMNS)
     return target.replace_by_key(batch, run_id, RETURN_KEY, RETURN_KEY_TYPES, required=["document_number"])
 
 

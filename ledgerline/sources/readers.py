@@ -90,5 +90,10 @@ Cut = Callable[[DataFrame], DataFrame]
 
 
 def keep_lazy(df: DataFrame) -> DataFrame:
-    """Default for the pipelines' ``cut`` argument; the jobs pass ``DataFrame.checkpoint``."""
+    """Default for the pipelines' ``cut`` argument."""
     return df
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``cut`` of the jobs: rows several branches need are computed once, into the checkpoint folder."""
+    return df.checkpoint()

@@ -9,9 +9,23 @@ Nulls, repeated keys, unknown keys and codes outside every list occur on purpose
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+}
 
 # Offsets that keep the parties' id ranges apart.
 MAKER_BASE = 1_000_000_000_000
@@ -189,22 +203,43 @@ VIEWS = {
 }
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in STAR_TABLES}
+class Views(Mapping[str, DataFrame]):
+    """Named DataFrames, each built when it is first asked for."""
+
+    def __init__(self, names: Iterable[str], build: Callable[[str], DataFrame]):
+        self._names = tuple(names)
+        self._build = cache(build)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        return self._build(name)
 
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
 
-def _placeholders(text: str) -> list[str]:
-    return [name for name in STAR_TABLES if f"{{{name}}}" in text]
+    def __len__(self) -> int:
+        return len(self._names)
 
 
-def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def star_tables(spark: SparkSession, sf_dir: str) -> Views:
+    """The star schema's tables; their schema is given, so that reading starts no job."""
+    return Views(
+        STAR_SCHEMAS, lambda name: spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    )
+
+
+def retail_tables(spark: SparkSession, sf_dir: str) -> Views:
     """The 31 source tables as lazy views over the star schema in a folder."""
     star = star_tables(spark, sf_dir)
-    return {
-        view: spark.sql(text, **{name: star[name] for name in _placeholders(text)}) for view, text in VIEWS.items()
-    }
+
+    def view(name: str) -> DataFrame:
+        text = VIEWS[name]
+        return spark.sql(text, **{table: star[table] for table in STAR_SCHEMAS if f"{{{table}}}" in text})
+
+    return Views(VIEWS, view)
 
 
 def view_sql(view: str) -> str:
     """A view's SELECT for the checking database, where the tables have their plain names."""
-    return VIEWS[view].format(**{name: name for name in STAR_TABLES})
+    return VIEWS[view].format(**{name: name for name in STAR_SCHEMAS})

@@ -209,20 +209,25 @@ def _of_year(steps: dict[str, str]) -> dict[str, str]:
     return renamed
 
 
-def _return_steps() -> dict[str, str]:
+def _exact(expression: str) -> str:
+    return f"CAST({expression} AS DOUBLE)"
+
+
+def _return_steps(amount=_money) -> dict[str, str]:
+    """Return lines, one branch per project test; ``amount`` rounds an amount or leaves it."""
     branches = []
     for test in ("d.project_id IS NULL", "d.project_id <> 34"):
         branches.append(f"""
         SELECT d.issue_date, o.order_date,
                CASE WHEN f.intermediary_code = 0 THEN 'SEM INTERMEDIADOR' WHEN f.intermediary_code = 1 THEN im.name
                     ELSE 'SEM INDICATIVO DE INTERMEDIADOR INFORMADO' END AS partner,
-               m.product_group, m.sku, m.product_name, {_money(f"SUM({_NET})")} AS net_value,
-               {_money(f"SUM({_NET} / quantity)")} AS unit_value,
-               {_money("COALESCE(f.document_expenses / 100, 0)")} AS other_expenses, {_money("m.cost")} AS goods_cost,
-               {_money("m.list_cost")} AS list_cost, COUNT(1) AS orders, CAST(SUM(i.quantity) AS BIGINT) AS sold_quantity,
+               m.product_group, m.sku, m.product_name, {amount(f"SUM({_NET})")} AS net_value,
+               {amount(f"SUM({_NET} / quantity)")} AS unit_value,
+               {amount("COALESCE(f.document_expenses / 100, 0)")} AS other_expenses, {amount("m.cost")} AS goods_cost,
+               {amount("m.list_cost")} AS list_cost, COUNT(1) AS orders, CAST(SUM(i.quantity) AS BIGINT) AS sold_quantity,
                d.document_number, ca.name AS carrier,
-               {_money(f"SUM({_NET} * (e.exit_freight / 100 / (e.product_total + 0.001)))")} AS freight,
-               {_money(f'''SUM(quantity * (unit_price - COALESCE(discount, 0) / 100)
+               {amount(f"SUM({_NET} * (e.exit_freight / 100 / (e.product_total + 0.001)))")} AS freight,
+               {amount(f'''SUM(quantity * (unit_price - COALESCE(discount, 0) / 100)
                     * (100 - COALESCE(v.discount_pct, 0)) / (f.document_value - e.exit_freight + 0.001)
                     * (CAST({_number("av.value")} AS DOUBLE) / 100) * 100)''')} AS extra_freight,
                w.state, w.city, w.neighbourhood, c.name AS customer, m.maker, pf.name AS payment_form,
@@ -364,7 +369,7 @@ def _summary_lines() -> str:
         return f"""{label} || ': ' || {_whole("quantity")} || ' unidades | ' || {_brl("amount / 100")}"""
 
     return f"""
-        SELECT CAST(position AS INTEGER) AS position, section, key, quantity, amount, text, '01/01/1997' AS report_day
+        SELECT CAST(position AS INTEGER) AS position, section, key, quantity, ROUND(amount, 2) AS amount, text, '01/01/1997' AS report_day
         FROM (
         {pair("billed_day", "billing", 0, "Pedidos faturados", "Valor total bruto")}
         UNION ALL
@@ -389,7 +394,9 @@ _BILLING_OF_YEAR = {
     **_BILLING_STEPS, **_YEARLY, **_of_year(_invoice_steps(*_WHOLE)), **_of_year(_direct_steps(*_WHOLE)),
     "billed": _UNION, "billed_day": _BILLED_DAY,
 }
-_RETURNS_OF_YEAR = {"document_of_year": _YEARLY["document_of_year"], "makers": _MAKERS, "places": _PLACES, **_return_steps()}
+_RETURN_PARTS = {"document_of_year": _YEARLY["document_of_year"], "makers": _MAKERS, "places": _PLACES}
+_RETURNS_OF_YEAR = {**_RETURN_PARTS, **_return_steps()}
+_RETURNED_TOTAL = {**_RETURN_PARTS, **_return_steps(_exact), "returned_day": _RETURNED_DAY}
 
 _ACCOUNT = "CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) END"
 _CENTS = "CASE WHEN o_orderstatus <> 'P' THEN CAST(ROUND(o_totalprice * 100) AS DECIMAL(18,4)) END"
@@ -603,9 +610,8 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["daily_returns_summary"] = _statement(
         _RETURN_VIEWS,
-        f"SELECT orders, {_money('total')} AS total FROM returned_day",
-        **_RETURNS_OF_YEAR,
-        returned_day=_RETURNED_DAY,
+        "SELECT orders, ROUND(total, 2) AS total FROM returned_day",
+        **_RETURNED_TOTAL,
     )
     sql["stock_by_location"] = _statement(
         _STOCK_VIEWS,
@@ -626,7 +632,7 @@ def oracle_sql() -> dict[str, str]:
     sql["daily_summary_lines"] = _statement(
         " ".join([_BILLING_VIEWS, *return_views, *stock_views]),
         _summary_lines(),
-        **{**_BILLING_OF_YEAR, **_RETURNS_OF_YEAR, "returned_day": _RETURNED_DAY, **_LOCATION_STEPS},
+        **{**_BILLING_OF_YEAR, **_RETURNED_TOTAL, **_LOCATION_STEPS},
     )
 
     sql["stock_alert_items"] = _statement(

@@ -6,6 +6,7 @@ rounded to four places, moments as dates.
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -20,7 +21,7 @@ from ledgerline.params import Codes, RunParams
 from ledgerline.plans import alert, billing, orders, parts, returns, stock, summary
 from ledgerline.session import configure
 from ledgerline.sources.marks import high_water_mark
-from ledgerline.sources.readers import read_sql, target_window
+from ledgerline.sources.readers import Tables, read_sql, target_window
 from ledgerline.starmart.mapping import retail_tables, star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,14 +80,14 @@ def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return star_tables(spark, sf_dir)[name]
 
 
-def yearly_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def yearly_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The source tables with documents and sales dated to the first day of their year."""
     source = retail_tables(spark, sf_dir)
 
     def dated(table: str, column: str) -> DataFrame:
         return source[table].withColumn(column, F.trunc(F.col(column), "year"))
 
-    return source | {"document": dated("document", "issue_date"), "sale": dated("sale", "sale_date")}
+    return ChainMap({"document": dated("document", "issue_date"), "sale": dated("sale", "sale_date")}, source)
 
 
 # --- sources ------------------------------------------------------------------
@@ -577,7 +578,8 @@ def daily_billing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_returns_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.return_totals(returns.returns(yearly_tables(spark, sf_dir), YEAR), YEAR_DAY)
+    totals = summary.return_totals(returns.returns(yearly_tables(spark, sf_dir), YEAR), YEAR_DAY)
+    return totals.withColumn("total", F.round("total", 2))
 
 
 @query
@@ -595,13 +597,14 @@ def stock_bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def daily_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = yearly_tables(spark, sf_dir)
-    return summary.summary_lines(
+    lines = summary.summary_lines(
         billing.billing(source, WHOLE, MARK),
         returns.returns(source, YEAR),
         stock.stock(source, PARAMS),
         _report_locations(spark, sf_dir),
         YEAR_DAY,
     )
+    return lines.withColumn("amount", F.round("amount", 2))
 
 
 def _alert_items(spark: SparkSession, sf_dir: str) -> DataFrame:
