@@ -37,32 +37,35 @@ def repeated(amount: Column, rows: Column) -> Column:
     return amount * rows.cast("decimal(10,0)")
 
 
-def freight_share(net: Column, freight_cents: Column, product_total: Column) -> Column:
-    """Document freight in units, shared out by line value.
+def freight_rate(freight_cents: Column, product_total: Column) -> Column:
+    """Freight in units per unit of goods value.
 
     The epsilon keeps the division defined for a zero total and is part of the result.
     """
     total = product_total.cast("double") + F.lit(float(RATIO_EPSILON))
-    return net.cast("double") * (freight_cents.cast("double") / 100 / total)
+    return freight_cents.cast("double") / 100 / total
+
+
+def goods_share(document_value: Column, freight: Column) -> Column:
+    """One over the document's value without freight, with the same epsilon."""
+    return F.lit(1.0) / (document_value.cast("double") - freight.cast("double") + F.lit(float(RATIO_EPSILON)))
+
+
+def freight_share(net: Column, rate: Column) -> Column:
+    """A line's part of the document freight."""
+    return net.cast("double") * rate
 
 
 def extra_freight_share(
-    quantity: Column,
-    unit_price: Column,
-    discount_cents: Column,
-    discount_pct: Column,
-    document_value: Column,
-    freight: Column,
-    extra_freight: Column,
+    quantity: Column, unit_price: Column, discount_cents: Column, discount_pct: Column, share: Column, extra: Column
 ) -> Column:
-    """Extra freight of a sale, shared out over the lines of a document.
+    """A line's part of the sale's extra freight.
 
     Here the discount is taken per unit and the sale's percentage discount applies.
     """
     per_unit = (unit_price - cents_to_units(discount_cents)).cast("double")
     kept_pct = (F.lit(100) - F.coalesce(discount_pct, F.lit(0))).cast("double")
-    goods = document_value.cast("double") - freight.cast("double") + F.lit(float(RATIO_EPSILON))
-    return quantity.cast("double") * per_unit * kept_pct / goods * (extra_freight.cast("double") / 100) * 100
+    return quantity.cast("double") * per_unit * kept_pct * share * (extra.cast("double") / 100) * 100
 
 
 def order_unit_value(price: Column, discount_cents: Column) -> Column:

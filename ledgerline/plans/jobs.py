@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,11 @@ def open_targets(spark: SparkSession, root: str) -> Targets:
     )
 
 
+def _month(day: date) -> str:
+    """Partition name of a day in the monthly targets."""
+    return day.strftime("%Y-%m")
+
+
 def _in_shape(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Allowed columns in the target's types, missing ones as null."""
     empty = df.sparkSession.createDataFrame([], ddl(columns))
@@ -79,7 +84,7 @@ def load_stock(tables: Tables, target: SnapshotTable, params: RunParams) -> int:
 def load_orders(tables: Tables, target: PartitionedTable, params: RunParams, run_id: str) -> int:
     """Load new and changed order lines; returns how many there were."""
     source = _in_shape(order_lines(tables, params), fv.ORDER_COLUMNS)
-    delta = order_delta(source, target.read(), params)
+    delta = order_delta(source, target.read(since=_month(params.order_start)), params)
     return target.upsert(delta, run_id, ORDER_KEY, [ORDER_DATE])
 
 
@@ -92,8 +97,13 @@ def general_job(
         "returns": load_returns(spark, tables, targets.returns, params, run_id),
         "stock": load_stock(tables, targets.stock, params),
     }
+    month = _month(params.run_date)
     report = summary_lines(
-        targets.billing.read(), targets.returns.read(), targets.stock.read(), report_locations(spark), params.run_date
+        targets.billing.read(since=month),
+        targets.returns.read(since=month),
+        targets.stock.read(),
+        report_locations(spark),
+        params.run_date,
     )
     return counts, report
 

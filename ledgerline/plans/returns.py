@@ -54,14 +54,31 @@ def freight_fields_per_sale(tables: Tables, params: RunParams, sales: DataFrame)
     )
 
 
+def exits_per_document(tables: Tables, documents: DataFrame) -> DataFrame:
+    """Per document: how many fiscal exits it has, and the sums of their freight rates and goods shares.
+
+    A line's parts are linear in both, so lines need not be joined to the single exits.
+    """
+    values = documents.select("document_id", "document_value").distinct()
+    return (
+        tables["document_exit"]
+        .join(values, "document_id")
+        .groupBy("document_id")
+        .agg(
+            F.count(F.lit(1)).alias("exits"),
+            F.sum(money.freight_rate(F.col("exit_freight"), F.col("product_total"))).alias("freight_rate"),
+            F.sum(money.goods_share(F.col("document_value"), F.col("exit_freight"))).alias("goods_share"),
+        )
+    )
+
+
 def return_lines(tables: Tables, params: RunParams, cut: Cut = keep_lazy) -> DataFrame:
     """Return lines: summed value, freight share and extra freight by document and product names."""
     base = cut(returned_documents(tables, params))
-    document_ids = base.select("document_id")
     sale_ids = base.select("sale_id").where(F.col("sale_id").isNotNull())
     spread_by = ["document_id"]
 
-    documents = base.join(tables["document_exit"].join(document_ids, "document_id", "left_semi"), "document_id")
+    documents = base.join(exits_per_document(tables, base), "document_id")
     documents = lookup(documents, freight_fields_per_sale(tables, params, sale_ids), "sale_id", spread_by=spread_by)
     documents = documents.join(role(tables["party"], "party_id", "customer_id", customer="name"), "customer_id")
     documents = documents.join(parts.places(tables), "address_id")
@@ -80,16 +97,14 @@ def return_lines(tables: Tables, params: RunParams, cut: Cut = keep_lazy) -> Dat
 
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
     net = money.net_line(*line)
-    # A line repeats once per freight field value; only the extra freight depends on the value.
-    repeats = times(F.col("freight_fields"))
+    # A line repeats for every exit and every freight field value; the freight shares depend on
+    # these rows only through the sums made before.
+    fields = times(F.col("freight_fields"))
+    repeats = times(F.col("exits")) * fields
+    share = money.freight_share(net, F.col("freight_rate")) * fields
     extra = money.extra_freight_share(
-        *line,
-        F.col("discount_pct"),
-        F.col("document_value"),
-        F.col("exit_freight"),
-        F.coalesce(F.col("sale_freight"), F.lit(0)),
+        *line, F.col("discount_pct"), F.col("goods_share"), F.coalesce(F.col("sale_freight"), F.lit(0))
     )
-    share = money.freight_share(net, F.col("exit_freight"), F.col("product_total"))
     grouped = lines.groupBy(
         "issue_date", "order_date", "intermediary_code", "intermediary", "product_group", "sku", "product_name",
         "document_expenses", "cost", "list_cost", "document_number", "carrier", "state", "city", "neighbourhood",
@@ -99,7 +114,7 @@ def return_lines(tables: Tables, params: RunParams, cut: Cut = keep_lazy) -> Dat
         F.sum(money.repeated(money.net_unit(*line), repeats)).alias("unit_value"),
         F.sum(repeats).alias("orders"),
         money.rounded_count(F.sum(money.repeated(F.col("quantity"), repeats))).alias("sold_quantity"),
-        F.sum(share * repeats).alias("freight"),
+        F.sum(share).alias("freight"),
         F.sum(extra).alias("extra_freight"),
     )
     return grouped.select(

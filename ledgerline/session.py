@@ -25,9 +25,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app_name: str = "ledgerline") -> SparkSession:
-    """Session for the jobs; master, memory and parallelism come from spark-submit."""
-    return configure(SparkSession.builder.appName(app_name).getOrCreate())
+# A shuffle partition of this size sorts in memory on a few-GB task share.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions_for(shuffled_bytes: int, minimum: int = 200) -> int:
+    """Shuffle partitions for the largest expected shuffle; AQE joins the ones that stay small."""
+    wanted = -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)
+    return max(minimum, min(wanted, MAX_SHUFFLE_PARTITIONS))
+
+
+def build_session(app_name: str = "ledgerline", shuffled_bytes: int | None = None) -> SparkSession:
+    """Session for the jobs; master, memory and executors come from spark-submit.
+
+    ``shuffled_bytes`` sizes the shuffles (most often the item table's size under the
+    columns read); without it the submitted setting stands.
+    """
+    spark = configure(SparkSession.builder.appName(app_name).getOrCreate())
+    if shuffled_bytes is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(shuffled_bytes)))
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -136,8 +136,12 @@ class PartitionedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self._data)
 
-    def read(self) -> DataFrame:
-        return self._with_partitions().drop(self.partition_name)
+    def read(self, since: str | None = None) -> DataFrame:
+        """The table; with ``since`` only partitions from that name on are listed and read."""
+        rows = self._with_partitions()
+        if since is not None:
+            rows = rows.where(F.col(self.partition_name) >= since)
+        return rows.drop(self.partition_name)
 
     def _shaped(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.partition_name, F.coalesce(self.partition.cast("string"), F.lit("none")))

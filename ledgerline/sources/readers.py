@@ -28,6 +28,17 @@ def parquet_tables(spark: SparkSession, root: str, names: Iterable[str] = tuple(
     return {name: under_our_names(spark.read.parquet(f"{root}/{catalog.source_table(name)}"), name) for name in names}
 
 
+def catalog_tables(
+    spark: SparkSession, database: str | None = None, names: Iterable[str] = tuple(catalog.SOURCE_TABLES)
+) -> Tables:
+    """Tables registered in Spark's catalog under the source's names.
+
+    Item and document tables bucketed by their document there are joined without a shuffle.
+    """
+    prefix = f"{database}." if database else ""
+    return {name: under_our_names(spark.table(prefix + catalog.source_table(name)), name) for name in names}
+
+
 @dataclass(frozen=True)
 class SplitRead:
     """How a large table is read in parallel: ranges of a numeric or date column."""

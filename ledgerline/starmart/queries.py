@@ -259,7 +259,8 @@ def net_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def freight_proration(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = money.net_line(*[F.col(name) for name in _LINE])
-    share = money.freight_share(net, F.coalesce(F.col("sale_freight"), F.lit(0)), F.col("document_value"))
+    rate = money.freight_rate(F.coalesce(F.col("sale_freight"), F.lit(0)), F.col("document_value"))
+    share = money.freight_share(net, rate)
     return _priced_items(spark, sf_dir).groupBy("document_id").agg(F.sum(share).alias("freight"))
 
 
@@ -268,8 +269,7 @@ def extra_freight(spark: SparkSession, sf_dir: str) -> DataFrame:
     share = money.extra_freight_share(
         *[F.col(name) for name in _LINE],
         F.col("discount_pct"),
-        F.col("document_value"),
-        F.coalesce(F.col("sale_freight"), F.lit(0)),
+        money.goods_share(F.col("document_value"), F.coalesce(F.col("sale_freight"), F.lit(0))),
         texts.parse_locale_decimal(F.lit("1.234,56")),
     )
     return _priced_items(spark, sf_dir).groupBy("document_id").agg(F.sum(share).alias("extra_freight"))

@@ -134,3 +134,12 @@ def test_second_run_finds_nothing(retail, rows):
     target = updated_orders(source.limit(0), order_delta(source, source.limit(0), PARAMS))
     assert target.count() == 1
     assert order_delta(source, target, PARAMS).count() == 0
+
+
+def test_two_exits_repeat_the_line_and_add_their_rates(retail, rows):
+    rows["document_exit"].append({"document_id": 100, "exit_freight": 100, "product_total": 10})
+    line, = returned(retail, rows)
+    assert (line.net_value, line.orders, line.sold_quantity) == (37, 2, 4)
+    assert line.freight == pytest.approx(18.5 * (4 / 20.001 + 1 / 10.001))
+    per_goods = 1 / (100 - 400 + 0.001) + 1 / (100 - 100 + 0.001)
+    assert line.extra_freight == pytest.approx(17 * 100 * per_goods * (1234.56 / 100) * 100)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 from datetime import date, timedelta
 from decimal import Decimal
@@ -9,8 +10,10 @@ from conftest import RUN, table
 from pyspark.sql import functions as F
 
 from ledgerline import fixed_values as fv
+from ledgerline.__main__ import main, read_codes
 from ledgerline.params import Codes, RunParams
 from ledgerline.plans.jobs import general_job, load_orders, open_targets
+from ledgerline.session import shuffle_partitions_for
 from ledgerline.sinks.tables import Folder, PartitionedTable, SnapshotTable
 from ledgerline.sources import catalog, readers
 
@@ -184,3 +187,33 @@ def test_empty_sources_change_nothing(spark, retail, rows, tmp_path):
 
 def test_literal_tables_have_catalogued_types(spark):
     assert table(spark, "state", []).dtypes == [("state_id", "bigint"), ("code", "string")]
+
+
+def test_catalog_tables_by_source_name(spark):
+    spark.createDataFrame([(1, "RJ")], "cduf bigint, sigla string").createOrReplaceTempView("uf")
+    assert contents(readers.catalog_tables(spark, names=["state"])["state"]) == [(1, "RJ")]
+
+
+def test_codes_file_and_shuffle_size(tmp_path):
+    path = tmp_path / "codes.json"
+    path.write_text('{"company_labels": {"3": "Main"}, "document_status": [10], "return_nature": 20}')
+    codes = read_codes(str(path))
+    assert (codes.company_labels, codes.document_status, codes.return_nature) == ({3: "Main"}, (10,), 20)
+    assert read_codes(None) == Codes()
+    assert shuffle_partitions_for(10**9) == 200
+    assert shuffle_partitions_for(100 * 2**30) == 800
+
+
+def test_command_line(spark, retail, rows, tmp_path, capsys):
+    for name, df in retail(rows).items():
+        named = df.select(*[F.col(column.name).alias(column.source_name) for column in catalog.columns(name)])
+        named.write.parquet(str(tmp_path / "source" / catalog.source_table(name)))
+    common = ["--source", str(tmp_path / "source"), "--targets", str(tmp_path / "targets"), "--run-date", "2024-03-15"]
+    main(["orders", *common])
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"orders": 1}
+    main(["general", *common])
+    lines = capsys.readouterr().out.splitlines()
+    assert json.loads(lines[0]) == {"billing": 2, "returns": 0, "stock": 1}
+    assert json.loads(lines[1])["text"] == "Pedidos faturados: 2"
+    with pytest.raises(SystemExit):
+        main(["general", "--source", str(tmp_path / "source")])
