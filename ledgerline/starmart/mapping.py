@@ -32,11 +32,14 @@ MAKER_BASE = 1_000_000_000_000
 NATION_BASE = 2_000_000_000_000
 
 _ITEM_ID = "l_orderkey * 100 + l_linenumber"
-_DISCOUNT_CENTS = "CASE WHEN l_discount = 0 THEN NULL ELSE CAST(ROUND(l_discount * 10000) AS DECIMAL(18,4)) END"
+_DISCOUNT_CENTS = (
+    "CASE WHEN l_discount = 0 THEN NULL"
+    " ELSE CAST(CAST(FLOOR(l_discount * 10000 + 0.5) AS BIGINT) AS DECIMAL(18,4)) END"
+)
 # Line price in units, two decimals; one kind of line is unpriced.
 _PRICE = "CASE WHEN l_linenumber = 7 AND l_linestatus = 'O' THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18,4)) END"
 # Odd whole quantities: a value per unit then never lies half-way between two roundings.
-_QUANTITY = "CAST(l_quantity * 2 + 1 AS DECIMAL(18,4))"
+_QUANTITY = "CAST(CAST(l_quantity AS BIGINT) * 2 + 1 AS DECIMAL(18,4))"
 _PRIORITY = "CAST(SUBSTR(o_orderpriority, 1, 1) AS BIGINT)"
 # An amount written as text with "." for thousands and "," for decimals.
 _LOCALE_AMOUNT = (
@@ -102,7 +105,8 @@ VIEWS = {
                CASE WHEN l_returnflag <> 'N' THEN {_ITEM_ID} END AS sale_item_id, {_QUANTITY} AS quantity,
                {_PRICE} AS unit_price, {_DISCOUNT_CENTS} AS discount,
                CAST(l_suppkey AS DECIMAL(18,4)) AS item_freight,
-               CASE WHEN l_tax = 0 THEN NULL ELSE CAST(ROUND(l_tax * 100) AS DECIMAL(18,4)) END AS recipient_tax
+               CASE WHEN l_tax = 0 THEN NULL
+                    ELSE CAST(CAST(FLOOR(l_tax * 100 + 0.5) AS BIGINT) AS DECIMAL(18,4)) END AS recipient_tax
         FROM {{lineitem}}""",
     "document_exit": """
         SELECT o_orderkey AS document_id, CAST(ROUND(o_totalprice / 50) AS DECIMAL(18,4)) AS exit_freight,
@@ -139,7 +143,7 @@ VIEWS = {
         SELECT l_orderkey AS sale_id, CASE WHEN l_tax > 0 THEN {_ITEM_ID} END AS payment_document_id
         FROM {{lineitem}} WHERE l_returnflag = 'A'""",
     "payment_document": f"""
-        SELECT {_ITEM_ID} AS payment_document_id, CAST(ROUND(l_extendedprice) AS DECIMAL(18,4)) AS term_value
+        SELECT {_ITEM_ID} AS payment_document_id, CAST(CAST(FLOOR(l_extendedprice) AS BIGINT) AS DECIMAL(18,4)) AS term_value
         FROM {{lineitem}} WHERE l_linestatus = 'F'""",
     "sale_total": """
         SELECT o_orderkey AS sale_id, CAST(ROUND(o_totalprice) AS DECIMAL(18,4)) AS sale_document_total
@@ -162,10 +166,10 @@ VIEWS = {
                {_DISCOUNT_CENTS} AS discount
         FROM {{lineitem}}""",
     "attribute_type": """
-        SELECT CAST(n_nationkey AS BIGINT) AS attribute_type_id,
-               CASE n_nationkey WHEN 3 THEN 'Frete especial' WHEN 7 THEN 'FRETE ESPECIAL do pedido'
-                    WHEN 11 THEN 'via trafego?' WHEN 12 THEN 'via trafego' ELSE n_name END AS name
-        FROM {nation}""",
+        SELECT c_custkey AS attribute_type_id,
+               CASE c_custkey WHEN 3 THEN 'Frete especial' WHEN 7 THEN 'FRETE ESPECIAL do pedido'
+                    WHEN 11 THEN 'via trafego?' WHEN 12 THEN 'via trafego' ELSE c_name END AS name
+        FROM {customer}""",
     "attribute_value": f"""
         SELECT o_orderkey AS sale_id, CAST(7 AS BIGINT) AS attribute_type_id, {_LOCALE_AMOUNT} AS value
         FROM {{orders}} WHERE o_orderpriority <> '3-MEDIUM'
@@ -194,9 +198,9 @@ VIEWS = {
                CASE WHEN p_size = 25 THEN NULL ELSE CAST(SUBSTR(p_brand, 7) AS BIGINT) END AS group_id,
                CAST(s_nationkey AS BIGINT) AS location_id, l_suppkey AS company_id,
                'SKU-' || CAST(p_partkey AS STRING) AS sku, p_name AS product_name,
-               CASE WHEN l_returnflag = 'R' THEN -CAST(l_quantity AS DECIMAL(18,4))
-                    ELSE CAST(l_quantity AS DECIMAL(18,4)) END AS available_quantity,
-               CAST(ROUND(p_retailprice * 100) AS DECIMAL(18,4)) AS unit_cost
+               CAST(CASE WHEN l_returnflag = 'R' THEN -CAST(l_quantity AS BIGINT) ELSE CAST(l_quantity AS BIGINT) END
+                    AS DECIMAL(18,4)) AS available_quantity,
+               CAST(CAST(FLOOR(p_retailprice * 100 + 0.5) AS BIGINT) AS DECIMAL(18,4)) AS unit_cost
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey""",
     "stock_location": """
         SELECT CAST(n_nationkey AS BIGINT) AS location_id, n_name AS name FROM {nation}""",

@@ -408,10 +408,10 @@ def oracle_sql() -> dict[str, str]:
     sql["scan_param_window"] = """
         SELECT l_orderkey, l_linenumber, l_partkey, CAST(o_orderdate AS DATE) AS order_day, l_quantity AS quantity
         FROM lineitem, orders WHERE o_orderkey = l_orderkey AND o_orderdate >= DATE '2001-08-01' - 60"""
-    sql["target_window_rows"] = """
+    sql["target_window"] = """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate
         FROM orders WHERE o_orderdate >= DATE '2001-08-01' - 60"""
-    sql["high_water_mark_day"] = _statement("sale", f"SELECT CAST({_MARK} AS DATE) AS mark")
+    sql["high_water_mark"] = _statement("sale", f"SELECT CAST({_MARK} AS DATE) AS mark")
     sql["high_water_mark_fallback"] = "SELECT DATE '2001-08-01' - 2 AS mark"
 
     sql["incremental_lines"] = """

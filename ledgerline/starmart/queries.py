@@ -54,12 +54,12 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    """Register a query under its function name."""
+    """Register a query under its function name, without the ``q_`` of names the library uses itself."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(function(configure(spark), sf_dir))
 
-    _QUERIES[function.__name__] = run
+    _QUERIES[function.__name__.removeprefix("q_")] = run
     return function
 
 
@@ -105,14 +105,14 @@ def scan_param_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def target_window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_target_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_window(
         star(spark, sf_dir, "orders"), "o_orderdate", PARAMS.billing_start, ["o_orderpriority", "created_at"]
     )
 
 
 @query
-def high_water_mark_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return high_water_mark(retail_tables(spark, sf_dir)["sale"], PARAMS)
 
 

@@ -61,7 +61,7 @@ def test_only_pattern_codes_are_broadcast_by_hint(spark):
     ("name", "column"),
     [
         ("invoice_lines", "o_orderdate"), ("direct_sale_lines", "o_orderdate"), ("order_lines", "o_orderdate"),
-        ("target_window_rows", "o_orderdate"), ("scan_param_window", "o_orderdate"),
+        ("target_window", "o_orderdate"), ("scan_param_window", "o_orderdate"),
     ],
 )
 def test_windows_reach_the_scan(spark, name, column):
