@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.params import Codes, RunParams
 from ledgerline.plans.jobs import alert_job, general_job, load_orders, open_targets
 from ledgerline.session import build_session
-from ledgerline.sources.readers import JdbcSource, Tables, catalog_tables, jdbc_tables, parquet_tables
+from ledgerline.sources.readers import JdbcSource, SplitRead, Tables, catalog_tables, jdbc_tables, parquet_tables
 
 
 def read_codes(path: str | None) -> Codes:
@@ -29,10 +29,20 @@ def read_codes(path: str | None) -> Codes:
     return Codes(**values)
 
 
-def open_source(spark: SparkSession, source: str) -> Tables:
+def read_jdbc(url: str, path: str | None) -> JdbcSource:
+    """The database with the properties and split reads of a JSON file."""
+    if path is None:
+        return JdbcSource(url)
+    with open(path, encoding="utf-8") as file:
+        values = json.load(file)
+    splits = {table: SplitRead(**split) for table, split in values.get("splits", {}).items()}
+    return JdbcSource(url, values.get("properties", {}), splits)
+
+
+def open_source(spark: SparkSession, source: str, jdbc: str | None = None) -> Tables:
     """``jdbc:...`` is a database, ``catalog:<database>`` Spark's catalog, else a parquet folder."""
     if source.startswith("jdbc:"):
-        return jdbc_tables(spark, JdbcSource(source))
+        return jdbc_tables(spark, read_jdbc(source, jdbc))
     if source.startswith("catalog:"):
         return catalog_tables(spark, source.removeprefix("catalog:") or None)
     return parquet_tables(spark, source)
@@ -46,6 +56,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--run-date", type=date.fromisoformat, default=None, help="default: today, UTC")
     parser.add_argument("--run-id", help="names this load; give the same one to finish a broken load")
     parser.add_argument("--codes", help="JSON file with codes that differ from the defaults")
+    parser.add_argument("--jdbc", help="JSON file with reader properties and split reads of large tables")
     parser.add_argument("--shuffled-bytes", type=int, default=None, help="size of the largest expected shuffle")
     return parser.parse_args(argv)
 
@@ -62,7 +73,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     params = RunParams(arguments.run_date or now.date(), codes=read_codes(arguments.codes))
     run_id = arguments.run_id or f"{arguments.job}-{now:%Y%m%dT%H%M%S}"
     spark = build_session("ledgerline", arguments.shuffled_bytes)
-    tables = open_source(spark, arguments.source)
+    tables = open_source(spark, arguments.source, arguments.jdbc)
     if arguments.job == "alert":
         items, groups, header = alert_job(spark, tables, now)
         _print_lines(header, ["headline"])

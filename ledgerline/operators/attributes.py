@@ -18,21 +18,15 @@ def attribute_codes(types: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
     )
 
 
-def attribute_values(types: DataFrame, values: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
-    """The values of the wanted fields: ``sale_id, role, value``.
+def attribute_values(types: DataFrame, values: DataFrame, pattern: str | None, name: str) -> DataFrame:
+    """``sale_id`` and the values of the field the pattern names, under the given column name.
 
-    The one row of codes is turned into one row per pattern, which an equi join can use;
-    it is broadcast because it cannot have more rows than there are patterns. A pattern
-    without a match leaves no row and so matches nothing.
+    The type id is a scalar subquery, so the values are filtered where they are scanned and
+    only the wanted ones are shuffled. Without a matching type, or without a pattern, there
+    are no rows.
     """
-    codes = attribute_codes(types, patterns)
-    per_role = codes.select(
-        F.inline(F.array(*[F.struct(F.lit(role).alias("role"), F.col(role).alias("code")) for role in patterns]))
-    ).where(F.col("code").isNotNull())
-    wanted = F.broadcast(per_role)
-    return values.join(wanted, F.col("attribute_type_id") == F.col("code")).select("sale_id", "role", "value")
-
-
-def values_of(attributes: DataFrame, role: str, name: str) -> DataFrame:
-    """One field's values under the given column name."""
-    return attributes.where(F.col("role") == role).select("sale_id", F.col("value").alias(name))
+    if pattern is None:
+        wanted = F.lit(False)
+    else:
+        wanted = F.col("attribute_type_id") == attribute_codes(types, {"code": pattern}).scalar()
+    return values.where(wanted).select("sale_id", F.col("value").alias(name))

@@ -34,14 +34,6 @@ class Codes:
     traffic_pattern: str = fv.TRAFFIC_PATTERN
     prospect_pattern: str = fv.PROSPECT_PATTERN
 
-    def sale_patterns(self) -> dict[str, str]:
-        named = {
-            "freight": self.sale_freight_pattern,
-            "traffic": self.traffic_pattern,
-            "prospect": self.prospect_pattern,
-        }
-        return {role: pattern for role, pattern in named.items() if pattern is not None}
-
 
 @dataclass(frozen=True)
 class RunParams:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerline.fixed_values import DIRECT_SALE_PARTNER, TAXPAYER_DEFAULT
 from ledgerline.functions import money
 from ledgerline.functions.labels import code_label
-from ledgerline.operators.attributes import attribute_values, values_of
+from ledgerline.operators.attributes import attribute_values
 from ledgerline.operators.filters import listed, listed_or_null, recent_or_modified, since
 from ledgerline.operators.joins import lookup, matches_per_key, role, times
 from ledgerline.operators.tables import coerce_numbers, lower_names, union_by_name
@@ -83,15 +83,19 @@ def payments_per_sale(tables: Tables, sales: DataFrame) -> DataFrame:
 
 
 def _with_sale_fields(
-    rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: list[str], cut: Cut
+    rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: list[str]
 ) -> DataFrame:
     """Add the sale's total, its two shown extra fields and the count of freight field values."""
-    values = tables["attribute_value"].join(sales, "sale_id", "left_semi")
-    fields = cut(attribute_values(tables["attribute_type"], values, params.codes.sale_patterns()))
+    codes = params.codes
+
+    def field(pattern: str | None, name: str) -> DataFrame:
+        values = attribute_values(tables["attribute_type"], tables["attribute_value"], pattern, name)
+        return values.join(sales, "sale_id", "left_semi")
+
     rows = lookup(rows, tables["sale_total"], "sale_id", spread_by=spread_by)
-    rows = lookup(rows, values_of(fields, "traffic", "traffic_source"), "sale_id", spread_by=spread_by)
-    rows = lookup(rows, values_of(fields, "prospect", "prospect_customer"), "sale_id", spread_by=spread_by)
-    freight = matches_per_key(values_of(fields, "freight", "_freight"), "sale_id", "freight_fields")
+    rows = lookup(rows, field(codes.traffic_pattern, "traffic_source"), "sale_id", spread_by=spread_by)
+    rows = lookup(rows, field(codes.prospect_pattern, "prospect_customer"), "sale_id", spread_by=spread_by)
+    freight = matches_per_key(field(codes.sale_freight_pattern, "freight"), "sale_id", "freight_fields")
     return lookup(rows, freight, "sale_id", spread_by=spread_by)
 
 
@@ -155,7 +159,7 @@ def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: C
     exits = tables["document_exit"].join(document_ids, "document_id", "left_semi")
     documents = base.join(matches_per_key(exits, "document_id", "exits"), "document_id")
     documents = lookup(documents, payments_per_sale(tables, sale_ids), "sale_id", spread_by=["document_id"])
-    documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"], cut)
+    documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"])
     documents = _with_parties(documents, tables, params, "document_id", "sale_customer_id")
 
     items = tables["document_item"].join(document_ids, "document_id", "left_semi")
@@ -226,14 +230,13 @@ def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cu
     )
 
     sales = lookup(base, matches_per_key(order_totals, "order_id", "order_totals"), "order_id", spread_by=["sale_id"])
-    sales = _with_sale_fields(sales, tables, params, sale_ids, ["sale_id"], cut)
+    sales = _with_sale_fields(sales, tables, params, sale_ids, ["sale_id"])
     sales = _with_parties(sales.withColumn("sold_to", F.col("customer_id")), tables, params, "sale_id", "sold_to")
 
     products = parts.products_with_maker(tables).select(
         "product_id", "sku", "product_name", "list_cost", "product_group", "maker"
     )
-    items = tables["sale_item"].join(sale_ids, "sale_id", "left_semi")
-    lines = items.join(sales, "sale_id").join(products, "product_id")
+    lines = tables["sale_item"].join(sales, "sale_id").join(products, "product_id")
 
     repeats = times(F.col("order_totals"), F.col("freight_fields"))
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))

@@ -47,10 +47,15 @@ def returned_documents(tables: Tables, params: RunParams) -> DataFrame:
 
 def freight_fields_per_sale(tables: Tables, params: RunParams, sales: DataFrame) -> DataFrame:
     """Per sale: how many freight field values it has, and their sum as a number."""
-    values = tables["attribute_value"].join(sales, "sale_id", "left_semi")
-    fields = attribute_values(tables["attribute_type"], values, {"freight": params.codes.return_freight_pattern})
-    return fields.groupBy("sale_id").agg(
-        F.count(F.lit(1)).alias("freight_fields"), F.sum(parse_locale_decimal(F.col("value"))).alias("sale_freight")
+    pattern = params.codes.return_freight_pattern
+    fields = attribute_values(tables["attribute_type"], tables["attribute_value"], pattern, "freight")
+    return (
+        fields.join(sales, "sale_id", "left_semi")
+        .groupBy("sale_id")
+        .agg(
+            F.count(F.lit(1)).alias("freight_fields"),
+            F.sum(parse_locale_decimal(F.col("freight"))).alias("sale_freight"),
+        )
     )
 
 

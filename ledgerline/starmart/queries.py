@@ -35,8 +35,11 @@ TARGET_END = date(2000, 1, 1)
 BATCH_START = date(2001, 5, 1)
 REPLACED_END = date(2001, 6, 1)
 
+PATTERNS = {
+    "freight": "%FRETE ESPECIAL%", "traffic": "%VIA TRAFEGO?%", "prospect": "%CLIENTE PROSPECTADO?%",
+}
 CODES = Codes(
-    sale_freight_pattern="%FRETE ESPECIAL%",
+    sale_freight_pattern=PATTERNS["freight"],
     company_labels={1: "first", 2: "second", 4: "fourth"},
     stock_locations=tuple(range(24)),
     order_excluded_location=20,
@@ -179,16 +182,16 @@ def filter_flag_true(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def attribute_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attributes.attribute_codes(retail_tables(spark, sf_dir)["attribute_type"], CODES.sale_patterns())
+    return attributes.attribute_codes(retail_tables(spark, sf_dir)["attribute_type"], PATTERNS)
 
 
 @query
 def attribute_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = retail_tables(spark, sf_dir)
-    fields = attributes.attribute_values(source["attribute_type"], source["attribute_value"], CODES.sale_patterns())
     sales = source["sale"].select("sale_id")
-    for role in ("freight", "traffic", "prospect"):
-        sales = joins.lookup(sales, attributes.values_of(fields, role, role), "sale_id")
+    for role, pattern in PATTERNS.items():
+        values = attributes.attribute_values(source["attribute_type"], source["attribute_value"], pattern, role)
+        sales = joins.lookup(sales, values, "sale_id")
     return sales
 
 

@@ -48,12 +48,10 @@ def test_no_pair_joins_and_no_python(spark, name):
 
 
 @needs_data
-def test_only_pattern_codes_are_broadcast_by_hint(spark):
+@pytest.mark.parametrize("name", ["invoice_lines", "returns_lines", "snapshot_stock", "delta_upsert"])
+def test_no_join_is_forced_to_broadcast(spark, name):
     with settings(spark, **NO_BROADCAST):
-        text = plan(QUERIES["invoice_lines"](spark, FOLDER))
-    for line in text.splitlines():
-        if "BroadcastHashJoin" in line:
-            assert re.search(r"\[attribute_type_id#\d+L\], \[code#\d+L\]", line)
+        assert "Broadcast" not in plan(QUERIES[name](spark, FOLDER))
 
 
 @needs_data

@@ -10,7 +10,7 @@ from conftest import RUN, table
 from pyspark.sql import functions as F
 
 from ledgerline import fixed_values as fv
-from ledgerline.__main__ import main, read_codes
+from ledgerline.__main__ import main, read_codes, read_jdbc
 from ledgerline.params import Codes, RunParams
 from ledgerline.plans.jobs import general_job, load_orders, open_targets
 from ledgerline.session import shuffle_partitions_for
@@ -204,6 +204,14 @@ def test_codes_file_and_shuffle_size(tmp_path):
     assert shuffle_partitions_for(100 * 2**30) == 800
 
 
+def test_jdbc_file(tmp_path):
+    path = tmp_path / "jdbc.json"
+    path.write_text('{"properties": {"user": "u"}, "splits": {"sale": {"column": "cdvenda", "lower": 0, "upper": 9,'
+                    ' "partitions": 3}}}')
+    source = read_jdbc("jdbc:postgresql://host/db", str(path))
+    assert (source.options("sale")["upperBound"], source.options("sale")["user"]) == ("9", "u")
+
+
 def test_command_line(spark, retail, rows, tmp_path, capsys):
     for name, df in retail(rows).items():
         named = df.select(*[F.col(column.name).alias(column.source_name) for column in catalog.columns(name)])
