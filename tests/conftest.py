@@ -3,11 +3,9 @@ from __future__ import annotations
 import os
 import sys
 from datetime import date, datetime
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -24,6 +22,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("ledgerline-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
@@ -34,20 +33,22 @@ def spark():
     session.stop()
 
 
-def _fitted(value, data_type):
-    if value is not None and isinstance(data_type, T.DecimalType):
-        return Decimal(str(value))
-    return value
+def _literal(value, kind: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {kind})"
 
 
 def table(spark, name: str, rows: list[dict]):
-    """A source table from literal rows; columns not mentioned are null."""
-    schema = T.StructType.fromDDL(catalog.schema(name))
-    unknown = {key for row in rows for key in row} - set(schema.names)
+    """A source table from literal rows, kept in the plan; columns not mentioned are null."""
+    kinds = {column.name: column.data_type for column in catalog.columns(name)}
+    unknown = {key for row in rows for key in row} - set(kinds)
     assert not unknown, unknown
-    return spark.createDataFrame(
-        [tuple(_fitted(row.get(field.name), field.dataType) for field in schema.fields) for row in rows], schema
-    )
+    if not rows:
+        return spark.sql("SELECT " + ", ".join(f"{_literal(None, kinds[c])} AS {c}" for c in kinds) + " WHERE FALSE")
+    values = ", ".join("(" + ", ".join(_literal(row.get(c), kinds[c]) for c in kinds) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(kinds)})")
 
 
 def retail_rows() -> dict[str, list[dict]]:
