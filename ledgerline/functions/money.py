@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.fixed_values import CENTS, RATIO_EPSILON
 
-# Wide enough that a product with a row count (decimal(10,0)) still keeps all decimals.
+# Narrow enough that a product with a row count (decimal(10,0)) still keeps all decimals.
 AMOUNT = "decimal(27,8)"
 UNIT_AMOUNT = "decimal(27,10)"
 
@@ -32,9 +32,16 @@ def net_unit(quantity: Column, unit_price: Column, discount_cents: Column) -> Co
     return (net_line(quantity, unit_price, discount_cents) / quantity).cast(UNIT_AMOUNT)
 
 
-def repeated(amount: Column, rows: Column) -> Column:
-    """What an amount adds to a sum when its row occurs ``rows`` times."""
-    return amount * rows.cast("decimal(10,0)")
+def repeated(amount: Column, rows: Column, scale: int = 8) -> Column:
+    """What an amount adds to a sum when its row occurs ``rows`` times.
+
+    Below 10^10 repeats all decimals of the amount are kept; beyond, where the product would
+    not fit in 38 digits otherwise, at least six (or all, if fewer).
+    """
+    kind = f"decimal(38,{scale})"
+    few = (amount * rows.try_cast("decimal(10,0)")).cast(kind)
+    many = (amount * rows.cast("decimal(19,0)")).cast(kind)
+    return F.coalesce(few, many)
 
 
 def freight_rate(freight_cents: Column, product_total: Column) -> Column:

@@ -182,7 +182,7 @@ def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: C
         "item_freight", "recipient_tax", "destination_code", "product_quantity", *_SHARED_KEYS,
     ).agg(
         F.sum(money.repeated(money.in_units(F.col("item_expenses")), repeats)).alias("expenses"),
-        F.sum(money.repeated(F.col("sale_terms"), without_payments)).alias("terms"),
+        F.sum(money.repeated(F.col("sale_terms"), without_payments, 4)).alias("terms"),
         F.sum(counted).alias("line_count"),
     )
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
@@ -243,7 +243,7 @@ def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cu
     counted = F.when(F.col("sale_item_id").isNotNull(), repeats).otherwise(F.lit(0))
     grouped = lines.groupBy("sale_id", "sale_date", "sale_freight", *_SHARED_KEYS).agg(
         F.sum(money.repeated(money.net_line(*line), repeats)).alias("net_value"),
-        F.sum(money.repeated(money.net_unit(*line), repeats)).alias("unit_value"),
+        F.sum(money.repeated(money.net_unit(*line), repeats, 10)).alias("unit_value"),
         F.sum(money.repeated(money.in_units(F.col("item_expenses")), repeats)).alias("other_expenses"),
         F.sum(counted).alias("line_count"),
     )

@@ -116,9 +116,9 @@ def return_lines(tables: Tables, params: RunParams, cut: Cut = keep_lazy) -> Dat
         "customer", "maker", "payment_form", "payment_term", "order_number", "company_id", "without_project",
     ).agg(
         F.sum(money.repeated(net, repeats)).alias("net_value"),
-        F.sum(money.repeated(money.net_unit(*line), repeats)).alias("unit_value"),
+        F.sum(money.repeated(money.net_unit(*line), repeats, 10)).alias("unit_value"),
         F.sum(repeats).alias("orders"),
-        money.rounded_count(F.sum(money.repeated(F.col("quantity"), repeats))).alias("sold_quantity"),
+        money.rounded_count(F.sum(money.repeated(F.col("quantity"), repeats, 4))).alias("sold_quantity"),
         F.sum(share).alias("freight"),
         F.sum(extra).alias("extra_freight"),
     )

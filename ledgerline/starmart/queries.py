@@ -451,7 +451,7 @@ def payment_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sale_id",
         money.repeated(F.coalesce(F.col("expenses"), F.lit(0)), repeats).alias("expenses"),
         (F.col("items") * repeats).alias("line_count"),
-        F.coalesce(money.repeated(F.col("sale_terms"), F.col("items")), F.lit(0)).alias("terms"),
+        F.coalesce(money.repeated(F.col("sale_terms"), F.col("items"), 4), F.lit(0)).alias("terms"),
     )
 
 

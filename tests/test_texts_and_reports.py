@@ -49,6 +49,14 @@ def test_cents_divide_exactly(spark):
     assert value(spark, money.in_units(F.lit(None).cast("int"))) is None
 
 
+def test_repeated_amounts_keep_their_decimals(spark):
+    amount = F.lit(Decimal("0.12345678")).cast(money.AMOUNT)
+    assert value(spark, money.repeated(amount, F.lit(3).cast("bigint"))) == Decimal("0.37037034")
+    # More repeats than decimal(10,0) holds, as a sale with very many payments has.
+    assert value(spark, money.repeated(F.lit(Decimal("1.5")).cast(money.AMOUNT), F.lit(10**12))) == 15 * 10**11
+    assert value(spark, money.repeated(F.lit(None).cast(money.AMOUNT), F.lit(2).cast("bigint"))) is None
+
+
 def test_whole_quantity_rounds_half_away_from_zero(spark):
     assert value(spark, money.rounded_count(F.lit(Decimal("2.5")))) == 3
     assert value(spark, money.rounded_count(F.lit(Decimal("-2.5")))) == -3
