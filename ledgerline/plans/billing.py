@@ -85,7 +85,11 @@ def payments_per_sale(tables: Tables, sales: DataFrame) -> DataFrame:
 def _with_sale_fields(
     rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: list[str]
 ) -> DataFrame:
-    """Add the sale's total, its two shown extra fields and the count of freight field values."""
+    """Add the sale's total, its two shown extra fields and how many rows the fields stand for.
+
+    A shown field gives one row per different value; ``field_rows`` counts equal values, and
+    those of the freight field, which is not shown.
+    """
     codes = params.codes
 
     def field(pattern: str | None, name: str) -> DataFrame:
@@ -93,10 +97,14 @@ def _with_sale_fields(
         return values.join(sales, "sale_id", "left_semi")
 
     rows = lookup(rows, tables["sale_total"], "sale_id", spread_by=spread_by)
-    rows = lookup(rows, field(codes.traffic_pattern, "traffic_source"), "sale_id", spread_by=spread_by)
-    rows = lookup(rows, field(codes.prospect_pattern, "prospect_customer"), "sale_id", spread_by=spread_by)
-    freight = matches_per_key(field(codes.sale_freight_pattern, "freight"), "sale_id", "freight_fields")
-    return lookup(rows, freight, "sale_id", spread_by=spread_by)
+    shown = {"traffic_source": codes.traffic_pattern, "prospect_customer": codes.prospect_pattern}
+    for name, pattern in shown.items():
+        values = field(pattern, name).groupBy("sale_id", name).agg(F.count(F.lit(1)).alias(f"{name}_rows"))
+        rows = lookup(rows, values, "sale_id", spread_by=spread_by)
+    freight = matches_per_key(field(codes.sale_freight_pattern, "freight"), "sale_id", "freight_rows")
+    rows = lookup(rows, freight, "sale_id", spread_by=spread_by)
+    counts = [f"{name}_rows" for name in (*shown, "freight")]
+    return rows.withColumn("field_rows", times(*[F.col(name) for name in counts])).drop(*counts)
 
 
 def _with_parties(rows: DataFrame, tables: Tables, params: RunParams, key: str, sold_to: str) -> DataFrame:
@@ -174,7 +182,7 @@ def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: C
     lines = lookup(lines, sold, "sale_item_id", spread_by=["document_id", "item_id"])
 
     # Each (item, document, sale) row stands for this many rows of the full join.
-    without_payments = times(F.col("exits"), F.col("freight_fields"))
+    without_payments = times(F.col("exits"), F.col("field_rows"))
     repeats = without_payments * times(F.col("payment_rows"))
     counted = F.when(F.col("item_id").isNotNull(), repeats).otherwise(F.lit(0))
     grouped = lines.groupBy(
@@ -238,7 +246,7 @@ def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cu
     )
     lines = tables["sale_item"].join(sales, "sale_id").join(products, "product_id")
 
-    repeats = times(F.col("order_totals"), F.col("freight_fields"))
+    repeats = times(F.col("order_totals"), F.col("field_rows"))
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
     counted = F.when(F.col("sale_item_id").isNotNull(), repeats).otherwise(F.lit(0))
     grouped = lines.groupBy("sale_id", "sale_date", "sale_freight", *_SHARED_KEYS).agg(

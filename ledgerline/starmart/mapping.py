@@ -171,13 +171,17 @@ VIEWS = {
                     WHEN 11 THEN 'via trafego?' WHEN 12 THEN 'via trafego' ELSE c_name END AS name
         FROM {customer}""",
     "attribute_value": f"""
-        SELECT o_orderkey AS sale_id, CAST(7 AS BIGINT) AS attribute_type_id, {_LOCALE_AMOUNT} AS value
-        FROM {{orders}} WHERE o_orderpriority <> '3-MEDIUM'
-        UNION ALL SELECT o_orderkey, CAST(7 AS BIGINT), '1.000,50' FROM {{orders}} WHERE o_orderpriority = '1-URGENT'
-        UNION ALL SELECT o_orderkey, CAST(7 AS BIGINT), CAST(NULL AS STRING) FROM {{orders}} WHERE o_orderstatus = 'O'
-        UNION ALL SELECT o_orderkey, CAST(3 AS BIGINT), 'unused' FROM {{orders}}
-        UNION ALL SELECT o_orderkey, CAST(11 AS BIGINT), o_orderpriority FROM {{orders}} WHERE o_orderstatus = 'F'
-        UNION ALL SELECT o_orderkey, CAST(12 AS BIGINT), 'unused' FROM {{orders}}""",
+        SELECT o_orderkey AS sale_id,
+               CAST(CASE o_orderpriority WHEN '3-MEDIUM' THEN 3 ELSE 7 END AS BIGINT) AS attribute_type_id,
+               CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'unused'
+                    WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'O' THEN NULL ELSE {_LOCALE_AMOUNT} END AS value
+        FROM {{orders}}
+        UNION ALL
+        SELECT o_orderkey,
+               CAST(CASE WHEN o_orderstatus = 'F' THEN 11 WHEN o_orderpriority = '1-URGENT' THEN 7 ELSE 12 END AS BIGINT),
+               CASE WHEN o_orderstatus = 'F' THEN o_orderpriority WHEN o_orderpriority = '1-URGENT' THEN '1.000,50'
+                    ELSE 'unused' END
+        FROM {{orders}} WHERE o_orderstatus <> 'P'""",
     "address": """
         SELECT c_custkey AS address_id,
                CASE WHEN c_mktsegment <> 'MACHINERY' THEN CAST(c_nationkey AS BIGINT) END AS city_id,

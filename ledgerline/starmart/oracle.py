@@ -231,7 +231,8 @@ def _return_steps(amount=_money) -> dict[str, str]:
                     * (100 - COALESCE(v.discount_pct, 0)) / (f.document_value - e.exit_freight + 0.001)
                     * (CAST({_number("av.value")} AS DOUBLE) / 100) * 100)''')} AS extra_freight,
                w.state, w.city, w.neighbourhood, c.name AS customer, m.maker, pf.name AS payment_form,
-               pt.name AS payment_term, f.order_number AS order_identifier, {_COMPANY.replace("company_id", "d.company_id")} AS company
+               pt.name AS payment_term, f.order_number AS order_identifier,
+               {_COMPANY.replace("company_id", "d.company_id")} AS company
         FROM document_item i
         JOIN document_of_year d ON d.document_id = i.document_id
         JOIN document_fiscal f ON f.document_id = d.document_id
@@ -362,14 +363,16 @@ def _summary_lines() -> str:
         SELECT {first} AS position, '{section}' AS section, 'orders' AS key, CAST(orders AS DOUBLE) AS quantity,
                CAST(NULL AS DOUBLE) AS amount, '{orders}: ' || {_whole("orders")} AS text FROM {table}
         UNION ALL
-        SELECT {first + 1}, '{section}', 'total', NULL, {_money("COALESCE(total, 0)")}, '{total}: ' || {_brl("COALESCE(total, 0)")}
+        SELECT {first + 1}, '{section}', 'total', NULL, {_money("COALESCE(total, 0)")},
+               '{total}: ' || {_brl("COALESCE(total, 0)")}
         FROM {table}"""
 
     def stock(label: str) -> str:
         return f"""{label} || ': ' || {_whole("quantity")} || ' unidades | ' || {_brl("amount / 100")}"""
 
     return f"""
-        SELECT CAST(position AS INTEGER) AS position, section, key, quantity, ROUND(amount, 2) AS amount, text, '01/01/1997' AS report_day
+        SELECT CAST(position AS INTEGER) AS position, section, key, quantity, ROUND(amount, 2) AS amount, text,
+               '01/01/1997' AS report_day
         FROM (
         {pair("billed_day", "billing", 0, "Pedidos faturados", "Valor total bruto")}
         UNION ALL

@@ -74,6 +74,14 @@ def test_every_unused_join_repeats_the_line(retail, rows):
     assert line.term_value == 4 * 19
 
 
+def test_equal_field_values_repeat_and_different_ones_split_the_line(retail, rows):
+    rows["attribute_value"] += [
+        {"sale_id": 200, "attribute_type_id": 2, "value": value} for value in ("yes", "no", None)
+    ]
+    lines = {line.traffic_source: line.line_count for line in invoices(retail, rows)}
+    assert lines == {"yes": 2, "no": 1, None: 1}
+
+
 def test_document_without_exit_is_dropped(retail, rows):
     rows["document_exit"] = []
     assert invoices(retail, rows) == []

@@ -62,7 +62,10 @@ def test_whole_quantity_rounds_half_away_from_zero(spark):
     assert value(spark, money.rounded_count(F.lit(Decimal("-2.5")))) == -3
 
 
-BILLING = "document_number string, billing_date date, net_value decimal(18,2), freight decimal(18,2), other_expenses decimal(18,2)"
+BILLING = (
+    "document_number string, billing_date date, net_value decimal(18,2), freight decimal(18,2),"
+    " other_expenses decimal(18,2)"
+)
 RETURNS = "document_number bigint, issue_date date, net_value decimal(18,2), freight decimal(18,2)"
 STOCK = "location string, available_quantity decimal(18,2), total_value decimal(18,2)"
 
