@@ -7,11 +7,13 @@ from collections import Counter
 
 import duckdb
 
-import __spark_entry__
+
+from ledgerline.starmart import oracle
+from ledgerline.starmart import queries as registered
 from ledgerline.starmart.mapping import STAR_SCHEMAS
 
-QUERIES = __spark_entry__.queries()
-ORACLE = __spark_entry__.oracle_sql()
+QUERIES = registered.queries()
+ORACLE = oracle.oracle_sql()
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
