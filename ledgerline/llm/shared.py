@@ -1,8 +1,12 @@
-"""Reliable checkpoints for the operators of this package."""
+"""What the operators of this package share: reliable checkpoints, and rows carried beside their id and text."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+FIRST_ID = -(1 << 63)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -21,3 +25,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (all columns, whatever their names), document id (null as the first of all), text, and a hash of the
+    text, by which rows that share an id but not the text are told apart."""
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(FIRST_ID)).alias("did"),
+        F.xxhash64(text).alias("th"),
+        text.alias("text"),
+    )
+
+
+def with_row(prepared: DataFrame, added: str) -> StructType:
+    """The schema of ``row`` and the added columns."""
+    return StructType([prepared.schema["row"], *StructType.fromDDL(added).fields])
+
+
+def unpacked(df: DataFrame, columns: list[str], **replaced) -> DataFrame:
+    """The columns of ``row`` again, some of them replaced."""
+    return df.select(*[replaced[c].alias(c) if c in replaced else F.col(f"row.`{c}`").alias(c) for c in columns])
