@@ -32,8 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.shared import checkpointed
-from ledgerline.llm.words import slices, split
+from ledgerline.llm.shared import checkpointed, keyed, unpacked
+from ledgerline.llm.statistics import repeated, salted
+from ledgerline.llm.words import range_hashes, slices, split
 
 SEED = 42
 SEGMENTS = ((0, 23, 1), (23, 23, 1), (46, 18, 0))  # first bit, bits, radius: reach of 4 bits
@@ -44,6 +45,21 @@ BLOCK_ROWS = 8192
 # ---------------------------------------------------------------- fingerprints
 
 
+def majority(hashes: np.ndarray, owners: np.ndarray, texts: int) -> np.ndarray:
+    """For each text, the bits that over half of its hashes have; owners are in order, a text without hashes has 0."""
+    result = np.zeros(texts, np.uint64)
+    if len(owners):
+        new = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
+        sizes = np.diff(np.append(new, len(owners)))
+        value = np.zeros(len(new), np.uint64)
+        for bit in range(64):
+            b = np.uint64(bit)
+            ones = np.add.reduceat((hashes >> b) & np.uint64(1), new)
+            value |= (2 * ones.astype(np.int64) > sizes).astype(np.uint64) << b
+        result[owners[new]] = value
+    return result
+
+
 def fingerprints_of(column: pa.Array, shingle_words: int) -> np.ndarray:
     """Fingerprint of each text, as signed 64-bit integers."""
     words = split(column)
@@ -60,17 +76,7 @@ def fingerprints_of(column: pa.Array, shingle_words: int) -> np.ndarray:
     hashes = np.fromiter((digest(raw[s:e], SEED) for s, e in ranges), np.uint64, len(firsts))
     order = np.argsort(owners, kind="stable") if len(short) else slice(None)
     hashes, owners = hashes[order], owners[order]
-    result = np.zeros(len(counts), np.uint64)
-    if len(owners):
-        new = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
-        sizes = np.diff(np.append(new, len(owners)))
-        value = np.zeros(len(new), np.uint64)
-        for bit in range(64):
-            b = np.uint64(bit)
-            ones = np.add.reduceat((hashes >> b) & np.uint64(1), new)
-            value |= (2 * ones.astype(np.int64) > sizes).astype(np.uint64) << b
-        result[owners[new]] = value
-    return result.view(np.int64)
+    return majority(hashes, owners, len(counts)).view(np.int64)
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -130,41 +136,60 @@ def leaf_rows(fps: np.ndarray, points, medians, radius: int, everywhere: bool) -
     return rows, leaves
 
 
-def local_components(home: np.ndarray, asked: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of one leaf, the linked fingerprints and the smallest of each one's component; lone ones are left out."""
-    everything = np.unique(np.concatenate([home, asked]))
-    at_home = np.unique(home)
+def local_components(rows: dict[str, np.ndarray], max_bits: int, side_bits: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Of one leaf, the ids of linked rows and the smallest id of each one's component; lone ones are left out.
+
+    Rows are linked if their fingerprints, and their side fingerprints if ``side_bits`` is given, are near.
+    """
+    fp, ids, home = rows["fp"].view(np.uint64), rows["id"], rows["home"]
+    sides = [rows["s1"].view(np.uint64), rows["s2"].view(np.uint64)]
+
+    def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if side_bits is None:
+            return np.ones(len(b), bool)
+        differing = [np.bitwise_count(side[a] ^ side[b]).astype(np.int64) for side in sides]
+        return differing[0] + differing[1] <= side_bits
+
+    at_home = np.flatnonzero(home)
     size = max(1, (1 << 20) // max(1, len(at_home)))
-    linked = np.zeros(len(everything), bool)
-    for at in range(0, len(everything), size):
-        block = everything[at : at + size, None]
-        near = np.bitwise_count(block ^ at_home[None, :]) <= max_bits
-        linked[at : at + size] = near.sum(axis=1) > np.isin(block[:, 0], at_home)
-    # A row at home that is near a query row only is the partner of a linked row.
-    candidates = everything[linked]
-    open_rows = np.union1d(candidates, at_home)
-    label = {}
-    for seed in candidates:
-        if int(seed) in label:
-            continue
-        members, frontier = [], np.array([seed])
-        open_rows = open_rows[open_rows != seed]
+    candidates = np.zeros(len(fp), bool)
+    for at in range(0, len(fp), size):
+        near = np.bitwise_count(fp[at : at + size, None] ^ fp[at_home][None, :]) <= max_bits
+        a, b = np.nonzero(near)
+        a, b = a + at, at_home[b]
+        a, b = a[a != b], b[a != b]
+        good = agree(a, b)
+        candidates[a[good]] = candidates[b[good]] = True
+    waiting = np.flatnonzero(candidates)
+    found_ids, labels = [], []
+    while len(waiting):
+        members, frontier, waiting = [], waiting[:1], waiting[1:]
         while len(frontier):
             members.append(frontier)
-            reached = np.zeros(len(open_rows), bool)
-            for value in frontier:
-                reached |= np.bitwise_count(open_rows ^ value) <= max_bits
-            frontier, open_rows = open_rows[reached], open_rows[~reached]
-        found = np.concatenate(members)
-        if len(found) > 1:
-            smallest = found.view(np.int64).min()
-            label.update((int(v), int(smallest)) for v in found)
-    members = np.fromiter(label, np.uint64, len(label))
-    return members.view(np.int64), np.fromiter(label.values(), np.int64, len(label))
-
-
-def links(fps: DataFrame, max_bits: int = 4, segments=SEGMENTS, leaf_size: int = LEAF_ROWS, block: int = BLOCK_ROWS):
-    """Of distinct fingerprints ``fp``: (fp, label) rows which join all that are linked, and no others."""
+            reached = np.zeros(len(waiting), bool)
+            for one in frontier:
+                near = np.flatnonzero((np.bitwise_count(fp[waiting] ^ fp[one]) <= max_bits) & ~reached)
+                reached[near[agree(np.full(len(near), one), waiting[near])]] = True
+            frontier, waiting = waiting[reached], waiting[~reached]
+        found = ids[np.concatenate(members)]
+        found_ids.append(found)
+        labels.append(np.full(len(found), found.min()))
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *found_ids]), np.concatenate([empty, *labels])
+
+
+def links(
+    fps: DataFrame,
+    max_bits: int = 4,
+    segments=SEGMENTS,
+    leaf_size: int = LEAF_ROWS,
+    block: int = BLOCK_ROWS,
+    side_bits: int | None = None,
+) -> DataFrame:
+    """Of rows (fp, id, s1, s2) with different ids: (id, label) rows that join all that are linked, and no others.
+
+    With ``side_bits``, linked rows must also differ in no more bits of ``s1`` and ``s2`` together.
+    """
     if sum(radius + 1 for _, _, radius in segments) < max_bits + 1:
         raise ValueError("the segments' radii do not reach max_bits")
     count = fps.count()
@@ -176,6 +201,7 @@ def links(fps: DataFrame, max_bits: int = 4, segments=SEGMENTS, leaf_size: int =
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            others = [batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3)]
             for t, (points, middle) in enumerate(zip(trees, medians)):
                 for everywhere in (False, True) if radii[t] else (False,):
                     for at in range(0, len(values), 4096):
@@ -192,29 +218,31 @@ def links(fps: DataFrame, max_bits: int = 4, segments=SEGMENTS, leaf_size: int =
                                 pa.array(leaves),
                                 pa.array(np.full(len(rows), not everywhere)),
                                 pa.array(part[rows].view(np.int64)),
+                                *(pa.array(other[at + rows], pa.int64()) for other in others),
                             ],
-                            ["tree", "leaf", "home", "fp"],
+                            ["tree", "leaf", "home", "fp", "id", "s1", "s2"],
                         )
 
-    dealt = fps.mapInArrow(deal, "tree int, leaf long, home boolean, fp long")
+    carried = ("home", "fp", "id", "s1", "s2")
+    schema = "tree int, leaf long, home boolean, fp long, id long, s1 long, s2 long"
+    dealt = fps.select("fp", "id", "s1", "s2").mapInArrow(deal, schema)
     large = dealt.groupBy("tree", "leaf").count().filter(F.col("count") > block)
     large = large.select("tree", "leaf", F.ceil(F.col("count") / block).cast("int").alias("k"))
     parted = dealt.join(large, ["tree", "leaf"], "left").withColumn("k", F.coalesce("k", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
+    own = F.pmod(F.xxhash64("id"), F.col("k")).cast("int")
     pair = F.transform(
         F.sequence(F.lit(0), F.col("k") - 1),
         lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")),
     )
-    blocks = parted.select("tree", "leaf", F.explode(pair).alias("pair"), "home", "fp")
-    blocks = blocks.select("tree", "leaf", "pair.i", "pair.j", "home", "fp")
+    blocks = parted.select("tree", "leaf", F.explode(pair).alias("pair"), *carried)
+    blocks = blocks.select("tree", "leaf", "pair.i", "pair.j", *carried)
 
     def search(group: pa.Table) -> pa.Table:
-        values = group["fp"].to_numpy().astype(np.int64).view(np.uint64)
-        home = group["home"].to_numpy(zero_copy_only=False).astype(bool)
-        fp, label = local_components(values[home], values[~home], max_bits)
-        return pa.table({"fp": pa.array(fp, pa.int64()), "label": pa.array(label, pa.int64())})
+        rows = {name: group[name].to_numpy(zero_copy_only=False) for name in carried}
+        found, label = local_components(rows, max_bits, side_bits)
+        return pa.table({"id": pa.array(found, pa.int64()), "label": pa.array(label, pa.int64())})
 
-    return blocks.groupBy("tree", "leaf", "i", "j").applyInArrow(search, "fp long, label long")
+    return blocks.groupBy("tree", "leaf", "i", "j").applyInArrow(search, "id long, label long")
 
 
 # ---------------------------------------------------------------- components
@@ -249,11 +277,71 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
     """(doc_id, fingerprint, component_id, fp) of every row of ``docs``; component_id is the smallest id reachable."""
     prints = checkpointed(fingerprints(docs, shingle_words, id_col, text_col))
     firsts = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    found = links(firsts.select("fp"), max_bits)
-    labels = components(found.select(F.col("fp").alias("u"), F.col("label").alias("v")))
+    none = F.lit(0).cast("long")
+    found = links(firsts.select("fp", F.col("fp").alias("id"), none.alias("s1"), none.alias("s2")), max_bits)
+    labels = components(found.select(F.col("id").alias("u"), F.col("label").alias("v")))
     labelled = firsts.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     labelled = labelled.select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
     least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = labelled.join(least, "label").select("fp", "component_id")
     text = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return prints.join(classes, "fp", "left").select("doc_id", text.alias("fingerprint"), "component_id", "fp")
+
+
+# ---------------------------------------------------------------- near copies of 0.8 or more
+
+STAGE_SHINGLE = 5
+STAGE_SEGMENTS = ((0, 15, 1), (15, 15, 1), (30, 17, 1), (47, 17, 0))  # reach of 6 bits
+STAGE_BITS = 6
+STAGE_LEAF_ROWS = 4096
+SIMILARITY = 0.8
+SIDE_BITS = 128
+
+
+def side_limit(similarity: float = SIMILARITY, bits: int = SIDE_BITS) -> int:
+    """Bits in which texts of that Jaccard similarity differ on average, and one standard deviation more."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * share + math.sqrt(bits * share * (1 - share)))
+
+
+def wide_fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(did, th, fp, s1, s2): fp is over the different words of a text, s1 and s2 over its shingles of five."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 1 << 20):
+            words = split(part.column(2))
+            words.data = np.where((words.data >= 65) & (words.data <= 90), words.data + 32, words.data).astype(np.uint8)
+            counts, owner, hashes = words.counts, words.text_of_words(), words.hashes()
+            _, again = repeated(salted(hashes, owner))
+            sizes = np.minimum(STAGE_SHINGLE, np.repeat(counts, counts))
+            at = np.arange(len(owner))
+            full = at + sizes <= words.first[1:][owner] if len(owner) else np.zeros(0, bool)
+            begin, end = at[full], (at + sizes)[full]
+            found = [majority(hashes[~again], owner[~again], len(counts))]
+            found += [majority(range_hashes(hashes, begin, end, seed), owner[full], len(counts)) for seed in (0, 1)]
+            columns = [part.column(0), part.column(1), *(pa.array(x.view(np.int64)) for x in found)]
+            yield pa.RecordBatch.from_arrays(columns, ["did", "th", "fp", "s1", "s2"])
+
+    wanted = keyed(docs, id_col, text_col).select("did", "th", "text")
+    return wanted.mapInArrow(compute, "did long, th long, fp long, s1 long, s2 long")
+
+
+def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"):
+    """One document of each group of near copies, the one with the smallest id; all columns stay.
+
+    Texts are linked if the fingerprints over their different words, which the trees search, differ in no more than
+    ``STAGE_BITS`` bits, and the 128 bits over their shingles of five words in no more than texts of that similarity do,
+    give or take one standard deviation. Groups are everything reachable by links. Rows that share the smallest id stay.
+    """
+    key = ["fp", "s1", "s2"]
+    prints = checkpointed(wide_fingerprints(docs, id_col, text_col))
+    classes = checkpointed(prints.groupBy(*key).agg(F.min("did").alias("id"), F.xxhash64(*key).alias("node")))
+    nodes = classes.select("fp", F.col("node").alias("id"), "s1", "s2")
+    found = links(nodes, STAGE_BITS, STAGE_SEGMENTS, STAGE_LEAF_ROWS, side_bits=side_limit(similarity))
+    labels = components(found.select(F.col("id").alias("u"), F.col("label").alias("v")))
+    labelled = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = labelled.groupBy("label").agg(F.min("id").alias("stays"))
+    fates = labelled.join(least, "label").select(*key, "stays")
+    gone = prints.join(fates, key).filter("did <> stays").select("did", "th").distinct()
+    left = keyed(docs, id_col, text_col).join(gone, ["did", "th"], "left_anti")
+    return unpacked(left, docs.columns)

@@ -30,12 +30,12 @@ _LEADS = np.ones(256, bool)  # the first byte of each code point
 _LEADS[0x80:0xC0] = False
 
 
-def _salted(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+def salted(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Hashes that are equal only within one text."""
     return mix(hashes + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _repeated(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeated(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which values are there twice or more, and which of them have come before."""
     order = np.argsort(hashes, kind="stable")
     equal = hashes[order][1:] == hashes[order][:-1]
@@ -68,9 +68,9 @@ def count_texts(column: pa.Array) -> dict[str, np.ndarray]:
     hashes = words.hashes()
 
     begin, of = words.windows(3)
-    often, _ = _repeated(_salted(range_hashes(hashes, begin, begin + 3), of))
+    often, _ = repeated(salted(range_hashes(hashes, begin, begin + 3), of))
     repeat_words = between(covered(words, begin[often], 3), words.first)
-    _, again = _repeated(_salted(hashes, owner))
+    _, again = repeated(salted(hashes, owner))
 
     newline = np.flatnonzero(data == 0x0A)
     starts = np.sort(np.concatenate([limits[:-1], newline + 1]), kind="stable")
@@ -79,7 +79,7 @@ def count_texts(column: pa.Array) -> dict[str, np.ndarray]:
     line_text = np.sort(np.concatenate([np.arange(texts), np.searchsorted(limits, newline, "right") - 1]), kind="stable")
     inside = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
     starts, ends, line_text = starts[inside], ends[inside], line_text[inside]
-    _, line_again = _repeated(_salted(range_hashes(data, starts, ends, 1), line_text))
+    _, line_again = repeated(salted(range_hashes(data, starts, ends, 1), line_text))
 
     longest = np.zeros(texts, np.int64)
     np.maximum.at(longest, owner, word_sizes)
