@@ -1,10 +1,10 @@
 """Language ID by compression: a text has the language whose dictionary compresses it best.
 
-For each language of the labelled documents, ``DICTIONARIES`` raw-content dictionaries of ``DICTIONARY_BYTES`` are made of
-a bounded sample of texts (about ``SAMPLE_DOCS`` a language, by a hash of the text, the first ``SAMPLE_CHARS`` characters
-of each; documents that are held out are never used). A whole text, in lower case, is cut into chunks of
-``CHUNK_BYTES``, every chunk is compressed with each dictionary, and the sizes are added up: the smallest language wins,
-of equal ones the first by name. The score is how much smaller it is than the second, as a share; narrow margins are
+For each language of the labelled documents, a raw-content dictionary of ``DICTIONARY_BYTES`` is made of a bounded sample
+of texts (about ``SAMPLE_DOCS`` a language, by a hash of the text, the first ``SAMPLE_CHARS`` characters of each;
+documents that are held out are never used). A whole text, in lower case, is cut into chunks of ``CHUNK_BYTES``, every
+chunk is compressed with each dictionary, with matches from four bytes on, and the sizes are added up: the smallest
+language wins, of equal ones the first by name. The score is how much smaller it is than the second, as a share; narrow margins are
 rejected (``accepted`` is false).
 
 A null text, or one without a letter, has the language ``und`` and score 0. With a single known language the score is 1;
@@ -13,6 +13,7 @@ without any, all texts are ``und``. Repeated rows get equal results.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,15 +27,17 @@ from ledgerline.llm.words import slices
 
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 2000
-DICTIONARIES = 3
-DICTIONARY_BYTES = 48 << 10
+DICTIONARY_BYTES = 192 << 10
 CHUNK_BYTES = 4 << 10
-LEVEL = 3
+SETTINGS = {
+    "strategy": zstandard.STRATEGY_GREEDY, "min_match": 4, "search_log": 4, "hash_log": 17, "chain_log": 18,
+    "window_log": 19, "write_content_size": False, "write_checksum": False, "write_dict_id": False,
+}
 LEAST_MARGIN = 0.02
 UNKNOWN = "und"
 
 
-def dictionaries(docs: DataFrame, sample: int = SAMPLE_DOCS) -> dict[str, list[bytes]]:
+def dictionaries(docs: DataFrame, sample: int = SAMPLE_DOCS) -> dict[str, bytes]:
     """Raw contents by language, from a bounded sample of the rows that are not held out."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
@@ -50,36 +53,34 @@ def dictionaries(docs: DataFrame, sample: int = SAMPLE_DOCS) -> dict[str, list[b
         texts[row["lang"]].add(row["text"])
     result = {}
     for lang in sorted(texts):
-        ordered = sorted(texts[lang]) or [lang]
-        cut = ["\n".join(ordered[i::DICTIONARIES]).encode()[-DICTIONARY_BYTES:] for i in range(DICTIONARIES)]
-        result[lang] = [part if len(part) >= 8 else part.ljust(8) for part in cut]
+        ordered = "\n".join(sorted(texts[lang], key=_spread)) or lang
+        result[lang] = ordered.encode()[-DICTIONARY_BYTES:].ljust(8)
     return result
 
 
-def classify(docs: DataFrame, contents: dict[str, list[bytes]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _spread(text: str) -> int:
+    """An order that depends on nothing but the text, and not on its first letters."""
+    return zlib.crc32(text.encode())
+
+
+def classify(docs: DataFrame, contents: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, accepted) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(contents)
     letter = regex.compile(r"\p{L}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = {}
-        for lang, parts in shared.value.items():
-            compressors[lang] = []
-            for part in parts:
-                content = zstandard.ZstdCompressionDict(part, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                content.precompute_compress(level=LEVEL)
-                compressors[lang].append(
-                    zstandard.ZstdCompressor(
-                        level=LEVEL, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False
-                    ).compress
-                )
+        for lang, content in shared.value.items():
+            dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            settings = zstandard.ZstdCompressionParameters.from_level(5, **SETTINGS)
+            compressors[lang] = zstandard.ZstdCompressor(compression_params=settings, dict_data=dictionary).compress
 
         def judge(text: str | None) -> tuple[str, float]:
             if text is None or not compressors or not letter.search(text):
                 return UNKNOWN, 0.0
             raw = text.lower().encode()
             chunks = [raw[at : at + CHUNK_BYTES] for at in range(0, len(raw), CHUNK_BYTES)]
-            sizes = sorted((sum(len(c(x)) for c in group for x in chunks), lang) for lang, group in compressors.items())
+            sizes = sorted((sum(len(compress(x)) for x in chunks), lang) for lang, compress in compressors.items())
             best, lang = sizes[0]
             return lang, (sizes[1][0] - best) / sizes[1][0] if len(sizes) > 1 else 1.0
 
