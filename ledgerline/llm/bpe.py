@@ -32,8 +32,8 @@ from ledgerline.llm.words import slices
 
 LONG_WORD = 512
 QUERY_WORDS = 50_000
-KNOWN_WORDS = 800_000
-SLICE_BYTES = 4 << 20
+KNOWN_WORDS = 250_000
+SLICE_BYTES = 2 << 20
 DECODE_IDS = 1 << 20
 
 _START = """
