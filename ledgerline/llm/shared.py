@@ -29,12 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row`` (all columns, whatever their names), document id (null as the first of all), text, and a hash of the
-    text, by which rows that share an id but not the text are told apart."""
+    text, by which rows that share an id but not the text are told apart. ``uid`` is what rows are dealt by: the id, or
+    where it is null, the text's hash."""
     text = F.col(f"`{text_col}`").cast("string")
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(FIRST_ID)).alias("did"),
         F.xxhash64(text).alias("th"),
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(text)).alias("uid"),
         text.alias("text"),
     )
 

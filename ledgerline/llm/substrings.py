@@ -37,7 +37,7 @@ GRAM = 8
 HOT_RUNS = 64
 BLOCK_WORDS = 1 << 18
 REMEMBERED = 100_000
-SHARD_SCHEMA = "key long, did long, th long, start int, n int, words binary"
+SHARD_SCHEMA = "key long, uid long, did long, th long, start int, n int, words binary"
 
 
 def leaders(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -68,53 +68,59 @@ def leaders(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
 def runs(prepared: DataFrame, window: int, gram: int) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            leader, owner, start, n, weight = leaders(split(part.column(2)), window, gram)
-            did, th = (part.column(i).to_numpy(zero_copy_only=False)[owner] for i in (0, 1))
+            leader, owner, start, n, weight = leaders(split(part.column(1)), window, gram)
+            uid = part.column(0).to_numpy(zero_copy_only=False)[owner]
             small = [pa.array(x.astype(np.int32)) for x in (start, n, weight)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(leader, pa.int64()), pa.array(did, pa.int64()), pa.array(th, pa.int64()), *small],
-                ["leader", "did", "th", "start", "n", "weight"],
+                [pa.array(leader, pa.int64()), pa.array(uid, pa.int64()), *small], ["leader", "uid", "start", "n", "weight"]
             )
 
-    schema = "leader long, did long, th long, start int, n int, weight int"
-    return prepared.select("did", "th", "text").mapInArrow(compute, schema)
+    return prepared.select("uid", "text").mapInArrow(compute, "leader long, uid long, start int, n int, weight int")
 
 
 def shared_runs(prepared: DataFrame, window: int, gram: int) -> DataFrame:
-    """Per document, its runs that may hold a repeated window."""
+    """Per document, its runs that may hold a repeated window (where texts share an id, those of all of them)."""
     found = runs(prepared, window, gram)
     counts = found.groupBy("leader").agg(F.sum("weight").alias("weight"), F.count("*").alias("runs"))
     counts = counts.filter("weight > 1").select("leader", (F.col("runs") > HOT_RUNS).alias("hot"))
     kept = found.drop("weight").join(counts, "leader")
-    span = F.struct("start", "n", "leader", "hot")
-    return kept.groupBy("did", "th").agg(F.collect_set(span).alias("spans"))
+    return kept.groupBy("uid").agg(F.collect_set(F.struct("start", "n", "leader", "hot")).alias("spans"))
 
 
-def _cut(prepared: DataFrame, spans: DataFrame, window: int) -> DataFrame:
+def _flat(lists: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Row numbers and fields of a column of lists of structs; a null list is empty."""
+    owner = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    flat = lists.flatten()
+    return owner, [flat.field(i).to_numpy(zero_copy_only=False) for i in range(flat.type.num_fields)]
+
+
+def _text(rows: pa.Array, text_col: str) -> pa.Array:
+    return rows.field(text_col).cast(pa.string())
+
+
+def _cut(base: DataFrame, text_col: str, spans: DataFrame, window: int) -> DataFrame:
     """The words of the shared runs: a row each (windows of hot leaders one by one), for the shards."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[int, bytes], tuple[int, int]] = {}
-        for part in slices(batches, "text", 1 << 20):
-            words = split(part.column(2))
+        for part in _row_slices(batches, text_col):
+            words = split(_text(part.column(0), text_col))
             joined, starts, ends = words.joined()
             raw = joined.tobytes()
-            lists = part.column(3)
-            owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
-            flat = lists.flatten()
-            start, n, leader = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            hot = flat.field(3).to_numpy(zero_copy_only=False).astype(bool)
+            owner, (start, n, leader, hot) = _flat(part.column(4))
+            # Of texts that share an id, a run of one may be beyond the end of another.
+            fits = start + n + window - 1 <= words.counts[owner]
+            owner, start, n, leader, hot = (x[fits] for x in (owner, start.astype(np.int64), n, leader, hot.astype(bool)))
             times = np.where(hot, n, 1)
             each = np.repeat(np.arange(len(n)), times)
             offset = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)
             owner, leader, hot = owner[each], leader[each], hot[each]
-            start = start[each].astype(np.int64) + offset
-            n = np.where(hot, 1, n[each])
+            start, n = start[each] + offset, np.where(hot, 1, n[each])
             first = words.first[:-1][owner] + start
             last = first + n + window - 2
             own = range_hashes(words.hashes(1), first, last + 1).view(np.int64)
             key = np.where(hot, own, leader)
-            did, th = (part.column(i).to_numpy(zero_copy_only=False)[owner] for i in (0, 1))
+            uid, did, th = (part.column(i).to_numpy(zero_copy_only=False)[owner] for i in (1, 2, 3))
             contents = []
             rows = zip(starts[first].tolist(), ends[last].tolist(), key.tolist(), did.tolist(), start.tolist())
             for a, b, k, d, s in rows:
@@ -124,24 +130,27 @@ def _cut(prepared: DataFrame, spans: DataFrame, window: int) -> DataFrame:
                 contents.append(b"" if before < (d, s) else content)
             if len(seen) > REMEMBERED:
                 seen = {}
-            columns = [
-                pa.array(key, pa.int64()),
-                pa.array(did, pa.int64()),
-                pa.array(th, pa.int64()),
-                pa.array(start.astype(np.int32)),
-                pa.array(n.astype(np.int32)),
-                pa.array(contents, pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "did", "th", "start", "n", "words"])
+            longs = [pa.array(x, pa.int64()) for x in (key, uid, did, th)]
+            small = [pa.array(x.astype(np.int32)) for x in (start, n)]
+            names = ["key", "uid", "did", "th", "start", "n", "words"]
+            yield pa.RecordBatch.from_arrays([*longs, *small, pa.array(contents, pa.binary())], names)
 
-    joined = prepared.select("did", "th", "text").join(spans, ["did", "th"])
-    return joined.select("did", "th", "text", "spans").mapInArrow(compute, SHARD_SCHEMA)
+    joined = base.join(spans, "uid").select("row", "uid", "did", "th", "spans")
+    return joined.mapInArrow(compute, SHARD_SCHEMA)
+
+
+def _row_slices(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = _text(batch.column(0), text_col)
+        numbered = pa.RecordBatch.from_arrays([texts, pa.array(np.arange(len(texts)))], ["text", "at"])
+        for part in slices(iter([numbered]), "text"):
+            yield batch.slice(part.column(1)[0].as_py(), part.num_rows)
 
 
 def search_block(rows: list[tuple], window: int) -> list[tuple[int, int, int, int]]:
-    """(did, th, first window, last window + 1) that start earlier elsewhere, of (did, th, start, n, words) rows."""
+    """(uid, th, first window, last window + 1) that start earlier elsewhere, of (uid, did, th, start, n, words) rows."""
     places: dict[bytes, tuple[int, int]] = {}
-    for did, _, start, _, content in rows:
+    for _, did, _, start, _, content in rows:
         places[content] = min(places.get(content, (did, start)), (did, start))
     contents = sorted(places, key=places.__getitem__)
     words = split(pa.array(contents, pa.binary()))
@@ -156,60 +165,61 @@ def search_block(rows: list[tuple], window: int) -> list[tuple[int, int, int, in
     flags = np.split(repeated, np.cumsum(np.maximum(counts - window + 1, 0))[:-1])
     own = dict(zip(contents, flags))
     found = []
-    for did, th, start, n, content in rows:
+    for uid, did, th, start, n, content in rows:
         if places[content] < (did, start):
-            found.append((did, th, start, start + n))
+            found.append((uid, th, start, start + n))
             continue
         edges = np.flatnonzero(np.diff(np.concatenate([[0], own[content].astype(np.int8), [0]])))
-        found.extend((did, th, start + int(a), start + int(b)) for a, b in zip(edges[::2], edges[1::2]))
+        found.extend((uid, th, start + int(a), start + int(b)) for a, b in zip(edges[::2], edges[1::2]))
     return found
 
 
-def repeated_windows(prepared: DataFrame, window: int, gram: int) -> DataFrame:
-    """(did, th, begin, end): intervals of first words of windows that also start earlier."""
+def repeated_windows(prepared: DataFrame, base: DataFrame, text_col: str, window: int, gram: int) -> DataFrame:
+    """(uid, th, begin, end): intervals of first words of windows that also start earlier."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(found: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*found)) if found else [[], [], [], []]
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["did", "th", "begin", "end"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["uid", "th", "begin", "end"])
 
         block: list[tuple] = []
         size, last = 0, None
         for batch in batches:
             found = []
-            for key, did, th, start, n, content in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for key, uid, did, th, start, n, content in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 if not content:
-                    found.append((did, th, start, start + n))
+                    found.append((uid, th, start, start + n))
                     continue
                 if size >= BLOCK_WORDS and key != last:
                     found += search_block(block, window)
                     block, size = [], 0
-                block.append((did, th, start, n, content))
+                block.append((uid, did, th, start, n, content))
                 size, last = size + n + window - 1, key
             yield emit(found)
         if block:
             yield emit(search_block(block, window))
 
-    cut = _cut(prepared, shared_runs(prepared, window, gram), window)
+    cut = _cut(base, text_col, shared_runs(prepared, window, gram), window)
     sharded = cut.repartition("key").sortWithinPartitions("key", "did", "start")
-    return sharded.mapInArrow(compute, "did long, th long, begin int, end int")
+    return sharded.mapInArrow(compute, "uid long, th long, begin int, end int")
 
 
 def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, n_words, n_removed, kept) of every row of ``docs``: ``kept`` are the words left, joined by one space."""
     gram = min(GRAM, window)
     prepared = keyed(docs, id_col, text_col)
-    found = repeated_windows(prepared, window, gram)
-    spans = found.groupBy("did", "th").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    # Both joins take the same columns, texts only once, so that their shuffle is made once.
+    base = prepared.select("row", "uid", "did", "th")
+    found = repeated_windows(prepared, base, text_col, window, gram)
+    spans = found.groupBy("uid").agg(F.collect_list(F.struct("th", "begin", "end")).alias("spans"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            words = split(part.column(1))
-            lists = part.column(2)
-            owner = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
-            flat = lists.flatten()
-            begin, end = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+        for part in _row_slices(batches, text_col):
+            words = split(_text(part.column(0), text_col))
+            owner, (th, begin, end) = _flat(part.column(4))
+            own = th == part.column(3).to_numpy(zero_copy_only=False)[owner]
+            owner, begin, end = owner[own], begin[own].astype(np.int64), end[own].astype(np.int64)
             base = words.first[:-1][owner]
             edge = np.zeros(len(words.starts) + 1, np.int64)
             np.add.at(edge, base + begin, 1)
@@ -225,5 +235,5 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
             columns = [part.column(0), pa.array(words.counts), pa.array(removed), pa.array(texts, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_removed", "kept"])
 
-    marked = prepared.join(spans, ["did", "th"], "left").select("row", "text", "spans")
+    marked = base.join(spans, "uid", "left").select("row", "uid", "did", "th", "spans")
     return marked.mapInArrow(compute, with_row(prepared, "n_words long, n_removed long, kept string"))
