@@ -33,8 +33,10 @@ from ledgerline.llm.fmindex import FMIndex
 from ledgerline.llm.shared import keyed, with_row
 from ledgerline.llm.words import Words, range_hashes, slices, split
 
-GRAM = 8
+GRAM = 6
+LEADER_SHIFT = 16  # leaders have 48 bits: two that meet by chance cost a candidate, and lose none
 HOT_RUNS = 64
+PLACE_SHIFT = 31  # a run's first window and number of windows in one value
 BLOCK_WORDS = 1 << 18
 REMEMBERED = 100_000
 SHARD_SCHEMA = "key long, uid long, did long, th long, start int, n int, words binary"
@@ -62,7 +64,7 @@ def leaders(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
     sizes = np.diff(np.append(first, len(begin)))
     repeats = (np.maximum.reduceat(twice, first) > 1) | (sizes > places)
     local = begin[first] - words.first[:-1][owner[first]]
-    return least[first].view(np.int64), owner[first], local, sizes, np.where(repeats, 2, 1)
+    return (least[first] >> np.uint64(LEADER_SHIFT)).view(np.int64), owner[first], local, sizes, np.where(repeats, 2, 1)
 
 
 def runs(prepared: DataFrame, window: int, gram: int) -> DataFrame:
@@ -70,12 +72,10 @@ def runs(prepared: DataFrame, window: int, gram: int) -> DataFrame:
         for part in slices(batches, "text"):
             leader, owner, start, n, weight = leaders(split(part.column(1)), window, gram)
             uid = part.column(0).to_numpy(zero_copy_only=False)[owner]
-            small = [pa.array(x.astype(np.int32)) for x in (start, n, weight)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leader, pa.int64()), pa.array(uid, pa.int64()), *small], ["leader", "uid", "start", "n", "weight"]
-            )
+            columns = [pa.array(x, pa.int64()) for x in (leader, uid, start << PLACE_SHIFT | n)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(weight.astype(np.int32))], ["leader", "uid", "place", "weight"])
 
-    return prepared.select("uid", "text").mapInArrow(compute, "leader long, uid long, start int, n int, weight int")
+    return prepared.select("uid", "text").mapInArrow(compute, "leader long, uid long, place long, weight int")
 
 
 def shared_runs(prepared: DataFrame, window: int, gram: int) -> DataFrame:
@@ -84,7 +84,7 @@ def shared_runs(prepared: DataFrame, window: int, gram: int) -> DataFrame:
     counts = found.groupBy("leader").agg(F.sum("weight").alias("weight"), F.count("*").alias("runs"))
     counts = counts.filter("weight > 1").select("leader", (F.col("runs") > HOT_RUNS).alias("hot"))
     kept = found.drop("weight").join(counts, "leader")
-    return kept.groupBy("uid").agg(F.collect_set(F.struct("start", "n", "leader", "hot")).alias("spans"))
+    return kept.groupBy("uid").agg(F.collect_set(F.struct("place", "leader", "hot")).alias("spans"))
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -107,7 +107,8 @@ def _cut(base: DataFrame, text_col: str, spans: DataFrame, window: int) -> DataF
             words = split(_text(part.column(0), text_col))
             joined, starts, ends = words.joined()
             raw = joined.tobytes()
-            owner, (start, n, leader, hot) = _flat(part.column(4))
+            owner, (place, leader, hot) = _flat(part.column(4))
+            start, n = place >> PLACE_SHIFT, place & ((1 << PLACE_SHIFT) - 1)
             # Of texts that share an id, a run of one may be beyond the end of another.
             fits = start + n + window - 1 <= words.counts[owner]
             owner, start, n, leader, hot = (x[fits] for x in (owner, start.astype(np.int64), n, leader, hot.astype(bool)))
@@ -130,15 +131,31 @@ def _cut(base: DataFrame, text_col: str, spans: DataFrame, window: int) -> DataF
                 contents.append(b"" if before < (d, s) else content)
             if len(seen) > REMEMBERED:
                 seen = {}
-            longs = [pa.array(x, pa.int64()) for x in (key, uid, did, th)]
-            small = [pa.array(x.astype(np.int32)) for x in (start, n)]
+            gone = np.fromiter((not content for content in contents), bool, len(contents))
+            sent = np.flatnonzero(~gone)
+            first, last = _merged(owner, start, n, np.flatnonzero(gone))
+            size = np.concatenate([n[sent], start[last] + n[last] - start[first]])
+            rows = np.concatenate([sent, first])
+            key = np.concatenate([key[sent], uid[first]])  # what is removed already needs no shard of its own
+            longs = [pa.array(x, pa.int64()) for x in (key, uid[rows], did[rows], th[rows])]
+            small = [pa.array(x.astype(np.int32)) for x in (start[rows], size)]
+            words_of = pa.array([contents[i] for i in sent.tolist()] + [b""] * len(first), pa.binary())
             names = ["key", "uid", "did", "th", "start", "n", "words"]
-            yield pa.RecordBatch.from_arrays([*longs, *small, pa.array(contents, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*longs, *small, words_of], names)
 
     joined = base.join(spans, "uid").select("row", "uid", "did", "th", "spans")
     return joined.mapInArrow(compute, SHARD_SCHEMA)
 
 
+def _merged(owner: np.ndarray, start: np.ndarray, n: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last row of each stretch of windows without a gap, among ``rows``."""
+    rows = rows[np.lexsort([start[rows], owner[rows]])]
+    if not len(rows):
+        return rows, rows
+    joined = (owner[rows][1:] == owner[rows][:-1]) & (start[rows][1:] == (start + n)[rows][:-1])
+    return rows[np.append(True, ~joined)], rows[np.append(~joined, True)]
+
+
 def _row_slices(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = _text(batch.column(0), text_col)
