@@ -294,6 +294,7 @@ STAGE_SHINGLE = 5
 STAGE_SEGMENTS = ((0, 15, 1), (15, 15, 1), (30, 17, 1), (47, 17, 0))  # reach of 6 bits
 STAGE_BITS = 6
 STAGE_LEAF_ROWS = 4096
+STAGE_BLOCK_ROWS = 1 << 17
 SIMILARITY = 0.8
 SIDE_BITS = 128
 
@@ -337,7 +338,7 @@ def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY, id_col:
     prints = checkpointed(wide_fingerprints(docs, id_col, text_col))
     classes = checkpointed(prints.groupBy(*key).agg(F.min("did").alias("id"), F.xxhash64(*key).alias("node")))
     nodes = classes.select("fp", F.col("node").alias("id"), "s1", "s2")
-    found = links(nodes, STAGE_BITS, STAGE_SEGMENTS, STAGE_LEAF_ROWS, side_bits=side_limit(similarity))
+    found = links(nodes, STAGE_BITS, STAGE_SEGMENTS, STAGE_LEAF_ROWS, STAGE_BLOCK_ROWS, side_bits=side_limit(similarity))
     labels = components(found.select(F.col("id").alias("u"), F.col("label").alias("v")))
     labelled = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("id").alias("stays"))
