@@ -77,7 +77,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     if arguments.job == "alert":
         items, groups, header = alert_job(spark, tables, now)
         _print_lines(header, ["headline"])
-        _print_lines(groups, ["location"])
+        _print_lines(groups, ["location", "product_name"])
         return
     if arguments.targets is None:
         raise SystemExit("--targets is needed")

@@ -35,13 +35,10 @@ def net_unit(quantity: Column, unit_price: Column, discount_cents: Column) -> Co
 def repeated(amount: Column, rows: Column, scale: int = 8) -> Column:
     """What an amount adds to a sum when its row occurs ``rows`` times.
 
-    Below 10^10 repeats all decimals of the amount are kept; beyond, where the product would
-    not fit in 38 digits otherwise, at least six (or all, if fewer).
+    The product has 38 digits and all ``scale`` decimals for any number of repeats: amounts of
+    22 digits and counts of 15. Larger ones are an error.
     """
-    kind = f"decimal(38,{scale})"
-    few = (amount * rows.try_cast("decimal(10,0)")).cast(kind)
-    many = (amount * rows.cast("decimal(19,0)")).cast(kind)
-    return F.coalesce(few, many)
+    return amount.cast(f"decimal(22,{scale})") * rows.cast("decimal(15,0)")
 
 
 def freight_rate(freight_cents: Column, product_total: Column) -> Column:

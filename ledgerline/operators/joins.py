@@ -14,9 +14,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Number of partitions null-keyed rows are spread over.
-NULL_SPREAD = 256
-
 
 def role(df: DataFrame, key: str, as_key: str, **columns: str) -> DataFrame:
     """A dimension in one role: its key and the wanted columns under role names.
@@ -35,7 +32,7 @@ def _spread_condition(left_keys: Sequence[Column], right_key: Column, spread_by:
     any_null = F.lit(False)
     for key in left_keys:
         any_null = any_null | key.isNull()
-    varied = F.when(any_null, F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)) + 1).otherwise(F.lit(0))
+    varied = F.when(any_null, F.xxhash64(*spread_by).bitwiseOR(F.lit(1).cast("bigint"))).otherwise(F.lit(0))
     return varied.cast("bigint") == F.xxhash64(right_key).bitwiseAND(F.lit(0).cast("bigint"))
 
 

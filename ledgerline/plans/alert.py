@@ -15,10 +15,6 @@ from ledgerline.operators.filters import listed
 from ledgerline.operators.joins import lookup, role
 from ledgerline.sources.readers import Tables
 
-# The report holds one list of products per location. A longer watch list is refused
-# rather than collected.
-MAX_WATCHED = 1000
-
 
 def _by_key(key: Column, values: Mapping[str, str]) -> Column:
     chain = F.lit(None).cast("string")
@@ -39,8 +35,6 @@ def alert_items(
 
     A null quantity is 0. A location without a name gets a default label.
     """
-    if len(set(products)) > MAX_WATCHED:
-        raise ValueError(f"at most {MAX_WATCHED} watched products, got {len(set(products))}")
     watched = tables["stock_by_product"].where(
         listed(F.col(product_column), products) & listed(F.col("location_id"), locations)
     )
@@ -68,16 +62,13 @@ def alert_items(
 
 
 def alert_groups(items: DataFrame, styles: DataFrame, default_colour: str = fv.DEFAULT_COLOUR) -> DataFrame:
-    """One row per location with its colour and its products sorted by name.
+    """One row per location and product, with the location's colour.
 
-    The list is no longer than the watch list, whose length ``alert_items`` has checked.
+    Rows, not a list per location: whoever prints them sorts by location and product.
     """
-    groups = items.groupBy("location").agg(
-        F.sort_array(F.collect_list(F.struct("product_name", "quantity"))).alias("items")
-    )
     colours = role(styles, "location_name", "location", colour="colour")
-    return lookup(groups, colours, "location").select(
-        "location", F.coalesce(F.col("colour"), F.lit(default_colour)).alias("colour"), "items"
+    return lookup(items, colours, "location").select(
+        "location", F.coalesce(F.col("colour"), F.lit(default_colour)).alias("colour"), "product_name", "quantity"
     )
 
 

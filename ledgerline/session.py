@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the plans count on. Joins are left to Catalyst and AQE: the
@@ -27,13 +24,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 # A shuffle partition of this size sorts in memory on a few-GB task share.
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def shuffle_partitions_for(shuffled_bytes: int, minimum: int = 200) -> int:
     """Shuffle partitions for the largest expected shuffle; AQE joins the ones that stay small."""
-    wanted = -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)
-    return max(minimum, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    return max(minimum, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(app_name: str = "ledgerline", shuffled_bytes: int | None = None) -> SparkSession:
@@ -42,18 +37,22 @@ def build_session(app_name: str = "ledgerline", shuffled_bytes: int | None = Non
     ``shuffled_bytes`` sizes the shuffles (most often the item table's size under the
     columns read); without it the submitted setting stands.
     """
-    spark = configure(SparkSession.builder.appName(app_name).getOrCreate())
+    spark = configure(
+        SparkSession.builder.appName(app_name)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .getOrCreate()
+    )
     if shuffled_bytes is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(shuffled_bytes)))
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make one only in local mode.
+    """Use the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` is read from the session. A machine-local folder would
-    not survive a lost executor's host, so outside local mode a missing setting is
-    an error.
+    not survive a lost executor's host, so a missing setting is an error, also in local
+    mode.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
@@ -61,7 +60,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(os.path.join(tempfile.mkdtemp(prefix="ledgerline-"), "checkpoints"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -654,10 +654,8 @@ def oracle_sql() -> dict[str, str]:
     sql["stock_alert_groups"] = _statement(
         _ALERT_VIEWS,
         """SELECT location, CASE location WHEN 'NATION_2' THEN '#1e88e5' WHEN 'NATION_5' THEN '#43a047'
-                  ELSE '#555555' END AS colour, CAST(COUNT(*) AS INTEGER) AS item_count,
-                  STRING_AGG(product_name || '=' || CAST(CAST(quantity AS BIGINT) AS VARCHAR), ';' ORDER BY product_name)
-                  AS item_list
-           FROM items GROUP BY location""",
+                  ELSE '#555555' END AS colour, product_name, quantity
+           FROM items""",
         items=_ALERT_ITEMS,
     )
     sql["stock_alert_header"] = _statement(

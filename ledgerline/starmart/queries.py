@@ -628,15 +628,8 @@ def stock_alert_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stock_alert_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups with their item lists written out as text."""
     styles = alert.location_styles(spark, {"NATION_2": "#1e88e5", "NATION_5": "#43a047"})
-    item_text = "concat(i.product_name, '=', cast(cast(i.quantity AS bigint) AS string))"
-    return alert.alert_groups(_alert_items(spark, sf_dir), styles).select(
-        "location",
-        "colour",
-        F.size("items").alias("item_count"),
-        F.expr(f"array_join(transform(items, i -> {item_text}), ';')").alias("item_list"),
-    )
+    return alert.alert_groups(_alert_items(spark, sf_dir), styles)
 
 
 @query

@@ -17,13 +17,15 @@ RUN = date(2024, 3, 15)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("ledgerline-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

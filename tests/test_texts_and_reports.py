@@ -151,10 +151,11 @@ def test_alert_groups_and_header(spark, retail, rows):
     alert_rows(rows, [4, 9])
     rows["stock_by_product"].append(rows["stock_by_product"][0] | {"location_id": 265})
     items, groups, header = alert_job(spark, retail(rows), datetime(2024, 3, 15, 18))
-    found = {group.location: group for group in groups.collect()}
-    assert [item.product_name for item in found["CD RJ - JD OLIMPO"].items] == ["P0", "P1"]
-    assert found["CD RJ - JD OLIMPO"].colour == "#1e88e5"
-    assert found["Local Não Informado"].colour == "#555555"
+    found = sorted((group.location, group.product_name, group.colour) for group in groups.collect())
+    assert [row for row in found if row[0] == "CD RJ - JD OLIMPO"] == [
+        ("CD RJ - JD OLIMPO", "P0", "#1e88e5"), ("CD RJ - JD OLIMPO", "P1", "#1e88e5"),
+    ]
+    assert {row[2] for row in found if row[0] == "Local Não Informado"} == {"#555555"}
     line = header.first()
     assert (line.headline, line.has_critical, line.item_count) == ("Relatório Semanal de Estoque", False, 3)
     assert line.created == "15/03/2024 18:00:00"
@@ -166,9 +167,15 @@ def test_alert_critical_headline_and_nothing_to_report(retail, rows):
     assert alert.alert_header(alert.alert_items(retail({}))).count() == 0
 
 
-def test_long_watch_list_is_refused(retail):
-    with pytest.raises(ValueError, match="watched products"):
-        alert.alert_items(retail({}), products=range(alert.MAX_WATCHED + 1))
+def test_long_watch_list(retail, rows):
+    found = alert.alert_items(retail(alert_rows(rows, [1])), products=range(22_500, 23_501))
+    assert [row.quantity for row in found.collect()] == [1]
+
+
+def test_repeats_keep_their_decimals_for_any_count(spark):
+    amount = F.lit(Decimal("0.12345678")).cast(money.AMOUNT)
+    for count in (10**10 - 1, 10**10 + 1, 10**12):
+        assert value(spark, money.repeated(amount, F.lit(count))) == Decimal("0.12345678") * count
 
 
 def test_fixed_lists():
