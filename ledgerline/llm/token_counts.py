@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe import KNOWN_WORDS, SLICE_BYTES, pieces
+from ledgerline.llm.shared import checkpointed
 from ledgerline.llm.words import slices
 
 BUCKET = 256
@@ -56,6 +57,7 @@ def histogram(counted: DataFrame) -> DataFrame:
 
 def suffix_sums(hist: DataFrame) -> DataFrame:
     """Per length: documents and tokens of at least that length, and what remains if all are cut at that length."""
+    hist = checkpointed(hist)  # read twice; the documents are counted once
     rows = hist.withColumn("bucket", F.floor(F.col("n_tokens") / BUCKET))
     tokens = F.col("n_tokens") * F.col("n_docs")
     buckets = rows.groupBy("bucket").agg(F.sum("n_docs").alias("d"), F.sum(tokens).alias("t"))
