@@ -114,10 +114,16 @@ def upsert(
     Of several changes to one key the last wins. Target columns the changes do not carry
     (such as a creation time) keep their value on an update and take the default on an insert.
     """
-    latest = last_per_key(changes, keys, order_by)
+    return apply_latest(target, last_per_key(changes, keys, order_by), keys, defaults)
+
+
+def apply_latest(
+    target: DataFrame, latest: DataFrame, keys: Sequence[str], defaults: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``upsert`` of changes that have one row per key already, as ``last_per_key`` and ``new_or_changed`` give."""
     kept = rows_outside(target, latest.select(*keys), keys)
     defaults = defaults or {}
-    own = [name for name in target.columns if name not in changes.columns]
+    own = [name for name in target.columns if name not in latest.columns]
     if own:
         held = target.select(*keys, *own).withColumn("_held", F.lit(True))
         latest = lookup(latest, held, list(keys), "left")

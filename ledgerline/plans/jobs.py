@@ -18,7 +18,7 @@ from ledgerline.operators.tables import conform, project_allowlist
 from ledgerline.params import RunParams
 from ledgerline.plans.alert import alert_groups, alert_header, alert_items, location_styles
 from ledgerline.plans.billing import billing
-from ledgerline.plans.orders import ORDER_DATE, ORDER_KEY, order_delta, order_lines
+from ledgerline.plans.orders import ORDER_KEY, order_delta, order_lines
 from ledgerline.plans.returns import returns
 from ledgerline.plans.stock import stock
 from ledgerline.plans.summary import report_locations, summary_lines
@@ -85,7 +85,7 @@ def load_orders(tables: Tables, target: PartitionedTable, params: RunParams, run
     """Load new and changed order lines; returns how many there were."""
     source = _in_shape(order_lines(tables, params), fv.ORDER_COLUMNS)
     delta = order_delta(source, target.read(since=_month(params.order_start)), params)
-    return target.upsert(delta, run_id, ORDER_KEY, [ORDER_DATE])
+    return target.upsert(delta, run_id, ORDER_KEY)
 
 
 def general_job(

@@ -10,7 +10,7 @@ from ledgerline.functions import money
 from ledgerline.operators.delta import new_or_changed
 from ledgerline.operators.filters import listed, other_than, since
 from ledgerline.operators.joins import role
-from ledgerline.operators.loads import upsert
+from ledgerline.operators.loads import apply_latest
 from ledgerline.params import RunParams
 from ledgerline.plans import parts
 from ledgerline.sources.readers import Tables, target_window
@@ -58,5 +58,5 @@ def order_delta(source: DataFrame, target: DataFrame, params: RunParams) -> Data
 
 
 def updated_orders(target: DataFrame, delta: DataFrame) -> DataFrame:
-    """The target with the delta applied; nothing is ever removed from it."""
-    return upsert(target, delta, ORDER_KEY, [ORDER_DATE])
+    """The target with the delta, one row per key, applied; nothing is ever removed from it."""
+    return apply_latest(target, delta, ORDER_KEY)

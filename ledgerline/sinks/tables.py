@@ -1,27 +1,30 @@
 """Writing the targets.
 
-Plain parquet cannot be changed in place while it is read, so every load is first
-written in full to a staging folder beside the target and only then published:
+Plain parquet cannot be changed in place while it is read, so every load writes new
+folders and makes them current in one step:
 
 * ``SnapshotTable`` - the whole table is replaced; a new version folder becomes current
   by its ``_SUCCESS`` marker, set once Spark has committed it, so readers see the old or
   the new table, never an empty one.
-* ``PartitionedTable`` - only the partitions a load touches are rewritten, by dynamic
-  partition overwrite from the staged copy. A run broken while publishing is finished
-  by publishing the staged copy again.
+* ``PartitionedTable`` - only the partitions a load touches are written, once, to a folder
+  of the load. A small version file says which folder holds each partition. It is made
+  current by a rename, which fails if another load made that version first; the load is
+  then computed again from the new version, so no load undoes another.
 
 All folders live under the target's path, which must be reachable from every executor.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.loads import batch_keys, last_per_key, replace_by_key, upsert
+from ledgerline.operators.loads import apply_latest, batch_keys, last_per_key, observed, replace_by_key
 
 Columns = Sequence[tuple[str, str]]
 
@@ -56,6 +59,19 @@ class Folder:
         files, path = self._resolve(name)
         files.create(path, True).close()
 
+    def write_new(self, name: str, text: str) -> bool:
+        """Write a small file so that it appears whole; False if there is one of that name."""
+        draft_name = f"draft-{uuid.uuid4().hex}"
+        files, path = self._resolve(name)
+        _, draft = self._resolve(draft_name)
+        stream = files.create(draft, False)
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
+        if not files.exists(path) and files.rename(draft, path):
+            return True
+        self.remove(draft_name)
+        return False
+
     def remove(self, name: str) -> None:
         files, path = self._resolve(name)
         files.delete(path, True)
@@ -87,34 +103,51 @@ class SnapshotTable:
     def write_unless_empty(self, df: DataFrame) -> int:
         """Write ``df`` as the next version and return its row count; 0 rows change nothing.
 
-        The rows are counted from the written files. An empty version is taken back; older
-        versions beyond ``keep_versions`` are dropped.
+        The rows are counted while they are written. An empty version is taken back; older
+        versions beyond ``keep_versions`` are dropped, and unfinished ones.
         """
         taken = self.versions(complete=False)
         number = int(taken[-1].removeprefix("version-")) + 1 if taken else 1
         name = f"version-{number:010d}"
         # Written unmarked first, so that an empty snapshot is never current.
-        df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        counted, rows = observed(df, "snapshot")
+        counted.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
             f"{self.path}/{name}"
         )
-        count = self.spark.read.schema(ddl(self.columns)).parquet(f"{self.path}/{name}").count()
+        count = rows.get["row_count"]
         if count == 0:
             self._folder().remove(name)
             return 0
         self._folder().mark(f"{name}/_SUCCESS")
-        complete = self.versions()
-        for name in complete[: -self.keep_versions]:
-            self._folder().remove(name)
+        # Older versions, and those a broken load left unfinished.
+        kept = self.versions()[-self.keep_versions :]
+        for old in self.versions(complete=False):
+            if old < name and old not in kept:
+                self._folder().remove(old)
         return count
 
 
+@dataclass(frozen=True)
+class Version:
+    """What a version file says: the load folder of each partition, and the loads done with their row counts."""
+
+    number: int = 0
+    folders: Mapping[str, str] = field(default_factory=dict)
+    loads: Mapping[str, int] = field(default_factory=dict)
+
+    def file_name(self) -> str:
+        return f"{self.number:010d}.json"
+
+
 @dataclass
 class PartitionedTable:
     """A target partitioned by a derived column, changed partition by partition.
 
     ``partition`` is computed from each row (for example the month of its date) and gives
     text that can stand in a folder name; a null value is a partition like any other. One
-    load has one ``run_id``, which is not used again once the load is done.
+    load has one ``run_id``. A broken load has changed nothing and may be run again, under
+    its run id or another; a load already done is not done again under the same id.
+    Readers of the previous version are not disturbed by a load, those of older ones are.
     """
 
     spark: SparkSession
@@ -122,37 +155,44 @@ class PartitionedTable:
     columns: Columns
     partition_name: str
     partition: Column
+    keep_versions: int = 2
 
     @property
     def _data(self) -> str:
         return f"{self.path}/data"
 
-    def _staged(self, run_id: str, part: str) -> str:
-        return f"{self.path}/staging/{run_id}/{part}"
+    def _versions(self) -> Folder:
+        return Folder(self.spark, f"{self.path}/versions")
+
+    def _version_files(self) -> list[str]:
+        return [name for name in self._versions().names() if name.endswith(".json")]
+
+    def _version(self, name: str) -> Version:
+        text = self.spark.read.text(f"{self.path}/versions/{name}", wholetext=True).first()[0]
+        return Version(int(name.removesuffix(".json")), **json.loads(text))
+
+    def current(self) -> Version:
+        names = self._version_files()
+        return self._version(names[-1]) if names else Version()
 
-    def _with_partitions(self) -> DataFrame:
+    def _rows_of(self, folders: Mapping[str, str]) -> DataFrame:
+        """The given partitions, with the partition column."""
         schema = f"{ddl(self.columns)}, `{self.partition_name}` string"
-        if not Folder(self.spark, self._data).exists():
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self._data)
+        paths = [f"{self._data}/load_folder={load}/{self.partition_name}={name}" for name, load in folders.items()]
+        reader = self.spark.read.schema(f"{schema}, load_folder string").option("basePath", self._data)
+        return reader.parquet(*paths).drop("load_folder")
 
     def read(self, since: str | None = None) -> DataFrame:
-        """The table; with ``since`` only partitions from that name on are listed and read."""
-        rows = self._with_partitions()
-        if since is not None:
-            rows = rows.where(F.col(self.partition_name) >= since)
-        return rows.drop(self.partition_name)
+        """The current version; with ``since`` only partitions from that name on are listed and read."""
+        folders = self.current().folders
+        wanted = {name: load for name, load in folders.items() if since is None or name >= since}
+        return self._rows_of(wanted).drop(self.partition_name)
 
     def _shaped(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.partition_name, F.coalesce(self.partition.cast("string"), F.lit("none")))
 
-    def stage_batch(self, df: DataFrame, run_id: str) -> DataFrame:
-        """Write the batch once; the load then reads the written copy, not its lineage."""
-        path = self._staged(run_id, "batch")
-        if not Folder(self.spark, path).exists("_SUCCESS"):
-            df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     def replace_by_key(
         self,
         batch: DataFrame,
@@ -162,60 +202,98 @@ class PartitionedTable:
         required: Sequence[str] = (),
     ) -> int:
         """Replace the batch's keys; returns the number of rows loaded (0: nothing was touched)."""
-        batch = self.stage_batch(batch, run_id)
-        wanted = batch_keys(batch, keys, key_types, required)
-        return self._rewrite(
-            batch, wanted, run_id, keys, lambda target: replace_by_key(target, batch, keys, key_types, required)
-        )
 
-    def upsert(self, changes: DataFrame, run_id: str, keys: Sequence[str], order_by: Sequence[str]) -> int:
-        """Insert or update by key; returns the number of changed rows."""
-        latest = self.stage_batch(last_per_key(changes, keys, order_by), run_id)
-        return self._rewrite(
-            latest, latest.select(*keys), run_id, keys, lambda target: upsert(target, latest, keys, order_by)
-        )
+        def change(target: DataFrame, staged: DataFrame) -> DataFrame:
+            return replace_by_key(target, staged, keys, key_types, required)
 
-    def _rewrite(self, batch: DataFrame, wanted: DataFrame, run_id: str, keys: Sequence[str], change) -> int:
-        rows = batch.count()
-        if rows == 0:
-            return 0
-        if not Folder(self.spark, self._staged(run_id, "content")).exists("_SUCCESS"):
-            current = self._with_partitions()
-            old = current.select(self.partition_name, *keys).join(wanted.dropna(), list(keys), "left_semi")
-            # Driver-side list of partition names, one per partition of the table at most.
-            touched = [
-                row[0]
-                for row in old.select(self.partition_name)
-                .union(self._shaped(batch).select(self.partition_name))
-                .distinct()
-                .collect()
-            ]
-            before = current.where(F.col(self.partition_name).isin(touched)).drop(self.partition_name)
-            after = self._shaped(change(before))
-            listed = self.spark.createDataFrame([(name,) for name in touched], "name string")
-            listed.write.mode("overwrite").parquet(self._staged(run_id, "touched"))
-            after.repartition(self.partition_name, *self._file_spread(after)).write.mode("overwrite").partitionBy(
-                self.partition_name
-            ).parquet(self._staged(run_id, "content"))
-        self.publish(run_id)
-        return rows
-
-    def publish(self, run_id: str) -> None:
-        """Put the staged partitions in place of the old ones; may be repeated after a failure."""
-        content = self._staged(run_id, "content")
+        return self._load(batch, run_id, keys, lambda staged: batch_keys(staged, keys, key_types, required), change)
+
+    def upsert(self, changes: DataFrame, run_id: str, keys: Sequence[str], order_by: Sequence[str] | None = None) -> int:
+        """Insert or update by key; returns the number of changed rows.
+
+        The last of several changes to a key, by ``order_by``, wins. Without ``order_by`` the
+        changes must have one row per key, as those of ``new_or_changed`` do.
+        """
+        latest = changes if order_by is None else last_per_key(changes, keys, order_by)
+
+        def change(target: DataFrame, staged: DataFrame) -> DataFrame:
+            return apply_latest(target, staged, keys)
+
+        return self._load(latest, run_id, keys, lambda staged: staged.select(*keys), change)
+
+    def _load(
+        self,
+        batch: DataFrame,
+        run_id: str,
+        keys: Sequence[str],
+        wanted: Callable[[DataFrame], DataFrame],
+        change: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> int:
+        """Compute the load from the current version until it can be made the next one."""
+        while True:
+            version = self.current()
+            if run_id in version.loads:
+                return version.loads[run_id]
+            folder = f"{version.number:010d}-{run_id}"
+            staging = Folder(self.spark, f"{self.path}/staging")
+            # The batch is written once; the load then reads the copy, not its lineage.
+            counted, observation = observed(batch, "batch")
+            counted.write.mode("overwrite").parquet(f"{staging.path}/{folder}")
+            rows = observation.get["row_count"]
+            if rows == 0:
+                staging.remove(folder)
+                return 0
+            staged = self.spark.read.schema(batch.schema).parquet(f"{staging.path}/{folder}")
+            after = self._written(version, folder, staged, keys, wanted(staged), change)
+            done = Version(version.number + 1, after, {**version.loads, run_id: rows})
+            published = self.publish(done)
+            staging.remove(folder)
+            if published:
+                self._clean(done)
+                return rows
+            Folder(self.spark, self._data).remove(f"load_folder={folder}")
+
+    def _written(
+        self,
+        version: Version,
+        folder: str,
+        staged: DataFrame,
+        keys: Sequence[str],
+        wanted: DataFrame,
+        change: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> dict[str, str]:
+        """Write the touched partitions' new rows; returns every partition's load folder."""
+        current = self._rows_of(version.folders)
+        old = current.select(self.partition_name, *keys).join(wanted.dropna(), list(keys), "left_semi")
+        # Driver-side list of partition names, one per partition of the table at most.
+        names = old.select(self.partition_name).union(self._shaped(staged).select(self.partition_name)).distinct()
+        touched = {row[0] for row in names.collect()}
+        held = {name: load for name, load in version.folders.items() if name in touched}
+        after = self._shaped(change(self._rows_of(held).drop(self.partition_name), staged))
+        # Rebalanced by measured size: a large partition is written by many tasks, small ones by one.
+        path = f"load_folder={folder}"
+        after.hint("rebalance", self.partition_name).write.mode("overwrite").partitionBy(self.partition_name).parquet(
+            f"{self._data}/{path}"
+        )
         prefix = f"{self.partition_name}="
-        filled = {name.removeprefix(prefix) for name in Folder(self.spark, content).names() if name.startswith(prefix)}
-        touched = {row[0] for row in self.spark.read.parquet(self._staged(run_id, "touched")).collect()}
-        schema = f"{ddl(self.columns)}, `{self.partition_name}` string"
-        if filled:
-            self.spark.read.schema(schema).parquet(content).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy(self.partition_name).parquet(self._data)
-        for name in sorted(touched - filled):
-            Folder(self.spark, self._data).remove(f"{prefix}{name}")
-        Folder(self.spark, f"{self.path}/staging").remove(run_id)
-
-    def _file_spread(self, df: DataFrame) -> list[Column]:
-        """Second key for the write shuffle, so that a large partition is written by many tasks."""
-        files = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return [F.pmod(F.xxhash64(*[F.col(name) for name in df.columns]), F.lit(max(files // 8, 1)))]
+        written = [name for name in Folder(self.spark, self._data).names(path) if name.startswith(prefix)]
+        kept = {name: load for name, load in version.folders.items() if name not in touched}
+        return kept | {name.removeprefix(prefix): folder for name in written}
+
+    def publish(self, version: Version) -> bool:
+        """Make the version current; False if another load has made one of its number."""
+        content = json.dumps({"folders": version.folders, "loads": version.loads})
+        return self._versions().write_new(version.file_name(), content)
+
+    def _clean(self, current: Version) -> None:
+        """Drop old version files, and folders no kept version names that began before the previous version."""
+        files = self._version_files()
+        for name in files[: -self.keep_versions]:
+            self._versions().remove(name)
+        named = {load for name in files[-self.keep_versions :] for load in self._version(name).folders.values()}
+        begun_before = f"{current.number - 1:010d}"
+        for folder, prefix in ((self._data, "load_folder="), (f"{self.path}/staging", "")):
+            for name in Folder(self.spark, folder).names():
+                load = name.removeprefix(prefix)
+                if load < begun_before and load not in named:
+                    Folder(self.spark, folder).remove(name)

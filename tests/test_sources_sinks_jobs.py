@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from contextlib import contextmanager
 from dataclasses import replace
 from datetime import date, timedelta
 from decimal import Decimal
@@ -98,17 +99,16 @@ def test_partitioned_replace_rewrites_only_touched_partitions(spark, tmp_path):
     start = [("a", JAN, 1), ("b", FEB, 2), ("c", MAR, 3), (None, JAN, 4), ("d", None, 5)]
     assert target.replace_by_key(batch(spark, *start), "run1", ["code"]) == 5
     assert contents(target.read()) == sorted(start, key=str)
-    data = Folder(spark, str(tmp_path / "t" / "data"))
-    before = data.names("month=2024-03")
+    before = target.current().folders["2024-03"]
     # "b" moves from February to January; February is left empty and goes.
     assert target.replace_by_key(batch(spark, ("b", JAN, 20), (None, JAN, 40)), "run2", ["code"]) == 2
     assert contents(target.read()) == sorted(
         [("a", JAN, 1), ("b", JAN, 20), ("c", MAR, 3), (None, JAN, 4), (None, JAN, 40), ("d", None, 5)], key=str
     )
-    assert data.names("month=2024-03") == before
-    assert not data.exists("month=2024-02")
+    assert target.current().folders["2024-03"] == before
+    assert "2024-02" not in target.current().folders
     assert target.replace_by_key(target.read().limit(0), "run3", ["code"]) == 0
-    assert not Folder(spark, str(tmp_path / "t" / "staging")).exists("run2")
+    assert Folder(spark, str(tmp_path / "t" / "staging")).names() == []
 
 
 def test_partitioned_upsert(spark, tmp_path):
@@ -119,17 +119,86 @@ def test_partitioned_upsert(spark, tmp_path):
     assert contents(target.read()) == [("a", MAR, 9), ("b", MAR, 3)]
 
 
-def test_broken_publish_is_finished_by_the_next_try(spark, tmp_path, monkeypatch):
+@contextmanager
+def broken(monkeypatch, method):
+    """Loads break where the writer calls ``method``."""
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(PartitionedTable, method, lost)
+        yield
+
+
+@pytest.mark.parametrize("again", ["run2", "run9"])
+@pytest.mark.parametrize("method", ["_written", "publish"])
+def test_a_broken_load_changes_nothing_and_is_run_again(spark, tmp_path, monkeypatch, method, again):
     target = monthly(spark, tmp_path / "t")
-    target.replace_by_key(batch(spark, ("a", JAN, 1), (None, JAN, 2)), "run1", ["code"])
+    start = [("a", JAN, 1), (None, JAN, 2)]
+    target.replace_by_key(batch(spark, *start), "run1", ["code"])
     load = batch(spark, ("a", FEB, 10), (None, FEB, 20))
+    with broken(monkeypatch, method), pytest.raises(OSError):
+        target.replace_by_key(load, "run2", ["code"])
+    assert contents(target.read()) == sorted(start, key=str)
+    assert target.replace_by_key(load, again, ["code"]) == 2
+    assert contents(target.read()) == sorted([("a", FEB, 10), (None, FEB, 20), (None, JAN, 2)], key=str)
+
+
+def test_a_load_broken_after_publishing_is_not_done_twice(spark, tmp_path, monkeypatch):
+    target = monthly(spark, tmp_path / "t")
+    load = batch(spark, ("a", FEB, 10), (None, FEB, 20))
+    with broken(monkeypatch, "_clean"), pytest.raises(OSError):
+        target.replace_by_key(load, "run1", ["code"])
+    assert target.replace_by_key(load, "run1", ["code"]) == 2
+    assert contents(target.read()) == sorted([("a", FEB, 10), (None, FEB, 20)], key=str)
+
+
+def test_a_load_after_a_broken_one_is_kept(spark, tmp_path, monkeypatch):
+    target = monthly(spark, tmp_path / "t")
+    first, second = batch(spark, ("a", JAN, 1)), batch(spark, ("b", JAN, 2))
+    with broken(monkeypatch, "publish"), pytest.raises(OSError):
+        target.replace_by_key(first, "run1", ["code"])
+    target.replace_by_key(second, "run2", ["code"])
+    target.replace_by_key(first, "run1", ["code"])
+    assert contents(target.read()) == [("a", JAN, 1), ("b", JAN, 2)]
+
+
+def test_a_load_overtaken_while_computing_is_computed_again(spark, tmp_path, monkeypatch):
+    target = monthly(spark, tmp_path / "t")
+    target.replace_by_key(batch(spark, ("a", JAN, 1)), "run1", ["code"])
+    reader = target.read()
+    publish, overtaken = PartitionedTable.publish, []
+
+    def overtake(self, version):
+        if not overtaken:
+            overtaken.append(version.number)
+            other = batch(spark, ("b", JAN, 2))
+            assert monthly(spark, tmp_path / "t").replace_by_key(other, "run3", ["code"]) == 1
+        return publish(self, version)
+
     with monkeypatch.context() as patch:
-        patch.setattr(PartitionedTable, "publish", lambda self, run_id: (_ for _ in ()).throw(OSError("lost")))
-        with pytest.raises(OSError):
-            target.replace_by_key(load, "run2", ["code"])
-    expected = [("a", FEB, 10), (None, FEB, 20), (None, JAN, 2)]
-    assert target.replace_by_key(load, "run2", ["code"]) == 2
-    assert contents(target.read()) == sorted(expected, key=str)
+        patch.setattr(PartitionedTable, "publish", overtake)
+        assert target.upsert(batch(spark, ("a", JAN, 9), ("c", FEB, 3)), "run2", ["code"]) == 2
+    assert contents(target.read()) == [("a", JAN, 9), ("b", JAN, 2), ("c", FEB, 3)]
+    assert (overtaken, target.current().number) == ([2], 3)
+    assert monthly(spark, tmp_path / "t").read().count() == 3
+    assert reader.schema == target.read().schema
+
+
+def test_folders_of_dead_loads_go(spark, tmp_path, monkeypatch):
+    target = monthly(spark, tmp_path / "t")
+    with broken(monkeypatch, "publish"), pytest.raises(OSError):
+        target.replace_by_key(batch(spark, ("z", JAN, 0)), "dead", ["code"])
+    for number in range(3):
+        reader = target.read()
+        target.replace_by_key(batch(spark, ("a", JAN, number)), f"run{number}", ["code"])
+        # The version before stays readable.
+        assert reader.count() == min(number, 1)
+    assert Folder(spark, str(tmp_path / "t" / "staging")).names() == []
+    assert Folder(spark, str(tmp_path / "t" / "data")).names() == [
+        "load_folder=0000000001-run1", "load_folder=0000000002-run2"
+    ]
 
 
 def test_general_job(spark, retail, rows, tmp_path):
