@@ -1,4 +1,4 @@
-"""Amount expressions. Products and sums stay decimal; ratios are double."""
+"""Amount expressions. All are decimal, so that no sum depends on the order of its rows; too large an amount is an error."""
 
 from __future__ import annotations
 
@@ -42,34 +42,39 @@ def repeated(amount: Column, rows: Column, scale: int = 8) -> Column:
 
 
 def freight_rate(freight_cents: Column, product_total: Column) -> Column:
-    """Freight in units per unit of goods value.
+    """Freight in units per unit of goods value, to 23 decimals.
 
     The epsilon keeps the division defined for a zero total and is part of the result.
     """
-    total = product_total.cast("double") + F.lit(float(RATIO_EPSILON))
-    return freight_cents.cast("double") / 100 / total
+    total = (product_total + F.lit(RATIO_EPSILON)) * F.lit(CENTS)
+    return freight_cents.cast("decimal(15,4)") / total.cast("decimal(20,4)")
 
 
 def goods_share(document_value: Column, freight: Column) -> Column:
-    """One over the document's value without freight, with the same epsilon."""
-    return F.lit(1.0) / (document_value.cast("double") - freight.cast("double") + F.lit(float(RATIO_EPSILON)))
+    """One over the document's value without freight, with the same epsilon, to 29 decimals."""
+    goods = document_value - freight + F.lit(RATIO_EPSILON)
+    return F.lit(1).cast("decimal(11,10)") / goods.cast("decimal(18,4)")
 
 
-def freight_share(net: Column, rate: Column) -> Column:
-    """A line's part of the document freight."""
-    return net.cast("double") * rate
+def freight_share(net: Column, rate: Column, rows: Column | None = None) -> Column:
+    """A line's part of the document freight, to 13 decimals; ``rows``: how often it occurs."""
+    rows = F.lit(1) if rows is None else rows
+    repeated_rate = rate.cast("decimal(27,21)") * rows.cast("decimal(10,0)")
+    return net.cast("decimal(22,8)") * repeated_rate.cast("decimal(31,21)")
 
 
 def extra_freight_share(
     quantity: Column, unit_price: Column, discount_cents: Column, discount_pct: Column, share: Column, extra: Column
 ) -> Column:
-    """A line's part of the sale's extra freight.
+    """A line's part of the sale's extra freight, to 16 decimals.
 
     Here the discount is taken per unit and the sale's percentage discount applies.
     """
-    per_unit = (unit_price - cents_to_units(discount_cents)).cast("double")
-    kept_pct = (F.lit(100) - F.coalesce(discount_pct, F.lit(0))).cast("double")
-    return quantity.cast("double") * per_unit * kept_pct * share * (extra.cast("double") / 100) * 100
+    per_unit = (unit_price - cents_to_units(discount_cents)).cast("decimal(18,6)")
+    kept_pct = (F.lit(100) - F.coalesce(discount_pct, F.lit(0))).cast("decimal(9,4)")
+    goods = (quantity.cast("decimal(18,4)") * per_unit).cast("decimal(26,10)") * kept_pct
+    charged = goods.cast("decimal(26,12)") * extra.cast("decimal(20,10)")
+    return charged.cast("decimal(28,12)") * share.cast("decimal(34,29)")
 
 
 def order_unit_value(price: Column, discount_cents: Column) -> Column:

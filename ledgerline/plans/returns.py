@@ -106,7 +106,7 @@ def return_lines(tables: Tables, params: RunParams, cut: Cut = keep_lazy) -> Dat
     # these rows only through the sums made before.
     fields = times(F.col("freight_fields"))
     repeats = times(F.col("exits")) * fields
-    share = money.freight_share(net, F.col("freight_rate")) * fields
+    share = money.freight_share(net, F.col("freight_rate"), fields)
     extra = money.extra_freight_share(
         *line, F.col("discount_pct"), F.col("goods_share"), F.coalesce(F.col("sale_freight"), F.lit(0))
     )

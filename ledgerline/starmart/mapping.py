@@ -168,7 +168,8 @@ VIEWS = {
     "attribute_type": """
         SELECT c_custkey AS attribute_type_id,
                CASE c_custkey WHEN 3 THEN 'Frete especial' WHEN 7 THEN 'FRETE ESPECIAL do pedido'
-                    WHEN 11 THEN 'via trafego?' WHEN 12 THEN 'via trafego' ELSE c_name END AS name
+                    WHEN 11 THEN 'via trafego?' WHEN 12 THEN 'via trafego'
+                    WHEN 13 THEN 'Cliente prospectado?' ELSE c_name END AS name
         FROM {customer}""",
     "attribute_value": f"""
         SELECT o_orderkey AS sale_id,
@@ -181,7 +182,10 @@ VIEWS = {
                CAST(CASE WHEN o_orderstatus = 'F' THEN 11 WHEN o_orderpriority = '1-URGENT' THEN 7 ELSE 12 END AS BIGINT),
                CASE WHEN o_orderstatus = 'F' THEN o_orderpriority WHEN o_orderpriority = '1-URGENT' THEN '1.000,50'
                     ELSE 'unused' END
-        FROM {{orders}} WHERE o_orderstatus <> 'P'""",
+        FROM {{orders}} WHERE o_orderstatus <> 'P'
+        UNION ALL
+        SELECT o_orderkey, CAST(13 AS BIGINT), CASE o_custkey % 3 WHEN 0 THEN 'Sim' WHEN 1 THEN 'Nao' END
+        FROM {{orders}} WHERE o_custkey % 4 = 1""",
     "address": """
         SELECT c_custkey AS address_id,
                CASE WHEN c_mktsegment <> 'MACHINERY' THEN CAST(c_nationkey AS BIGINT) END AS city_id,

@@ -28,6 +28,20 @@ def _number(expression: str) -> str:
     return f"CAST(REPLACE(REPLACE(COALESCE({expression}, '0'), '.', ''), ',', '.') AS DECIMAL(28,10))"
 
 
+def _scaled(column: str, decimals: int = 4) -> str:
+    """An amount as a whole number of its last decimal, so that ratios can be divided exactly."""
+    return f"CAST({column} * {10 ** decimals} AS HUGEINT)"
+
+
+def _unscaled(scaled_sum: str) -> str:
+    """A sum in units of 10^-12, rounded half away from zero to four places."""
+    return f"CAST(({scaled_sum} + SIGN({scaled_sum}) * 50000000) // 100000000 / 10000.0 AS DOUBLE)"
+
+
+def _unscaled_exact(scaled_sum: str) -> str:
+    return f"CAST(({scaled_sum}) AS DECIMAL(38,0)) * 0.000000000001"
+
+
 def _brl(amount: str) -> str:
     return f"'R$ ' || TRANSLATE(FORMAT('{{:,.2f}}', CAST({amount} AS DOUBLE)), ',.', '.,')"
 
@@ -41,6 +55,24 @@ def _labels(code: str, labels: dict[int, str], default: str | None = None) -> st
     return f"CASE {code} {cases}" + (f" ELSE '{default}'" if default else "") + " END"
 
 
+# Net line value and line value after both discounts, in units of 10^-8 and 10^-14.
+_SCALED_NET = f"({_scaled('quantity')} * {_scaled('unit_price')} - {_scaled('COALESCE(discount, 0)')} * 100)"
+_SCALED_GOODS = (
+    f"{_scaled('quantity')} * ({_scaled('unit_price')} * 100 - {_scaled('COALESCE(discount, 0)')})"
+    f" * {_scaled('(100 - COALESCE(discount_pct, 0))')}"
+)
+
+
+def _freight(freight: str, total: str) -> str:
+    """Net value times freight / 100 / (total + 0.001), in units of 10^-12."""
+    return f"{_SCALED_NET} * {_scaled(freight)} * 100 // ({_scaled(total)} + 10)"
+
+
+def _extra(value: str, freight: str, extra: str) -> str:
+    """Goods / (value - freight + 0.001) times the extra freight, in units of 10^-12."""
+    return f"{_SCALED_GOODS} * {_scaled(extra)} // (100 * ({_scaled(value)} - {_scaled(freight)} + 10))"
+
+
 _TAXPAYER = _labels("taxpayer_code", {0: "CONTRIBUINTE", 1: "ISENTO", 2: "NÃO CONTRIBUINTE"}, "CONTRIBUINTE")
 _DESTINATION = _labels("destination_code", {0: "INTERNA", 1: "INTERESTADUAL", 2: "OPERAÇÃO COM EXTERIOR"})
 _COMPANY = _labels("company_id", {1: "first", 2: "second", 4: "fourth"})
@@ -209,27 +241,21 @@ def _of_year(steps: dict[str, str]) -> dict[str, str]:
     return renamed
 
 
-def _exact(expression: str) -> str:
-    return f"CAST({expression} AS DOUBLE)"
-
-
-def _return_steps(amount=_money) -> dict[str, str]:
-    """Return lines, one branch per project test; ``amount`` rounds an amount or leaves it."""
+def _return_steps(share=_unscaled) -> dict[str, str]:
+    """Return lines, one branch per project test; ``share`` rounds freight shares or leaves them."""
     branches = []
     for test in ("d.project_id IS NULL", "d.project_id <> 34"):
         branches.append(f"""
         SELECT d.issue_date, o.order_date,
                CASE WHEN f.intermediary_code = 0 THEN 'SEM INTERMEDIADOR' WHEN f.intermediary_code = 1 THEN im.name
                     ELSE 'SEM INDICATIVO DE INTERMEDIADOR INFORMADO' END AS partner,
-               m.product_group, m.sku, m.product_name, {amount(f"SUM({_NET})")} AS net_value,
-               {amount(f"SUM({_NET} / quantity)")} AS unit_value,
-               {amount("COALESCE(f.document_expenses / 100, 0)")} AS other_expenses, {amount("m.cost")} AS goods_cost,
-               {amount("m.list_cost")} AS list_cost, COUNT(1) AS orders, CAST(SUM(i.quantity) AS BIGINT) AS sold_quantity,
+               m.product_group, m.sku, m.product_name, {_money(f"SUM({_NET})")} AS net_value,
+               {_money(f"SUM({_NET} / quantity)")} AS unit_value,
+               {_money("COALESCE(f.document_expenses / 100, 0)")} AS other_expenses, {_money("m.cost")} AS goods_cost,
+               {_money("m.list_cost")} AS list_cost, COUNT(1) AS orders, CAST(SUM(i.quantity) AS BIGINT) AS sold_quantity,
                d.document_number, ca.name AS carrier,
-               {amount(f"SUM({_NET} * (e.exit_freight / 100 / (e.product_total + 0.001)))")} AS freight,
-               {amount(f'''SUM(quantity * (unit_price - COALESCE(discount, 0) / 100)
-                    * (100 - COALESCE(v.discount_pct, 0)) / (f.document_value - e.exit_freight + 0.001)
-                    * (CAST({_number("av.value")} AS DOUBLE) / 100) * 100)''')} AS extra_freight,
+               {share(f"SUM({_freight('e.exit_freight', 'e.product_total')})")} AS freight,
+               {share(f"SUM({_extra('f.document_value', 'e.exit_freight', _number('av.value'))})")} AS extra_freight,
                w.state, w.city, w.neighbourhood, c.name AS customer, m.maker, pf.name AS payment_form,
                pt.name AS payment_term, f.order_number AS order_identifier,
                {_COMPANY.replace("company_id", "d.company_id")} AS company
@@ -371,7 +397,7 @@ def _summary_lines() -> str:
         return f"""{label} || ': ' || {_whole("quantity")} || ' unidades | ' || {_brl("amount / 100")}"""
 
     return f"""
-        SELECT CAST(position AS INTEGER) AS position, section, key, quantity, ROUND(amount, 2) AS amount, text,
+        SELECT CAST(position AS INTEGER) AS position, section, key, quantity, amount, text,
                '01/01/1997' AS report_day
         FROM (
         {pair("billed_day", "billing", 0, "Pedidos faturados", "Valor total bruto")}
@@ -388,10 +414,12 @@ def _summary_lines() -> str:
 
 
 _BILLED_DAY = """
-    SELECT COUNT(DISTINCT document_number) AS orders, SUM(net_value + freight + other_expenses) AS total
+    SELECT COUNT(DISTINCT document_number) AS orders,
+           SUM(CAST(net_value AS DECIMAL(28,4)) + CAST(freight AS DECIMAL(28,4)) + CAST(other_expenses AS DECIMAL(28,4)))
+               AS total
     FROM billed WHERE billing_date = DATE '1997-01-01'"""
 _RETURNED_DAY = """
-    SELECT COUNT(DISTINCT document_number) AS orders, SUM(net_value + freight) AS total
+    SELECT COUNT(DISTINCT document_number) AS orders, SUM(CAST(net_value AS DECIMAL(26,4)) + freight) AS total
     FROM returned WHERE issue_date = DATE '1997-01-01'"""
 _BILLING_OF_YEAR = {
     **_BILLING_STEPS, **_YEARLY, **_of_year(_invoice_steps(*_WHOLE)), **_of_year(_direct_steps(*_WHOLE)),
@@ -399,7 +427,7 @@ _BILLING_OF_YEAR = {
 }
 _RETURN_PARTS = {"document_of_year": _YEARLY["document_of_year"], "makers": _MAKERS, "places": _PLACES}
 _RETURNS_OF_YEAR = {**_RETURN_PARTS, **_return_steps()}
-_RETURNED_TOTAL = {**_RETURN_PARTS, **_return_steps(_exact), "returned_day": _RETURNED_DAY}
+_RETURNED_TOTAL = {**_RETURN_PARTS, **_return_steps(_unscaled_exact), "returned_day": _RETURNED_DAY}
 
 _ACCOUNT = "CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) END"
 _CENTS = "CASE WHEN o_orderstatus <> 'P' THEN CAST(ROUND(o_totalprice * 100) AS DECIMAL(18,4)) END"
@@ -469,21 +497,20 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["freight_proration"] = _statement(
         "document_item document_fiscal sale",
-        f"""SELECT document_id, {_money(f"SUM({_NET} * (COALESCE(sale_freight, 0) / 100 / (document_value + 0.001)))")}
-                   AS freight FROM priced GROUP BY document_id""",
+        f"""SELECT document_id, {_unscaled(f"SUM({_freight('COALESCE(sale_freight, 0)', 'document_value')})")} AS freight
+            FROM priced GROUP BY document_id""",
         priced=_PRICED,
     )
-    extra = """SUM(quantity * (unit_price - COALESCE(discount, 0) / 100) * (100 - COALESCE(discount_pct, 0))
-               / (document_value - COALESCE(sale_freight, 0) + 0.001) * (1234.56 / 100) * 100)"""
+    extra = _extra("document_value", "COALESCE(sale_freight, 0)", "1234.56")
     sql["extra_freight"] = _statement(
         "document_item document_fiscal sale",
-        f"SELECT document_id, {_money(extra)} AS extra_freight FROM priced GROUP BY document_id",
+        f"SELECT document_id, {_unscaled(f'SUM({extra})')} AS extra_freight FROM priced GROUP BY document_id",
         priced=_PRICED,
     )
     sql["parse_locale_decimal"] = _statement(
-        "attribute_value",
+        "attribute_type attribute_value",
         f"""SELECT sale_id, value, {_money(_number("value"))} AS number FROM attribute_value
-            WHERE attribute_type_id = 7""",
+            WHERE attribute_type_id = (SELECT MAX(attribute_type_id) FROM attribute_type WHERE name ILIKE '%FRETE%')""",
     )
     sql["parse_locale_decimal_lenient"] = _statement(
         "attribute_value",
@@ -613,7 +640,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["daily_returns_summary"] = _statement(
         _RETURN_VIEWS,
-        "SELECT orders, ROUND(total, 2) AS total FROM returned_day",
+        f"SELECT orders, {_money('total')} AS total FROM returned_day",
         **_RETURNED_TOTAL,
     )
     sql["stock_by_location"] = _statement(

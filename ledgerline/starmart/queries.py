@@ -280,7 +280,10 @@ def extra_freight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parse_locale_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = retail_tables(spark, sf_dir)["attribute_value"].where(F.col("attribute_type_id") == 7)
+    source = retail_tables(spark, sf_dir)
+    values = attributes.attribute_values(
+        source["attribute_type"], source["attribute_value"], CODES.return_freight_pattern, "value"
+    )
     return values.select("sale_id", "value", texts.parse_locale_decimal(F.col("value")).alias("number"))
 
 
@@ -581,8 +584,7 @@ def daily_billing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_returns_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = summary.return_totals(returns.returns(yearly_tables(spark, sf_dir), YEAR), YEAR_DAY)
-    return totals.withColumn("total", F.round("total", 2))
+    return summary.return_totals(returns.returns(yearly_tables(spark, sf_dir), YEAR), YEAR_DAY)
 
 
 @query
@@ -600,14 +602,13 @@ def stock_bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def daily_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = yearly_tables(spark, sf_dir)
-    lines = summary.summary_lines(
+    return summary.summary_lines(
         billing.billing(source, WHOLE, MARK),
         returns.returns(source, YEAR),
         stock.stock(source, PARAMS),
         _report_locations(spark, sf_dir),
         YEAR_DAY,
     )
-    return lines.withColumn("amount", F.round("amount", 2))
 
 
 def _alert_items(spark: SparkSession, sf_dir: str) -> DataFrame:
