@@ -1,7 +1,8 @@
 """The library's operators and datasets as queries over the star schema's tables.
 
-Every query is lazy, reads whole tables and ends in plain column types: amounts as double
-rounded to four places, moments as dates.
+Every query reads whole tables and ends in plain column types: amounts as double rounded to
+four places, moments as dates. Rows that several branches of a query need are cut once, as in
+the jobs; everything else is lazy.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from ledgerline.params import Codes, RunParams
 from ledgerline.plans import alert, billing, orders, parts, returns, stock, summary
 from ledgerline.session import configure
 from ledgerline.sources.marks import high_water_mark
-from ledgerline.sources.readers import Tables, read_sql, target_window
+from ledgerline.sources.readers import Tables, checkpointed, read_sql, target_window
 from ledgerline.starmart.mapping import retail_tables, star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +80,19 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, computed once into the shared checkpoint folder.
+
+    Where ``spark.checkpoint.dir`` is unset, as in tests, the folder is in the warehouse, which is shared too.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.sparkContext.setCheckpointDir(shared or f"{warehouse}/_checkpoints")
+    return checkpointed(df)
+
+
 def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return star_tables(spark, sf_dir)[name]
 
@@ -200,30 +214,30 @@ def attribute_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return billing.invoice_lines(retail_tables(spark, sf_dir), WHOLE, MARK)
+    return billing.invoice_lines(retail_tables(spark, sf_dir), WHOLE, MARK, cut)
 
 
 @query
 def direct_sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return billing.direct_sale_lines(retail_tables(spark, sf_dir), WHOLE, MARK)
+    return billing.direct_sale_lines(retail_tables(spark, sf_dir), WHOLE, MARK, cut)
 
 
 @query
 def billing_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both kinds of lines in the real window, with the sales' own mark."""
-    return billing.billing(retail_tables(spark, sf_dir), PARAMS)
+    return billing.billing(retail_tables(spark, sf_dir), PARAMS, cut=cut)
 
 
 @query
 def returns_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return returns.returns(yearly_tables(spark, sf_dir), YEAR)
+    return returns.returns(yearly_tables(spark, sf_dir), YEAR, cut)
 
 
 @query
 def snapshot_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The new position in place of an old snapshot that has a column of its own."""
     source = retail_tables(spark, sf_dir)
-    position = stock.stock(source, PARAMS)
+    position = cut(stock.stock(source, PARAMS))
     old = position.where(F.col("available_quantity") < 0).withColumn("created_on", F.lit(RUN_DATE))
     return loads.replace_snapshot(old, position, {"created_on": F.lit(date(2001, 8, 2))})
 
@@ -519,7 +533,7 @@ def project_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_source_and_target(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All order lines, and an older target: some lines missing, some different, some texts null."""
-    source = orders.order_lines(retail_tables(spark, sf_dir), WHOLE)
+    source = cut(orders.order_lines(retail_tables(spark, sf_dir), WHOLE))
     known = loads.last_per_key(source, orders.ORDER_KEY, [orders.ORDER_DATE])
     target = known.where(F.col("order_date") < F.lit(TARGET_END)).withColumns(
         {
@@ -541,10 +555,8 @@ def delta_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _order_source_and_target(spark, sf_dir)
-    changes = delta.new_or_changed(source, target, orders.ORDER_KEY, orders.ORDER_DATE)
-    return loads.upsert(
-        target, changes, orders.ORDER_KEY, [orders.ORDER_DATE], {"created_at": F.lit(date(2001, 8, 1))}
-    )
+    changes = cut(delta.new_or_changed(source, target, orders.ORDER_KEY, orders.ORDER_DATE))
+    return loads.apply_latest(target, changes, orders.ORDER_KEY, {"created_at": F.lit(date(2001, 8, 1))})
 
 
 @query
@@ -579,12 +591,12 @@ def _report_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_billing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.billing_totals(billing.billing(yearly_tables(spark, sf_dir), WHOLE, MARK), YEAR_DAY)
+    return summary.billing_totals(billing.billing(yearly_tables(spark, sf_dir), WHOLE, MARK, cut), YEAR_DAY)
 
 
 @query
 def daily_returns_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.return_totals(returns.returns(yearly_tables(spark, sf_dir), YEAR), YEAR_DAY)
+    return summary.return_totals(returns.returns(yearly_tables(spark, sf_dir), YEAR, cut), YEAR_DAY)
 
 
 @query
@@ -603,8 +615,8 @@ def stock_bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = yearly_tables(spark, sf_dir)
     return summary.summary_lines(
-        billing.billing(source, WHOLE, MARK),
-        returns.returns(source, YEAR),
+        billing.billing(source, WHOLE, MARK, cut),
+        returns.returns(source, YEAR, cut),
         stock.stock(source, PARAMS),
         _report_locations(spark, sf_dir),
         YEAR_DAY,
