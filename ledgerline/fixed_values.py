@@ -113,20 +113,11 @@ HEADLINE_CRITICAL = "⚠️ ALERTA: Estoque Crítico Identificado"
 HEADLINE_NORMAL = "Relatório Semanal de Estoque"
 
 # --- report texts -------------------------------------------------------------------------------
-SUMMARY_TITLE_ORDERS = "✅ RESUMO DIÁRIO DOS PEDIDOS"
-SUMMARY_TITLE_STOCK = "✅ RESUMO DIÁRIO DO ESTOQUE"
 SUMMARY_BILLED_ORDERS = "Pedidos faturados"
 SUMMARY_BILLED_TOTAL = "Valor total bruto"
 SUMMARY_RETURNED_ORDERS = "Pedidos devolvidos"
 SUMMARY_RETURNED_TOTAL = "Valor total devolvido"
 SUMMARY_UNITS = "unidades"
-SUMMARY_SECTIONS = {
-    "billing": "FATURAMENTO",
-    "returns": "DEVOLUÇÕES",
-    "regular": "ESTOQUE REGULAR",
-    "fulfilment": "ESTOQUE FULFILLMENT",
-    "irregular": "ESTOQUE DE PENDENCIAS, AVARIADOS, TRANSFERÊNCIA E OUTLET",
-}
 SUMMARY_TOTALS = {"available": "Total Regular + Fulfillment", "irregular": "Total em Irregularidades"}
 
 # --- target columns, in order ------------------------------------------------------------------

@@ -78,9 +78,21 @@ class JdbcSource:
         return options
 
 
+# Tables that grow with the business: without a split, one task would read each through one connection.
+LARGE_TABLES = (
+    "document", "document_fiscal", "document_item", "document_exit", "document_sale", "sale", "sale_item",
+    "sale_payment", "sale_total", "payment_document", "order", "order_item", "order_total", "attribute_value",
+)
+
+
 def jdbc_tables(
     spark: SparkSession, source: JdbcSource, names: Iterable[str] = tuple(catalog.SOURCE_TABLES)
 ) -> Tables:
+    """Tables of a database; each large one must have a split."""
+    names = tuple(names)
+    unsplit = [name for name in LARGE_TABLES if name in names and name not in source.splits]
+    if unsplit:
+        raise ValueError(f"give a split read for the large tables {', '.join(unsplit)}")
     return {
         name: under_our_names(spark.read.format("jdbc").options(**source.options(name)).load(), name)
         for name in names

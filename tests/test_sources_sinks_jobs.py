@@ -62,6 +62,12 @@ def test_jdbc_options():
     assert (options["partitionColumn"], options["numPartitions"], options["user"]) == ("cdnota", "8", "reader")
 
 
+def test_large_jdbc_tables_must_be_split(spark):
+    source = readers.JdbcSource("jdbc:postgresql://host/db", splits={"sale": readers.SplitRead("cdvenda", 0, 100, 8)})
+    with pytest.raises(ValueError, match="large tables document_item, order$"):
+        readers.jdbc_tables(spark, source, ["sale", "order", "state", "document_item"])
+
+
 def test_read_sql_binds_tables_and_parameters(spark):
     df = batch(spark, ("a", JAN, 1), ("b", MAR, 2))
     found = readers.read_sql(spark, "SELECT code FROM {lines} WHERE day >= :since", {"lines": df}, {"since": FEB})
