@@ -87,7 +87,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         return
     counts, report = general_job(spark, tables, targets, params, run_id)
     print(json.dumps(counts))
-    _print_lines(report, ["position"])
+    _print_lines(report, ["position", "level"])
 
 
 if __name__ == "__main__":

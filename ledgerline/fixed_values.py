@@ -119,6 +119,14 @@ SUMMARY_RETURNED_ORDERS = "Pedidos devolvidos"
 SUMMARY_RETURNED_TOTAL = "Valor total devolvido"
 SUMMARY_UNITS = "unidades"
 SUMMARY_TOTALS = {"available": "Total Regular + Fulfillment", "irregular": "Total em Irregularidades"}
+SUMMARY_TITLES = {"orders": "✅ RESUMO DIÁRIO DOS PEDIDOS", "stock": "✅ RESUMO DIÁRIO DO ESTOQUE"}
+SUMMARY_SECTIONS = {
+    "billing": "FATURAMENTO:",
+    "returns": "DEVOLUÇÕES:",
+    "regular": "ESTOQUE REGULAR:",
+    "fulfilment": "ESTOQUE FULFILLMENT:",
+    "irregular": "ESTOQUE DE PENDENCIAS, AVARIADOS, TRANSFERÊNCIA E OUTLET:",
+}
 
 # --- target columns, in order ------------------------------------------------------------------
 BILLING_COLUMNS = (

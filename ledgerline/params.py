@@ -28,7 +28,7 @@ class Codes:
     # Label per company id on return lines; the business supplies it.
     company_labels: Mapping[int, str] = field(default_factory=dict)
     # Extra-field patterns. The sale freight field carries the business's own name,
-    # so it has no default: without it no line is repeated for that field.
+    # so it has no default: the general job demands it, and without it no line is repeated.
     sale_freight_pattern: str | None = None
     return_freight_pattern: str = fv.RETURN_FREIGHT_PATTERN
     traffic_pattern: str = fv.TRAFFIC_PATTERN

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixed_values as fv
@@ -21,7 +21,7 @@ from ledgerline.plans.billing import billing
 from ledgerline.plans.orders import ORDER_KEY, order_delta, order_lines
 from ledgerline.plans.returns import returns
 from ledgerline.plans.stock import stock
-from ledgerline.plans.summary import report_locations, summary_lines
+from ledgerline.plans.summary import report_lines, report_locations
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sinks.tables import PartitionedTable, SnapshotTable, ddl
 from ledgerline.sources.readers import Tables, checkpointed
@@ -29,6 +29,8 @@ from ledgerline.sources.readers import Tables, checkpointed
 BILLING_KEY = ("order_identifier", "sku")
 RETURN_KEY = ("document_number", "sku")
 RETURN_KEY_TYPES = {"document_number": "bigint", "sku": "string"}
+# A column of the stock and order targets themselves: when a row was first written, in UTC.
+CREATED = (("created_at", "timestamp_ntz"),)
 
 
 @dataclass(frozen=True)
@@ -48,8 +50,8 @@ def open_targets(spark: SparkSession, root: str) -> Targets:
     return Targets(
         billing=monthly("billing", fv.BILLING_COLUMNS, "billing_date"),
         returns=monthly("returns", fv.RETURN_COLUMNS, "issue_date"),
-        stock=SnapshotTable(spark, f"{root}/stock", fv.STOCK_COLUMNS),
-        orders=monthly("orders", fv.ORDER_COLUMNS, "order_date"),
+        stock=SnapshotTable(spark, f"{root}/stock", fv.STOCK_COLUMNS + CREATED),
+        orders=monthly("orders", fv.ORDER_COLUMNS + CREATED, "order_date"),
     )
 
 
@@ -58,6 +60,10 @@ def _month(day: date) -> str:
     return day.strftime("%Y-%m")
 
 
+def _created() -> dict[str, Column]:
+    return {"created_at": F.to_timestamp_ntz(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))}
+
+
 def _in_shape(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Allowed columns in the target's types, missing ones as null."""
     empty = df.sparkSession.createDataFrame([], ddl(columns))
@@ -78,27 +84,33 @@ def load_returns(spark: SparkSession, tables: Tables, target: PartitionedTable,
 
 def load_stock(tables: Tables, target: SnapshotTable, params: RunParams) -> int:
     """Replace the snapshot; an empty position leaves the old one in place."""
-    return target.write_unless_empty(_in_shape(stock(tables, params), fv.STOCK_COLUMNS))
+    position = _in_shape(stock(tables, params), fv.STOCK_COLUMNS)
+    return target.write_unless_empty(position.withColumns(_created()))
 
 
 def load_orders(tables: Tables, target: PartitionedTable, params: RunParams, run_id: str) -> int:
     """Load new and changed order lines; returns how many there were."""
     source = _in_shape(order_lines(tables, params), fv.ORDER_COLUMNS)
     delta = order_delta(source, target.read(since=_month(params.order_start)), params)
-    return target.upsert(delta, run_id, ORDER_KEY)
+    return target.upsert(delta, run_id, ORDER_KEY, defaults=_created())
 
 
 def general_job(
     spark: SparkSession, tables: Tables, targets: Targets, params: RunParams, run_id: str
 ) -> tuple[dict[str, int], DataFrame]:
-    """Billing, returns, stock, then the daily summary; returns row counts and report lines."""
+    """Billing, returns, stock, then the daily summary; returns row counts and report lines.
+
+    The codes must name the sale freight field: invoice lines are repeated for its values.
+    """
+    if params.codes.sale_freight_pattern is None:
+        raise ValueError("the general job needs the code sale_freight_pattern")
     counts = {
         "billing": load_billing(spark, tables, targets.billing, params, run_id),
         "returns": load_returns(spark, tables, targets.returns, params, run_id),
         "stock": load_stock(tables, targets.stock, params),
     }
     month = _month(params.run_date)
-    report = summary_lines(
+    report = report_lines(
         targets.billing.read(since=month),
         targets.returns.read(since=month),
         targets.stock.read(),

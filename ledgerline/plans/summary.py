@@ -106,6 +106,47 @@ def _stock_lines(by_location: DataFrame, first: int) -> DataFrame:
     )
 
 
+STOCK_POSITION = 4  # of the first stock line; each location takes two positions
+
+
+def headings(locations: DataFrame, run_date: date) -> DataFrame:
+    """Titles (level 0) and section headings (level 1), at the position of the first line below them."""
+    first = F.min("position") * 2 + STOCK_POSITION
+    buckets = locations.where(F.col("side").isNotNull()).groupBy(F.col("bucket").alias("section"))
+    stock = buckets.agg(first.cast("int").alias("position"))
+    day = F.concat(F.lit(" - "), format_day(F.lit(run_date)))
+
+    def title(position: int, key: str) -> Column:
+        text = F.concat(F.lit(fv.SUMMARY_TITLES[key]), day)
+        return F.struct(
+            F.lit(position).alias("position"), F.lit(0).alias("level"), F.lit(key).alias("section"), text.alias("text")
+        )
+
+    def heading(position: Column, section: Column) -> Column:
+        texts = F.create_map(*[F.lit(x) for item in fv.SUMMARY_SECTIONS.items() for x in item])
+        text = F.coalesce(texts[section], section)
+        return F.struct(position.alias("position"), F.lit(1).alias("level"), section.alias("section"), text.alias("text"))
+
+    # One row per bucket; the fixed headings come with an aggregate over all of them.
+    fixed = F.array(
+        title(0, "orders"),
+        heading(F.lit(0), F.lit("billing")),
+        heading(F.lit(2), F.lit("returns")),
+        title(STOCK_POSITION, "stock"),
+    )
+    always = locations.agg(F.count(F.lit(1)).alias("locations")).select(F.inline(fixed))
+    return always.unionByName(stock.select(F.inline(F.array(heading(F.col("position"), F.col("section"))))))
+
+
+def report_lines(
+    billing: DataFrame, returns: DataFrame, stock: DataFrame, locations: DataFrame, run_date: date
+) -> DataFrame:
+    """``summary_lines`` (level 2) with titles and section headings; sort by ``position`` and ``level``."""
+    lines = summary_lines(billing, returns, stock, locations, run_date).withColumn("level", F.lit(2))
+    above = headings(locations, run_date).withColumn("report_day", format_day(F.lit(run_date)))
+    return lines.unionByName(above, allowMissingColumns=True)
+
+
 def summary_lines(
     billing: DataFrame, returns: DataFrame, stock: DataFrame, locations: DataFrame, run_date: date
 ) -> DataFrame:
@@ -119,6 +160,6 @@ def summary_lines(
     returned = _order_lines(
         return_totals(returns, run_date), "returns", 2, (fv.SUMMARY_RETURNED_ORDERS, fv.SUMMARY_RETURNED_TOTAL)
     )
-    held = _stock_lines(stock_by_location(stock, locations), 4)
+    held = _stock_lines(stock_by_location(stock, locations), STOCK_POSITION)
     lines = billed.unionByName(returned).unionByName(held)
     return lines.withColumn("report_day", format_day(F.lit(run_date)))

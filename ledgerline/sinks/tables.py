@@ -208,16 +208,24 @@ class PartitionedTable:
 
         return self._load(batch, run_id, keys, lambda staged: batch_keys(staged, keys, key_types, required), change)
 
-    def upsert(self, changes: DataFrame, run_id: str, keys: Sequence[str], order_by: Sequence[str] | None = None) -> int:
+    def upsert(
+        self,
+        changes: DataFrame,
+        run_id: str,
+        keys: Sequence[str],
+        order_by: Sequence[str] | None = None,
+        defaults: Mapping[str, Column] | None = None,
+    ) -> int:
         """Insert or update by key; returns the number of changed rows.
 
         The last of several changes to a key, by ``order_by``, wins. Without ``order_by`` the
-        changes must have one row per key, as those of ``new_or_changed`` do.
+        changes must have one row per key, as those of ``new_or_changed`` do. Columns of the
+        target alone keep their value on an update and take their default on an insert.
         """
         latest = changes if order_by is None else last_per_key(changes, keys, order_by)
 
         def change(target: DataFrame, staged: DataFrame) -> DataFrame:
-            return apply_latest(target, staged, keys)
+            return apply_latest(target, staged, keys, defaults)
 
         return self._load(latest, run_id, keys, lambda staged: staged.select(*keys), change)
 

@@ -443,7 +443,9 @@ def oracle_sql() -> dict[str, str]:
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate
         FROM orders WHERE o_orderdate >= DATE '2001-08-01' - 60"""
     sql["high_water_mark"] = _statement("sale", f"SELECT CAST({_MARK} AS DATE) AS mark")
-    sql["high_water_mark_fallback"] = "SELECT DATE '2001-08-01' - 2 AS mark"
+    sql["high_water_mark_fallback"] = _statement(
+        "sale", f"SELECT CAST({_MARK.replace('project_id = 67', 'project_id = -1')} AS DATE) AS mark"
+    )
 
     sql["incremental_lines"] = """
         SELECT o_orderkey, l_linenumber, CAST(o_orderdate AS DATE) AS order_day, CAST(modified AS DATE) AS modified
@@ -607,9 +609,11 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["replace_by_typed_key"] = sql["replace_by_key"]
     sql["empty_batch_noop"] = _statement("", f"SELECT {_PLAIN_PRICE} FROM target", **_LOAD_STEPS)
+    sql["lower_case_names"] = "SELECT p_partkey, p_name, p_size FROM part"
     sql["project_allowlist"] = f"""
         SELECT p_name, CAST(p_partkey AS INTEGER) AS p_partkey, {_money("p_retailprice")} AS p_retailprice,
                CAST(p_size AS BIGINT) AS p_size FROM part"""
+    sql["delta_empty_target"] = _statement(_ORDER_VIEWS, "SELECT * FROM latest", **_DELTA_STEPS)
     sql["delta_detect"] = _statement(_ORDER_VIEWS, "SELECT * FROM order_changes", **_DELTA_STEPS)
     sql["delta_upsert"] = _statement(
         _ORDER_VIEWS,
@@ -620,6 +624,9 @@ def oracle_sql() -> dict[str, str]:
            FROM order_changes c LEFT JOIN order_target t ON t.order_id = c.order_id AND t.sku = c.sku""",
         **_DELTA_STEPS,
     )
+    sql["written_replace"] = sql["replace_by_key"]
+    sql["written_upsert"] = sql["delta_upsert"]
+    sql["written_snapshot"] = sql["snapshot_stock"]
     sql["last_line_per_key"] = _statement(
         "",
         f"""SELECT {_PLAIN_PRICE} FROM dated WHERE order_code IS NULL UNION ALL
@@ -665,6 +672,17 @@ def oracle_sql() -> dict[str, str]:
         **{**_BILLING_OF_YEAR, **_RETURNED_TOTAL, **_LOCATION_STEPS},
     )
 
+    sql["daily_report_headings"] = _statement(
+        "",
+        """SELECT 0 AS position, 0 AS level, 'orders' AS section, '✅ RESUMO DIÁRIO DOS PEDIDOS - 01/01/1997' AS text
+           UNION ALL SELECT 0, 1, 'billing', 'FATURAMENTO:' UNION ALL SELECT 2, 1, 'returns', 'DEVOLUÇÕES:'
+           UNION ALL SELECT 4, 0, 'stock', '✅ RESUMO DIÁRIO DO ESTOQUE - 01/01/1997'
+           UNION ALL SELECT CAST(4 + 2 * MIN(position) AS INTEGER), 1, bucket,
+               CASE bucket WHEN 'regular' THEN 'ESTOQUE REGULAR:' WHEN 'fulfilment' THEN 'ESTOQUE FULFILLMENT:'
+                    ELSE 'ESTOQUE DE PENDENCIAS, AVARIADOS, TRANSFERÊNCIA E OUTLET:' END
+           FROM locations WHERE side IS NOT NULL GROUP BY bucket""",
+        locations=_LOCATIONS,
+    )
     sql["stock_alert_items"] = _statement(
         _ALERT_VIEWS,
         f"""SELECT location, product_name, {_money("quantity")} AS quantity,
@@ -690,7 +708,8 @@ def oracle_sql() -> dict[str, str]:
         """SELECT COUNT(*) AS item_count, COUNT(*) FILTER (WHERE quantity <= 150) AS critical_count,
                   BOOL_OR(quantity <= 150) AS has_critical,
                   CASE WHEN BOOL_OR(quantity <= 150) THEN '⚠️ ALERTA: Estoque Crítico Identificado'
-                       ELSE 'Relatório Semanal de Estoque' END AS headline
+                       ELSE 'Relatório Semanal de Estoque' END AS headline,
+                  '01/08/2001 09:05:07' AS created
            FROM items HAVING COUNT(*) > 0""",
         items=_ALERT_ITEMS,
     )

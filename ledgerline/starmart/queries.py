@@ -7,10 +7,11 @@ the jobs; everything else is lazy.
 
 from __future__ import annotations
 
+import uuid
 from collections import ChainMap
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from ledgerline.operators import attributes, delta, filters, joins, loads, table
 from ledgerline.params import Codes, RunParams
 from ledgerline.plans import alert, billing, orders, parts, returns, stock, summary
 from ledgerline.session import configure
+from ledgerline.sinks.tables import PartitionedTable, SnapshotTable
 from ledgerline.sources.marks import high_water_mark
 from ledgerline.sources.readers import Tables, checkpointed, read_sql, target_window
 from ledgerline.starmart.mapping import retail_tables, star_tables
@@ -35,6 +37,8 @@ YEAR_DAY = date(1997, 1, 1)
 TARGET_END = date(2000, 1, 1)
 BATCH_START = date(2001, 5, 1)
 REPLACED_END = date(2001, 6, 1)
+UNKNOWN_PROJECT = -1
+ALERT_MOMENT = datetime(2001, 8, 1, 9, 5, 7)
 
 PATTERNS = {
     "freight": "%FRETE ESPECIAL%", "traffic": "%VIA TRAFEGO?%", "prospect": "%CLIENTE PROSPECTADO?%",
@@ -85,12 +89,17 @@ def cut(df: DataFrame) -> DataFrame:
 
     Where ``spark.checkpoint.dir`` is unset, as in tests, the folder is in the warehouse, which is shared too.
     """
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return checkpointed(df)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, set where it is not yet."""
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         spark.sparkContext.setCheckpointDir(shared or f"{warehouse}/_checkpoints")
-    return checkpointed(df)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,8 +144,9 @@ def q_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def high_water_mark_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sale = retail_tables(spark, sf_dir)["sale"].withColumn("modified_at", F.lit(None).cast("timestamp_ntz"))
-    return high_water_mark(sale, PARAMS)
+    """The mark of a project that no sale has: it depends on the data, and is the fallback day."""
+    codes = replace(CODES, sale_project=UNKNOWN_PROJECT)
+    return high_water_mark(retail_tables(spark, sf_dir)["sale"], replace(PARAMS, codes=codes))
 
 
 # --- filters ------------------------------------------------------------------
@@ -522,6 +532,15 @@ def empty_batch_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.replace_snapshot(replaced, nothing)
 
 
+@query
+def lower_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns named in mixed case in the source."""
+    part = star(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("P_PartKey"), F.col("p_name").alias("P_NAME"), F.col("p_size").alias("p_Size")
+    )
+    return tables.lower_names(part)
+
+
 @query
 def project_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     allowed = (
@@ -552,6 +571,13 @@ def delta_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.new_or_changed(source, target, orders.ORDER_KEY, orders.ORDER_DATE)
 
 
+@query
+def delta_empty_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, target = _order_source_and_target(spark, sf_dir)
+    nothing = target.where(F.col("order_date") > F.lit(date(2100, 1, 1)))
+    return delta.new_or_changed(source, nothing, orders.ORDER_KEY, orders.ORDER_DATE)
+
+
 @query
 def delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _order_source_and_target(spark, sf_dir)
@@ -559,6 +585,50 @@ def delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.apply_latest(target, changes, orders.ORDER_KEY, {"created_at": F.lit(date(2001, 8, 1))})
 
 
+def _columns_of(df: DataFrame) -> tuple[tuple[str, str], ...]:
+    return tuple((field.name, field.dataType.simpleString()) for field in df.schema.fields)
+
+
+def _written(df: DataFrame, day: str) -> PartitionedTable:
+    """An empty table of such rows, by month, in a folder of its own."""
+    path = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4()}"
+    month = F.date_format(F.col(day), "yyyy-MM")
+    return PartitionedTable(df.sparkSession, path, _columns_of(df), "month", month)
+
+
+@query
+def written_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``replace_by_key`` through the writer: two loads, read back."""
+    target, batch = _target_and_batch(spark, sf_dir)
+    table = _written(target, "ship_day")
+    table.replace_by_key(target, "first", ["order_code", "l_partkey"])
+    table.replace_by_key(batch, "second", ["order_code", "l_partkey"])
+    return table.read()
+
+
+@query
+def written_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``delta_upsert`` through the writer."""
+    source, target = _order_source_and_target(spark, sf_dir)
+    table = _written(target, orders.ORDER_DATE)
+    table.replace_by_key(target, "first", orders.ORDER_KEY)
+    changes = delta.new_or_changed(source, table.read(), orders.ORDER_KEY, orders.ORDER_DATE)
+    table.upsert(changes, "second", orders.ORDER_KEY, defaults={"created_at": F.lit(date(2001, 8, 1))})
+    return table.read()
+
+
+@query
+def written_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``snapshot_stock`` through the writer."""
+    position = cut(stock.stock(retail_tables(spark, sf_dir), PARAMS))
+    old = position.where(F.col("available_quantity") < 0).withColumn("created_on", F.lit(RUN_DATE))
+    table = SnapshotTable(spark, f"{shared_folder(spark)}/written-{uuid.uuid4()}", _columns_of(old))
+    table.write_unless_empty(old)
+    table.write_unless_empty(position.withColumn("created_on", F.lit(date(2001, 8, 2))))
+    table.write_unless_empty(old.limit(0))
+    return table.read()
+
+
 @query
 def last_line_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.last_per_key(_dated_lines(spark, sf_dir), ["order_code", "l_partkey"], ["ship_day"])
@@ -623,6 +693,12 @@ def daily_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def daily_report_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles and section headings that ``report_lines`` puts above the lines."""
+    return summary.headings(_report_locations(spark, sf_dir), YEAR_DAY)
+
+
 def _alert_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert.alert_items(
         retail_tables(spark, sf_dir),
@@ -647,7 +723,7 @@ def stock_alert_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stock_alert_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alert.alert_header(_alert_items(spark, sf_dir))
+    return alert.alert_header(_alert_items(spark, sf_dir), moment=ALERT_MOMENT)
 
 
 def queries() -> dict[str, Query]:

@@ -216,7 +216,15 @@ def test_general_job(spark, retail, rows, tmp_path):
     targets = open_targets(spark, str(tmp_path))
     counts, report = general_job(spark, retail(rows), targets, PARAMS, "run1")
     assert counts == {"billing": 2, "returns": 1, "stock": 1}
-    text = [line.text for line in report.orderBy("position").collect()]
+    printed = report.orderBy("position", "level").collect()
+    assert [line.text for line in printed[:3]] == [
+        "✅ RESUMO DIÁRIO DOS PEDIDOS - 15/03/2024", "FATURAMENTO:", "Pedidos faturados: 2"
+    ]
+    assert [line.text for line in printed if line.level < 2][2:5] == [
+        "DEVOLUÇÕES:", "✅ RESUMO DIÁRIO DO ESTOQUE - 15/03/2024", "ESTOQUE REGULAR:"
+    ]
+    assert {line.report_day for line in printed} == {"15/03/2024"}
+    text = [line.text for line in printed if line.level == 2]
     # Invoice 18.50 + 2.50 + 1, direct sale 18.50 + 9 + 1; return 18.50 + its freight share.
     assert text[:3] == ["Pedidos faturados: 2", "Valor total bruto: R$ 50,50", "Pedidos devolvidos: 1"]
     assert text[4] == "CD_RJ: 4 unidades | R$ 42,00"
@@ -234,13 +242,18 @@ def test_order_job(spark, retail, rows, tmp_path):
     target = open_targets(spark, str(tmp_path)).orders
     assert load_orders(retail(rows), target, PARAMS, "run1") == 1
     assert load_orders(retail(rows), target, PARAMS, "run2") == 0
+    created = target.read().first().created_at
+    assert created is not None
     rows["order"][0]["situation"] = 0
     rows["order"].append(rows["order"][0] | {"order_id": 301})
     rows["order_item"].append(rows["order_item"][0] | {"order_id": 301})
     assert load_orders(retail(rows), target, PARAMS, "run3") == 2
     later = replace(PARAMS, run_date=RUN + timedelta(days=30))
     assert load_orders(retail(rows), target, later, "run4") == 0
-    assert sorted((row.order_id, row.situation) for row in target.read().collect()) == [(300, 0), (301, 0)]
+    found = sorted(target.read().collect(), key=lambda row: row.order_id)
+    assert [(row.order_id, row.situation) for row in found] == [(300, 0), (301, 0)]
+    # An update keeps the time of creation, an insert has its own.
+    assert found[0].created_at == created < found[1].created_at
 
 
 def test_return_without_a_number_stops_the_load(spark, retail, rows, tmp_path):
@@ -294,9 +307,14 @@ def test_command_line(spark, retail, rows, tmp_path, capsys):
     common = ["--source", str(tmp_path / "source"), "--targets", str(tmp_path / "targets"), "--run-date", "2024-03-15"]
     main(["orders", *common])
     assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"orders": 1}
-    main(["general", *common])
+    with pytest.raises(ValueError, match="sale_freight_pattern"):
+        main(["general", *common])
+    codes = tmp_path / "codes.json"
+    codes.write_text('{"sale_freight_pattern": "%FRETE ESPECIAL%"}')
+    main(["general", *common, "--codes", str(codes)])
     lines = capsys.readouterr().out.splitlines()
     assert json.loads(lines[0]) == {"billing": 2, "returns": 0, "stock": 1}
-    assert json.loads(lines[1])["text"] == "Pedidos faturados: 2"
+    assert json.loads(lines[1])["text"] == "✅ RESUMO DIÁRIO DOS PEDIDOS - 15/03/2024"
+    assert json.loads(lines[3])["text"] == "Pedidos faturados: 2"
     with pytest.raises(SystemExit):
         main(["general", "--source", str(tmp_path / "source")])
