@@ -126,9 +126,13 @@ def _cut(base: DataFrame, text_col: str, spans: DataFrame, window: int) -> DataF
             rows = zip(starts[first].tolist(), ends[last].tolist(), key.tolist(), did.tolist(), start.tolist())
             for a, b, k, d, s in rows:
                 content = raw[a:b]
-                before = seen.setdefault((k, content), (d, s))
+                before = seen.get((k, content))
                 # An earlier place of the same words is on its way: this one is removed, without the words.
-                contents.append(b"" if before < (d, s) else content)
+                if before is not None and before < (d, s):
+                    contents.append(b"")
+                    continue
+                seen[k, content] = (d, s)
+                contents.append(content)
             if len(seen) > REMEMBERED:
                 seen = {}
             gone = np.fromiter((not content for content in contents), bool, len(contents))
