@@ -33,8 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.shared import checkpointed, keyed, unpacked
-from ledgerline.llm.statistics import repeated, salted
-from ledgerline.llm.words import range_hashes, slices, split
+from ledgerline.llm.words import mix, range_hashes, slices, split
 
 SEED = 42
 SEGMENTS = ((0, 23, 1), (23, 23, 1), (46, 18, 0))  # first bit, bits, radius: reach of 4 bits
@@ -291,58 +290,211 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
 # ---------------------------------------------------------------- near copies of 0.8 or more
 
 STAGE_SHINGLE = 5
-STAGE_SEGMENTS = ((0, 15, 1), (15, 15, 1), (30, 17, 1), (47, 17, 0))  # reach of 6 bits
-STAGE_BITS = 6
-STAGE_LEAF_ROWS = 4096
-STAGE_BLOCK_ROWS = 1 << 17
 SIMILARITY = 0.8
-SIDE_BITS = 128
+BANDS = 20
+BAND_ROWS = 6  # a pair of similarity s shares a bucket with probability 1 - (1 - s^6)^20: 0.998 at 0.8
+GROUP_SHINGLES = 1 << 16
+BITMAP_SLOTS = 1 << 21
+_SEEDS = np.random.default_rng(5).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def side_limit(similarity: float = SIMILARITY, bits: int = SIDE_BITS) -> int:
-    """Bits in which texts of that Jaccard similarity differ on average, and one standard deviation more."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + math.sqrt(bits * share * (1 - share)))
+def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the different shingles of five words (a shorter text is one), ascending in each text, and their limits."""
+    words = split(column)
+    words.data = np.where((words.data >= 65) & (words.data <= 90), words.data + 32, words.data).astype(np.uint8)
+    counts, owner, hashes = words.counts, words.text_of_words(), words.hashes()
+    sizes = np.minimum(STAGE_SHINGLE, np.repeat(counts, counts))
+    at = np.arange(len(owner))
+    full = at + sizes <= words.first[1:][owner] if len(owner) else np.zeros(0, bool)
+    begin, owner = at[full], owner[full]
+    shingles = range_hashes(hashes, begin, begin + sizes[full])
+    order = np.lexsort([shingles, owner])
+    shingles, owner = shingles[order], owner[order]
+    new = np.append(True, (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1]))[: len(owner)]
+    return shingles[new], np.searchsorted(owner[new], np.arange(len(counts) + 1))
+
+
+def band_keys(shingles: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Of each text that has shingles, a key for every band: a hash of the band's ``BAND_ROWS`` minima."""
+    firsts = limits[:-1][limits[:-1] < limits[1:]]
+    keys = np.zeros((len(firsts), BANDS), np.uint64)
+    for band in range(BANDS if len(firsts) else 0):
+        keys[:, band] = band
+        for row in range(band * BAND_ROWS, (band + 1) * BAND_ROWS):
+            least = np.minimum.reduceat((shingles ^ _SEEDS[0, row]) * _SEEDS[1, row], firsts)
+            keys[:, band] = mix(keys[:, band] * np.uint64(0x9E3779B97F4A7C15) + least)
+    return keys
+
+
+def set_prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(did, th, size, h1, h2, keys): number and two hashes of a text's set of shingles, and its keys by band."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 1 << 20):
+            shingles, limits = shingle_sets(part.column(2))
+            sizes = np.diff(limits)
+            some = sizes > 0
+            sums = [np.zeros(len(sizes), np.uint64) for _ in range(2)]
+            for total, salt in zip(sums, (1, 2)):
+                if some.any():
+                    total[some] = np.add.reduceat(mix(shingles + np.uint64(salt)), limits[:-1][some])
+            keys = pa.array(band_keys(shingles, limits).view(np.int64).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(some * BANDS)).astype(np.int32)), keys)
+            columns = [part.column(0), part.column(1), pa.array(sizes, pa.int64()), *(pa.array(x.view(np.int64)) for x in sums), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["did", "th", "size", "h1", "h2", "keys"])
+
+    wanted = keyed(docs, id_col, text_col).select("did", "th", "text")
+    return wanted.mapInArrow(compute, "did long, th long, size long, h1 long, h2 long, keys array<long>")
 
 
-def wide_fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(did, th, fp, s1, s2): fp is over the different words of a text, s1 and s2 over its shingles of five."""
+def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, hashes) of the ``wanted`` (node, did, th): a text's shingle hashes, ascending.
+
+    A bitmap of fixed size over the wanted texts' hashes drops most other texts before the shuffle, and no wanted one.
+    """
+    slot = F.pmod(F.col("th"), F.lit(BITMAP_SLOTS)).cast("int").alias("slot")
+    bits = np.zeros(BITMAP_SLOTS, np.uint8)
+    bits[wanted.filter("th IS NOT NULL").select(slot).distinct().toArrow()["slot"].to_numpy()] = 1
+    bitmap = docs.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(bitmap.value, np.uint8)
         for part in slices(batches, "text", 1 << 20):
-            words = split(part.column(2))
-            words.data = np.where((words.data >= 65) & (words.data <= 90), words.data + 32, words.data).astype(np.uint8)
-            counts, owner, hashes = words.counts, words.text_of_words(), words.hashes()
-            _, again = repeated(salted(hashes, owner))
-            sizes = np.minimum(STAGE_SHINGLE, np.repeat(counts, counts))
-            at = np.arange(len(owner))
-            full = at + sizes <= words.first[1:][owner] if len(owner) else np.zeros(0, bool)
-            begin, end = at[full], (at + sizes)[full]
-            found = [majority(hashes[~again], owner[~again], len(counts))]
-            found += [majority(range_hashes(hashes, begin, end, seed), owner[full], len(counts)) for seed in (0, 1)]
-            columns = [part.column(0), part.column(1), *(pa.array(x.view(np.int64)) for x in found)]
-            yield pa.RecordBatch.from_arrays(columns, ["did", "th", "fp", "s1", "s2"])
+            place = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64) % BITMAP_SLOTS
+            hit = (known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            part = pa.Table.from_batches([part]).filter(pa.array(hit)).combine_chunks()
+            shingles, limits = shingle_sets(part["text"])
+            hashes = pa.array([shingles[a:b].tobytes() for a, b in zip(limits[:-1], limits[1:])], pa.binary())
+            columns = [part["did"].combine_chunks(), part["th"].combine_chunks(), hashes]
+            yield pa.RecordBatch.from_arrays(columns, ["did", "th", "hashes"])
 
-    wanted = keyed(docs, id_col, text_col).select("did", "th", "text")
-    return wanted.mapInArrow(compute, "did long, th long, fp long, s1 long, s2 long")
+    texts = keyed(docs, id_col, text_col).select("did", "th", "text").filter("text IS NOT NULL")
+    found = texts.mapInArrow(compute, "did long, th long, hashes binary")
+    return found.join(wanted, ["did", "th"]).dropDuplicates(["did", "th"]).select("node", "hashes")
 
 
-def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"):
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The (u, v) pairs of nodes whose sets have a Jaccard similarity of ``similarity`` or more."""
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = np.zeros(batch.num_rows, bool)
+            for at in range(batch.num_rows):
+                a, b = (np.frombuffer(batch.column(i)[at].as_buffer(), np.uint64) for i in (2, 3))
+                if min(len(a), len(b)) >= similarity * max(len(a), len(b)):
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    good[at] = both / (len(a) + len(b) - both) >= similarity
+            yield batch.select([0, 1]).filter(pa.array(good))
+
+    first = sets.select(F.col("node").alias("u"), F.col("hashes").alias("a"))
+    second = sets.select(F.col("node").alias("v"), F.col("hashes").alias("b"))
+    met = pairs.join(first, "u").join(second, "v").select("u", "v", "a", "b")
+    return met.mapInArrow(decide, "u long, v long")
+
+
+def joined_labels(rows: dict[str, np.ndarray], sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Of one group, the pairs of labels that a similar pair joins; one of the pair must be ``seeking``."""
+    limits = np.append(0, np.cumsum([len(s) for s in sets]))
+    different, symbols = np.unique(np.concatenate(sets), return_inverse=True)
+    symbols, sizes = symbols.ravel(), np.diff(limits)
+    _, labels = np.unique(rows["label"], return_inverse=True)
+    names, current = rows["label"], labels.ravel().copy()
+    marked = np.zeros(len(different), bool)
+    found = []
+    for one in np.flatnonzero(rows["seeking"]):
+        fits = np.minimum(sizes, sizes[one]) >= similarity * np.maximum(sizes, sizes[one])
+        others = np.flatnonzero((current != current[one]) & fits)
+        if not len(others):
+            continue
+        own = symbols[limits[one] : limits[one + 1]]
+        marked[own] = True
+        starts = np.append(0, np.cumsum(sizes[others]))
+        places = np.arange(starts[-1]) + np.repeat(limits[:-1][others] - starts[:-1], sizes[others])
+        both = np.add.reduceat(marked[symbols[places]].astype(np.int64), starts[:-1])
+        marked[own] = False
+        for other in others[both / (sizes[others] + sizes[one] - both) >= similarity]:
+            if current[other] != current[one]:
+                found.append((int(names[one]), int(names[other])))
+                current[current == current[other]] = current[one]
+    return found
+
+
+def remaining(met: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(u, v): labels that a similar pair within a bucket joins, of (key, node, size) rows that the stars left apart.
+
+    Only pairs of different labels are compared. Where a bucket is large, the rows of its largest label, among which
+    nothing is left to compare, are cut into blocks, the others too, and each of the others' blocks meets all blocks.
+    """
+    rows = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sums = rows.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
+    sums = sums.groupBy("key").agg(
+        F.max_by("label", F.struct("w", "label")).alias("main"), F.max("w").alias("main_w"), F.sum("w").alias("w"),
+        F.sum("n").alias("n"), F.count("*").alias("labels"),
+    )
+    # In a bucket of two, the star was the only pair.
+    open_ = sums.filter("labels > 1 AND n > 2").select(
+        "key", "main",
+        F.when(F.col("w") <= block, 0).otherwise(F.ceil(F.col("main_w") / block)).cast("int").alias("mains"),
+        F.when(F.col("w") <= block, 1).otherwise(F.ceil((F.col("w") - F.col("main_w")) / block)).cast("int").alias("others"),
+    )
+    rows = rows.join(open_, "key")
+    main = (F.col("label") == F.col("main")) & (F.col("mains") > 0)
+    own = F.pmod(F.xxhash64("node"), F.when(main, F.col("mains")).otherwise(F.col("others"))).cast("int")
+    rows = rows.select("key", "node", "label", "mains", "others", main.alias("in_main"), own.alias("own"))
+    last = F.col("others") - 1
+
+    def cell(i, j):
+        return F.struct(F.least(i, j).cast("int").alias("i"), F.greatest(i, j).cast("int").alias("j"))
+
+    # The others' blocks are 0 to others - 1, those of the largest label come after them.
+    with_others = F.transform(F.sequence(F.lit(0), last), lambda i: cell(i, F.col("own")))
+    with_mains = F.transform(F.sequence(F.lit(1), F.col("mains")), lambda j: cell(F.col("own"), last + j))
+    of_main = F.transform(F.sequence(F.lit(0), last), lambda i: cell(i, F.col("others") + F.col("own")))
+    none = F.slice(with_others, 1, 0)
+    cells = F.when(F.col("in_main"), of_main).otherwise(F.concat(with_others, F.when(F.col("mains") > 0, with_mains).otherwise(none)))
+    dealt = rows.select("key", "node", "label", F.explode(cells).alias("cell"), (~F.col("in_main")).alias("seeking"))
+    dealt = dealt.select("key", "cell.i", "cell.j", "node", "label", "seeking").join(sets, "node")
+
+    def search(group: pa.Table) -> pa.Table:
+        found = joined_labels(
+            {name: group[name].to_numpy(zero_copy_only=False) for name in ("label", "seeking")},
+            [np.frombuffer(x.as_buffer(), np.uint64) for x in group["hashes"]],
+            similarity,
+        )
+        u, v = zip(*found) if found else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    dealt = dealt.select("key", "i", "j", "label", "seeking", "hashes")
+    return dealt.groupBy("key", "i", "j").applyInArrow(search, "u long, v long")
+
+
+def without_near_copies(
+    docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", block: int = GROUP_SHINGLES
+) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id; all columns stay.
 
-    Texts are linked if the fingerprints over their different words, which the trees search, differ in no more than
-    ``STAGE_BITS`` bits, and the 128 bits over their shingles of five words in no more than texts of that similarity do,
-    give or take one standard deviation. Groups are everything reachable by links. Rows that share the smallest id stay.
+    Texts are linked if the Jaccard similarity of their sets of five-word shingles is ``similarity`` or more, which is
+    decided on the sets. Compared are the texts that share a bucket of one of ``BANDS`` bands of minhashes: first each
+    with the least of its bucket, then those that this has not joined with each other. Groups are everything reachable
+    by links. Texts with equal sets are one from the start. Rows that share the smallest id stay.
     """
-    key = ["fp", "s1", "s2"]
-    prints = checkpointed(wide_fingerprints(docs, id_col, text_col))
-    classes = checkpointed(prints.groupBy(*key).agg(F.min("did").alias("id"), F.xxhash64(*key).alias("node")))
-    nodes = classes.select("fp", F.col("node").alias("id"), "s1", "s2")
-    found = links(nodes, STAGE_BITS, STAGE_SEGMENTS, STAGE_LEAF_ROWS, STAGE_BLOCK_ROWS, side_bits=side_limit(similarity))
-    labels = components(found.select(F.col("id").alias("u"), F.col("label").alias("v")))
-    labelled = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = labelled.groupBy("label").agg(F.min("id").alias("stays"))
-    fates = labelled.join(least, "label").select(*key, "stays")
-    gone = prints.join(fates, key).filter("did <> stays").select("did", "th").distinct()
+    prints = checkpointed(set_prints(docs, id_col, text_col).withColumn("node", F.xxhash64("size", "h1", "h2")).drop("h1", "h2"))
+    firsts = F.min(F.struct("did", "th")).alias("one")
+    classes = checkpointed(prints.groupBy("node").agg(firsts, F.first("size").alias("size"), F.first("keys").alias("keys")))
+    rows = classes.select(F.explode("keys").alias("key"), "node", "size")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1").drop("n")
+    met = checkpointed(rows.join(shared, "key"))
+    wanted = classes.join(met.select("node").distinct(), "node", "left_semi").select("node", "one.did", "one.th")
+    sets = checkpointed(sets_of(docs, checkpointed(wanted), id_col, text_col))
+    stars = met.filter("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v")).distinct()
+    edges = checkpointed(similar(stars, sets, similarity))
+    labels = components(edges)
+    rest = checkpointed(remaining(met.drop("least"), labels, sets, similarity, block))
+    if not rest.isEmpty():
+        labels = components(edges.union(rest))
+    labelled = classes.join(labels, "node", "left").select("node", "one.did", F.coalesce("label", "node").alias("label"))
+    least = labelled.groupBy("label").agg(F.min("did").alias("stays"))
+    fates = labelled.join(least, "label").select("node", "stays")
+    gone = prints.join(fates, "node").filter("did <> stays").select("did", "th").distinct()
     left = keyed(docs, id_col, text_col).join(gone, ["did", "th"], "left_anti")
     return unpacked(left, docs.columns)

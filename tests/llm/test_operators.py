@@ -312,6 +312,47 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert sorted(r.doc_id for r in left.collect()) == [*range(20), 45]
 
 
+def shingles_of(text):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def altered(rng, kind, similarity, size):
+    """A text and one with about that similarity, made by the given kind of change."""
+    words = [f"v{rng.randint(0, 5000)}" for _ in range(size)]
+    more = [f"x{rng.randint(0, 5000)}" for _ in range(size)]
+    other = round((size - 4) * (1 / similarity - 1))
+    if kind == "appended":
+        changed = words + more[:other]
+    elif kind == "truncated":
+        changed = words[: 4 + round((size - 4) * similarity)]
+    else:
+        places = set(rng.sample(range(size), max(1, round(size * (1 - similarity) / (1 + similarity) / 5))))
+        changed = [m if i in places else w for i, (w, m) in enumerate(zip(words, more))]
+    return " ".join(words), " ".join(changed)
+
+
+@pytest.mark.parametrize("kind", ["appended", "truncated", "scattered"])
+def test_near_copies_are_found_whatever_the_change(spark, kind):
+    rng = random.Random(17)
+    pairs = [altered(rng, kind, rng.uniform(0.79, 0.97), rng.randint(100, 800)) for _ in range(600)]
+    docs = docs_of(spark, [text for pair in pairs for text in pair])
+    left = {r.doc_id for r in simhash.without_near_copies(docs).collect()}
+    found = Counter()
+    for i, (a, b) in enumerate(pairs):
+        true = jaccard(shingles_of(a), shingles_of(b))
+        found[int(true * 20) / 20, 2 * i + 1 not in left] += true >= 0.8
+        assert 2 * i in left
+    for low in (0.8, 0.85, 0.9, 0.95):
+        yes, no = found[low, True], found[low, False]
+        print(f"RECALL {kind} {low}: {yes} of {yes + no}")
+        assert yes + no > 20 and yes >= 0.98 * (yes + no)
+
+
 # ---------------------------------------------------------------- 8: WARC
 
 
