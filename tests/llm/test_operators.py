@@ -353,6 +353,30 @@ def test_near_copies_are_found_whatever_the_change(spark, kind):
         assert yes + no > 20 and yes >= 0.98 * (yes + no)
 
 
+@pytest.mark.parametrize("kind", ["appended", "truncated", "scattered"])
+def test_texts_below_the_similarity_stay(spark, kind):
+    rng = random.Random(18)
+    pairs = [altered(rng, kind, rng.uniform(0.5, 0.81), rng.randint(100, 800)) for _ in range(400)]
+    docs = docs_of(spark, [text for pair in pairs for text in pair])
+    left = {r.doc_id for r in simhash.without_near_copies(docs).collect()}
+    below = [i for i, (a, b) in enumerate(pairs) if jaccard(shingles_of(a), shingles_of(b)) < 0.8]
+    assert len(below) > 300 and all({2 * i, 2 * i + 1} <= left for i in below)
+
+
+@pytest.mark.parametrize("block", [1 << 16, 500])
+def test_near_copies_equal_brute_force(spark, odd_texts, block):
+    rng = random.Random(19)
+    base = [f"w{rng.randint(0, 200)}" for _ in range(120)]
+    family = []
+    for _ in range(150):  # one template: some pairs above the similarity, chains of them, and many below
+        places = set(rng.sample(range(120), rng.randint(0, 4)))
+        family.append(" ".join(f"y{rng.randint(0, 50)}" if i in places else w for i, w in enumerate(base)))
+    texts = [*family, *odd_texts, *family[:7]]
+    left = simhash.without_near_copies(docs_of(spark, texts), block=block).collect()
+    classes = brute_components([shingles_of(t) for t in texts], lambda a, b: jaccard(a, b) >= 0.8)
+    assert sorted(r.doc_id for r in left) == sorted(set(classes))
+
+
 # ---------------------------------------------------------------- 8: WARC
 
 
