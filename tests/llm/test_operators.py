@@ -115,6 +115,32 @@ def test_decontamination_finds_every_verbatim_item(spark):
     assert expected and expected <= found
 
 
+def items_of(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+
+
+def leaks(spark, texts, items):
+    docs, items = docs_of(spark, texts), items_of(spark, items)
+    found = {(r.doc_id, r.item_id): r.n_windows for r in decontamination.contaminated(docs, items).collect()}
+    return found, {r.doc_id for r in decontamination.clean(docs, items).collect()}
+
+
+def test_decontamination_drops_only_windows_that_conflict(spark):
+    rng = random.Random(9)
+    words = [f"word{rng.choice('abcdefgh')}{rng.choice('klmnop')}" for _ in range(60)]
+    words[10] = words[45] = "12"
+    changed = [*words[:45], "15", *words[46:]]
+    apples = "A farmer sells 3 apples and 5 pears at the market every day, how much fruit does he sell?"
+    equal = "A farmer sells 4 apples and 4 pears at the market every day, how much fruit does he sell?"
+    names = "{} met a friend and {} saw the old house while {} took a picture of the garden and {} went back home"
+    named = "so " + names.format(*["Maria"] * 4)
+    other = "so " + names.format("Peter", "Peter", "Paula", "Peter")
+    texts = [" ".join(changed), equal, other, "so " + names.format("Peter", "Paula", "Quentin", "Rosa")]
+    found, left = leaks(spark, texts, [" ".join(words), apples, named])
+    assert set(found) == {(0, 0), (1, 1), (2, 2)} and left == {3}
+    assert found[0, 0] == 53 - 8  # of the windows with the second '12', none
+
+
 # ---------------------------------------------------------------- 3: language
 
 
