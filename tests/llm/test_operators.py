@@ -141,6 +141,31 @@ def test_decontamination_drops_only_windows_that_conflict(spark):
     assert found[0, 0] == 53 - 8  # of the windows with the second '12', none
 
 
+def test_decontamination_finds_short_and_numeric_items(spark):
+    items = ["What is 17 + 25 - 4 * 6?", "Is 91 prime?", "What is the capital of France?", "12 + 30 = 42", "1 2 3 4 5 6 7 8 9 10 11"]
+    frames = ["Q: 1) {} A: none", "they said \u201c{}\u201d and left", "{}", "Some Words Before {} and after", "NOTE {}"]
+    texts = [frame.format(item) for item in items for frame in frames]
+    found, left = leaks(spark, [*texts, "no item is here 17 or 25"], items)
+    assert {(i, i // len(frames)) for i in range(len(texts))} <= set(found)
+    assert left == {len(texts)}
+
+
+def test_decontamination_finds_every_short_verbatim_item(spark):
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("text").limit(300).collect()
+    rng = random.Random(10)
+    items = []
+    for row in rows[:60]:
+        words, size = row.text.split(), rng.randint(3, 12)
+        at = rng.randint(0, max(0, len(words) - size))
+        items.append(" ".join(words[at : at + size]))
+    items = sorted(set(items))
+    found, _ = leaks(spark, [r.text for r in rows], items)
+    core = re.compile(r"[0-9A-Za-z$%\u0080-\U0010ffff]")
+    spread = [" ".join(r.text.split()) for r in rows]
+    expected = {(d, i) for d, text in enumerate(spread) for i, item in enumerate(items) if core.search(item) and f" {item} " in f" {text} "}
+    assert len(expected) >= 50 and expected <= set(found)
+
+
 # ---------------------------------------------------------------- 3: language
 
 
