@@ -166,6 +166,18 @@ def test_decontamination_finds_every_short_verbatim_item(spark):
     assert len(expected) >= 50 and expected <= set(found)
 
 
+def test_clean_keeps_documents_that_share_one_template_window(spark):
+    short = "der Vertrag zwischen der Gemeinde und dem Land"
+    long = "Wer hat gesagt, der Vertrag zwischen der Gemeinde und dem Land sei nach so vielen Jahren noch immer nicht bezahlt?"
+    page = "und so begann der Streit zwischen der Stadt und dem Kreis, der bis heute dauert"
+    inserted = " ".join(w + " (oh)" * (i == 11) for i, w in enumerate(long.split()))
+    other = long.replace("Gemeinde", "Firma").replace("Land", "Amt")
+    half = " ".join(long.split()[:12])
+    found, left = leaks(spark, [page, f"so {short} auch", inserted, other, half, page + " x" * 80 + page], [short, long])
+    assert {(0, 0), (0, 1)} <= set(found)
+    assert left == {0, 5}
+
+
 # ---------------------------------------------------------------- 3: language
 
 
