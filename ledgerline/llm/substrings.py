@@ -147,7 +147,9 @@ def _cut(base: DataFrame, text_col: str, spans: DataFrame, window: int) -> DataF
             names = ["key", "uid", "did", "th", "start", "n", "words"]
             yield pa.RecordBatch.from_arrays([*longs, *small, words_of], names)
 
-    joined = base.join(spans, "uid").select("row", "uid", "did", "th", "spans")
+    # In one order, so that a repeated task sends the same rows with words as the first one did.
+    joined = base.join(spans, "uid").select("row", "uid", "did", "th", F.sort_array("spans").alias("spans"))
+    joined = joined.sortWithinPartitions("uid", "th")
     return joined.mapInArrow(compute, SHARD_SCHEMA)
 
 

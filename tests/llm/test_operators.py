@@ -500,6 +500,18 @@ def test_substrings_hot_passage_and_repeated_rows(spark):
     assert len(found) == len(rows)
 
 
+def test_substrings_send_the_same_rows_whatever_the_order_of_arrival(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = docs_of(spark, [f"{passage} between {i} {passage} end {i}" for i in range(12)])
+    prepared = substrings.keyed(docs, "doc_id", "text")
+    base, spans = prepared.select("row", "uid", "did", "th"), substrings.shared_runs(prepared, 20, 6)
+
+    def sent(spans):
+        return sorted(tuple(r) for r in substrings._cut(base, "text", spans, 20).drop("row").collect())
+
+    assert sent(spans.withColumn("spans", F.sort_array("spans"))) == sent(spans.withColumn("spans", F.sort_array("spans", asc=False)))
+
+
 def test_fm_index_matching_statistics():
     rng = np.random.default_rng(1)
     symbols = np.concatenate([[0], rng.integers(1, 4, 300), [0], rng.integers(1, 4, 300)])
