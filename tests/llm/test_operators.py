@@ -501,7 +501,7 @@ def test_substrings_hot_passage_and_repeated_rows(spark):
 
 
 def test_substrings_send_the_same_rows_whatever_the_order_of_arrival(spark):
-    passage = " ".join(f"p{i}" for i in range(30))
+    passage = " ".join(f"p{i}" for i in range(300))
     docs = docs_of(spark, [f"{passage} between {i} {passage} end {i}" for i in range(12)])
     prepared = substrings.keyed(docs, "doc_id", "text")
     base, spans = prepared.select("row", "uid", "did", "th"), substrings.shared_runs(prepared, 20, 6)
