@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -20,11 +21,14 @@ from ledgerline.llm import (
     simhash,
     substrings,
     token_counts,
+    token_files,
     warc,
+    whitening,
 )
-from ledgerline.llm.shared import table
+from ledgerline.llm.shared import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
+LIBRARY_TOKENIZER = "byte_bpe_50k.json"
 WINDOW_WORDS = 20
 
 
@@ -94,10 +98,22 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/token-files-{uuid.uuid4()}"
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(LIBRARY_TOKENIZER))
+    return token_files.checksums(token_files.blocks(spark, path))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_chat, op2_decontamination, op3_langid, op4_byte_bpe, op5_quality,
         op6_token_counts, op7_simhash, op8_warc, op9_quality_rules, op10_substrings,
+        op11_token_files, op13_whitening,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 

@@ -17,6 +17,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, for tables written on the way."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once in the shared folder: its lineage is cut, and lost executors lose nothing of it."""
     ensure_checkpoint_dir(df.sparkSession)
