@@ -13,6 +13,7 @@ import corpus_pipeline
 from ledgerline.llm import (
     bpe,
     chat,
+    conversation_repair,
     decision_list,
     decontamination,
     langid,
@@ -104,6 +105,11 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.blocks(spark, path))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reports, _ = conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+    return reports.withColumnRenamed("digest", "repaired_sha256")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return whitening.transform(vectors, whitening.fit(vectors))
@@ -113,11 +119,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_chat, op2_decontamination, op3_langid, op4_byte_bpe, op5_quality,
         op6_token_counts, op7_simhash, op8_warc, op9_quality_rules, op10_substrings,
-        op11_token_files, op13_whitening,
+        op11_token_files, op12_conversation_repair, op13_whitening,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    known = {"op1_chat": oracle.OP1_CHAT, "op8_warc": oracle.OP8_WARC, "pipeline": corpus_pipeline.ORACLE_SQL}
+    known = {"op1_chat": oracle.OP1_CHAT, "op8_warc": oracle.OP8_WARC, "op12_conversation_repair": oracle.OP12_REPAIR, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {name: sql for name, sql in known.items() if sql}

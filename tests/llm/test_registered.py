@@ -14,7 +14,7 @@ import corpus_pipeline
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op1_chat", "op8_warc"])
+@pytest.mark.parametrize("name", ["op1_chat", "op8_warc", "op12_conversation_repair"])
 def test_query_equals_its_sql(spark, name):
     connection = duckdb.connect()
     for file in os.listdir(DATA):
@@ -28,7 +28,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_is_registered_once():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
