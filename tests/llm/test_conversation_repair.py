@@ -105,7 +105,7 @@ def test_without_damage_and_extreme_turns(spark):
     found = {r.conv_id: r for r in conversation_repair.repair(conversation_repair.rows_of(df))[0].collect()}
     assert set(found) == {None, 1, 2, 3, 4, 5}
     assert found[5].gaps == (1 << 63) - 1 and found[5].audit == "KR"
-    assert found[4].duplicate == 1 and found[4].audit == "KDRI" and found[4].cost == 7
+    assert found[4].duplicate == 1 and found[4].audit == "KDIR" and found[4].cost == 7
     assert found[3].gaps == 3 and found[3].audit == "KK" and found[3].cost == 0
 
 
