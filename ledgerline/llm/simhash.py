@@ -478,9 +478,12 @@ def without_near_copies(
     with the least of its bucket, then those that this has not joined with each other. Groups are everything reachable
     by links. Texts with equal sets are one from the start. Rows that share the smallest id stay.
     """
-    prints = checkpointed(set_prints(docs, id_col, text_col).withColumn("node", F.xxhash64("size", "h1", "h2")).drop("h1", "h2"))
+    prints = checkpointed(set_prints(docs, id_col, text_col))
+    own = ["size", "h1", "h2"]
     firsts = F.min(F.struct("did", "th")).alias("one")
-    classes = checkpointed(prints.groupBy("node").agg(firsts, F.first("size").alias("size"), F.first("keys").alias("keys")))
+    # Sets are equal if their sizes and both hashes are; the node is only a short name for the three.
+    classes = prints.groupBy(*own).agg(firsts, F.first("keys").alias("keys"))
+    classes = checkpointed(classes.withColumn("node", F.monotonically_increasing_id()))
     rows = classes.select(F.explode("keys").alias("key"), "node", "size")
     shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1").drop("n")
     met = checkpointed(rows.join(shared, "key"))
@@ -492,9 +495,9 @@ def without_near_copies(
     rest = checkpointed(remaining(met.drop("least"), labels, sets, similarity, block))
     if not rest.isEmpty():
         labels = components(edges.union(rest))
-    labelled = classes.join(labels, "node", "left").select("node", "one.did", F.coalesce("label", "node").alias("label"))
+    labelled = classes.join(labels, "node", "left").select(*own, "one.did", F.coalesce("label", "node").alias("label"))
     least = labelled.groupBy("label").agg(F.min("did").alias("stays"))
-    fates = labelled.join(least, "label").select("node", "stays")
-    gone = prints.join(fates, "node").filter("did <> stays").select("did", "th").distinct()
+    fates = labelled.join(least, "label").select(*own, "stays")
+    gone = prints.join(fates, own).filter("did <> stays").select("did", "th").distinct()
     left = keyed(docs, id_col, text_col).join(gone, ["did", "th"], "left_anti")
     return unpacked(left, docs.columns)

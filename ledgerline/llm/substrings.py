@@ -119,8 +119,8 @@ def _cut(base: DataFrame, text_col: str, spans: DataFrame, window: int) -> DataF
             start, n = start[each] + offset, np.where(hot, 1, n[each])
             first = words.first[:-1][owner] + start
             last = first + n + window - 2
-            own = range_hashes(words.hashes(1), first, last + 1).view(np.int64)
-            key = np.where(hot, own, leader)
+            key = leader.copy()  # of a hot leader, the one window's own hash
+            key[hot] = range_hashes(words.hashes(1), first[hot], last[hot] + 1).view(np.int64)
             uid, did, th = (part.column(i).to_numpy(zero_copy_only=False)[owner] for i in (1, 2, 3))
             contents = []
             rows = zip(starts[first].tolist(), ends[last].tolist(), key.tolist(), did.tolist(), start.tolist())
@@ -177,10 +177,13 @@ def search_block(rows: list[tuple], window: int) -> list[tuple[int, int, int, in
         places[content] = min(places.get(content, (did, start)), (did, start))
     contents = sorted(places, key=places.__getitem__)
     words = split(pa.array(contents, pa.binary()))
-    _, symbols = np.unique(words.hashes(), return_inverse=True)
+    joined, begins, _ = words.joined()
+    # Words are told apart by their bytes (and the space after each), not by hashes.
+    listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(np.append(begins, len(joined))), pa.py_buffer(joined)])
+    symbols = listed.dictionary_encode().indices.to_numpy().astype(np.int64)
     # Symbol 0 stands before every content, so that no match goes beyond one.
     counts = words.counts
-    text = np.insert(symbols.ravel() + 1, words.first[:-1], 0)
+    text = np.insert(symbols + 1, words.first[:-1], 0)
     begin, owner = words.windows(window)
     starts = begin + owner + 1
     matched, earliest = FMIndex(text, window).earlier_matches(starts, window)

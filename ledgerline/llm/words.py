@@ -16,9 +16,9 @@ SLICE_BYTES = 1 << 20
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
-# Odd, so that they have an inverse modulo 2^64.
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_SEEDS = (np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179))
+_SHORT = 32
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -30,27 +30,36 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
-def _power(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    known = _powers.get(base)
-    if known is None or len(known[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        tables = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            table = np.full(size, b, np.uint64)
-            table[0] = 1
-            tables.append(np.multiply.accumulate(table))
-        known = (tables[0], tables[1])
-        if size <= 2 * SLICE_BYTES:  # a longer text's tables are not kept
-            _powers[base] = known
-    return known
+def _keys(places: np.ndarray, seed: int) -> np.ndarray:
+    """An odd random number for each place of a range: the outputs of the SplitMix64 generator, in no simple relation."""
+    return mix((places.astype(np.uint64) + np.uint64(1)) * _GOLDEN + _SEEDS[seed]) | np.uint64(1)
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Hash of ``values[start:end]`` for each range, equal for equal contents wherever they stand."""
-    forward, backward = _power(len(values) + 1, _BASES[seed])
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * forward[: len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * backward[starts] + (ends - starts).astype(np.uint64))
+    """Hash of ``values[start:end]`` for each range, equal for equal contents wherever they stand.
+
+    Multilinear: each value times the key of its place in the range, summed modulo 2^64. Keys of different places are
+    independent, so no contents collide for a structural reason, as they do under powers of any base modulo 2^64.
+    """
+    sizes = ends - starts
+    total = np.zeros(len(starts), np.uint64)
+    longest = int(sizes.max(initial=0))
+    if longest <= _SHORT:
+        keys = _keys(np.arange(longest), seed)
+        same = longest == int(sizes.min(initial=longest))
+        for place in range(longest):
+            if same:
+                total += (values[starts + place].astype(np.uint64) + np.uint64(1)) * keys[place]
+            else:
+                some = np.flatnonzero(sizes > place)
+                total[some] += (values[starts[some] + place].astype(np.uint64) + np.uint64(1)) * keys[place]
+    else:
+        some = np.flatnonzero(sizes)
+        limits = np.cumsum(sizes[some]) - sizes[some]
+        place = np.arange(int(sizes[some].sum())) - np.repeat(limits, sizes[some])
+        found = values[place + np.repeat(starts[some], sizes[some])].astype(np.uint64) + np.uint64(1)
+        total[some] = np.add.reduceat(found * _keys(np.arange(longest), seed)[place], limits)
+    return mix(total + sizes.astype(np.uint64) * _GOLDEN)
 
 
 @dataclass
