@@ -63,17 +63,17 @@ def freight_share(net: Column, rate: Column, rows: Column | None = None) -> Colu
     return net.cast("decimal(22,8)") * repeated_rate.cast("decimal(31,21)")
 
 
-def extra_freight_share(
-    quantity: Column, unit_price: Column, discount_cents: Column, discount_pct: Column, share: Column, extra: Column
-) -> Column:
-    """A line's part of the sale's extra freight, to 16 decimals.
-
-    Here the discount is taken per unit and the sale's percentage discount applies.
-    """
+def goods_before_discount_pct(quantity: Column, unit_price: Column, discount_cents: Column) -> Column:
+    """Line value with the discount taken per unit, exact; sums of it are lines too."""
     per_unit = (unit_price - cents_to_units(discount_cents)).cast("decimal(18,6)")
+    return (quantity.cast("decimal(18,4)") * per_unit).cast("decimal(26,10)")
+
+
+def extra_freight_share(goods: Column, discount_pct: Column, share: Column, extra: Column) -> Column:
+    """The part of the sale's extra freight that falls to goods, to 16 decimals; the sale's percentage discount applies."""
     kept_pct = (F.lit(100) - F.coalesce(discount_pct, F.lit(0))).cast("decimal(9,4)")
-    goods = (quantity.cast("decimal(18,4)") * per_unit).cast("decimal(26,10)") * kept_pct
-    charged = goods.cast("decimal(26,12)") * extra.cast("decimal(20,10)")
+    kept = goods.cast("decimal(26,10)") * kept_pct
+    charged = kept.cast("decimal(26,12)") * extra.cast("decimal(20,10)")
     return charged.cast("decimal(28,12)") * share.cast("decimal(34,29)")
 
 

@@ -7,6 +7,10 @@ the items joined, so that the wide joins never carry item rows.
 Several joins of these datasets contribute no column but repeat the rows they match
 (fiscal exits, payments, the freight field, order totals). They enter as match counts:
 a sum over repeated rows is the sum over the rows, each times its count.
+
+Items are reduced to ids, amounts and counts before any name is looked up. A line's group is a group of its items, one
+of its document's rows and one of its product's rows, and all its sums are products of those of the three, so the
+three are grouped apart, each at its own grain, and joined; no row of names is grouped at the grain of lines.
 """
 
 from __future__ import annotations
@@ -19,10 +23,11 @@ from pyspark.sql import functions as F
 from ledgerline.fixed_values import DIRECT_SALE_PARTNER, TAXPAYER_DEFAULT
 from ledgerline.functions import money
 from ledgerline.functions.labels import code_label
-from ledgerline.operators.attributes import attribute_values
+from ledgerline.operators.attributes import fields_per_sale
 from ledgerline.operators.filters import listed, listed_or_null, recent_or_modified, since
 from ledgerline.operators.joins import lookup, matches_per_key, role, times
 from ledgerline.operators.tables import coerce_numbers, lower_names, union_by_name
+from ledgerline.operators.windows import of_keys, within_keys
 from ledgerline.params import RunParams
 from ledgerline.plans import parts
 from ledgerline.sources.marks import mark_value
@@ -40,8 +45,9 @@ def documents_in_window(tables: Tables, params: RunParams, mark: date | Column)
     documents = tables["document"].where(
         since(F.col("issue_date"), params.billing_start) & listed(F.col("status"), codes.document_status)
     )
+    ids = documents.select("document_id")
     fiscal = (
-        tables["document_fiscal"]
+        within_keys(tables["document_fiscal"], "document_id", ids)
         .where(listed_or_null(F.col("operation_nature"), codes.invoice_natures))
         .select("document_id", "carrier_id", "destination_code")
     )
@@ -56,7 +62,7 @@ def documents_in_window(tables: Tables, params: RunParams, mark: date | Column)
         F.col("sale_id").alias("known_sale_id"),
     )
     found = documents.join(fiscal, "document_id")
-    found = lookup(found, tables["document_sale"], "document_id")
+    found = lookup(found, within_keys(tables["document_sale"], "document_id", ids), "document_id")
     found = lookup(found, sales, "sale_id", spread_by=["document_id"])
     return found.where(
         recent_or_modified(F.col("issue_date"), F.col("modified_at"), params.recent_start, mark)
@@ -75,7 +81,7 @@ def payments_per_sale(tables: Tables, sales: DataFrame) -> DataFrame:
         .groupBy("payment_document_id")
         .agg(F.count(F.lit(1)).alias("documents"), F.sum("term_value").alias("document_terms"))
     )
-    payments = tables["sale_payment"].join(sales, "sale_id", "left_semi")
+    payments = of_keys(tables["sale_payment"], "sale_id", sales)
     payments = lookup(payments, documents, "payment_document_id", spread_by=["sale_id"])
     return payments.groupBy("sale_id").agg(
         F.sum(times(F.col("documents"))).alias("payment_rows"), F.sum("document_terms").alias("sale_terms")
@@ -91,20 +97,16 @@ def _with_sale_fields(
     those of the freight field, which is not shown.
     """
     codes = params.codes
-
-    def field(pattern: str | None, name: str) -> DataFrame:
-        values = attribute_values(tables["attribute_type"], tables["attribute_value"], pattern, name)
-        return values.join(sales, "sale_id", "left_semi")
-
-    rows = lookup(rows, tables["sale_total"], "sale_id", spread_by=spread_by)
     shown = {"traffic_source": codes.traffic_pattern, "prospect_customer": codes.prospect_pattern}
-    for name, pattern in shown.items():
-        values = field(pattern, name).groupBy("sale_id", name).agg(F.count(F.lit(1)).alias(f"{name}_rows"))
-        rows = lookup(rows, values, "sale_id", spread_by=spread_by)
-    freight = matches_per_key(field(codes.sale_freight_pattern, "freight"), "sale_id", "freight_rows")
-    rows = lookup(rows, freight, "sale_id", spread_by=spread_by)
-    counts = [f"{name}_rows" for name in (*shown, "freight")]
-    return rows.withColumn("field_rows", times(*[F.col(name) for name in counts])).drop(*counts)
+    values = of_keys(tables["attribute_value"], "sale_id", sales)
+    fields = fields_per_sale(tables["attribute_type"], values, shown, {"freight": codes.sale_freight_pattern})
+    rows = lookup(rows, within_keys(tables["sale_total"], "sale_id", sales), "sale_id", spread_by=spread_by)
+    rows = lookup(rows, fields, "sale_id", spread_by=spread_by)
+    for name in shown:
+        rows = rows.withColumn(f"_{name}", F.explode_outer(name)).drop(name)
+    counts = [*[F.col(f"_{name}.n") for name in shown], F.col("freight_rows")]
+    rows = rows.withColumns({"field_rows": times(*counts), **{name: F.col(f"_{name}.value") for name in shown}})
+    return rows.drop("freight_rows", *[f"_{name}" for name in shown])
 
 
 def _with_parties(rows: DataFrame, tables: Tables, params: RunParams, key: str, sold_to: str) -> DataFrame:
@@ -136,13 +138,13 @@ def _shown_labels(params: RunParams) -> dict[str, Column]:
     }
 
 
-# Names and codes both datasets are grouped by, besides the line's own columns.
-_SHARED_KEYS = (
-    "order_date", "order_partner", "order_type", "product_group", "sku", "product_name", "company", "goods_cost",
-    "list_cost", "carrier", "traffic_source", "prospect_customer", "state", "city", "neighbourhood", "customer",
-    "maker", "payment_form", "payment_term", "sale_document_total", "taxpayer_code", "seller", "order_identifier",
-    "modified_at",
+# What a document's or a sale's rows show, in both datasets.
+_DOCUMENT_KEYS = (
+    "order_date", "order_partner", "order_type", "company", "carrier", "traffic_source", "prospect_customer", "state",
+    "city", "neighbourhood", "customer", "payment_form", "payment_term", "sale_document_total", "taxpayer_code",
+    "seller", "order_identifier", "modified_at",
 )
+_PRODUCT_KEYS = ("sku", "product_name", "list_cost", "product_group", "maker")
 
 _SHOWN = (
     "billing_date", "order_date", "partner", "product_group", "sku", "product_name", "net_value", "unit_value",
@@ -153,6 +155,12 @@ _SHOWN = (
 )
 
 
+def _product_rows(tables: Tables) -> DataFrame:
+    """Different rows of names per product, with how many rows of the products and makers each stands for."""
+    named = parts.products_with_maker(tables).select("product_id", *_PRODUCT_KEYS)
+    return named.groupBy("product_id", *_PRODUCT_KEYS).agg(F.count(F.lit(1)).alias("product_rows"))
+
+
 def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy) -> DataFrame:
     """Invoice lines of the window.
 
@@ -164,34 +172,40 @@ def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: C
     document_ids = base.select("document_id")
     sale_ids = base.select("sale_id").where(F.col("sale_id").isNotNull())
 
-    exits = tables["document_exit"].join(document_ids, "document_id", "left_semi")
+    exits = of_keys(tables["document_exit"], "document_id", document_ids)
     documents = base.join(matches_per_key(exits, "document_id", "exits"), "document_id")
     documents = lookup(documents, payments_per_sale(tables, sale_ids), "sale_id", spread_by=["document_id"])
     documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"])
     documents = _with_parties(documents, tables, params, "document_id", "sale_customer_id")
+    # Each (document, sale) row stands for this many rows of the full join.
+    without_payments = times(F.col("exits"), F.col("field_rows"))
+    documents = documents.groupBy(
+        "document_id", "issue_date", "document_number", "destination_code", *_DOCUMENT_KEYS
+    ).agg(
+        F.sum(without_payments * times(F.col("payment_rows"))).alias("document_rows"),
+        F.sum(money.repeated(F.col("sale_terms"), without_payments, 4)).alias("document_terms"),
+    )
 
-    items = tables["document_item"].join(document_ids, "document_id", "left_semi")
+    items = of_keys(tables["document_item"], "document_id", document_ids)
     quantities = items.groupBy("document_id", "product_id").agg(F.sum("quantity").alias("product_quantity"))
-    priced = tables["document_item"].where(F.col("unit_price") > 0)
-    products = parts.products_with_maker(tables).select(
-        "product_id", "sku", "product_name", "list_cost", "product_group", "maker"
-    )
     sold = tables["sale_item"].select("sale_item_id", "goods_cost", "item_expenses")
-    lines = priced.join(documents, "document_id").join(quantities, ["document_id", "product_id"])
-    lines = lines.join(products, "product_id")
-    lines = lookup(lines, sold, "sale_item_id", spread_by=["document_id", "item_id"])
-
-    # Each (item, document, sale) row stands for this many rows of the full join.
-    without_payments = times(F.col("exits"), F.col("field_rows"))
-    repeats = without_payments * times(F.col("payment_rows"))
-    counted = F.when(F.col("item_id").isNotNull(), repeats).otherwise(F.lit(0))
-    grouped = lines.groupBy(
-        "document_id", "product_id", "issue_date", "document_number", "quantity", "unit_price", "discount",
-        "item_freight", "recipient_tax", "destination_code", "product_quantity", *_SHARED_KEYS,
+    priced = lookup(items.where(F.col("unit_price") > 0), sold, "sale_item_id", spread_by=["document_id", "item_id"])
+    lines = priced.groupBy(
+        "document_id", "product_id", "quantity", "unit_price", "discount", "item_freight", "recipient_tax", "goods_cost"
     ).agg(
-        F.sum(money.repeated(money.in_units(F.col("item_expenses")), repeats)).alias("expenses"),
-        F.sum(money.repeated(F.col("sale_terms"), without_payments, 4)).alias("terms"),
-        F.sum(counted).alias("line_count"),
+        F.count(F.lit(1)).alias("items"),
+        F.count("item_id").alias("known_items"),
+        F.sum(money.repeated(money.in_units(F.col("item_expenses")), F.lit(1))).alias("item_expenses"),
+    )
+    lines = lines.join(quantities, ["document_id", "product_id"])
+    lines = lines.join(_product_rows(tables), "product_id").join(documents, "document_id")
+    repeats = F.col("document_rows") * F.col("product_rows")
+    grouped = lines.withColumns(
+        {
+            "expenses": money.repeated(F.col("item_expenses"), repeats),
+            "terms": money.repeated(F.col("document_terms"), F.col("items") * F.col("product_rows"), 4),
+            "line_count": F.col("known_items") * repeats,
+        }
     )
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
     return grouped.withColumns(
@@ -231,29 +245,39 @@ def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cu
     sale_ids = base.select("sale_id")
     # Order totals are reached through the order, so those of unknown orders count for nothing.
     order_ids = base.select("order_id").where(F.col("order_id").isNotNull())
-    order_totals = (
-        tables["order_total"]
-        .join(order_ids, "order_id", "left_semi")
-        .join(tables["order"].select("order_id"), "order_id", "left_semi")
-    )
+    known_orders = within_keys(tables["order"].select("order_id"), "order_id", order_ids)
+    order_totals = of_keys(tables["order_total"], "order_id", order_ids).join(known_orders, "order_id", "left_semi")
 
     sales = lookup(base, matches_per_key(order_totals, "order_id", "order_totals"), "order_id", spread_by=["sale_id"])
     sales = _with_sale_fields(sales, tables, params, sale_ids, ["sale_id"])
     sales = _with_parties(sales.withColumn("sold_to", F.col("customer_id")), tables, params, "sale_id", "sold_to")
 
-    products = parts.products_with_maker(tables).select(
-        "product_id", "sku", "product_name", "list_cost", "product_group", "maker"
+    sales = sales.groupBy("sale_id", "sale_date", "sale_freight", *_DOCUMENT_KEYS).agg(
+        F.sum(times(F.col("order_totals"), F.col("field_rows"))).alias("sale_rows")
     )
-    lines = tables["sale_item"].join(sales, "sale_id").join(products, "product_id")
 
-    repeats = times(F.col("order_totals"), F.col("field_rows"))
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
-    counted = F.when(F.col("sale_item_id").isNotNull(), repeats).otherwise(F.lit(0))
-    grouped = lines.groupBy("sale_id", "sale_date", "sale_freight", *_SHARED_KEYS).agg(
-        F.sum(money.repeated(money.net_line(*line), repeats)).alias("net_value"),
-        F.sum(money.repeated(money.net_unit(*line), repeats, 10)).alias("unit_value"),
-        F.sum(money.repeated(money.in_units(F.col("item_expenses")), repeats)).alias("other_expenses"),
-        F.sum(counted).alias("line_count"),
+    once = F.lit(1)
+    items = of_keys(tables["sale_item"], "sale_id", sale_ids)
+    sums = {
+        "net_value": (money.net_line(*line), 8),
+        "unit_value": (money.net_unit(*line), 10),
+        "other_expenses": (money.in_units(F.col("item_expenses")), 8),
+    }
+    lines = items.groupBy("sale_id", "product_id", "goods_cost").agg(
+        *[F.sum(money.repeated(amount, once, scale)).alias(name) for name, (amount, scale) in sums.items()],
+        F.count("sale_item_id").alias("line_count"),
+    )
+    # Products of one name are one line.
+    lines = lines.join(_product_rows(tables), "product_id").groupBy("sale_id", "goods_cost", *_PRODUCT_KEYS).agg(
+        *[F.sum(money.repeated(F.col(n), F.col("product_rows"), scale)).alias(n) for n, (_, scale) in sums.items()],
+        F.sum(F.col("line_count") * F.col("product_rows")).alias("line_count"),
+    )
+    grouped = lines.join(sales, "sale_id").withColumns(
+        {
+            **{n: money.repeated(F.col(n), F.col("sale_rows"), scale) for n, (_, scale) in sums.items()},
+            "line_count": F.col("line_count") * F.col("sale_rows"),
+        }
     )
     return grouped.withColumns(
         {

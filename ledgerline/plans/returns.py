@@ -13,6 +13,7 @@ from ledgerline.operators.attributes import attribute_values
 from ledgerline.operators.filters import listed, other_than
 from ledgerline.operators.joins import lookup, role, times
 from ledgerline.operators.tables import coerce_numbers, lower_names
+from ledgerline.operators.windows import of_keys, within_keys
 from ledgerline.params import RunParams
 from ledgerline.plans import parts
 from ledgerline.sources.readers import Cut, Tables, keep_lazy
@@ -34,13 +35,15 @@ def returned_documents(tables: Tables, params: RunParams) -> DataFrame:
         & listed(F.col("status"), codes.document_status)
         & (project.isNull() | other_than(project, codes.return_excluded_project))
     )
-    fiscal = tables["document_fiscal"].where(F.col("operation_nature") == codes.return_nature).drop("operation_nature")
+    ids = documents.select("document_id")
+    fiscal = within_keys(tables["document_fiscal"], "document_id", ids)
+    fiscal = fiscal.where(F.col("operation_nature") == codes.return_nature).drop("operation_nature")
     sales = tables["sale"].select(
         "sale_id", "order_id", "payment_form_id", "payment_term_id", "discount_pct",
         F.col("sale_id").alias("known_sale_id"),
     )
     found = documents.withColumn("without_project", project.isNull()).join(fiscal, "document_id")
-    found = lookup(found, tables["document_sale"], "document_id")
+    found = lookup(found, within_keys(tables["document_sale"], "document_id", ids), "document_id")
     found = lookup(found, sales, "sale_id", spread_by=["document_id"])
     return found.drop("sale_id").withColumnRenamed("known_sale_id", "sale_id")
 
@@ -48,9 +51,9 @@ def returned_documents(tables: Tables, params: RunParams) -> DataFrame:
 def freight_fields_per_sale(tables: Tables, params: RunParams, sales: DataFrame) -> DataFrame:
     """Per sale: how many freight field values it has, and their sum as a number."""
     pattern = params.codes.return_freight_pattern
-    fields = attribute_values(tables["attribute_type"], tables["attribute_value"], pattern, "freight")
+    values = of_keys(tables["attribute_value"], "sale_id", sales)
     return (
-        fields.join(sales, "sale_id", "left_semi")
+        attribute_values(tables["attribute_type"], values, pattern, "freight")
         .groupBy("sale_id")
         .agg(
             F.count(F.lit(1)).alias("freight_fields"),
@@ -66,7 +69,7 @@ def exits_per_document(tables: Tables, documents: DataFrame) -> DataFrame:
     """
     values = documents.select("document_id", "document_value").distinct()
     return (
-        tables["document_exit"]
+        within_keys(tables["document_exit"], "document_id", values)
         .join(values, "document_id")
         .groupBy("document_id")
         .agg(
@@ -97,27 +100,33 @@ def return_lines(tables: Tables, params: RunParams, cut: Cut = keep_lazy) -> Dat
     products = parts.products_with_maker(tables).select(
         "product_id", "sku", "product_name", "list_cost", "cost", "product_group", "maker"
     )
-    items = tables["document_item"].where(F.col("unit_price") > 0)
-    lines = items.join(documents, "document_id").join(products, "product_id")
-
+    # Items are reduced to sums per document and product first: all shares are linear in these.
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
-    net = money.net_line(*line)
+    items = of_keys(tables["document_item"].where(F.col("unit_price") > 0), "document_id", base.select("document_id"))
+    items = items.groupBy("document_id", "product_id").agg(
+        F.sum(money.net_line(*line)).alias("net"),
+        F.sum(money.net_unit(*line)).alias("unit"),
+        F.sum("quantity").alias("quantity"),
+        F.sum(money.goods_before_discount_pct(*line)).alias("goods"),
+        F.count(F.lit(1)).alias("items"),
+    )
+    lines = items.join(products, "product_id").join(documents, "document_id")
     # A line repeats for every exit and every freight field value; the freight shares depend on
     # these rows only through the sums made before.
     fields = times(F.col("freight_fields"))
     repeats = times(F.col("exits")) * fields
-    share = money.freight_share(net, F.col("freight_rate"), fields)
+    share = money.freight_share(F.col("net"), F.col("freight_rate"), fields)
     extra = money.extra_freight_share(
-        *line, F.col("discount_pct"), F.col("goods_share"), F.coalesce(F.col("sale_freight"), F.lit(0))
+        F.col("goods"), F.col("discount_pct"), F.col("goods_share"), F.coalesce(F.col("sale_freight"), F.lit(0))
     )
     grouped = lines.groupBy(
         "issue_date", "order_date", "intermediary_code", "intermediary", "product_group", "sku", "product_name",
         "document_expenses", "cost", "list_cost", "document_number", "carrier", "state", "city", "neighbourhood",
         "customer", "maker", "payment_form", "payment_term", "order_number", "company_id", "without_project",
     ).agg(
-        F.sum(money.repeated(net, repeats)).alias("net_value"),
-        F.sum(money.repeated(money.net_unit(*line), repeats, 10)).alias("unit_value"),
-        F.sum(repeats).alias("orders"),
+        F.sum(money.repeated(F.col("net"), repeats)).alias("net_value"),
+        F.sum(money.repeated(F.col("unit"), repeats, 10)).alias("unit_value"),
+        F.sum(repeats * F.col("items")).alias("orders"),
         money.rounded_count(F.sum(money.repeated(F.col("quantity"), repeats, 4))).alias("sold_quantity"),
         F.sum(share).alias("freight"),
         F.sum(extra).alias("extra_freight"),
