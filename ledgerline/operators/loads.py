@@ -60,15 +60,24 @@ def replace_by_key(
     required: Sequence[str] = (),
     null_safe_keys: bool = False,
     defaults: Mapping[str, Column] | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
     """Drop the target rows whose key occurs in the batch, then add the whole batch.
 
     The key need not be unique. If it does not name the document, replacing a key also
     removes older lines of that key which the batch does not bring back. Rows with a null
-    in the key are never removed, so loading the same batch twice repeats them.
+    in the key are never removed, so loading the same batch twice repeats them. ``kind`` names
+    a column to add that says what became of each row: ``kept`` or ``loaded``.
     """
     kept = rows_outside(target, batch_keys(batch, keys, key_types, required), keys, null_safe_keys)
-    return kept.unionByName(conform(batch, target, defaults))
+    return _of_kind(kept, kind, KEPT).unionByName(_of_kind(conform(batch, target, defaults), kind, LOADED))
+
+
+KEPT, LOADED, INSERTED, UPDATED, REMOVED = "kept", "loaded", "inserted", "updated", "removed"
+
+
+def _of_kind(rows: DataFrame, column: str | None, value: str | Column) -> DataFrame:
+    return rows if column is None else rows.withColumn(column, F.lit(value) if isinstance(value, str) else value)
 
 
 def replace_snapshot(target: DataFrame, snapshot: DataFrame, defaults: Mapping[str, Column] | None = None) -> DataFrame:
@@ -118,39 +127,73 @@ def upsert(
 
 
 def apply_latest(
-    target: DataFrame, latest: DataFrame, keys: Sequence[str], defaults: Mapping[str, Column] | None = None
+    target: DataFrame,
+    latest: DataFrame,
+    keys: Sequence[str],
+    defaults: Mapping[str, Column] | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
-    """``upsert`` of changes that have one row per key already, as ``last_per_key`` and ``new_or_changed`` give."""
-    kept = rows_outside(target, latest.select(*keys), keys)
+    """``upsert`` of changes that have one row per key already, as ``last_per_key`` and ``new_or_changed`` give.
+
+    ``kind`` names a column to add that says what became of each row: ``kept``, ``inserted`` or ``updated``.
+    """
+    kept = _of_kind(rows_outside(target, latest.select(*keys), keys), kind, KEPT)
     defaults = defaults or {}
     own = [name for name in target.columns if name not in latest.columns]
-    if own:
-        held = target.select(*keys, *own).withColumn("_held", F.lit(True))
-        latest = lookup(latest, held, list(keys), "left")
-        latest = latest.withColumns(
-            {
-                name: F.when(F.col("_held"), F.col(name)).otherwise(
-                    defaults.get(name, F.lit(None)).cast(target.schema[name].dataType)
-                )
-                for name in own
-            }
-        ).drop("_held")
-    return kept.unionByName(conform(latest, target))
-
-
-def load_counts(**loads: DataFrame) -> DataFrame:
-    """One row per named load: ``load, row_count``."""
-    counts = [
-        frame.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("load"), "row_count")
-        for name, frame in loads.items()
-    ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionByName(count)
-    return result
+    if not own and kind is None:
+        return kept.unionByName(conform(latest, target))
+    held = target.select(*keys, *own).withColumn("_held", F.lit(True))
+    if not own:
+        held = held.distinct()
+    joined = lookup(latest, held, list(keys), "left").withColumns(
+        {
+            name: F.when(F.col("_held"), F.col(name)).otherwise(
+                defaults.get(name, F.lit(None)).cast(target.schema[name].dataType)
+            )
+            for name in own
+        }
+    )
+    became = F.when(F.col("_held"), UPDATED).otherwise(INSERTED)
+    shaped = conform(joined.drop("_held"), target)
+    if kind is not None:
+        shaped = joined.select(*[F.col(f"`{name}`").cast(target.schema[name].dataType).alias(name) for name in target.columns], became.alias(kind))
+    return kept.unionByName(shaped)
+
+
+def counts_by_kind(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], key_types: Mapping[str, str] | None = None, required: Sequence[str] = ()
+) -> DataFrame:
+    """``kind, row_count`` of a ``replace_by_key`` in one pass over target and batch: kept, removed and loaded rows."""
+    gone = batch_keys(batch, keys, key_types, required).dropna(subset=list(keys)).withColumn("_gone", F.lit(True))
+    old = lookup(target.select(*keys), gone, list(keys), "left", spread_by=list(keys))
+    kinds = old.select(F.when(F.col("_gone"), REMOVED).otherwise(KEPT).alias("kind"))
+    return kinds.unionByName(batch.select(F.lit(LOADED).alias("kind"))).groupBy("kind").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def load_counts(kinds: DataFrame) -> DataFrame:
+    """``load, row_count`` of a replacement's ``counts_by_kind``: the target before, the batch, and what was written.
+
+    The few counts are spread over the loads they belong to, so no row is counted twice.
+    """
+    belongs = {KEPT: ("target", "written"), REMOVED: ("target",), LOADED: ("batch", "written")}
+    named = F.create_map(*[F.lit(x) for kind, loads in belongs.items() for x in (kind, ",".join(loads))])
+    rows = kinds.select(F.explode(F.split(named[F.col("kind")], ",")).alias("load"), "row_count")
+    every = F.explode(F.array(*[F.lit(name) for name in ("target", "batch", "written")])).alias("load")
+    none = kinds.agg(F.count(F.lit(1))).select(every, F.lit(0).cast("bigint").alias("row_count"))
+    return rows.unionByName(none).groupBy("load").agg(F.sum("row_count").alias("row_count"))
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """The same rows, counted while they are written."""
     observation = Observation(name)
     return df.observe(observation, F.count(F.lit(1)).alias("row_count")), observation
+
+
+def observed_kinds(df: DataFrame, kind: str, name: str) -> tuple[DataFrame, Observation]:
+    """The same rows without the column ``kind``, counted by it while they are written.
+
+    The counts are those of the tasks that write, of which only one attempt each is taken.
+    """
+    observation = Observation(name)
+    counts = [F.count_if(F.col(kind) == value).alias(value) for value in (KEPT, LOADED, INSERTED, UPDATED)]
+    return df.observe(observation, *counts).drop(kind), observation

@@ -9,7 +9,8 @@ folders and makes them current in one step:
 * ``PartitionedTable`` - only the partitions a load touches are written, once, to a folder
   of the load. A small version file says which folder holds each partition. It is made
   current by a rename, which fails if another load made that version first; the load is
-  then computed again from the new version, so no load undoes another.
+  then computed again from the new version, so no load undoes another. Beside its data a
+  load writes key summaries, by which later loads tell the partitions they need not open.
 
 All folders live under the target's path, which must be reachable from every executor.
 """
@@ -24,7 +25,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.loads import apply_latest, batch_keys, last_per_key, observed, replace_by_key
+from ledgerline.operators.loads import (
+    INSERTED,
+    KEPT,
+    LOADED,
+    REMOVED,
+    UPDATED,
+    apply_latest,
+    batch_keys,
+    last_per_key,
+    observed,
+    observed_kinds,
+    replace_by_key,
+)
+from ledgerline.sinks import summaries
 
 Columns = Sequence[tuple[str, str]]
 
@@ -127,13 +141,26 @@ class SnapshotTable:
         return count
 
 
+_KIND = "_kind"
+
+
+def _keys_label(keys: Sequence[str]) -> str:
+    """A folder name for a list of key columns."""
+    return "-".join(keys)
+
+
 @dataclass(frozen=True)
 class Version:
-    """What a version file says: the load folder of each partition, and the loads done with their row counts."""
+    """What a version file says: the load folder of each partition, and the latest loads with their row counts.
+
+    ``counts``: of each of these loads, the rows that were kept, removed, loaded, inserted and updated in the partitions
+    it touched.
+    """
 
     number: int = 0
     folders: Mapping[str, str] = field(default_factory=dict)
     loads: Mapping[str, int] = field(default_factory=dict)
+    counts: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
 
     def file_name(self) -> str:
         return f"{self.number:010d}.json"
@@ -156,6 +183,7 @@ class PartitionedTable:
     partition_name: str
     partition: Column
     keep_versions: int = 2
+    keep_loads: int = 1000
 
     @property
     def _data(self) -> str:
@@ -190,6 +218,29 @@ class PartitionedTable:
         wanted = {name: load for name, load in folders.items() if since is None or name >= since}
         return self._rows_of(wanted).drop(self.partition_name)
 
+    def counts(self, run_id: str) -> Mapping[str, int]:
+        """Rows by what a load did to them, in the partitions it touched: kept, removed, loaded, inserted, updated."""
+        return self.current().counts.get(run_id, {})
+
+    def _summaries(self, version: Version, keys: Sequence[str]) -> DataFrame:
+        """The summaries of the version's partitions, where these keys were summarised."""
+        kinds = dict(self.columns)
+        schema = summaries.summary_schema([(key, kinds[key]) for key in keys], self.partition_name)
+        folder = Folder(self.spark, f"{self.path}/summaries")
+        label = _keys_label(keys)
+        there = {name.removeprefix("load_folder=") for name in folder.names(f"keys_of={label}")}
+        paths = [f"{folder.path}/keys_of={label}/load_folder={load}" for load in sorted(set(version.folders.values()) & there)]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        found = self.spark.read.schema(f"{schema}, load_folder string").option("basePath", f"{folder.path}/keys_of={label}").parquet(*paths)
+        held = self.spark.createDataFrame(list(version.folders.items()), f"`{self.partition_name}` string, load_folder string")
+        return found.join(held, [self.partition_name, "load_folder"], "left_semi").drop("load_folder")
+
+    def candidates(self, version: Version, wanted: DataFrame, keys: Sequence[str]) -> set[str]:
+        """Partitions of the version that may hold one of the wanted keys; no data is opened."""
+        found = self._summaries(version, keys)
+        return summaries.candidates(found, self.partition_name, wanted, keys, version.folders)
+
     def _shaped(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.partition_name, F.coalesce(self.partition.cast("string"), F.lit("none")))
 
@@ -204,7 +255,7 @@ class PartitionedTable:
         """Replace the batch's keys; returns the number of rows loaded (0: nothing was touched)."""
 
         def change(target: DataFrame, staged: DataFrame) -> DataFrame:
-            return replace_by_key(target, staged, keys, key_types, required)
+            return replace_by_key(target, staged, keys, key_types, required, kind=_KIND)
 
         return self._load(batch, run_id, keys, lambda staged: batch_keys(staged, keys, key_types, required), change)
 
@@ -225,7 +276,7 @@ class PartitionedTable:
         latest = changes if order_by is None else last_per_key(changes, keys, order_by)
 
         def change(target: DataFrame, staged: DataFrame) -> DataFrame:
-            return apply_latest(target, staged, keys, defaults)
+            return apply_latest(target, staged, keys, defaults, kind=_KIND)
 
         return self._load(latest, run_id, keys, lambda staged: staged.select(*keys), change)
 
@@ -252,14 +303,17 @@ class PartitionedTable:
                 staging.remove(folder)
                 return 0
             staged = self.spark.read.schema(batch.schema).parquet(f"{staging.path}/{folder}")
-            after = self._written(version, folder, staged, keys, wanted(staged), change)
-            done = Version(version.number + 1, after, {**version.loads, run_id: rows})
+            after, kinds = self._written(version, folder, staged, keys, wanted(staged), change)
+            latest = list(version.loads.items())[1 - self.keep_loads :] if self.keep_loads > 1 else []
+            counts = {name: version.counts[name] for name, _ in latest if name in version.counts}
+            done = Version(version.number + 1, after, {**dict(latest), run_id: rows}, {**counts, run_id: kinds})
             published = self.publish(done)
             staging.remove(folder)
             if published:
                 self._clean(done)
                 return rows
             Folder(self.spark, self._data).remove(f"load_folder={folder}")
+            Folder(self.spark, f"{self.path}/summaries").remove(f"keys_of={_keys_label(keys)}/load_folder={folder}")
 
     def _written(
         self,
@@ -269,28 +323,49 @@ class PartitionedTable:
         keys: Sequence[str],
         wanted: DataFrame,
         change: Callable[[DataFrame, DataFrame], DataFrame],
-    ) -> dict[str, str]:
-        """Write the touched partitions' new rows; returns every partition's load folder."""
-        current = self._rows_of(version.folders)
-        old = current.select(self.partition_name, *keys).join(wanted.dropna(), list(keys), "left_semi")
+    ) -> tuple[dict[str, str], dict[str, int]]:
+        """Write the touched partitions' new rows; returns every partition's load folder, and the rows by kind."""
+        kinds = dict(self.columns)
+        typed = wanted.dropna().select(*[F.col(key).cast(kinds[key]).alias(key) for key in keys])
+        near = self.candidates(version, typed, keys)
+        searched = self._rows_of({name: load for name, load in version.folders.items() if name in near})
+        old = searched.select(self.partition_name, *keys).join(typed, list(keys), "left_semi")
         # Driver-side list of partition names, one per partition of the table at most.
         names = old.select(self.partition_name).union(self._shaped(staged).select(self.partition_name)).distinct()
         touched = {row[0] for row in names.collect()}
         held = {name: load for name, load in version.folders.items() if name in touched}
-        after = self._shaped(change(self._rows_of(held).drop(self.partition_name), staged))
-        # Rebalanced by measured size: a large partition is written by many tasks, small ones by one.
+        before = self._rows_of(held)
+        after = self._shaped(change(before.drop(self.partition_name), staged))
+        # Rebalanced by measured size: a large partition is written by many tasks, small ones by one. The rows are
+        # counted behind the exchange, in the tasks that write them.
         path = f"load_folder={folder}"
-        after.hint("rebalance", self.partition_name).write.mode("overwrite").partitionBy(self.partition_name).parquet(
-            f"{self._data}/{path}"
-        )
+        marked, observation = observed_kinds(after.hint("rebalance", self.partition_name), _KIND, "after")
+        marked.write.mode("overwrite").partitionBy(self.partition_name).parquet(f"{self._data}/{path}")
         prefix = f"{self.partition_name}="
-        written = [name for name in Folder(self.spark, self._data).names(path) if name.startswith(prefix)]
+        written = {name.removeprefix(prefix): folder for name in Folder(self.spark, self._data).names(path) if name.startswith(prefix)}
+        self._summarise(written, keys)
+        by_kind = {name: int(observation.get[name]) for name in (KEPT, LOADED, INSERTED, UPDATED)}
+        by_kind[REMOVED] = self._row_count(version, held, keys) - by_kind[KEPT] - by_kind[UPDATED] if held else 0
         kept = {name: load for name, load in version.folders.items() if name not in touched}
-        return kept | {name.removeprefix(prefix): folder for name in written}
+        return kept | written, by_kind
+
+    def _row_count(self, version: Version, held: Mapping[str, str], keys: Sequence[str]) -> int:
+        """Rows of some partitions, from their summaries; only those without one are counted."""
+        known = summaries.row_counts(self._summaries(version, keys), self.partition_name)
+        unknown = {name: load for name, load in held.items() if name not in known}
+        counted = self._rows_of(unknown).count() if unknown else 0
+        return counted + sum(known.get(name, 0) for name in held)
+
+    def _summarise(self, written: Mapping[str, str], keys: Sequence[str]) -> None:
+        """Write the key summaries of partitions just written, from their key columns."""
+        if written:
+            folder = next(iter(written.values()))
+            found = summaries.summarised(self._rows_of(written).select(self.partition_name, *keys), self.partition_name, keys)
+            found.write.mode("overwrite").parquet(f"{self.path}/summaries/keys_of={_keys_label(keys)}/load_folder={folder}")
 
     def publish(self, version: Version) -> bool:
         """Make the version current; False if another load has made one of its number."""
-        content = json.dumps({"folders": version.folders, "loads": version.loads})
+        content = json.dumps({"folders": version.folders, "loads": version.loads, "counts": version.counts})
         return self._versions().write_new(version.file_name(), content)
 
     def _clean(self, current: Version) -> None:
@@ -300,7 +375,9 @@ class PartitionedTable:
             self._versions().remove(name)
         named = {load for name in files[-self.keep_versions :] for load in self._version(name).folders.values()}
         begun_before = f"{current.number - 1:010d}"
-        for folder, prefix in ((self._data, "load_folder="), (f"{self.path}/staging", "")):
+        of_keys = f"{self.path}/summaries"
+        summed = [(f"{of_keys}/{name}", "load_folder=") for name in Folder(self.spark, of_keys).names()]
+        for folder, prefix in ((self._data, "load_folder="), (f"{self.path}/staging", ""), *summed):
             for name in Folder(self.spark, folder).names():
                 load = name.removeprefix(prefix)
                 if load < begun_before and load not in named:

@@ -433,6 +433,13 @@ _ACCOUNT = "CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(18,
 _CENTS = "CASE WHEN o_orderstatus <> 'P' THEN CAST(ROUND(o_totalprice * 100) AS DECIMAL(18,4)) END"
 
 
+# Whether a row's month is one that the batch falls in or takes rows from.
+_TOUCHED = """COALESCE(CAST(DATE_TRUNC('month', {row}.ship_day) AS DATE), DATE '0001-01-01') IN (
+    SELECT COALESCE(CAST(DATE_TRUNC('month', ship_day) AS DATE), DATE '0001-01-01') FROM batch
+    UNION ALL SELECT COALESCE(CAST(DATE_TRUNC('month', t.ship_day) AS DATE), DATE '0001-01-01') FROM target t
+    WHERE EXISTS (SELECT 1 FROM batch b WHERE b.order_code = t.order_code AND b.l_partkey = t.l_partkey))"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -474,6 +481,27 @@ def oracle_sql() -> dict[str, str]:
         codes=_CODES,
     )
 
+    sql["fields_in_one_scan"] = _statement(
+        "attribute_type attribute_value",
+        """SELECT s.sale_id, t.value AS traffic, p.value AS prospect, t.n AS traffic_n, p.n AS prospect_n,
+                  f.n AS freight_rows, CAST(NULL AS BIGINT) AS unknown_rows
+           FROM (SELECT DISTINCT sale_id FROM attribute_value CROSS JOIN codes
+                 WHERE attribute_type_id IN (codes.freight, codes.traffic, codes.prospect)) s
+           LEFT JOIN (SELECT sale_id, value, COUNT(*) AS n FROM attribute_value CROSS JOIN codes
+                      WHERE attribute_type_id = codes.traffic GROUP BY 1, 2) t ON t.sale_id = s.sale_id
+           LEFT JOIN (SELECT sale_id, value, COUNT(*) AS n FROM attribute_value CROSS JOIN codes
+                      WHERE attribute_type_id = codes.prospect GROUP BY 1, 2) p ON p.sale_id = s.sale_id
+           LEFT JOIN (SELECT sale_id, COUNT(*) AS n FROM attribute_value CROSS JOIN codes
+                      WHERE attribute_type_id = codes.freight GROUP BY 1) f ON f.sale_id = s.sale_id""",
+        codes=_CODES,
+    )
+    sql["window_items"] = _statement(
+        "document document_item",
+        f"""SELECT document_id, COUNT(*) AS items, CAST(SUM(quantity) AS DOUBLE) AS quantity FROM document_item
+           WHERE document_id IN (SELECT document_id FROM document WHERE issue_date >= {_WINDOW[0]})
+           GROUP BY document_id""",
+    )
+
     sql["invoice_lines"] = _statement(
         _BILLING_VIEWS, "SELECT * FROM invoices", **_BILLING_STEPS, **_invoice_steps(*_WHOLE)
     )
@@ -642,6 +670,17 @@ def oracle_sql() -> dict[str, str]:
         **_LOAD_STEPS,
     )
 
+    sql["written_counts"] = _statement(
+        "",
+        """SELECT kind, (SELECT COUNT(*) FROM written) AS rows_after, CAST(row_count AS BIGINT) AS row_count FROM (
+             SELECT 'loaded' AS kind, COUNT(*) AS row_count FROM batch
+             UNION ALL SELECT 'inserted', 0 UNION ALL SELECT 'updated', 0
+             UNION ALL SELECT 'removed', (SELECT COUNT(*) FROM target) + (SELECT COUNT(*) FROM batch) - (SELECT COUNT(*) FROM written)
+             UNION ALL SELECT 'kept', COUNT(*) - (SELECT COUNT(*) FROM batch b2 WHERE """ + _TOUCHED.format(row="b2") + """)
+                        FROM written w WHERE """ + _TOUCHED.format(row="w") + """)""",
+        **_LOAD_STEPS,
+    )
+
     sql["daily_billing_summary"] = _statement(
         _BILLING_VIEWS, f"SELECT orders, {_money('total')} AS total FROM billed_day", **_BILLING_OF_YEAR
     )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions import labels, money, texts
-from ledgerline.operators import attributes, delta, filters, joins, loads, tables
+from ledgerline.operators import attributes, delta, filters, joins, loads, tables, windows
 from ledgerline.params import Codes, RunParams
 from ledgerline.plans import alert, billing, orders, parts, returns, stock, summary
 from ledgerline.session import configure
@@ -219,6 +219,26 @@ def attribute_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales
 
 
+@query
+def fields_in_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = retail_tables(spark, sf_dir)
+    shown = {name: PATTERNS[name] for name in ("traffic", "prospect")}
+    counted = {"freight": PATTERNS["freight"], "unknown": None}
+    fields = attributes.fields_per_sale(source["attribute_type"], source["attribute_value"], shown, counted)
+    for name in shown:
+        fields = fields.withColumn(name, F.explode_outer(name))
+    values = [F.col(f"{name}.value").alias(name) for name in shown] + [F.col(f"{name}.n").alias(f"{name}_n") for name in shown]
+    return fields.select("sale_id", *values, "freight_rows", "unknown_rows")
+
+
+@query
+def window_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = retail_tables(spark, sf_dir)
+    documents = source["document"].where(filters.since(F.col("issue_date"), PARAMS.billing_start)).select("document_id")
+    items = windows.of_keys(source["document_item"], "document_id", documents)
+    return items.groupBy("document_id").agg(F.count(F.lit(1)).alias("items"), F.sum("quantity").alias("quantity"))
+
+
 # --- datasets -----------------------------------------------------------------------
 
 
@@ -294,7 +314,7 @@ def freight_proration(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def extra_freight(spark: SparkSession, sf_dir: str) -> DataFrame:
     share = money.extra_freight_share(
-        *[F.col(name) for name in _LINE],
+        money.goods_before_discount_pct(*[F.col(name) for name in _LINE]),
         F.col("discount_pct"),
         money.goods_share(F.col("document_value"), F.coalesce(F.col("sale_freight"), F.lit(0))),
         texts.parse_locale_decimal(F.lit("1.234,56")),
@@ -637,8 +657,19 @@ def last_line_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = _target_and_batch(spark, sf_dir)
-    written = loads.replace_by_key(target, batch, ["order_code", "l_partkey"])
-    return loads.load_counts(target=target, batch=batch, written=written)
+    return loads.load_counts(loads.counts_by_kind(target, batch, ["order_code", "l_partkey"]))
+
+
+@query
+def written_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by kind of a load through the writer, as counted while it wrote, and the target's rows after it."""
+    target, batch = _target_and_batch(spark, sf_dir)
+    table = _written(target, "ship_day")
+    for run_id, rows in (("first", target), ("second", batch)):
+        table.replace_by_key(rows, run_id, ["order_code", "l_partkey"])
+    counts = F.explode(F.create_map(*[F.lit(x) for pair in sorted(table.counts("second").items()) for x in pair]))
+    after = table.read().agg(F.count(F.lit(1)).alias("rows_after"))
+    return after.select("rows_after", counts.alias("kind", "row_count"))
 
 
 # --- reports ----------------------------------------------------------------------------------

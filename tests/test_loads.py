@@ -76,11 +76,19 @@ def test_last_per_key_keeps_rows_with_a_null_key(spark):
 
 def test_counts(spark):
     target = frame(spark, [("1", "A", 1)])
-    counts = loads.load_counts(target=target, batch=target.limit(0)).collect()
-    assert {row.load: row.row_count for row in counts} == {"target": 1, "batch": 0}
+    counts = loads.load_counts(loads.counts_by_kind(target, target.limit(0), ["code"])).collect()
+    assert {row.load: row.row_count for row in counts} == {"target": 1, "batch": 0, "written": 1}
+    target = frame(spark, [("1", "A", 1), ("1", "A", 2), (None, "A", 3), ("2", "B", 4)])
+    batch = frame(spark, [("1", "A", 9), (None, "A", 8), ("3", "C", 7)])
+    kinds = loads.counts_by_kind(target, batch, ["code", "sku"])
+    assert {row.kind: row.row_count for row in kinds.collect()} == {"kept": 2, "removed": 2, "loaded": 3}
+    counts = loads.load_counts(kinds).collect()
+    assert {row.load: row.row_count for row in counts} == {"target": 4, "batch": 3, "written": 5}
+    nothing = loads.load_counts(loads.counts_by_kind(target.limit(0), target.limit(0), ["code"])).collect()
+    assert {row.load: row.row_count for row in nothing} == {"target": 0, "batch": 0, "written": 0}
     seen, observation = loads.observed(target, "seen")
     seen.collect()
-    assert observation.get["row_count"] == 1
+    assert observation.get["row_count"] == 4
 
 
 def test_allowlist_and_coercion(spark):
