@@ -2,7 +2,8 @@
 
 Each match of the splitting pattern is a word. The words of some MB of text that are not known yet become
 token-position rows; a recursive query joins them with the merge table and contracts, round by round, the leftmost pair
-of least rank of every word, until no pair has a rank. Known words are kept in a bounded table of the Python worker.
+of least rank of every word, until no pair has a rank. Known words, and pieces of text of one or more words, are kept
+by the Python worker in tables bounded by bytes, from which only what is long out of use is dropped (``pieces.py``).
 Decoding joins (text, position, id) rows with the vocabulary and aggregates in the order of the positions.
 
 The vocabulary is read by the driver and sent to the tasks (its size is that of the file, not of the data). Words of
@@ -17,7 +18,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 
 import duckdb
@@ -28,12 +28,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.pieces import Pieces, encoded, joined
 from ledgerline.llm.words import slices
 
 LONG_WORD = 512
 QUERY_WORDS = 50_000
-KNOWN_WORDS = 250_000
-SLICE_BYTES = 2 << 20
+WORD_BYTES = 192 << 20
+PIECE_BYTES = 256 << 20
+SLICE_BYTES = 4 << 20
 DECODE_IDS = 1 << 20
 
 _START = """
@@ -80,31 +82,19 @@ SELECT i.doc, string_agg(v.chars, '' ORDER BY i.pos) AS chars
 FROM token_ids i JOIN vocabulary v ON v.id = i.id GROUP BY i.doc
 """
 
-_SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_TWO_SPACES = re.compile(r"\s\s|\x00")
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut before single spaces between other characters, where every match of the pattern ends too."""
-    if _TWO_SPACES.search(text):
-        parts = _SAFE_SPACE.split(text)
-        return parts[:1] + [" " + part for part in parts[1:]]
-    return text.replace(" ", "\x00 ").split("\x00")
-
-
 class Codec:
     """The merge table and the vocabulary in a DuckDB database in memory."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.findall = regex.compile(pattern).findall
-        self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.words = Pieces(self._learn, max_bytes=WORD_BYTES)
+        self.pieces = Pieces(self._joined, max_bytes=PIECE_BYTES)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = [
@@ -155,17 +145,18 @@ class Codec:
             at = end[at]
         return result
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words that are not known yet."""
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode words: all their ids in a row, and the number of ids of each."""
+        results: list[np.ndarray | None] = [None] * len(words)
         short = []
-        for word in words:
+        for i, word in enumerate(words):
             raw = word.encode()
             if raw in self.ranks:
-                self.words[word] = self.ranks[raw].to_bytes(4, "little")
+                results[i] = np.array([self.ranks[raw]], np.int32)
             elif len(raw) > LONG_WORD:
-                self.words[word] = np.array(self._contract_long(raw), "<u4").tobytes()
+                results[i] = np.array(self._contract_long(raw), np.int32)
             else:
-                short.append((word, raw))
+                short.append((i, raw))
         for at in range(0, len(short), QUERY_WORDS):
             part = short[at : at + QUERY_WORDS]
             sizes = np.array([len(raw) for _, raw in part])
@@ -178,36 +169,30 @@ class Codec:
             self.db.register("positions", pa.table({k: pa.array(v.astype(np.int32)) for k, v in columns.items()}))
             self.db.execute(_START)
             found = self.db.sql(_ENCODE).to_arrow_table()["ids"].combine_chunks()
-            flat = found.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            limits = (np.append(0, np.cumsum(pa.compute.list_value_length(found).to_numpy())) * 4).tolist()
-            for (word, _), begin, end in zip(part, limits, limits[1:]):
-                self.words[word] = flat[begin:end]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > KNOWN_WORDS or len(self.words) > KNOWN_WORDS:
-            self.known, self.words = {}, {}
-        cut = [pieces(text) for text in texts]
-        fresh = list(set().union(*cut).difference(self.known))
-        matches = [self.findall(piece) for piece in fresh]
-        self._learn(list(set().union(*matches).difference(self.words)))
-        word = self.words.__getitem__
-        self.known.update(zip(fresh, (word(m[0]) if len(m) == 1 else b"".join(map(word, m)) for m in matches)))
-        known = self.known.__getitem__
-        return [b"".join(map(known, parts)) for parts in cut]
-
-    def decode(self, encoded: list[bytes]) -> list[bytes]:
+            flat = found.flatten().to_numpy(zero_copy_only=False)
+            limits = np.append(0, np.cumsum(pa.compute.list_value_length(found).to_numpy())).tolist()
+            for (i, _), begin, end in zip(part, limits, limits[1:]):
+                results[i] = flat[begin:end]
+        return (np.concatenate(results) if results else np.zeros(0, np.int32)), np.array([len(r) for r in results], np.int64)
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, from those of their words."""
+        return joined([self.findall(piece) for piece in pieces], self.words)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and the number of ids of each; a null text has none."""
+        return encoded(texts, self.pieces)
+
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes that each text's ids stand for."""
-        result = [b""] * len(encoded)
+        result = [b""] * len(sizes)
+        ends = np.cumsum(sizes)
         at = 0
-        while at < len(encoded):
-            to, total = at, 0
-            while to < len(encoded) and (to == at or total + len(encoded[to]) // 4 <= DECODE_IDS):
-                total += len(encoded[to]) // 4
-                to += 1
-            ids = np.frombuffer(b"".join(encoded[at:to]), "<u4").astype(np.int32)
-            sizes = np.array([len(e) // 4 for e in encoded[at:to]])
-            rows = {"doc": pa.array(np.repeat(np.arange(at, to), sizes)), "pos": pa.array(np.arange(len(ids))), "id": pa.array(ids)}
+        while at < len(sizes):
+            begin = int(ends[at] - sizes[at])
+            to = max(at + 1, int(np.searchsorted(ends, begin + DECODE_IDS, "right")))
+            part, stop = sizes[at:to], int(ends[to - 1])
+            rows = {"doc": pa.array(np.repeat(np.arange(at, to), part)), "pos": pa.array(np.arange(stop - begin)), "id": pa.array(ids[begin:stop])}
             self.db.register("token_ids", pa.table(rows))
             for doc, chars in self.db.execute(_DECODE).fetchall():
                 result[doc] = chars.encode("latin-1")
@@ -246,20 +231,21 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, pattern)
         for part in slices(batches, "text", SLICE_BYTES):
-            encoded = codec.encode([text or "" for text in part.column(1).to_pylist()])
-            sizes = np.array([len(e) // 4 for e in encoded], np.int64)
+            ids, sizes = codec.encode(part.column(1))
+            limits = np.append(0, np.cumsum(sizes))
             columns = {"doc_id": part.column(0), "n_tokens": pa.array(sizes)}
-            decoded = codec.decode(encoded) if {"decoded", "decoded_sha256"} & set(outputs) else None
+            decoded = codec.decode(ids, sizes) if {"decoded", "decoded_sha256"} & set(outputs) else None
             for name in outputs:
                 if name == "ids":
-                    values = np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)
-                    limits = np.append(0, np.cumsum(sizes)).astype(np.int32)
-                    columns[name] = pa.ListArray.from_arrays(pa.array(limits), pa.array(values))
+                    columns[name] = pa.ListArray.from_arrays(pa.array(limits.astype(np.int32)), pa.array(ids))
                 elif name == "decoded":
                     columns[name] = pa.array(decoded, pa.binary())
+                elif name == "ids_sha256":
+                    raw = memoryview(ids.astype("<u4").tobytes())
+                    digests = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(limits.tolist(), limits[1:].tolist())]
+                    columns[name] = pa.array(digests, pa.string())
                 else:
-                    of = encoded if name == "ids_sha256" else decoded
-                    columns[name] = pa.array([hashlib.sha256(x).hexdigest() for x in of], pa.string())
+                    columns[name] = pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -274,8 +260,10 @@ def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, pattern)
         for part in batches:
-            encoded = [np.array(ids or [], "<u4").tobytes() for ids in part.column(1).to_pylist()]
-            columns = [part.column(0), pa.array(codec.decode(encoded), pa.binary())]
+            lists = part.column(1)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+            columns = [part.column(0), pa.array(codec.decode(ids, sizes), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "decoded"])
 
     wanted = tokens.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_ENTRY_BYTES = 150  # of a short text and its number in a dictionary
+_ENTRY_BYTES = 190  # of a short text and its number in a dictionary
 
 
 def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -131,6 +131,17 @@ def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(numbered), number, np.searchsorted(begins, limits)
 
 
+def joined(lists: list[list[str]], table: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of lists of words, one after the other, and the number of ids of each list."""
+    numbers: dict[str, int] = {}
+    of = np.array([numbers.setdefault(word, len(numbers)) for found in lists for word in found], np.int64)
+    flat, sizes = table.ids(list(numbers))
+    starts = np.cumsum(sizes) - sizes
+    total = np.append(0, np.cumsum(sizes[of]))
+    limits = np.append(0, np.cumsum([len(found) for found in lists])).astype(np.int64)
+    return flat[gather(starts[of], sizes[of])], np.diff(total[limits])
+
+
 def encoded(texts: pa.Array, table: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts in a row (a null text: none), and the number of ids of each text."""
     pieces, number, limits = cut(texts)

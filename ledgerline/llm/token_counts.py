@@ -11,18 +11,20 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.bpe import KNOWN_WORDS, SLICE_BYTES, pieces
+from ledgerline.llm.bpe import SLICE_BYTES
+from ledgerline.llm.pieces import Pieces, cut
 from ledgerline.llm.shared import checkpointed
 from ledgerline.llm.words import slices
 
 BUCKET = 256
-_counters: dict[tuple, tuple[tiktoken.Encoding, dict[str, int]]] = {}
+_counters: dict[tuple, Pieces] = {}
 
 
 def lengths(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -35,16 +37,18 @@ def lengths(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
         key = (path, pattern, len(shared.value))
         if key not in _counters:
             encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
-            _counters[key] = (encoding, {})
-        encoding, known = _counters[key]
+
+            def counted(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+                # In place of its ids, a piece's number of ids.
+                return np.array([len(encoding.encode_ordinary(piece)) for piece in pieces], np.int32), np.ones(len(pieces), np.int64)
+
+            _counters.clear()
+            _counters[key] = Pieces(counted)
+        known = _counters[key]
         for part in slices(batches, "text", SLICE_BYTES):
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-            cut = [pieces(text or "") for text in part.column(1).to_pylist()]
-            fresh = list(set().union(*cut).difference(known))
-            known.update((piece, len(encoding.encode_ordinary(piece))) for piece in fresh)
-            counts = pa.array([sum(map(known.__getitem__, parts)) for parts in cut], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0), counts], ["doc_id", "n_tokens"])
+            pieces, number, limits = cut(part.column(1))
+            total = np.append(0, np.cumsum(known.ids(pieces)[0].astype(np.int64)[number]))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(total[limits]))], ["doc_id", "n_tokens"])
 
     wanted = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return wanted.mapInArrow(run, f"doc_id {wanted.schema['doc_id'].dataType.simpleString()}, n_tokens long")
