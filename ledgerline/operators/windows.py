@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 def within_keys(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose ``column`` is between the least and the greatest of ``keys``' first column; none if there is no key."""
     key = F.col(keys.columns[0])
-    bounds = keys.agg(F.min(key).alias("least"), F.max(key).alias("greatest"))
-    least, greatest = (bounds.select(name).scalar() for name in bounds.columns)
+    # Two aggregates would be merged into one subquery of a struct, whose fields are not pushed to a scan; an aggregate
+    # and a top row are not.
+    least = keys.agg(F.min(key).alias("least")).scalar()
+    greatest = keys.select(key.alias("greatest")).orderBy(F.desc_nulls_last("greatest")).limit(1).scalar()
     return rows.where((F.col(column) >= least) & (F.col(column) <= greatest))
 
 

@@ -14,23 +14,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixed_values as fv
+from ledgerline.operators import digests
+from ledgerline.operators.day_states import DayStates, day_totals
 from ledgerline.operators.tables import conform, project_allowlist
 from ledgerline.params import RunParams
 from ledgerline.plans.alert import alert_groups, alert_header, alert_items, location_styles
 from ledgerline.plans.billing import billing
-from ledgerline.plans.orders import ORDER_KEY, order_delta, order_lines
+from ledgerline.plans.orders import ORDER_DATE, ORDER_KEY, order_lines
 from ledgerline.plans.returns import returns
 from ledgerline.plans.stock import stock
-from ledgerline.plans.summary import report_lines, report_locations
+from ledgerline.plans.summary import BILLING_STATES, RETURN_STATES, report_lines, report_locations
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sinks.tables import PartitionedTable, SnapshotTable, ddl
-from ledgerline.sources.readers import Tables, checkpointed
+from ledgerline.sources.readers import Tables, checkpointed, target_window
 
 BILLING_KEY = ("order_identifier", "sku")
 RETURN_KEY = ("document_number", "sku")
 RETURN_KEY_TYPES = {"document_number": "bigint", "sku": "string"}
 # A column of the stock and order targets themselves: when a row was first written, in UTC.
 CREATED = (("created_at", "timestamp_ntz"),)
+# The order target keeps each row's digest, by which changes are found.
+ORDER_TARGET = (*fv.ORDER_COLUMNS, *CREATED, (digests.DIGEST, "binary"))
+ORDER_KINDS = digests.compared_kinds(fv.ORDER_COLUMNS, ORDER_KEY, ORDER_DATE)
 
 
 @dataclass(frozen=True)
@@ -44,14 +49,15 @@ class Targets:
 def open_targets(spark: SparkSession, root: str) -> Targets:
     """Targets under a shared folder, the growing ones partitioned by month."""
 
-    def monthly(name: str, columns, day: str) -> PartitionedTable:
-        return PartitionedTable(spark, f"{root}/{name}", columns, "month", F.date_format(F.col(day), "yyyy-MM"))
+    def monthly(name: str, columns, day: str, states: DayStates | None = None) -> PartitionedTable:
+        month = F.date_format(F.col(day), "yyyy-MM")
+        return PartitionedTable(spark, f"{root}/{name}", columns, "month", month, day_states=states)
 
     return Targets(
-        billing=monthly("billing", fv.BILLING_COLUMNS, "billing_date"),
-        returns=monthly("returns", fv.RETURN_COLUMNS, "issue_date"),
+        billing=monthly("billing", fv.BILLING_COLUMNS, "billing_date", BILLING_STATES),
+        returns=monthly("returns", fv.RETURN_COLUMNS, "issue_date", RETURN_STATES),
         stock=SnapshotTable(spark, f"{root}/stock", fv.STOCK_COLUMNS + CREATED),
-        orders=monthly("orders", fv.ORDER_COLUMNS + CREATED, "order_date"),
+        orders=monthly("orders", ORDER_TARGET, ORDER_DATE),
     )
 
 
@@ -91,7 +97,8 @@ def load_stock(tables: Tables, target: SnapshotTable, params: RunParams) -> int:
 def load_orders(tables: Tables, target: PartitionedTable, params: RunParams, run_id: str) -> int:
     """Load new and changed order lines; returns how many there were."""
     source = _in_shape(order_lines(tables, params), fv.ORDER_COLUMNS)
-    delta = order_delta(source, target.read(since=_month(params.order_start)), params)
+    window = target_window(target.read(since=_month(params.order_start)), ORDER_DATE, params.order_start)
+    delta = digests.new_or_changed(source, window, ORDER_KEY, ORDER_DATE, ORDER_KINDS)
     return target.upsert(delta, run_id, ORDER_KEY, defaults=_created())
 
 
@@ -111,8 +118,8 @@ def general_job(
     }
     month = _month(params.run_date)
     report = report_lines(
-        targets.billing.read(since=month),
-        targets.returns.read(since=month),
+        day_totals(targets.billing.states(since=month), params.run_date),
+        day_totals(targets.returns.states(since=month), params.run_date),
         targets.stock.read(),
         report_locations(spark),
         params.run_date,

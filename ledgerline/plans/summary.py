@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import fixed_values as fv
 from ledgerline.functions.texts import format_brl, format_brl_cents, format_day, format_quantity
+from ledgerline.operators.day_states import DayStates
 from ledgerline.operators.filters import on_day
 from ledgerline.operators.totals import bucket_totals, totals_by_entry
 
@@ -22,6 +23,11 @@ def report_locations(spark: SparkSession, rows: Sequence[tuple] = fv.REPORT_LOCA
     return spark.createDataFrame([(at, *row) for at, row in enumerate(rows)], LOCATION_SCHEMA)
 
 
+# What the loads of billing and returns keep by day, so that the report reads no line.
+BILLING_STATES = DayStates("billing_date", "document_number", ("net_value", "freight", "other_expenses"))
+RETURN_STATES = DayStates("issue_date", "document_number", ("net_value", "freight"))
+
+
 def daily_totals(lines: DataFrame, day_column: str, day: date, amounts: Sequence[str]) -> DataFrame:
     """One row: distinct documents of a day and the sum of their amounts.
 
@@ -36,11 +42,11 @@ def daily_totals(lines: DataFrame, day_column: str, day: date, amounts: Sequence
 
 
 def billing_totals(billing: DataFrame, day: date) -> DataFrame:
-    return daily_totals(billing, "billing_date", day, ["net_value", "freight", "other_expenses"])
+    return daily_totals(billing, BILLING_STATES.day, day, BILLING_STATES.amounts)
 
 
 def return_totals(returns: DataFrame, day: date) -> DataFrame:
-    return daily_totals(returns, "issue_date", day, ["net_value", "freight"])
+    return daily_totals(returns, RETURN_STATES.day, day, RETURN_STATES.amounts)
 
 
 def stock_by_location(stock: DataFrame, locations: DataFrame, measures: Mapping[str, str] = STOCK_MEASURES) -> DataFrame:
@@ -139,10 +145,10 @@ def headings(locations: DataFrame, run_date: date) -> DataFrame:
 
 
 def report_lines(
-    billing: DataFrame, returns: DataFrame, stock: DataFrame, locations: DataFrame, run_date: date
+    billed: DataFrame, returned: DataFrame, stock: DataFrame, locations: DataFrame, run_date: date
 ) -> DataFrame:
-    """``summary_lines`` (level 2) with titles and section headings; sort by ``position`` and ``level``."""
-    lines = summary_lines(billing, returns, stock, locations, run_date).withColumn("level", F.lit(2))
+    """``lines_of_totals`` (level 2) with titles and section headings; sort by ``position`` and ``level``."""
+    lines = lines_of_totals(billed, returned, stock, locations, run_date).withColumn("level", F.lit(2))
     above = headings(locations, run_date).withColumn("report_day", format_day(F.lit(run_date)))
     return lines.unionByName(above, allowMissingColumns=True)
 
@@ -150,16 +156,20 @@ def report_lines(
 def summary_lines(
     billing: DataFrame, returns: DataFrame, stock: DataFrame, locations: DataFrame, run_date: date
 ) -> DataFrame:
-    """The daily report: ``position, section, key, quantity, amount, text, report_day``.
+    """The daily report of billing and return lines."""
+    return lines_of_totals(
+        billing_totals(billing, run_date), return_totals(returns, run_date), stock, locations, run_date
+    )
+
+
+def lines_of_totals(
+    billed: DataFrame, returned: DataFrame, stock: DataFrame, locations: DataFrame, run_date: date
+) -> DataFrame:
+    """The daily report of one-row totals: ``position, section, key, quantity, amount, text, report_day``.
 
     Sort by ``position`` for the report order. Billing amounts are units, stock amounts cents.
     """
-    billed = _order_lines(
-        billing_totals(billing, run_date), "billing", 0, (fv.SUMMARY_BILLED_ORDERS, fv.SUMMARY_BILLED_TOTAL)
-    )
-    returned = _order_lines(
-        return_totals(returns, run_date), "returns", 2, (fv.SUMMARY_RETURNED_ORDERS, fv.SUMMARY_RETURNED_TOTAL)
-    )
+    orders = _order_lines(billed, "billing", 0, (fv.SUMMARY_BILLED_ORDERS, fv.SUMMARY_BILLED_TOTAL))
+    back = _order_lines(returned, "returns", 2, (fv.SUMMARY_RETURNED_ORDERS, fv.SUMMARY_RETURNED_TOTAL))
     held = _stock_lines(stock_by_location(stock, locations), STOCK_POSITION)
-    lines = billed.unionByName(returned).unionByName(held)
-    return lines.withColumn("report_day", format_day(F.lit(run_date)))
+    return orders.unionByName(back).unionByName(held).withColumn("report_day", format_day(F.lit(run_date)))

@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.day_states import STATE_SCHEMA, DayStates, states_of
 from ledgerline.operators.loads import (
     INSERTED,
     KEPT,
@@ -184,6 +185,7 @@ class PartitionedTable:
     partition: Column
     keep_versions: int = 2
     keep_loads: int = 1000
+    day_states: DayStates | None = None
 
     @property
     def _data(self) -> str:
@@ -233,8 +235,32 @@ class PartitionedTable:
         if not paths:
             return self.spark.createDataFrame([], schema)
         found = self.spark.read.schema(f"{schema}, load_folder string").option("basePath", f"{folder.path}/keys_of={label}").parquet(*paths)
-        held = self.spark.createDataFrame(list(version.folders.items()), f"`{self.partition_name}` string, load_folder string")
-        return found.join(held, [self.partition_name, "load_folder"], "left_semi").drop("load_folder")
+        return self._current_only(found, version.folders)
+
+    def _current_only(self, rows: DataFrame, folders: Mapping[str, str]) -> DataFrame:
+        """Of rows kept beside the data, those of the given partitions as their load folder has them."""
+        held = self.spark.createDataFrame(list(folders.items()), f"`{self.partition_name}` string, load_folder string")
+        return rows.join(held, [self.partition_name, "load_folder"], "left_semi").drop("load_folder")
+
+    def states(self, since: str | None = None) -> DataFrame:
+        """The day states of the current version's partitions (from a name on); no line is read.
+
+        Only partitions of loads that kept no states yet have theirs made from their lines.
+        """
+        wanted = {name: load for name, load in self.current().folders.items() if since is None or name >= since}
+        folder = Folder(self.spark, f"{self.path}/states")
+        there = {name.removeprefix("load_folder=") for name in folder.names()}
+        kept = {name: load for name, load in wanted.items() if load in there}
+        found = self.spark.createDataFrame([], STATE_SCHEMA)
+        if kept:
+            paths = [f"{folder.path}/load_folder={load}" for load in sorted(set(kept.values()))]
+            schema = f"`{self.partition_name}` string, {STATE_SCHEMA}, load_folder string"
+            rows = self.spark.read.schema(schema).option("basePath", folder.path).parquet(*paths)
+            found = self._current_only(rows, kept).drop(self.partition_name)
+        missing = {name: load for name, load in wanted.items() if name not in kept}
+        if missing:
+            found = found.unionByName(states_of(self._rows_of(missing), self.day_states))
+        return found
 
     def candidates(self, version: Version, wanted: DataFrame, keys: Sequence[str]) -> set[str]:
         """Partitions of the version that may hold one of the wanted keys; no data is opened."""
@@ -313,7 +339,8 @@ class PartitionedTable:
                 self._clean(done)
                 return rows
             Folder(self.spark, self._data).remove(f"load_folder={folder}")
-            Folder(self.spark, f"{self.path}/summaries").remove(f"keys_of={_keys_label(keys)}/load_folder={folder}")
+            for beside in (f"summaries/keys_of={_keys_label(keys)}", "states"):
+                Folder(self.spark, f"{self.path}/{beside}").remove(f"load_folder={folder}")
 
     def _written(
         self,
@@ -343,7 +370,7 @@ class PartitionedTable:
         marked.write.mode("overwrite").partitionBy(self.partition_name).parquet(f"{self._data}/{path}")
         prefix = f"{self.partition_name}="
         written = {name.removeprefix(prefix): folder for name in Folder(self.spark, self._data).names(path) if name.startswith(prefix)}
-        self._summarise(written, keys)
+        self._summarise(written, folder, keys)
         by_kind = {name: int(observation.get[name]) for name in (KEPT, LOADED, INSERTED, UPDATED)}
         by_kind[REMOVED] = self._row_count(version, held, keys) - by_kind[KEPT] - by_kind[UPDATED] if held else 0
         kept = {name: load for name, load in version.folders.items() if name not in touched}
@@ -356,12 +383,16 @@ class PartitionedTable:
         counted = self._rows_of(unknown).count() if unknown else 0
         return counted + sum(known.get(name, 0) for name in held)
 
-    def _summarise(self, written: Mapping[str, str], keys: Sequence[str]) -> None:
-        """Write the key summaries of partitions just written, from their key columns."""
-        if written:
-            folder = next(iter(written.values()))
-            found = summaries.summarised(self._rows_of(written).select(self.partition_name, *keys), self.partition_name, keys)
-            found.write.mode("overwrite").parquet(f"{self.path}/summaries/keys_of={_keys_label(keys)}/load_folder={folder}")
+    def _summarise(self, written: Mapping[str, str], folder: str, keys: Sequence[str]) -> None:
+        """Write the key summaries, and the day states, of partitions just written, from the columns these need."""
+        if not written:
+            return
+        rows, place = self._rows_of(written), f"load_folder={folder}"
+        found = summaries.summarised(rows.select(self.partition_name, *keys), self.partition_name, keys)
+        found.write.mode("overwrite").parquet(f"{self.path}/summaries/keys_of={_keys_label(keys)}/{place}")
+        if self.day_states is not None:
+            states = states_of(rows, self.day_states, [self.partition_name])
+            states.write.mode("overwrite").parquet(f"{self.path}/states/{place}")
 
     def publish(self, version: Version) -> bool:
         """Make the version current; False if another load has made one of its number."""
@@ -377,7 +408,8 @@ class PartitionedTable:
         begun_before = f"{current.number - 1:010d}"
         of_keys = f"{self.path}/summaries"
         summed = [(f"{of_keys}/{name}", "load_folder=") for name in Folder(self.spark, of_keys).names()]
-        for folder, prefix in ((self._data, "load_folder="), (f"{self.path}/staging", ""), *summed):
+        beside = [(f"{self.path}/states", "load_folder="), *summed]
+        for folder, prefix in ((self._data, "load_folder="), (f"{self.path}/staging", ""), *beside):
             for name in Folder(self.spark, folder).names():
                 load = name.removeprefix(prefix)
                 if load < begun_before and load not in named:

@@ -51,11 +51,13 @@ class SplitRead:
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """A read-only database; ``splits`` names the tables to read in ranges."""
+    """A read-only database; ``splits`` names the tables to read in ranges of equal width, ``predicates`` those to read by
+    predicates, such as ``splits.plan_splits`` plans for skewed columns."""
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[str, SplitRead] = field(default_factory=dict)
+    predicates: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     fetch_size: int = 10_000
 
     def options(self, table: str) -> dict[str, str]:
@@ -90,13 +92,18 @@ def jdbc_tables(
 ) -> Tables:
     """Tables of a database; each large one must have a split."""
     names = tuple(names)
-    unsplit = [name for name in LARGE_TABLES if name in names and name not in source.splits]
+    unsplit = [n for n in LARGE_TABLES if n in names and n not in source.splits and n not in source.predicates]
     if unsplit:
         raise ValueError(f"give a split read for the large tables {', '.join(unsplit)}")
-    return {
-        name: under_our_names(spark.read.format("jdbc").options(**source.options(name)).load(), name)
-        for name in names
-    }
+    return {name: under_our_names(_jdbc_table(spark, source, name), name) for name in names}
+
+
+def _jdbc_table(spark: SparkSession, source: JdbcSource, name: str) -> DataFrame:
+    options = source.options(name)
+    if name not in source.predicates:
+        return spark.read.format("jdbc").options(**options).load()
+    rest = {key: value for key, value in options.items() if key not in ("url", "dbtable")}
+    return spark.read.jdbc(source.url, options["dbtable"], predicates=list(source.predicates[name]), properties=rest)
 
 
 def read_sql(spark: SparkSession, text: str, tables: Tables, params: Mapping[str, Any]) -> DataFrame:

@@ -502,6 +502,12 @@ def oracle_sql() -> dict[str, str]:
            GROUP BY document_id""",
     )
 
+    sql["bucketed_window_items"] = sql["window_items"]
+    sql["equal_depth_splits"] = _statement(
+        "document_item",
+        "SELECT sale_item_id, CAST(1 AS BIGINT) AS splits, COUNT(*) AS row_count FROM document_item GROUP BY sale_item_id",
+    )
+
     sql["invoice_lines"] = _statement(
         _BILLING_VIEWS, "SELECT * FROM invoices", **_BILLING_STEPS, **_invoice_steps(*_WHOLE)
     )
@@ -643,6 +649,7 @@ def oracle_sql() -> dict[str, str]:
                CAST(p_size AS BIGINT) AS p_size FROM part"""
     sql["delta_empty_target"] = _statement(_ORDER_VIEWS, "SELECT * FROM latest", **_DELTA_STEPS)
     sql["delta_detect"] = _statement(_ORDER_VIEWS, "SELECT * FROM order_changes", **_DELTA_STEPS)
+    sql["delta_detect_digests"] = sql["delta_detect"]
     sql["delta_upsert"] = _statement(
         _ORDER_VIEWS,
         """SELECT * FROM order_target t WHERE NOT EXISTS (SELECT 1 FROM order_changes c
@@ -684,6 +691,7 @@ def oracle_sql() -> dict[str, str]:
     sql["daily_billing_summary"] = _statement(
         _BILLING_VIEWS, f"SELECT orders, {_money('total')} AS total FROM billed_day", **_BILLING_OF_YEAR
     )
+    sql["daily_billing_states"] = sql["daily_billing_summary"]
     sql["daily_returns_summary"] = _statement(
         _RETURN_VIEWS,
         f"SELECT orders, {_money('total')} AS total FROM returned_day",

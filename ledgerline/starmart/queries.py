@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions import labels, money, texts
-from ledgerline.operators import attributes, delta, filters, joins, loads, tables, windows
+from ledgerline.operators import attributes, day_states, delta, digests, filters, joins, loads, tables, windows
 from ledgerline.params import Codes, RunParams
 from ledgerline.plans import alert, billing, orders, parts, returns, stock, summary
 from ledgerline.session import configure
+from ledgerline.sinks.bucketed import write_bucketed
 from ledgerline.sinks.tables import PartitionedTable, SnapshotTable
 from ledgerline.sources.marks import high_water_mark
-from ledgerline.sources.readers import Tables, checkpointed, read_sql, target_window
+from ledgerline.sources.readers import Tables, catalog_tables, checkpointed, read_sql, target_window
+from ledgerline.sources.splits import plan_splits
 from ledgerline.starmart.mapping import retail_tables, star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,8 +237,36 @@ def fields_in_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = retail_tables(spark, sf_dir)
     documents = source["document"].where(filters.since(F.col("issue_date"), PARAMS.billing_start)).select("document_id")
-    items = windows.of_keys(source["document_item"], "document_id", documents)
-    return items.groupBy("document_id").agg(F.count(F.lit(1)).alias("items"), F.sum("quantity").alias("quantity"))
+    return _items_of(source["document_item"], documents)
+
+
+def _items_of(items: DataFrame, documents: DataFrame) -> DataFrame:
+    found = windows.of_keys(items, "document_id", documents).groupBy("document_id")
+    return found.agg(F.count(F.lit(1)).alias("items"), F.sum("quantity").alias("quantity"))
+
+
+@query
+def bucketed_window_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``window_items`` over documents and items kept bucketed by the document."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
+    wanted = ("document", "document_item")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    write_bucketed(spark, retail_tables(spark, sf_dir), name, buckets, f"{shared_folder(spark)}/{name}", wanted)
+    kept = catalog_tables(spark, name, wanted)
+    documents = kept["document"].where(filters.since(F.col("issue_date"), PARAMS.billing_start)).select("document_id")
+    return _items_of(kept["document_item"], documents)
+
+
+@query
+def equal_depth_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items by sale item, an often-null column, read split by split: each value's rows, and in how many splits they are."""
+    items = retail_tables(spark, sf_dir)["document_item"].select("sale_item_id", "item_id")
+    parts = [items.where(split.predicate).withColumn("split", F.lit(i)) for i, split in enumerate(plan_splits(items, "sale_item_id", 8))]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    return together.groupBy("sale_item_id").agg(F.count_distinct("split").alias("splits"), F.count(F.lit(1)).alias("row_count"))
 
 
 # --- datasets -----------------------------------------------------------------------
@@ -591,6 +621,15 @@ def delta_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.new_or_changed(source, target, orders.ORDER_KEY, orders.ORDER_DATE)
 
 
+@query
+def delta_detect_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``delta_detect`` against a target that keeps row digests: keys and digests of it are read."""
+    source, target = _order_source_and_target(spark, sf_dir)
+    kinds = digests.compared_kinds(_columns_of(source), orders.ORDER_KEY, orders.ORDER_DATE)
+    kept = cut(digests.with_digest(target, kinds))
+    return digests.new_or_changed(source, kept, orders.ORDER_KEY, orders.ORDER_DATE, kinds).drop(digests.DIGEST)
+
+
 @query
 def delta_empty_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _order_source_and_target(spark, sf_dir)
@@ -695,6 +734,24 @@ def daily_billing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.billing_totals(billing.billing(yearly_tables(spark, sf_dir), WHOLE, MARK, cut), YEAR_DAY)
 
 
+@query
+def daily_billing_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``daily_billing_summary`` from the day states that loads keep: a first load of some keys with other amounts, one that
+    replaces them and inserts the rest, and a repeated run of it."""
+    lines = cut(billing.billing(yearly_tables(spark, sf_dir), WHOLE, MARK, cut))
+    what = summary.BILLING_STATES
+    lines = lines.select("order_identifier", "sku", *what.columns)
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4()}"
+    month = F.date_format(F.col(what.day), "yyyy-MM")
+    table = PartitionedTable(spark, path, _columns_of(lines), "month", month, day_states=what)
+    keys = ["order_identifier", "sku"]
+    known = F.col("order_identifier").isNotNull() & F.col("sku").isNotNull()
+    table.replace_by_key(lines.where(known).withColumn("net_value", F.col("net_value") + 1), "first", keys)
+    for _ in range(2):
+        table.replace_by_key(lines, "second", keys)
+    return day_states.day_totals(table.states(), YEAR_DAY)
+
+
 @query
 def daily_returns_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.return_totals(returns.returns(yearly_tables(spark, sf_dir), YEAR, cut), YEAR_DAY)
