@@ -1,14 +1,16 @@
 """Language ID by compression: a text has the language whose dictionary compresses it best.
 
-For each language of the labelled documents, a raw-content dictionary of ``DICTIONARY_BYTES`` is made of a bounded sample
-of texts (about ``SAMPLE_DOCS`` a language, by a hash of the text, the first ``SAMPLE_CHARS`` characters of each;
-documents that are held out are never used). A whole text, in lower case, is cut into chunks of ``CHUNK_BYTES``, every
+For each language of the labelled documents, a raw-content dictionary of ``DICTIONARY_BYTES`` is made of a bounded sample:
+about ``SAMPLE_DOCS`` different texts a language, drawn by a hash of the text, copies counting once, and of each as many
+characters as fill the dictionary together, in ``PIECES`` pieces spread from its beginning to its end. Documents that are
+held out are never used. The driver holds one dictionary a language and nothing else of the texts. A whole text, in lower case, is cut into chunks of ``CHUNK_BYTES``, every
 chunk is compressed with each dictionary, with matches from four bytes on, and the sizes are added up: the smallest
 language wins, of equal ones the first by name. The score is how much smaller it is than the second, as a share; narrow margins are
 rejected (``accepted`` is false).
 
 A null text, or one without a letter, has the language ``und`` and score 0. With a single known language the score is 1;
-without any, all texts are ``und``. Repeated rows get equal results.
+without any, all texts are ``und``. Ties go to the first language by name. Repeated rows get equal results, an empty
+table none. Very long texts are compressed chunk by chunk. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from ledgerline.llm.statistics import held_out
 from ledgerline.llm.words import slices
 
 SAMPLE_DOCS = 400
-SAMPLE_CHARS = 2000
+PIECES = 3
 DICTIONARY_BYTES = 192 << 10
 CHUNK_BYTES = 4 << 10
 SETTINGS = {
@@ -40,20 +42,29 @@ UNKNOWN = "und"
 def dictionaries(docs: DataFrame, sample: int = SAMPLE_DOCS) -> dict[str, bytes]:
     """Raw contents by language, from a bounded sample of the rows that are not held out."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = {row["lang"]: row["count"] for row in known.groupBy("lang").count().collect()}
+    known = known.select(F.col("lang").cast("string").alias("lang"), F.lower(F.col("text").cast("string")).alias("text"))
+    known = known.withColumn("h", F.xxhash64("text"))
+    counts = {row["lang"]: row["count"] for row in known.select("lang", "h").distinct().groupBy("lang").count().collect()}
     if not counts:
         return {}
     parts = 1 << 30
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, sample / n) * parts)))])
-    chosen = known.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) < share[F.col("lang")])
-    rows = chosen.select("lang", F.lower(F.substring("text", 1, SAMPLE_CHARS)).alias("text")).collect()
-    texts: dict[str, set[str]] = {lang: set() for lang in counts}
+
+    def by_language(value) -> F.Column:
+        return F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(value(n)))])[F.col("lang")]
+
+    drawn = F.pmod(F.xxhash64("h"), F.lit(parts)) < by_language(lambda n: int(min(1.0, sample / n) * parts))
+    size = by_language(lambda n: -(-DICTIONARY_BYTES // (PIECES * min(n, sample))))
+    spare = F.greatest(F.length("text") - size, F.lit(0))
+    cuts = [F.substring(F.col("text"), F.floor(spare * i / (PIECES - 1)).cast("int") + 1, size) for i in range(PIECES)]
+    pieces = F.when(F.length("text") <= size * PIECES, F.col("text")).otherwise(F.concat_ws("\n", *cuts))
+    # Copies meet before anything is sent: a text that all rows share is one row.
+    rows = known.filter(drawn).groupBy("lang", "h").agg(F.min(pieces).alias("text")).collect()
+    texts: dict[str, list[str]] = {lang: [] for lang in counts}
     for row in rows:
-        texts[row["lang"]].add(row["text"])
+        texts[row["lang"]].append(row["text"])
     result = {}
     for lang in sorted(texts):
-        ordered = "\n".join(sorted(texts[lang], key=_spread)) or lang
+        ordered = "\n".join(sorted(texts[lang], key=lambda text: (_spread(text), text))) or lang
         result[lang] = ordered.encode()[-DICTIONARY_BYTES:].ljust(8)
     return result
 

@@ -1,6 +1,6 @@
 """Checking SQL of the operators that SQL can express; the others are tested against brute force."""
 
-from ledgerline.llm.warc import CUTS, DERIVED_DATE, ENTITIES, PAGE_HEADERS
+from ledgerline.llm.warc import BLANKS, CONTROL, CUTS, DERIVED_DATE, ENTITIES, PAGE_HEADERS
 
 OP1_CHAT = r"""
 WITH turns AS (
@@ -40,6 +40,17 @@ def _uuid(text: str) -> str:
     return f"('<urn:uuid:' || {parts} || '>')"
 
 
+def _uri(column: str) -> str:
+    for code in CONTROL:
+        column = f"replace({column}, chr({code}), '%{code:02X}')"
+    return column
+
+
+def _one_line(text: str) -> str:
+    return f"trim(regexp_replace({text}, '{BLANKS}', ' ', 'g'))"
+
+
+_TITLE = _one_line("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1)")
 _HEADERS = "".join(f" || 'source-header: {line}' || crlf" for line in PAGE_HEADERS.split("\r\n") if line)
 
 OP8_WARC = rf"""
@@ -52,7 +63,7 @@ WITH page AS (
 ), made AS (
   SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
     'source-payload-digest: ' || source_digest || crlf || 'source-payload-length: ' || strlen(html) || crlf {_HEADERS}
-    || 'title: ' || trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1)) || crlf
+    || 'title: ' || {_TITLE} || crlf
     || 'language: ' || regexp_extract(html, '(?i)<html[^>]*\blang=["'']?([A-Za-z-]+)', 1) || crlf
     || 'outlinks: ' || (len(regexp_split_to_array(html, '(?i)<a\s[^>]*href=')) - 1) || crlf
     || 'conversion: ' || {_uuid("refers_to || '|conversion'")} || crlf AS block
@@ -60,7 +71,7 @@ WITH page AS (
   UNION ALL
   SELECT *, 'conversion', 'text/plain; charset=utf-8', {_plain("html")} FROM source
 )
-SELECT page_id, record_type, {_uuid("refers_to || '|' || record_type")} AS record_id, refers_to, url AS target_uri,
+SELECT page_id, record_type, {_uuid("refers_to || '|' || record_type")} AS record_id, refers_to, {_uri('url')} AS target_uri,
   '{DERIVED_DATE}' AS refers_to_date, '{DERIVED_DATE}' AS date, source_digest, content_type,
   strlen(block)::BIGINT AS content_length, 'sha256:' || sha256(block) AS block_digest, block
 FROM made

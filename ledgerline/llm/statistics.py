@@ -155,10 +155,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     The sample is a share of the ids by hash; with at most ``rows`` labels it is all of them.
     """
     known = labels.filter(F.col(label).isin(0, 1) & ~held_out() & F.col("doc_id").isNotNull())
+    # An id with repeated labels counts once with each.
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).distinct()
     count = known.count()
     if count > rows:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(rows / count * (1 << 20)))
-    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
     wanted = features()
     counted = text_statistics(chosen).select("row.label", *[c.alias(name) for name, c in wanted.items()])

@@ -6,8 +6,12 @@ are made from the source's id, so a task that runs again makes the same records.
 Spark's text sink writes as WARC files (:func:`write`); :func:`read` splits them again by their lengths.
 
 The text of a page is its HTML without comments, scripts, styles and tags; ends of blocks are line breaks, spaces are
-joined, and the named entities of ``ENTITIES`` are resolved. Null payloads, headers and URIs are empty (a header without
-value is left out). Repeated responses give repeated records. Other columns are not read.
+joined, and the named entities of ``ENTITIES`` are resolved.
+
+Defined results. Control characters cannot break a record: in URIs they are percent-encoded, in field values and
+headers white space and control characters are joined to one space. Null payloads, headers and URIs are empty (a header without
+value is left out). Repeated responses give repeated, equal records; there are no ties to break. An empty table gives no
+records. A payload and its derivatives are values of one row, so of less than 2 GB. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +39,23 @@ CUTS = (
 )
 
 
+CONTROL = [*range(0x20), 0x7F]
+BLANKS = r"[\x00-\x20\x7F]+"
+FILE_RECORDS = 100_000
+
+
+def uri(text: Column) -> Column:
+    """A URI without control characters: each is percent-encoded."""
+    for code in CONTROL:
+        text = F.replace(text, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    return text
+
+
+def one_line(text: Column) -> Column:
+    """A field's value: white space and control characters as one space, none at the ends."""
+    return F.trim(F.regexp_replace(text, BLANKS, " "))
+
+
 def uuid_of(text: Column) -> Column:
     """A record id that is always the same for the same text."""
     digest = F.sha2(text, 256)
@@ -76,12 +97,13 @@ def derivatives(source: DataFrame, keep: tuple[str, ...] = (), date: str = DERIV
     """
     names = ("record_id", "target_uri", "date", "http_headers", "payload")
     known = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names}
+    known |= {"target_uri": uri(known["target_uri"]), "date": one_line(known["date"]), "record_id": one_line(known["record_id"])}
     read = source.select(*keep, *[c.alias(name) for name, c in known.items()])
     read = read.withColumn("source_digest", digest(F.col("payload"))).withColumn("plain", plain_text(F.col("payload")))
     # Header lines of the source are kept as fields, each with its own line; the status line is a field too.
     lines = F.filter(F.split("http_headers", "\r\n"), lambda line: line != "")
-    kept = F.transform(lines, lambda line: F.concat(F.lit("source-header: "), line, F.lit("\r\n")))
-    title = F.trim(F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title", 1))
+    kept = F.transform(lines, lambda line: F.concat(F.lit("source-header: "), one_line(line), F.lit("\r\n")))
+    title = one_line(F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title", 1))
     language = F.regexp_extract("payload", r"(?i)<html[^>]*\blang=[\"']?([A-Za-z-]+)", 1)
     links = F.size(F.split("payload", r"(?i)<a\s[^>]*href=")) - 1
     fields = F.concat(
@@ -132,8 +154,8 @@ def records(derived: DataFrame) -> DataFrame:
 
 
 def write(derived: DataFrame, path: str) -> None:
-    """WARC files, one a task."""
-    records(derived).write.option("lineSep", "\r\n").text(path)
+    """WARC files, one or more a task, of ``FILE_RECORDS`` records at most."""
+    records(derived).write.option("lineSep", "\r\n").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def read(spark, path: str) -> DataFrame:
