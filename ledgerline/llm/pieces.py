@@ -7,6 +7,7 @@ byte-level splitting pattern ends too, so encoding the pieces one by one gives t
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +51,7 @@ class Generation:
 
     def lookup(self, pieces: list[str]) -> np.ndarray:
         """Number of each piece, -1 if it is unknown."""
-        number = self.number.get
-        return np.fromiter((number(p, -1) for p in pieces), np.int64, len(pieces))
+        return np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
 
     def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = self.starts[numbers]
@@ -63,26 +63,43 @@ class Pieces:
     """Ids of pieces. What is not known is encoded and kept; when the table passes half of ``max_bytes``, it becomes the
     old one, from which pieces in use are taken over, and what stays unused goes with it at the next change."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kind: type = np.int32, max_bytes: int = 256 << 20):
-        self.encode, self.kind, self.max_bytes = encode, np.dtype(kind), max_bytes
+    def __init__(self, encode: Callable[..., tuple[np.ndarray, np.ndarray]], kind: type = np.int32, max_bytes: int = 256 << 20, own: bool = False):
+        """``own``: ``encode`` takes this table as its second argument, to look up parts of pieces."""
+        self.encode = (lambda pieces: encode(pieces, self)) if own else encode
+        self.kind, self.max_bytes = np.dtype(kind), max_bytes
         self.young, self.old = Generation(self.kind), Generation(self.kind)
 
+    def known(self, pieces: list[str]) -> dict[str, list[int] | None]:
+        """The ids of those of the pieces that are in the table, None for the others."""
+        found: dict[str, list[int] | None] = dict.fromkeys(pieces)
+        left = pieces
+        for generation in (self.young, self.old):
+            numbers = generation.lookup(left)
+            there = np.flatnonzero(numbers >= 0)
+            flat, sizes = generation.ids(numbers[there])
+            listed, ends = flat.tolist(), np.cumsum(sizes).tolist()
+            for at, begin, end in zip(there.tolist(), [0, *ends], ends):
+                found[left[at]] = listed[begin:end]
+            left = [left[at] for at in np.flatnonzero(numbers < 0).tolist()]
+        return found
+
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of different pieces in a row, and the number of ids of each."""
+        """All ids of the pieces in a row, and the number of ids of each."""
         if self.young.size > self.max_bytes // 2:
             self.old, self.young = self.young, Generation(self.kind)
         numbers = self.young.lookup(pieces)
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
-            left = [pieces[i] for i in missing]
+            asked = [pieces[i] for i in missing.tolist()]
+            left = list(dict.fromkeys(asked))
             in_old = self.old.lookup(left)
             known = in_old >= 0
             if known.any():
-                self.young.add([p for p, k in zip(left, known) if k], *self.old.ids(in_old[known]))
+                self.young.add([left[i] for i in np.flatnonzero(known).tolist()], *self.old.ids(in_old[known]))
             if not known.all():
-                fresh = [p for p, k in zip(left, known) if not k]
+                fresh = [left[i] for i in np.flatnonzero(~known).tolist()]
                 self.young.add(fresh, *self.encode(fresh))
-            numbers[missing] = self.young.lookup(left)
+            numbers[missing] = self.young.lookup(asked)
         return self.young.ids(numbers)
 
 
@@ -96,7 +113,8 @@ def _space_free(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Different pieces of all texts, the number of the piece at each place, and the places where the texts begin."""
+    """The pieces of all texts (a few may be listed twice), the number of the piece at each place, and the places where the
+    texts begin."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -120,15 +138,15 @@ def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     used = np.flatnonzero(place)
     place[used] = np.arange(len(used))
     number = place[keys]
-    listed = words.to_pylist()
+    listed = words.to_numpy(zero_copy_only=False).tolist()  # much quicker than to_pylist
     pieces = [" " + listed[key >> 1] if key & 1 else listed[key >> 1] for key in used.tolist()]
-    numbered = dict(zip(pieces, range(len(pieces))))  # " a" may come of both
+    longer: dict[str, int] = {}
     for at in np.flatnonzero(~single).tolist():
         begin = begins[at]
         parts = " ".join([listed[code] for code in codes[begin : begin + sizes[at]].tolist()])
         piece = parts if head[begin] else " " + parts
-        number[at] = numbered.setdefault(piece, len(numbered))
-    return list(numbered), number, np.searchsorted(begins, limits)
+        number[at] = len(used) + longer.setdefault(piece, len(longer))
+    return pieces + list(longer), number, np.searchsorted(begins, limits)
 
 
 def joined(lists: list[list[str]], table: Pieces) -> tuple[np.ndarray, np.ndarray]:

@@ -13,12 +13,17 @@ table gives no blocks. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
+from public_tokenizers import PATTERN
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,8 +34,9 @@ from ledgerline.llm.repair_grammar import Grammar, compress
 from ledgerline.llm.words import slices
 
 BLOCK_IDS = 1 << 18
-SLICE_BYTES = 4 << 20
-PIECES_A_TEXT = 500
+SLICE_BYTES = 6 << 20
+PIECE_BYTES = 320 << 20
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 GRAMMAR = ("alphabet", "rules", "lengths", "symbols", "samples")
 BLOCK = (
     "part int, block int, start_in_part long, n_ids long, first_id long, last_id long, doc_ids array<long>, doc_sizes array<long>, "
@@ -38,45 +44,58 @@ BLOCK = (
 )
 
 
-def library_encoder(vocabulary: str, ordinary: bool = True) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
-    """Encodes pieces by the tokenizers library. Pieces are joined by line feeds, which are tokens of their own between
-    two characters that are not white space, since the library is much slower on many short texts; pieces with a line feed or
-    white space at their end go alone. ``ordinary``: strings of special tokens in a text are text like any other."""
+def _byte_chars() -> dict[int, str]:
+    """The character that stands for each byte: itself if it is printable, else the next one from 256 on."""
+    shown = {b for b in range(256) if chr(b).isprintable() and b != 0x20 and b != 0xAD}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+BYTE_CHARS = _byte_chars()
+
+
+def library_encoder(vocabulary: str, ordinary: bool = True) -> Callable[[list[str], Pieces], tuple[np.ndarray, np.ndarray]]:
+    """Encodes pieces by the tokenizers library. The library is slow on many short texts, so pieces of common characters
+    are split into words here, by the library's own pattern, and each new word is given to its BPE model; all others are
+    encoded whole. ``ordinary``: strings of special tokens in a text are text like any other."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(vocabulary)
     tokenizer.encode_special_tokens = ordinary
-    feed = tokenizer.encode("\n", add_special_tokens=False).ids
-    special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-
-    def alone(pieces: list[str]) -> list[np.ndarray]:
-        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, np.int32) for e in found]
-
-    def plain(piece: str) -> bool:
-        head = piece[1:2] if piece[:1] == " " else piece[:1]
-        around = head.isprintable() and head != " " and piece[-1:].isprintable() and piece[-1:] != " "
-        return len(feed) == 1 and around and head != "" and "\n" not in piece and not any(s in piece for s in special)
-
-    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        results: list[np.ndarray | None] = [None] * len(pieces)
-        odd = [i for i, piece in enumerate(pieces) if not plain(piece)]
-        single = set(odd)
-        joint = [i for i in range(len(pieces)) if i not in single]
-        parts = [joint[at : at + PIECES_A_TEXT] for at in range(0, len(joint), PIECES_A_TEXT)]
-        found = alone(["\n".join([pieces[i] for i in part]) for part in parts])
-        for part, ids in zip(parts, found):
-            cuts = np.flatnonzero(ids == feed[0])
-            if len(cuts) != len(part) - 1:
-                odd += part
-                continue
-            for i, begin, end in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                results[i] = ids[begin:end]
-        for i, ids in zip(odd, alone([pieces[i] for i in odd])):
-            results[i] = ids
-        sizes = np.array([len(r) for r in results], np.int64)
-        return (np.concatenate(results) if results else np.zeros(0, np.int32)), sizes
+    of_word = tokenizer.model.tokenize
+    matches = regex.compile(PATTERN).findall
+    common = re.compile(r"[\n\x20-;=-~\u00A1-\u00AC\u00AE-\u017F]*").fullmatch  # "<" begins special tokens
+    steps = json.loads(vocabulary)
+    plain_steps = steps["pre_tokenizer"] == BYTE_LEVEL and steps.get("normalizer") is None and not steps["model"].get("ignore_merges")
+
+    def of_words(words: list[str]) -> list[list[int]]:
+        return [[token.id for token in of_word(word.encode().decode("latin-1").translate(BYTE_CHARS))] for word in words]
+
+    def encode(pieces: list[str], table: Pieces) -> tuple[np.ndarray, np.ndarray]:
+        single, several, others = [], [], []
+        for at, piece in enumerate(pieces):
+            if not plain_steps or common(piece) is None:
+                others.append(at)
+            elif piece.removeprefix(" ").isalpha():
+                single.append(at)
+            else:
+                several.append(at)
+        results: list = [None] * len(pieces)
+        for at, ids in zip(single, of_words([pieces[at] for at in single])):
+            results[at] = ids
+        # Words of longer pieces are often pieces themselves.
+        split = [matches(pieces[at]) for at in several]
+        known = table.known(list({word for found in split for word in found}))
+        missing = [word for word, ids in known.items() if ids is None]
+        known.update(zip(missing, of_words(missing)))
+        for at, found in zip(several, split):
+            results[at] = [i for word in found for i in known[word]]
+        if others:
+            whole = tokenizer.encode_batch_fast([pieces[at] for at in others], add_special_tokens=False)
+            for at, encoding in zip(others, whole):
+                results[at] = encoding.ids
+        return np.fromiter(chain.from_iterable(results), np.int32), np.fromiter(map(len, results), np.int64, len(results))
 
     return encode
 
@@ -89,7 +108,7 @@ def _pieces(vocabulary: str) -> Pieces:
     key = hash(vocabulary)
     if key not in _tables:
         _tables.clear()
-        _tables[key] = Pieces(library_encoder(vocabulary))
+        _tables[key] = Pieces(library_encoder(vocabulary), max_bytes=PIECE_BYTES, own=True)
     return _tables[key]
 
 

@@ -90,7 +90,7 @@ def test_empty_table(spark, tmp_path):
 @pytest.mark.parametrize("limit", [1, 1 << 14, 1 << 28])
 def test_piece_table_of_any_size_gives_the_same_ids(library, limit):
     with open(PATH, encoding="utf-8") as file:
-        table = pieces.Pieces(token_files.library_encoder(file.read()), max_bytes=limit)
+        table = pieces.Pieces(token_files.library_encoder(file.read()), max_bytes=limit, own=True)
     for seed in (1, 2, 1):
         texts = ODD + sample(20, seed)
         ids, sizes = pieces.encoded(pa.array(texts), table)
