@@ -23,6 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once in the shared folder: its lineage is cut, and lost executors lose nothing of it."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -54,3 +54,26 @@ def test_pipeline_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, DATA).count() == 0
+
+
+def test_pipeline_of_odd_documents(spark):
+    """Nulls, empty and long texts, repeated rows, clashing names, no n_chars: defined results, and no crash."""
+    documents = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang")
+    good = documents.where("length(text) BETWEEN 300 AND 3000").orderBy("doc_id").limit(40).collect()
+    rows = [(r.doc_id, r.text, r.lang, 1, "r", 2) for r in good]
+    odd = [(None, None), (900001, None), (900002, ""), (900003, " \n "), (900003, " \n "), (None, good[0].text + " more"), (900004, good[1].text)]
+    rows += [(i, text, None, None, None, None) for i, text in odd]
+    rows += [(900005, " ".join(f"{r.text}" for r in good) * 3, "x", 1, "r", 2), rows[2], rows[2]]
+    schema = "doc_id long, text string, lang string, hash int, row string, node int"
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    kept = None
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, DATA).collect(), schema)
+        kept = [r.doc_id for r in docs.collect()]
+        assert docs.columns == schema.replace(",", "").split(" ")[::2], name
+        if name == "near_copies":
+            assert 900004 not in kept and kept.count(rows[2][0]) == 3
+            assert sum(not (r.text or "").strip() for r in docs.collect()) == 1
+    final = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect()}
+    assert set(final) == set(kept) and all((r.n_tokens or 0) == len(r.ids) for r in final.values())
+    assert corpus_pipeline.quality(spark, spark.createDataFrame(rows, schema), DATA).columns == docs.columns
