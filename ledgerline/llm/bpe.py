@@ -33,9 +33,9 @@ from ledgerline.llm.words import slices
 
 LONG_WORD = 512
 QUERY_WORDS = 50_000
-WORD_BYTES = 192 << 20
-PIECE_BYTES = 256 << 20
-SLICE_BYTES = 4 << 20
+WORD_BYTES = 96 << 20
+PIECE_BYTES = 112 << 20
+SLICE_BYTES = 2 << 20
 DECODE_IDS = 1 << 20
 
 _START = """

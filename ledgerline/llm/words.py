@@ -12,13 +12,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = (np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179))
 _SHORT = 32
+_AT_A_TIME = 1 << 17
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -55,10 +56,17 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed:
                 total[some] += (values[starts[some] + place].astype(np.uint64) + np.uint64(1)) * keys[place]
     else:
         some = np.flatnonzero(sizes)
-        limits = np.cumsum(sizes[some]) - sizes[some]
-        place = np.arange(int(sizes[some].sum())) - np.repeat(limits, sizes[some])
-        found = values[place + np.repeat(starts[some], sizes[some])].astype(np.uint64) + np.uint64(1)
-        total[some] = np.add.reduceat(found * _keys(np.arange(longest), seed)[place], limits)
+        keys, ends_of = _keys(np.arange(longest), seed), np.cumsum(sizes[some])
+        at = 0
+        while at < len(some):  # some ranges at a time, so that little memory is held
+            done = int(ends_of[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends_of, done + _AT_A_TIME, "right")))
+            part = some[at:to]
+            limits = ends_of[at:to] - sizes[part] - done
+            place = np.arange(int(ends_of[to - 1]) - done) - np.repeat(limits, sizes[part])
+            found = values[place + np.repeat(starts[part], sizes[part])].astype(np.uint64) + np.uint64(1)
+            total[part] = np.add.reduceat(found * keys[place], limits)
+            at = to
     return mix(total + sizes.astype(np.uint64) * _GOLDEN)
 
 
