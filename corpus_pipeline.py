@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, decontamination, rule_ensemble, simhash, substrings
-from ledgerline.llm.shared import remove_folder, shared_folder, table, unpacked
+from ledgerline.llm.shared import batches_of, remove_folder, shared_folder, table, unpacked
 
 WINDOW_WORDS = 20
 TOKENIZER = "byte_bpe_50k.tiktoken"
+BATCH_ROWS = 1000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies, found by fingerprints in vantage-point trees and by minhashes, and
+    decided on the texts' shingles: the one with the smallest id."""
     return simhash.without_near_copies(docs)
 
 
@@ -76,11 +78,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
     docs, before = table(spark, sf_dir, "documents"), None
-    for number, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        if before:
-            remove_folder(spark, before)
-        before = path
+    with batches_of(spark, BATCH_ROWS):
+        for number, (name, stage) in enumerate(STAGES):
+            path = f"{folder}/{number}_{name}"
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if before:
+                remove_folder(spark, before)
+            before = path
     return docs

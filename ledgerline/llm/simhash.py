@@ -39,6 +39,7 @@ SEED = 42
 SEGMENTS = ((0, 23, 1), (23, 23, 1), (46, 18, 0))  # first bit, bits, radius: reach of 4 bits
 LEAF_ROWS = 256
 BLOCK_ROWS = 8192
+SLICE = 1 << 18
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -82,7 +83,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id"
     """(doc_id, fp) of every row."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", SLICE):
             fp = pa.array(fingerprints_of(part.column(1), shingle_words))
             yield pa.RecordBatch.from_arrays([part.column(0), fp], ["doc_id", "fp"])
 
@@ -272,15 +273,20 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["s"]
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"):
-    """(doc_id, fingerprint, component_id, fp) of every row of ``docs``; component_id is the smallest id reachable."""
-    prints = checkpointed(fingerprints(docs, shingle_words, id_col, text_col))
+def linked_prints(prints: DataFrame, max_bits: int = 4) -> DataFrame:
+    """(fp, first_id, label) of every fingerprint of (doc_id, fp) rows: label is the least fingerprint reachable by links."""
     firsts = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     none = F.lit(0).cast("long")
     found = links(firsts.select("fp", F.col("fp").alias("id"), none.alias("s1"), none.alias("s2")), max_bits)
     labels = components(found.select(F.col("id").alias("u"), F.col("label").alias("v")))
     labelled = firsts.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-    labelled = labelled.select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
+    return labelled.select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"):
+    """(doc_id, fingerprint, component_id, fp) of every row of ``docs``; component_id is the smallest id reachable."""
+    prints = checkpointed(fingerprints(docs, shingle_words, id_col, text_col))
+    labelled = linked_prints(prints, max_bits)
     least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = labelled.join(least, "label").select("fp", "component_id")
     text = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -290,6 +296,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
 # ---------------------------------------------------------------- near copies of 0.8 or more
 
 STAGE_SHINGLE = 5
+PRINT_SHINGLE = 4
 SIMILARITY = 0.8
 BANDS = 20
 BAND_ROWS = 6  # a pair of similarity s shares a bucket with probability 1 - (1 - s^6)^20: 0.998 at 0.8
@@ -327,10 +334,10 @@ def band_keys(shingles: np.ndarray, limits: np.ndarray) -> np.ndarray:
 
 
 def set_prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(did, th, size, h1, h2, keys): number and two hashes of a text's set of shingles, and its keys by band."""
+    """(did, th, fp, size, h1, h2, keys): a text's fingerprint, number and two hashes of its set of shingles, keys by band."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", SLICE):
             shingles, limits = shingle_sets(part.column(2))
             sizes = np.diff(limits)
             some = sizes > 0
@@ -340,11 +347,12 @@ def set_prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     total[some] = np.add.reduceat(mix(shingles + np.uint64(salt)), limits[:-1][some])
             keys = pa.array(band_keys(shingles, limits).view(np.int64).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(some * BANDS)).astype(np.int32)), keys)
-            columns = [part.column(0), part.column(1), pa.array(sizes, pa.int64()), *(pa.array(x.view(np.int64)) for x in sums), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["did", "th", "size", "h1", "h2", "keys"])
+            fp = pa.array(fingerprints_of(part.column(2), PRINT_SHINGLE))
+            columns = [part.column(0), part.column(1), fp, pa.array(sizes, pa.int64()), *(pa.array(x.view(np.int64)) for x in sums), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["did", "th", "fp", "size", "h1", "h2", "keys"])
 
     wanted = keyed(docs, id_col, text_col).select("did", "th", "text")
-    return wanted.mapInArrow(compute, "did long, th long, size long, h1 long, h2 long, keys array<long>")
+    return wanted.mapInArrow(compute, "did long, th long, fp long, size long, h1 long, h2 long, keys array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -359,7 +367,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> D
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(bitmap.value, np.uint8)
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", SLICE):
             place = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64) % BITMAP_SLOTS
             hit = (known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
             part = pa.Table.from_batches([part]).filter(pa.array(hit)).combine_chunks()
@@ -474,9 +482,11 @@ def without_near_copies(
     """One document of each group of near copies, the one with the smallest id; all columns stay.
 
     Texts are linked if the Jaccard similarity of their sets of five-word shingles is ``similarity`` or more, which is
-    decided on the sets. Compared are the texts that share a bucket of one of ``BANDS`` bands of minhashes: first each
-    with the least of its bucket, then those that this has not joined with each other. Groups are everything reachable
-    by links. Texts with equal sets are one from the start. Rows that share the smallest id stay.
+    decided on the sets. Compared are the texts whose fingerprints the vantage-point trees link to one component, and
+    those that share a bucket of one of ``BANDS`` bands of minhashes, as texts of that similarity often differ in more bits
+    than the trees reach: in each such group first each with its least, then those that this has not joined with each
+    other. Groups of copies are everything reachable by links. Texts with equal sets are one from the start. Rows that
+    share the smallest id stay.
     """
     prints = checkpointed(set_prints(docs, id_col, text_col))
     own = ["size", "h1", "h2"]
@@ -484,7 +494,10 @@ def without_near_copies(
     # Sets are equal if their sizes and both hashes are; the node is only a short name for the three.
     classes = prints.groupBy(*own).agg(firsts, F.first("keys").alias("keys"))
     classes = checkpointed(classes.withColumn("node", F.monotonically_increasing_id()))
-    rows = classes.select(F.explode("keys").alias("key"), "node", "size")
+    linked = checkpointed(linked_prints(prints.select(F.col("did").alias("doc_id"), "fp"))).select("fp", "label")
+    by_print = prints.filter("size > 0").select(*own, "fp").distinct().join(linked, "fp").select(*own, "label").distinct()
+    by_print = by_print.join(classes.select(*own, "node"), own).select(F.xxhash64(F.lit("fp"), "label").alias("key"), "node", "size")
+    rows = classes.select(F.explode("keys").alias("key"), "node", "size").unionByName(by_print)
     shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1").drop("n")
     met = checkpointed(rows.join(shared, "key"))
     wanted = classes.join(met.select("node").distinct(), "node", "left_semi").select("node", "one.did", "one.th")

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -375,6 +376,16 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert sorted(r.doc_id for r in left.collect()) == [*range(20), 45]
 
 
+@pytest.mark.parametrize("seed", [1899, 22970])
+def test_near_copies_without_a_common_band_are_found_by_their_fingerprints(spark, seed):
+    rng = np.random.default_rng(seed)
+    words = [f"w{x}" for x in rng.integers(0, 10**6, 104)]
+    texts = [" ".join(words), " ".join(words + [f"w{x}" for x in rng.integers(0, 10**6, 24)])]
+    keys = simhash.band_keys(*simhash.shingle_sets(pa.array(texts)))
+    assert not (keys[0] == keys[1]).any() and jaccard(*map(shingles_of, texts)) >= 0.8
+    assert [r.doc_id for r in simhash.without_near_copies(docs_of(spark, texts)).collect()] == [0]
+
+
 def shingles_of(text):
     words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
