@@ -49,7 +49,7 @@ def lookup(
 
     ``keys``: names shared by both sides, or {left name: right name}. ``spread_by`` names
     left columns that vary from row to row; it is given when a left key is often null
-    and the right side is large.
+    and the right side is large; where the left's schema excludes nulls there is nothing to spread.
     """
     if isinstance(keys, str):
         keys = [keys]
@@ -58,7 +58,7 @@ def lookup(
     condition = F.lit(True)
     for left_name, right_name in pairs.items():
         condition = condition & (F.col(left_name) == F.col(f"_key_{right_name}"))
-    if spread_by and how in ("left", "left_anti"):
+    if spread_by and how in ("left", "left_anti") and any(left.schema[name].nullable for name in pairs):
         first = next(iter(pairs.values()))
         condition = condition & _spread_condition(
             [F.col(name) for name in pairs], F.col(f"_key_{first}"), [F.col(name) for name in spread_by]

@@ -94,11 +94,13 @@ def last_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 
     Written as a maximum over the row, which is combined before the shuffle, so that a
     key with very many rows costs no more than any other. Rows with a null in the key
-    conflict with nothing and are all kept.
+    conflict with nothing and are all kept; where the schema excludes nulls, none are looked for,
+    so that the result stays dealt by its key and is joined on it without another exchange.
     """
     rest = [name for name in rows.columns if name not in keys and name not in order_by]
+    open_keys = [key for key in keys if rows.schema[key].nullable]
     complete = F.lit(True)
-    for key in keys:
+    for key in open_keys:
         complete = complete & F.col(key).isNotNull()
     row = F.struct(*order_by, *rest)
     winners = (
@@ -108,7 +110,7 @@ def last_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str])
         .select(*keys, *[F.col(f"_row.{name}").alias(name) for name in (*order_by, *rest)])
         .select(*rows.columns)
     )
-    return winners.unionByName(rows.where(~complete))
+    return winners.unionByName(rows.where(~complete)) if open_keys else winners
 
 
 def upsert(

@@ -34,7 +34,8 @@ def order_lines(tables: Tables, params: RunParams) -> DataFrame:
     lines = tables["order_item"].join(orders, "order_id").join(products, "product_id")
     quantity, price, discount = F.col("quantity"), F.col("unit_price"), F.col("discount")
     return lines.select(
-        "order_id",
+        # Never null behind the join; written so that the schema says it too.
+        F.coalesce(F.col("order_id"), F.lit(0).cast(lines.schema["order_id"].dataType)).alias("order_id"),
         "order_date",
         F.coalesce(F.col("partner"), F.lit(fv.ORDER_CHANNEL_DEFAULT)).alias("channel"),
         F.coalesce(F.col("identifier"), F.lit(fv.ORDER_IDENTIFIER_DEFAULT)).alias("identifier"),

@@ -12,6 +12,7 @@ from conftest import DATA_ROOT
 from pyspark.sql import functions as F
 
 from ledgerline.operators import joins, loads
+from ledgerline.plans import orders
 from ledgerline.sources.readers import keep_lazy
 from ledgerline.starmart import queries as registered
 
@@ -115,3 +116,18 @@ def test_grouped_rows_are_combined_before_the_shuffle(spark):
     text = plan(loads.last_per_key(rows, ["key"], ["day"]))
     assert text.index("partial_max") > text.index("Exchange hashpartitioning")
     assert "Window" not in text
+
+
+def test_last_rows_of_keys_that_are_never_null_meet_on_them_without_another_exchange(spark):
+    rows = spark.range(0, 100, 1, 4).select(F.col("id").alias("order_id"), F.lit("x").alias("order_date"))
+    with settings(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
+        latest = loads.last_per_key(rows, ["order_id"], ["order_date"])
+        met = joins.lookup(latest, latest.withColumnRenamed("order_date", "before"), ["order_id"])
+        found = plan(met)
+        assert met.count() == 100
+    assert "Union" not in found and found.count("Exchange hashpartitioning") <= 2
+
+
+def test_the_key_of_an_order_line_is_never_null(spark):
+    lines = orders.order_lines(registered.retail_tables(spark, FOLDER), registered.WHOLE)
+    assert not any(lines.schema[key].nullable for key in orders.ORDER_KEY)
