@@ -21,15 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, decontamination, rule_ensemble, simhash, substrings
-from ledgerline.llm.shared import batches_of, remove_folder, shared_folder, table, unpacked
+from ledgerline.llm.shared import remove_folder, shared_folder, small_batches, table, unpacked
 
 WINDOW_WORDS = 20
 TOKENIZER = "byte_bpe_50k.tiktoken"
-BATCH_ROWS = 1000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble, trained on the labels, does not reject."""
+    small_batches(spark)
     model = rule_ensemble.train(docs, table(spark, sf_dir, "labels"))
     return unpacked(rule_ensemble.scored(docs, model).filter("predicted = 1"), docs.columns)
 
@@ -37,11 +37,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, found by fingerprints in vantage-point trees and by minhashes, and
     decided on the texts' shingles: the one with the smallest id."""
+    small_batches(spark)
     return simhash.without_near_copies(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that start earlier in the corpus; documents of which nothing is left go."""
+    small_batches(spark)
     found = substrings.dedup(docs, WINDOW_WORDS).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
     changed = {"text": text}
@@ -52,11 +54,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of the ids and of what they decode to."""
+    small_batches(spark)
     outputs = ("ids", "ids_sha256", "decoded_sha256")
     return bpe.encode(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, outputs)
 
@@ -78,12 +82,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
     docs, before = table(spark, sf_dir, "documents"), None
-    with batches_of(spark, BATCH_ROWS):
-        for number, (name, stage) in enumerate(STAGES):
-            path = f"{folder}/{number}_{name}"
-            stage(spark, docs, sf_dir).write.parquet(path)
-            docs = spark.read.parquet(path)
-            if before:
-                remove_folder(spark, before)
-            before = path
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}_{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs

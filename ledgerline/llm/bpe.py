@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.pieces import Pieces, encoded, joined
 from ledgerline.llm.words import slices
+from ledgerline.llm.worker import kept
 
 LONG_WORD = 512
 QUERY_WORDS = 50_000
@@ -200,16 +201,17 @@ class Codec:
         return result
 
 
-_codecs: dict[tuple, Codec] = {}
+OPERATOR = "bpe"
 
 
 def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
     """One codec per Python worker, which keeps what it knows from task to task."""
+    codecs = kept(OPERATOR)
     key = (len(ranks), hash(frozenset(ranks.items())), pattern)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(ranks, pattern)
-    return _codecs[key]
+    if key not in codecs:
+        codecs.clear()
+        codecs[key] = Codec(ranks, pattern)
+    return codecs[key]
 
 
 def encode(
@@ -230,7 +232,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, pattern)
-        for part in slices(batches, "text", SLICE_BYTES):
+        for part in slices(batches, "text", SLICE_BYTES, OPERATOR):
             ids, sizes = codec.encode(part.column(1))
             limits = np.append(0, np.cumsum(sizes))
             columns = {"doc_id": part.column(0), "n_tokens": pa.array(sizes)}

@@ -22,9 +22,10 @@ from ledgerline.llm.bpe import SLICE_BYTES
 from ledgerline.llm.pieces import Pieces, cut
 from ledgerline.llm.shared import checkpointed
 from ledgerline.llm.words import slices
+from ledgerline.llm.worker import kept
 
 BUCKET = 256
-_counters: dict[tuple, Pieces] = {}
+OPERATOR = "token_counts"
 
 
 def lengths(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,18 +35,19 @@ def lengths(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = kept(OPERATOR)
         key = (path, pattern, len(shared.value))
-        if key not in _counters:
+        if key not in counters:
             encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
 
             def counted(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 # In place of its ids, a piece's number of ids.
                 return np.array([len(encoding.encode_ordinary(piece)) for piece in pieces], np.int32), np.ones(len(pieces), np.int64)
 
-            _counters.clear()
-            _counters[key] = Pieces(counted)
-        known = _counters[key]
-        for part in slices(batches, "text", SLICE_BYTES):
+            counters.clear()
+            counters[key] = Pieces(counted)
+        known = counters[key]
+        for part in slices(batches, "text", SLICE_BYTES, OPERATOR):
             pieces, number, limits = cut(part.column(1))
             total = np.append(0, np.cumsum(known.ids(pieces)[0].astype(np.int64)[number]))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(total[limits]))], ["doc_id", "n_tokens"])

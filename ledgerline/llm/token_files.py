@@ -32,6 +32,7 @@ from pyspark.sql.types import StructType
 from ledgerline.llm.pieces import Pieces, encoded, gather
 from ledgerline.llm.repair_grammar import Grammar, compress
 from ledgerline.llm.words import slices
+from ledgerline.llm.worker import kept
 
 BLOCK_IDS = 1 << 18
 SLICE_BYTES = 6 << 20
@@ -100,16 +101,17 @@ def library_encoder(vocabulary: str, ordinary: bool = True) -> Callable[[list[st
     return encode
 
 
-_tables: dict[int, Pieces] = {}
+OPERATOR = "token_files"
 
 
 def _pieces(vocabulary: str) -> Pieces:
     """One table a Python worker, which keeps what it knows from task to task."""
+    tables = kept(OPERATOR)
     key = hash(vocabulary)
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = Pieces(library_encoder(vocabulary), max_bytes=PIECE_BYTES, own=True)
-    return _tables[key]
+    if key not in tables:
+        tables.clear()
+        tables[key] = Pieces(library_encoder(vocabulary), max_bytes=PIECE_BYTES, own=True)
+    return tables[key]
 
 
 def ordered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -146,7 +148,7 @@ def write(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = 0, id_
         open_docs: list = []
         open_sizes: list[np.ndarray] = []
         waiting = 0
-        for batch in slices(batches, "text", SLICE_BYTES):
+        for batch in slices(batches, "text", SLICE_BYTES, OPERATOR):
             ids, sizes = encoded(batch.column(1), table)
             ends = np.cumsum(sizes + 1)
             whole = np.full(int(ends[-1]), end_id, np.int32)

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from ledgerline.llm.worker import give_back, kept
+
 SLICE_BYTES = 1 << 19
 
 _IS_WORD = np.ones(256, bool)
@@ -137,8 +139,12 @@ def split(column: pa.Array) -> Words:
     return Words(data, limits, starts, np.flatnonzero(closes) + 1, np.searchsorted(starts, limits))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of some MB of text; a longer text comes alone, but whole."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES, operator: str = "") -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of some MB of text; a longer text comes alone, but whole.
+
+    Of what the worker keeps from task to task, only the tables of ``operator`` stay.
+    """
+    kept(operator)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -148,3 +154,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
             to = max(at + 1, int(np.searchsorted(limits, limits[at] + size, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    give_back()
