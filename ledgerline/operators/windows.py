@@ -7,7 +7,7 @@ outside never reach a shuffle. The keys need not be in order: the range only nar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,7 +21,32 @@ def within_keys(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return rows.where((F.col(column) >= least) & (F.col(column) <= greatest))
 
 
-def of_keys(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """Rows whose ``column`` is one of ``keys``, each once, read in the keys' range only."""
+SLOTS = 1 << 25
+
+
+def near_keys(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows whose ``column`` may be one of ``keys``: all that are, and of the others those whose hash meets a key's.
+
+    The keys' hashes are bits of a bitmap of ``SLOTS``, 64 to a row of at most 2^19 rows whatever the number of keys, which
+    is broadcast. So rows of other keys are left out before they are dealt; the join behind it decides.
+    """
+
+    def bit_of(key: Column) -> tuple[Column, Column]:
+        place = F.pmod(F.xxhash64(key), F.lit(SLOTS))
+        return F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+
+    key = F.col(keys.columns[0]).try_cast(rows.schema[column].dataType)
+    word, bit = bit_of(key)
+    bitmap = keys.where(key.isNotNull()).groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    word, bit = bit_of(F.col(column))
+    return rows.join(F.broadcast(bitmap), (word == F.col("_word")) & (F.col("_bits").bitwiseAND(bit) != 0), "left_semi")
+
+
+def of_keys(rows: DataFrame, column: str, keys: DataFrame, few: bool = False) -> DataFrame:
+    """Rows whose ``column`` is one of ``keys``, each once, read in the keys' range only.
+
+    ``few``: the keys are a small part of their range, so that most rows in it are of no key.
+    """
     wanted = keys.select(F.col(keys.columns[0]).alias(column))
-    return within_keys(rows, column, wanted).join(wanted, column, "left_semi")
+    rows = within_keys(rows, column, wanted)
+    return (near_keys(rows, column, wanted) if few else rows).join(wanted, column, "left_semi")

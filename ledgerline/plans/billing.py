@@ -24,7 +24,7 @@ from ledgerline.fixed_values import DIRECT_SALE_PARTNER, TAXPAYER_DEFAULT
 from ledgerline.functions import money
 from ledgerline.functions.labels import code_label
 from ledgerline.operators.attributes import fields_per_sale
-from ledgerline.operators.filters import listed, listed_or_null, recent_or_modified, since
+from ledgerline.operators.filters import listed, listed_or_null, on_day, recent_or_modified, since
 from ledgerline.operators.joins import lookup, matches_per_key, role, times
 from ledgerline.operators.tables import coerce_numbers, lower_names, union_by_name
 from ledgerline.operators.windows import of_keys, within_keys
@@ -39,11 +39,17 @@ NUMERIC_COLUMNS = (
 )
 
 
-def documents_in_window(tables: Tables, params: RunParams, mark: date | Column) -> DataFrame:
-    """Billable documents of the window with their fiscal data and their sale, if any."""
+def _billed(column: str, params: RunParams, day: date | None) -> Column:
+    """Billed in the window, and on the day if one is given."""
+    window = since(F.col(column), params.billing_start)
+    return window if day is None else window & on_day(F.col(column), day)
+
+
+def documents_in_window(tables: Tables, params: RunParams, mark: date | Column, day: date | None = None) -> DataFrame:
+    """Billable documents of the window (or of one day of it) with their fiscal data and their sale, if any."""
     codes = params.codes
     documents = tables["document"].where(
-        since(F.col("issue_date"), params.billing_start) & listed(F.col("status"), codes.document_status)
+        _billed("issue_date", params, day) & listed(F.col("status"), codes.document_status)
     )
     ids = documents.select("document_id")
     fiscal = (
@@ -73,7 +79,7 @@ def documents_in_window(tables: Tables, params: RunParams, mark: date | Column)
     )
 
 
-def payments_per_sale(tables: Tables, sales: DataFrame) -> DataFrame:
+def payments_per_sale(tables: Tables, sales: DataFrame, few: bool = False) -> DataFrame:
     """Per sale: how many payment rows it is repeated for, and their term value."""
     documents = (
         tables["payment_document"]
@@ -81,7 +87,7 @@ def payments_per_sale(tables: Tables, sales: DataFrame) -> DataFrame:
         .groupBy("payment_document_id")
         .agg(F.count(F.lit(1)).alias("documents"), F.sum("term_value").alias("document_terms"))
     )
-    payments = of_keys(tables["sale_payment"], "sale_id", sales)
+    payments = of_keys(tables["sale_payment"], "sale_id", sales, few)
     payments = lookup(payments, documents, "payment_document_id", spread_by=["sale_id"])
     return payments.groupBy("sale_id").agg(
         F.sum(times(F.col("documents"))).alias("payment_rows"), F.sum("document_terms").alias("sale_terms")
@@ -89,7 +95,7 @@ def payments_per_sale(tables: Tables, sales: DataFrame) -> DataFrame:
 
 
 def _with_sale_fields(
-    rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: list[str]
+    rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: list[str], few: bool = False
 ) -> DataFrame:
     """Add the sale's total, its two shown extra fields and how many rows the fields stand for.
 
@@ -98,7 +104,7 @@ def _with_sale_fields(
     """
     codes = params.codes
     shown = {"traffic_source": codes.traffic_pattern, "prospect_customer": codes.prospect_pattern}
-    values = of_keys(tables["attribute_value"], "sale_id", sales)
+    values = of_keys(tables["attribute_value"], "sale_id", sales, few)
     fields = fields_per_sale(tables["attribute_type"], values, shown, {"freight": codes.sale_freight_pattern})
     rows = lookup(rows, within_keys(tables["sale_total"], "sale_id", sales), "sale_id", spread_by=spread_by)
     rows = lookup(rows, fields, "sale_id", spread_by=spread_by)
@@ -161,21 +167,24 @@ def _product_rows(tables: Tables) -> DataFrame:
     return named.groupBy("product_id", *_PRODUCT_KEYS).agg(F.count(F.lit(1)).alias("product_rows"))
 
 
-def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy) -> DataFrame:
-    """Invoice lines of the window.
+def invoice_lines(
+    tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy, day: date | None = None
+) -> DataFrame:
+    """Invoice lines of the window, or of one day of it.
 
     Lines are told apart by their values, not by item id: equal lines of one document become
     one row. ``sold_quantity`` is the product's quantity on the whole document, unpriced lines
     included, and repeats on each differing line.
     """
-    base = cut(documents_in_window(tables, params, mark))
+    base = cut(documents_in_window(tables, params, mark, day))
+    few = day is not None
     document_ids = base.select("document_id")
     sale_ids = base.select("sale_id").where(F.col("sale_id").isNotNull())
 
-    exits = of_keys(tables["document_exit"], "document_id", document_ids)
+    exits = of_keys(tables["document_exit"], "document_id", document_ids, few)
     documents = base.join(matches_per_key(exits, "document_id", "exits"), "document_id")
-    documents = lookup(documents, payments_per_sale(tables, sale_ids), "sale_id", spread_by=["document_id"])
-    documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"])
+    documents = lookup(documents, payments_per_sale(tables, sale_ids, few), "sale_id", spread_by=["document_id"])
+    documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"], few)
     documents = _with_parties(documents, tables, params, "document_id", "sale_customer_id")
     # Each (document, sale) row stands for this many rows of the full join.
     without_payments = times(F.col("exits"), F.col("field_rows"))
@@ -186,7 +195,7 @@ def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: C
         F.sum(money.repeated(F.col("sale_terms"), without_payments, 4)).alias("document_terms"),
     )
 
-    items = of_keys(tables["document_item"], "document_id", document_ids)
+    items = of_keys(tables["document_item"], "document_id", document_ids, few)
     quantities = items.groupBy("document_id", "product_id").agg(F.sum("quantity").alias("product_quantity"))
     sold = tables["sale_item"].select("sale_item_id", "goods_cost", "item_expenses")
     priced = lookup(items.where(F.col("unit_price") > 0), sold, "sale_item_id", spread_by=["document_id", "item_id"])
@@ -225,15 +234,17 @@ def invoice_lines(tables: Tables, params: RunParams, mark: date | Column, cut: C
     ).select(*_SHOWN)
 
 
-def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy) -> DataFrame:
-    """Lines of finished sales of the direct-sale project.
+def direct_sale_lines(
+    tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy, day: date | None = None
+) -> DataFrame:
+    """Lines of finished sales of the direct-sale project, of the window or of one day of it.
 
     The freight is the sale's whole freight and repeats on every line.
     """
     codes = params.codes
     base = cut(
         tables["sale"].where(
-            since(F.col("sale_date"), params.billing_start)
+            _billed("sale_date", params, day)
             & recent_or_modified(F.col("sale_date"), F.col("modified_at"), params.recent_start, mark)
             & (F.col("situation") == codes.sale_situation)
             & (F.col("project_id") == codes.sale_project)
@@ -242,14 +253,15 @@ def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cu
             "order_type_id", "payment_form_id", "payment_term_id", "sale_freight", "modified_at",
         )
     )
+    few = day is not None
     sale_ids = base.select("sale_id")
     # Order totals are reached through the order, so those of unknown orders count for nothing.
     order_ids = base.select("order_id").where(F.col("order_id").isNotNull())
     known_orders = within_keys(tables["order"].select("order_id"), "order_id", order_ids)
-    order_totals = of_keys(tables["order_total"], "order_id", order_ids).join(known_orders, "order_id", "left_semi")
+    order_totals = of_keys(tables["order_total"], "order_id", order_ids, few).join(known_orders, "order_id", "left_semi")
 
     sales = lookup(base, matches_per_key(order_totals, "order_id", "order_totals"), "order_id", spread_by=["sale_id"])
-    sales = _with_sale_fields(sales, tables, params, sale_ids, ["sale_id"])
+    sales = _with_sale_fields(sales, tables, params, sale_ids, ["sale_id"], few)
     sales = _with_parties(sales.withColumn("sold_to", F.col("customer_id")), tables, params, "sale_id", "sold_to")
 
     sales = sales.groupBy("sale_id", "sale_date", "sale_freight", *_DOCUMENT_KEYS).agg(
@@ -258,7 +270,7 @@ def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cu
 
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
     once = F.lit(1)
-    items = of_keys(tables["sale_item"], "sale_id", sale_ids)
+    items = of_keys(tables["sale_item"], "sale_id", sale_ids, few)
     sums = {
         "net_value": (money.net_line(*line), 8),
         "unit_value": (money.net_unit(*line), 10),
@@ -294,15 +306,20 @@ def direct_sale_lines(tables: Tables, params: RunParams, mark: date | Column, cu
 
 
 def billing(
-    tables: Tables, params: RunParams, mark: date | Column | None = None, cut: Cut = keep_lazy
+    tables: Tables,
+    params: RunParams,
+    mark: date | Column | None = None,
+    cut: Cut = keep_lazy,
+    day: date | None = None,
 ) -> DataFrame:
     """Invoice and direct-sale lines together, numbers filled with 0.
 
-    Without a given mark the sales' own high-water mark is used.
+    Without a given mark the sales' own high-water mark is used. With ``day`` only that billing day's lines are made: the
+    documents and sales of other days are left out before ``cut``, past which no filter on the lines reaches.
     """
     if mark is None:
         mark = mark_value(tables["sale"], params)
     lines = union_by_name(
-        invoice_lines(tables, params, mark, cut), direct_sale_lines(tables, params, mark, cut)
+        invoice_lines(tables, params, mark, cut, day), direct_sale_lines(tables, params, mark, cut, day)
     )
     return coerce_numbers(lower_names(lines), NUMERIC_COLUMNS)

@@ -731,7 +731,7 @@ def _report_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_billing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.billing_totals(billing.billing(yearly_tables(spark, sf_dir), WHOLE, MARK, cut), YEAR_DAY)
+    return summary.billing_totals(billing.billing(yearly_tables(spark, sf_dir), WHOLE, MARK, cut, YEAR_DAY), YEAR_DAY)
 
 
 @query
