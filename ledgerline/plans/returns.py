@@ -51,7 +51,7 @@ def returned_documents(tables: Tables, params: RunParams) -> DataFrame:
 def freight_fields_per_sale(tables: Tables, params: RunParams, sales: DataFrame) -> DataFrame:
     """Per sale: how many freight field values it has, and their sum as a number."""
     pattern = params.codes.return_freight_pattern
-    values = of_keys(tables["attribute_value"], "sale_id", sales)
+    values = of_keys(tables["attribute_value"], "sale_id", sales, few=True)
     return (
         attribute_values(tables["attribute_type"], values, pattern, "freight")
         .groupBy("sale_id")
@@ -102,7 +102,7 @@ def return_lines(tables: Tables, params: RunParams, cut: Cut = keep_lazy) -> Dat
     )
     # Items are reduced to sums per document and product first: all shares are linear in these.
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
-    items = of_keys(tables["document_item"].where(F.col("unit_price") > 0), "document_id", base.select("document_id"))
+    items = of_keys(tables["document_item"].where(F.col("unit_price") > 0), "document_id", base.select("document_id"), few=True)
     items = items.groupBy("document_id", "product_id").agg(
         F.sum(money.net_line(*line)).alias("net"),
         F.sum(money.net_unit(*line)).alias("unit"),

@@ -773,7 +773,7 @@ def stock_bucket_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = yearly_tables(spark, sf_dir)
     return summary.summary_lines(
-        billing.billing(source, WHOLE, MARK, cut),
+        billing.billing(source, WHOLE, MARK, cut, YEAR_DAY),
         returns.returns(source, YEAR, cut),
         stock.stock(source, PARAMS),
         _report_locations(spark, sf_dir),
