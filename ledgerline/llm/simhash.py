@@ -40,6 +40,7 @@ SEGMENTS = ((0, 23, 1), (23, 23, 1), (46, 18, 0))  # first bit, bits, radius: re
 LEAF_ROWS = 256
 BLOCK_ROWS = 8192
 SLICE = 1 << 18
+ROUND_ROWS = 1 << 16
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -249,25 +250,39 @@ def links(
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node of each component, of (u, v) edges; rounds of large-star and small-star."""
+    """(node, label): the smallest node of each component, of (u, v) edges; rounds of large-star and small-star.
+
+    A round's rows lie in as many partitions as they fill: the driver holds, sends and records every task of a round.
+    """
     edges = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = checkpointed(edges.distinct())
     state = _state(edges)
     while True:
+        # A round makes a row for each edge and each node at most.
+        parts = max(1, math.ceil(2 * state[0] / ROUND_ROWS))
+        edges = edges.coalesce(parts)
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(smallest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = large.filter("u <> v").distinct().coalesce(parts)
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         down = large.join(smallest, "u")
         small = down.select(F.col("v").alias("u"), F.col("m").alias("v")).union(smallest.select("u", F.col("m").alias("v")))
-        edges = checkpointed(small.filter("u <> v").distinct())
+        edges = checkpointed(small.filter("u <> v").distinct().coalesce(parts))
         now = _state(edges)
         if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
         state = now
 
 
+def relabelled(labels: DataFrame, joins: DataFrame) -> DataFrame:
+    """(node, label) rows of :func:`components` after edges between labels have joined some of their components; nodes that
+    were in none may be joined too. Only the labels' own graph, the smaller one, is searched again."""
+    tops = components(joins)
+    renamed = tops.select(F.col("node").alias("label"), F.col("label").alias("top"))
+    return labels.join(renamed, "label", "left").select("node", F.coalesce("top", "label").alias("label")).union(tops)
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
     return row["n"], row["s"]
@@ -507,7 +522,7 @@ def without_near_copies(
     labels = components(edges)
     rest = checkpointed(remaining(met.drop("least"), labels, sets, similarity, block))
     if not rest.isEmpty():
-        labels = components(edges.union(rest))
+        labels = relabelled(labels, rest)
     labelled = classes.join(labels, "node", "left").select(*own, "one.did", F.coalesce("label", "node").alias("label"))
     least = labelled.groupBy("label").agg(F.min("did").alias("stays"))
     fates = labelled.join(least, "label").select(*own, "stays")

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from ledgerline.llm import bpe, worker
+from ledgerline.llm import bpe, simhash, worker
 from ledgerline.llm.shared import BATCH_BYTES
 from ledgerline.llm.words import slices
 
@@ -39,3 +39,27 @@ def test_tables_of_an_operator_go_with_another_ones_task():
     assert worker.kept(bpe.OPERATOR) == {"codec": "table"}
     assert [b.num_rows for b in slices(iter([batch]), "text")] == [2]
     assert worker.kept(bpe.OPERATOR) == {}
+
+
+def test_few_edges_take_few_tasks(spark):
+    wide = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wide}
+    for k, v in wide.items():
+        spark.conf.set(k, v)
+    try:
+        chain = spark.range(1, 40).repartition(32).selectExpr("id AS u", "id - 1 AS v")
+        apart = spark.createDataFrame([(100, 101), (102, 101)], "u long, v long")
+        found = simhash.components(chain.union(apart))
+        assert found.rdd.getNumPartitions() == 1
+        assert {tuple(r) for r in found.collect()} == {*((n, 0) for n in range(1, 40)), (101, 100), (102, 100)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_joined_labels_give_the_components_of_all_edges(spark):
+    first = [(1, 2), (2, 3), (10, 11), (20, 21), (30, 31), (31, 32)]
+    between = [(10, 20), (20, 5), (30, 40)]  # labels of the first edges, and nodes in none
+    edges, joins = (spark.createDataFrame(x, "u long, v long") for x in (first, between))
+    found = simhash.relabelled(simhash.components(edges), joins)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, simhash.components(edges.union(joins)).collect()))
