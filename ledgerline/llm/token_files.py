@@ -31,6 +31,7 @@ from pyspark.sql.types import StructType
 
 from ledgerline.llm.pieces import Pieces, encoded, gather
 from ledgerline.llm.repair_grammar import Grammar, compress
+from ledgerline.llm.shared import small_batches
 from ledgerline.llm.words import slices
 from ledgerline.llm.worker import kept
 
@@ -70,8 +71,13 @@ def library_encoder(vocabulary: str, ordinary: bool = True) -> Callable[[list[st
     steps = json.loads(vocabulary)
     plain_steps = steps["pre_tokenizer"] == BYTE_LEVEL and steps.get("normalizer") is None and not steps["model"].get("ignore_merges")
 
+    def shown(word: str) -> str:
+        if word.isascii() and word.isprintable():
+            return word.replace(" ", BYTE_CHARS[0x20])
+        return word.encode().decode("latin-1").translate(BYTE_CHARS)
+
     def of_words(words: list[str]) -> list[list[int]]:
-        return [[token.id for token in of_word(word.encode().decode("latin-1").translate(BYTE_CHARS))] for word in words]
+        return [[token.id for token in of_word(shown(word))] for word in words]
 
     def encode(pieces: list[str], table: Pieces) -> tuple[np.ndarray, np.ndarray]:
         single, several, others = [], [], []
@@ -129,6 +135,7 @@ def ordered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def write(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every document, append ``end_id`` to each, and write the blocks to the folder ``path``."""
+    small_batches(docs.sparkSession, SLICE_BYTES)
     with open(vocabulary_path, encoding="utf-8") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
 
@@ -185,7 +192,10 @@ def blocks(spark: SparkSession, path: str) -> DataFrame:
 def _documents(found: DataFrame, added: str, digest: Callable[[Grammar, np.ndarray, np.ndarray], list[pa.Array]], wanted=None) -> DataFrame:
     """(doc_id, start, n_tokens, added columns) of the documents of blocks, all or those of the ids ``wanted``."""
 
+    small_batches(found.sparkSession, SLICE_BYTES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("")  # the writer's table goes
         for batch in batches:
             for block in range(batch.num_rows):
                 row = batch.slice(block, 1).to_pylist()[0]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ledgerline.llm import bpe, simhash, worker
+from ledgerline.llm import bpe, simhash, token_files, worker
+from ledgerline.llm.pieces import Pieces
 from ledgerline.llm.shared import BATCH_BYTES
 from ledgerline.llm.words import slices
 
@@ -63,3 +66,41 @@ def test_joined_labels_give_the_components_of_all_edges(spark):
     edges, joins = (spark.createDataFrame(x, "u long, v long") for x in (first, between))
     found = simhash.relabelled(simhash.components(edges), joins)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, simhash.components(edges.union(joins)).collect()))
+
+
+def test_token_files_go_in_small_batches_and_reading_keeps_no_table(spark, tmp_path):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+
+    class Found:
+        """Blocks of which the reading function is taken."""
+
+        sparkSession = spark
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    try:
+        token_files.write(docs, f"{tmp_path}/files", public_tokenizers.path("byte_bpe_50k.json"))
+        assert int(spark.conf.get(setting).rstrip("b")) == token_files.SLICE_BYTES
+        spark.conf.set(setting, before)
+        read = token_files.checksums(Found())
+        assert int(spark.conf.get(setting).rstrip("b")) == token_files.SLICE_BYTES
+        worker.kept(token_files.OPERATOR)["table"] = "pieces"
+        assert list(read(iter([]))) == []
+        assert token_files.OPERATOR not in worker._kept
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_byte_characters_of_plain_words():
+    encode = token_files.library_encoder(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    words = [" word", "word", " 12", "!?", " it's", "\u00e9t\u00e9", " \u00fcber", "a\tb", "~", " "]
+    ids, sizes = encode(words, Pieces(encode, own=True))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = [tokenizer.encode(word, add_special_tokens=False).ids for word in words]
+    assert [len(x) for x in expected] == sizes.tolist() and sum(expected, []) == ids.tolist()
