@@ -64,25 +64,11 @@ class Pieces:
     old one, from which pieces in use are taken over, and what stays unused goes with it at the next change."""
 
     def __init__(self, encode: Callable[..., tuple[np.ndarray, np.ndarray]], kind: type = np.int32, max_bytes: int = 256 << 20, own: bool = False):
-        """``own``: ``encode`` takes this table as its second argument, to look up parts of pieces."""
+        """``own``: ``encode`` takes this table as its second argument."""
         self.encode = (lambda pieces: encode(pieces, self)) if own else encode
         self.kind, self.max_bytes = np.dtype(kind), max_bytes
         self.young, self.old = Generation(self.kind), Generation(self.kind)
 
-    def known(self, pieces: list[str]) -> dict[str, list[int] | None]:
-        """The ids of those of the pieces that are in the table, None for the others."""
-        found: dict[str, list[int] | None] = dict.fromkeys(pieces)
-        left = pieces
-        for generation in (self.young, self.old):
-            numbers = generation.lookup(left)
-            there = np.flatnonzero(numbers >= 0)
-            flat, sizes = generation.ids(numbers[there])
-            listed, ends = flat.tolist(), np.cumsum(sizes).tolist()
-            for at, begin, end in zip(there.tolist(), [0, *ends], ends):
-                found[left[at]] = listed[begin:end]
-            left = [left[at] for at in np.flatnonzero(numbers < 0).tolist()]
-        return found
-
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the pieces in a row, and the number of ids of each."""
         if self.young.size > self.max_bytes // 2:
@@ -92,14 +78,17 @@ class Pieces:
         if len(missing):
             asked = [pieces[i] for i in missing.tolist()]
             left = list(dict.fromkeys(asked))
-            in_old = self.old.lookup(left)
+            first, in_old = len(self.young.number), self.old.lookup(left)
             known = in_old >= 0
             if known.any():
                 self.young.add([left[i] for i in np.flatnonzero(known).tolist()], *self.old.ids(in_old[known]))
             if not known.all():
                 fresh = [left[i] for i in np.flatnonzero(~known).tolist()]
                 self.young.add(fresh, *self.encode(fresh))
-            numbers[missing] = self.young.lookup(asked)
+            if len(left) < len(asked):
+                numbers[missing] = self.young.lookup(asked)
+            else:  # numbered as they were added
+                numbers[missing] = first + np.where(known, np.cumsum(known), known.sum() + np.cumsum(~known)) - 1
         return self.young.ids(numbers)
 
 
@@ -160,8 +149,8 @@ def joined(lists: list[list[str]], table: Pieces) -> tuple[np.ndarray, np.ndarra
     return flat[gather(starts[of], sizes[of])], np.diff(total[limits])
 
 
-def encoded(texts: pa.Array, table: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts in a row (a null text: none), and the number of ids of each text."""
+def encoded(texts: pa.Array, table: Pieces, cut: Callable = cut) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts in a row (a null text: none), and the number of ids of each text. ``cut``: how the pieces are told."""
     pieces, number, limits = cut(texts)
     flat, sizes = table.ids(pieces)
     starts = np.cumsum(sizes) - sizes

@@ -33,12 +33,13 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _chosen(count: np.ndarray) -> np.ndarray:
     """Which of the overlapping occurrences (of a pair at i and at i + 1) win: ``count`` of the pair at each place."""
-    before, after = np.append(0, count[:-1]), np.append(count[1:], 0)
-    new = count != before
-    run = np.maximum.accumulate(np.where(new, np.arange(len(count)), 0))
-    first_in_step = (np.arange(len(count)) - run) % 2 == 0
+    padded = np.zeros(len(count) + 2, count.dtype)
+    padded[1:-1] = count
+    before, after = padded[:-2], padded[2:]
+    place = np.arange(len(count))
+    in_run = place - np.maximum.accumulate(place * (count != before))
     # The first of a run of equal counts gives way if the place before it has a greater one that is replaced.
-    return (count > 0) & first_in_step & ~(new & (before > count)) & (count >= after)
+    return (count > 0) & (count >= before) & (count >= after) & (in_run & 1 == 0)
 
 
 def _round(symbols: np.ndarray, fresh: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,16 +52,15 @@ def _round(symbols: np.ndarray, fresh: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(frequent):
         return symbols, np.zeros((0, 2), np.int64)
     pairs, counts = ordered[limits[frequent]], counts[frequent]
-    # A table of hashes finds each place's pair; of two pairs with one slot the more frequent is placed.
+    # A table of hashes finds each place's pair; of two pairs with one slot the more frequent is placed. The last entry is none.
     bits = max(int(4 * len(pairs)).bit_length(), 8)
     shift = np.uint64(64 - bits)
     factor = np.uint64(0x9E3779B97F4A7C15)
-    slots = np.full(1 << bits, -1, np.int32)
+    slots = np.full(1 << bits, len(pairs), np.int32)
     rising = np.argsort(counts, kind="stable")
-    slots[((pairs[rising].astype(np.uint64) * factor) >> shift).astype(np.int64)] = rising
-    at = slots[((keys.astype(np.uint64) * factor) >> shift).astype(np.int64)]
-    at[(at >= 0) & (pairs[at] != keys)] = -1
-    places = _chosen(np.where(at >= 0, counts[at], 0))
+    slots[((pairs[rising].view(np.uint64) * factor) >> shift).view(np.int64)] = rising
+    at = slots[((keys.view(np.uint64) * factor) >> shift).view(np.int64)]
+    places = _chosen(np.append(counts, 0)[at] * (np.append(pairs, -1)[at] == keys))
     spots = np.flatnonzero(places)
     of = at[spots]
     won = np.bincount(of, minlength=len(pairs))

@@ -15,21 +15,19 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
-from public_tokenizers import PATTERN
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.pieces import Pieces, encoded, gather
+from ledgerline.llm import matches
+from ledgerline.llm.pieces import Pieces, cut, encoded, gather
 from ledgerline.llm.repair_grammar import Grammar, compress
 from ledgerline.llm.shared import small_batches
 from ledgerline.llm.words import slices
@@ -38,7 +36,9 @@ from ledgerline.llm.worker import kept
 BLOCK_IDS = 1 << 18
 SLICE_BYTES = 6 << 20
 PIECE_BYTES = 320 << 20
+WORDS_AT_ONCE = 8192
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+OTHER_STEPS = ("ignore_merges", "dropout", "continuing_subword_prefix", "end_of_word_suffix")
 GRAMMAR = ("alphabet", "rules", "lengths", "symbols", "samples")
 BLOCK = (
     "part int, block int, start_in_part long, n_ids long, first_id long, last_id long, doc_ids array<long>, doc_sizes array<long>, "
@@ -56,53 +56,66 @@ def _byte_chars() -> dict[int, str]:
 BYTE_CHARS = _byte_chars()
 
 
-def library_encoder(vocabulary: str, ordinary: bool = True) -> Callable[[list[str], Pieces], tuple[np.ndarray, np.ndarray]]:
-    """Encodes pieces by the tokenizers library. The library is slow on many short texts, so pieces of common characters
-    are split into words here, by the library's own pattern, and each new word is given to its BPE model; all others are
-    encoded whole. ``ordinary``: strings of special tokens in a text are text like any other."""
+def usual_steps(vocabulary: dict) -> bool:
+    """Whether a tokenizer of the library splits by the usual byte-level pattern and does nothing but merges to a word."""
+    model = vocabulary["model"]
+    plain = vocabulary["pre_tokenizer"] == BYTE_LEVEL and vocabulary.get("normalizer") is None and not any(model.get(x) for x in OTHER_STEPS)
+    return plain and all(char in model["vocab"] for char in BYTE_CHARS.values())
+
+
+def library_encoder(vocabulary: str, ordinary: bool = True) -> Callable[..., tuple[np.ndarray, np.ndarray]]:
+    """Encodes pieces by the tokenizers library. The library is slow on many short texts, so pieces that are one match of its
+    pattern go to its BPE model some thousands at a time, as one text of words that are split already; all others are encoded
+    whole. ``ordinary``: strings of special tokens in a text are text like any other."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import CharDelimiterSplit
 
     tokenizer = Tokenizer.from_str(vocabulary)
     tokenizer.encode_special_tokens = ordinary
-    of_word = tokenizer.model.tokenize
-    matches = regex.compile(PATTERN).findall
-    common = re.compile(r"[\n\x20-;=-~\u00A1-\u00AC\u00AE-\u017F]*").fullmatch  # "<" begins special tokens
     steps = json.loads(vocabulary)
-    plain_steps = steps["pre_tokenizer"] == BYTE_LEVEL and steps.get("normalizer") is None and not steps["model"].get("ignore_merges")
-
-    def shown(word: str) -> str:
-        if word.isascii() and word.isprintable():
-            return word.replace(" ", BYTE_CHARS[0x20])
-        return word.encode().decode("latin-1").translate(BYTE_CHARS)
-
-    def of_words(words: list[str]) -> list[list[int]]:
-        return [[token.id for token in of_word(shown(word))] for word in words]
-
-    def encode(pieces: list[str], table: Pieces) -> tuple[np.ndarray, np.ndarray]:
-        single, several, others = [], [], []
-        for at, piece in enumerate(pieces):
-            if not plain_steps or common(piece) is None:
-                others.append(at)
-            elif piece.removeprefix(" ").isalpha():
-                single.append(at)
-            else:
-                several.append(at)
-        results: list = [None] * len(pieces)
-        for at, ids in zip(single, of_words([pieces[at] for at in single])):
-            results[at] = ids
-        # Words of longer pieces are often pieces themselves.
-        split = [matches(pieces[at]) for at in several]
-        known = table.known(list({word for found in split for word in found}))
-        missing = [word for word, ids in known.items() if ids is None]
-        known.update(zip(missing, of_words(missing)))
-        for at, found in zip(several, split):
-            results[at] = [i for word in found for i in known[word]]
-        if others:
-            whole = tokenizer.encode_batch_fast([pieces[at] for at in others], add_special_tokens=False)
-            for at, encoding in zip(others, whole):
-                results[at] = encoding.ids
-        return np.fromiter(chain.from_iterable(results), np.int32), np.fromiter(map(len, results), np.int64, len(results))
+    tokens, special = steps["model"]["vocab"], [added["content"] for added in steps.get("added_tokens") or ()]
+    plain_steps = usual_steps(steps)
+    # The same model; words are given to it in its characters, between line breaks, which are none of them.
+    of_words = Tokenizer(tokenizer.model)
+    of_words.pre_tokenizer = CharDelimiterSplit("\n")
+    chars = np.full(256, ord("\n"), "<u2")  # 0xFF, which is in no text, goes between words
+    chars[[b for b in BYTE_CHARS if b != 0xFF]] = [ord(char) for b, char in BYTE_CHARS.items() if b != 0xFF]
+    token_bytes = np.zeros(max(tokens.values(), default=0) + 1, np.int64)
+    token_bytes[list(tokens.values())] = list(map(len, tokens))  # one character a byte
+
+    def words(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and the number of ids of each: every byte is in one token."""
+        text = chars[np.frombuffer(b"\xff".join(found), np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(of_words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+        word_ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        return ids, np.diff(np.searchsorted(np.cumsum(token_bytes[ids]), word_ends), prepend=-1)
+
+    def encode(pieces: list[str], table: Pieces | None = None) -> tuple[np.ndarray, np.ndarray]:
+        if plain_steps:
+            alone = matches.single(pieces)
+            if not ordinary and special:
+                alone &= ~np.fromiter((any(token in piece for token in special) for piece in pieces), bool, len(pieces))
+        else:
+            alone = np.zeros(len(pieces), bool)
+        sizes, parts = np.zeros(len(pieces), np.int64), []
+        plain = np.flatnonzero(alone)
+        for begin in range(0, len(plain), WORDS_AT_ONCE):
+            at = plain[begin : begin + WORDS_AT_ONCE]
+            ids, sizes[at] = words([pieces[i].encode() for i in at.tolist()])
+            parts.append(ids)
+        others = np.flatnonzero(~alone)
+        if len(others):
+            whole = [encoding.ids for encoding in tokenizer.encode_batch_fast([pieces[i] for i in others.tolist()], add_special_tokens=False)]
+            sizes[others] = list(map(len, whole))
+            parts.append(np.fromiter(chain.from_iterable(whole), np.int32))
+        if not parts:
+            return np.zeros(0, np.int32), sizes
+        # The parts are those of the words and of the others; the result is in the order of the pieces.
+        order = np.concatenate([plain, others])
+        starts = np.zeros(len(pieces), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate(parts)[gather(starts, sizes)], sizes
 
     return encode
 
@@ -110,13 +123,14 @@ def library_encoder(vocabulary: str, ordinary: bool = True) -> Callable[[list[st
 OPERATOR = "token_files"
 
 
-def _pieces(vocabulary: str) -> Pieces:
-    """One table a Python worker, which keeps what it knows from task to task."""
+def _pieces(vocabulary: str) -> tuple[Pieces, Callable]:
+    """One table a Python worker, which keeps what it knows from task to task, and how texts are cut for it."""
     tables = kept(OPERATOR)
     key = hash(vocabulary)
     if key not in tables:
         tables.clear()
-        tables[key] = Pieces(library_encoder(vocabulary), max_bytes=PIECE_BYTES, own=True)
+        by_class = usual_steps(json.loads(vocabulary))
+        tables[key] = Pieces(library_encoder(vocabulary), max_bytes=PIECE_BYTES), matches.cut if by_class else cut
     return tables[key]
 
 
@@ -149,14 +163,14 @@ def write(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = 0, id_
     schema = pa.schema(list(zip(StructType.fromDDL(BLOCK).names, kinds)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, part = _pieces(vocabulary.value), TaskContext.get().partitionId()
+        (table, cutter), part = _pieces(vocabulary.value), TaskContext.get().partitionId()
         block, start = 0, 0
         open_ids: list[np.ndarray] = []
         open_docs: list = []
         open_sizes: list[np.ndarray] = []
         waiting = 0
         for batch in slices(batches, "text", SLICE_BYTES, OPERATOR):
-            ids, sizes = encoded(batch.column(1), table)
+            ids, sizes = encoded(batch.column(1), table, cutter)
             ends = np.cumsum(sizes + 1)
             whole = np.full(int(ends[-1]), end_id, np.int32)
             whole[gather(ends - sizes - 1, sizes)] = ids

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from ledgerline.llm import pieces, repair_grammar, token_files
+from ledgerline.llm import matches, pieces, repair_grammar, token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -113,3 +114,66 @@ def test_grammar_expands_to_what_it_was_made_of():
             size = int(rng.integers(0, len(ids) - start + 1))
             assert back.range(start, size).tolist() == ids[start : start + size].tolist()
     assert len(repair_grammar.compress(np.array([1, 2, 3, 4] * 1000)).symbols) < 100
+
+
+AROUND = ["a%sb", "a %s b", "%s ", " %s", "'%s", "a%s\n", "\n%s a", "1%s2", ".%s.", "  %s  ", "\n\n%s\n\n"]
+# Every character up to Cyrillic, the rows with white space and marks, and some of the others.
+CHARACTERS = [*range(0x530), *range(0x1670, 0x1690), *range(0x1800, 0x1820), *range(0x2000, 0x2100), *range(0x2FF0, 0x3050), 0x4E2D, 0xFEFF, 0xFF10, 0x1F600, 0x1D7D8]
+
+
+def test_cuts_by_class_are_those_of_the_library(library):
+    encode = token_files.library_encoder(open(PATH, encoding="utf-8").read())
+    rng = random.Random(9)
+    parts = [*"aZé9.!'\"<> \n\t", "  ", "'s", "'ll", "ß", "²", "«", "’", "—", "\u00a0", "\u2003", "\u3000", "中", "я", "😀", "<|endoftext|>", ""]
+    texts = [around % chr(c) for around in AROUND for c in CHARACTERS]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 20))) for _ in range(4_000)] + ODD
+    ids, sizes = pieces.encoded(pa.array(texts), pieces.Pieces(encode), matches.cut)
+    ends = np.cumsum(sizes)
+    for text, begin, end in zip(texts, (ends - sizes).tolist(), ends.tolist()):
+        assert ids[begin:end].tolist() == library(text), repr(text)
+
+
+def test_other_splitting_patterns_keep_the_cuts_at_spaces():
+    steps = json.load(open(PATH, encoding="utf-8"))
+    split = {"type": "Split", "pattern": {"Regex": r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}, "behavior": "Isolated", "invert": False}
+    steps["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [split, token_files.BYTE_LEVEL | {"use_regex": False}]}
+    vocabulary = json.dumps(steps)
+    table, cutter = token_files._pieces(vocabulary)
+    texts = ["a (word) and \"more\", 12345 x", "it's 'so' -- (a)b.c,d", " é(ü) "] + sample(10)
+    ids, _ = pieces.encoded(pa.array(texts), table, cutter)
+    other = Tokenizer.from_str(vocabulary)
+    assert ids.tolist() == [i for text in texts for i in other.encode(text, add_special_tokens=False).ids]
+    assert token_files._pieces(open(PATH, encoding="utf-8").read())[1] is matches.cut
+
+
+def test_a_word_is_encoded_once_whatever_stands_beside_it(library):
+    words = [f"{a}{b}{c}" for a in "bdfg" for b in "aeéo" for c in "lmnr"]
+    marks = [",", ".", ";", "!", "?", ")", ":", "...", "»", "***"]
+    text = " ".join(f"{word}{mark}" for word in words for mark in marks) + "\n" + "\n".join(words)
+    encode = token_files.library_encoder(open(PATH, encoding="utf-8").read())
+    asked: list[str] = []
+    table = pieces.Pieces(lambda fresh: (asked.extend(fresh), encode(fresh))[1])
+    for _ in range(2):
+        ids, _ = pieces.encoded(pa.array([text]), table, matches.cut)
+        assert ids.tolist() == library(text)
+    # With a space before it, without, the marks, the line break.
+    assert len(asked) == len(set(asked)) <= 2 * len(words) + len(marks) + 1
+
+
+def test_pieces_listed_twice_and_known_to_the_old_table():
+    table = pieces.Pieces(lambda fresh: (np.array([len(x) for x in fresh for _ in x]), np.array(list(map(len, fresh)))), max_bytes=1)
+    for asked in (["a", "bb", "ccc"], ["dddd", "bb", "a"], ["bb", "eeeee", "bb", "dddd", "eeeee"], ["ccc", "a", "ffffff", "bb"]):
+        flat, sizes = table.ids(asked)
+        assert sizes.tolist() == list(map(len, asked)) and flat.tolist() == [len(x) for x in asked for _ in x]
+
+
+def test_places_chosen_for_rules():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        count = np.repeat(rng.integers(0, 6, 30), rng.integers(1, 5, 30))
+        taken = []
+        for i, n in enumerate(count.tolist()):
+            before, after = ([0, *count.tolist()][i], [*count.tolist(), 0][i + 1])
+            run = next(k for k in range(i, -1, -1) if k == 0 or count[k - 1] != n)
+            taken.append(n > 0 and n >= after and (i - run) % 2 == 0 and not (run == i and before > n))
+        assert repair_grammar._chosen(count).tolist() == taken
