@@ -164,6 +164,38 @@ def _solve(matrix: np.ndarray, shift: float, right: np.ndarray) -> np.ndarray:
         return np.linalg.solve(matrix - (shift + step) * np.eye(len(matrix)), right)
 
 
+def _halved(matrix: np.ndarray, low: float, high: float, over: int) -> tuple[float, float]:
+    """The half of a slice that holds its one eigenvalue."""
+    middle = (low + high) / 2
+    return (low, middle) if above(matrix, middle) <= over else (middle, high)
+
+
+def _iterated(
+    matrix: np.ndarray, block: np.ndarray, found: np.ndarray, low: float, high: float, rounding: float
+) -> tuple[bool, np.ndarray, np.ndarray]:
+    """Whether the iteration from ``block`` settled in the slice, the quotients, falling, and their vectors as columns."""
+    size, several = float(np.abs(matrix).sum(axis=1).max()), block.shape[1] > 1
+    shift, settled = (low + high) / 2, False
+    for turn in range(40 if several else 12):
+        block = block - found.T @ (found @ block)
+        block = np.linalg.qr(_solve(matrix, shift, block))[0]
+        block = np.linalg.qr(block - found.T @ (found @ block))[0]
+        inside = block.T @ matrix @ block
+        rest = np.abs(matrix @ block - block @ inside).max()
+        quotient = float(np.trace(inside)) / block.shape[1]
+        # Cubic once near; a quotient outside the slice belongs to another eigenvalue and is not used as a shift.
+        done = rest <= 8 * np.finfo(np.float64).eps * size and low <= quotient <= high
+        settled = turn >= 2 and (done or high - low <= rounding)
+        if settled:
+            break
+        if low < quotient < high:
+            shift = quotient
+    if several:  # one space: any basis, in falling order of the quotients
+        inner, turned = np.linalg.eigh(inside)
+        return True, inner[::-1], block @ turned[:, ::-1]
+    return settled, np.array([quotient]), block
+
+
 def leading(matrix: np.ndarray, wanted: int = COMPONENTS) -> tuple[np.ndarray, np.ndarray]:
     """The greatest eigenvalues of a symmetric matrix, falling, and their unit eigenvectors as rows."""
     d = len(matrix)
@@ -171,37 +203,25 @@ def leading(matrix: np.ndarray, wanted: int = COMPONENTS) -> tuple[np.ndarray, n
     if size == 0:
         return np.zeros(0), np.zeros((0, d))
     start = np.random.default_rng(13).standard_normal((d, d))
+    margin = 64 * d * np.finfo(np.float64).eps * size
+    rounding = max(1e-13, 4 * d * np.finfo(np.float64).eps) * size
     values, vectors = [], np.zeros((0, d))
     for low, high, over, total in _isolated(matrix, wanted, LEAST_SHARE * size):
+        one = total - over == 1
         # A narrow slice first, so that the iteration starts next to its own eigenvalue only.
-        while total - over == 1 and high - low > 1e-3 * max(abs(low), abs(high)):
-            middle = (low + high) / 2
-            low, high = (low, middle) if above(matrix, middle) == over else (middle, high)
-        block = start[:, : total - over]
-        shift = (low + high) / 2
-        for turn in range(40):
-            if len(vectors):
-                block = block - vectors.T @ (vectors @ block)
-            block = np.linalg.qr(_solve(matrix, shift, block))[0]
-            if len(vectors):
-                block = np.linalg.qr(block - vectors.T @ (vectors @ block))[0]
-            inside = block.T @ matrix @ block
-            rest = np.abs(matrix @ block - block @ inside).max()
-            quotient = float(np.trace(inside)) / (total - over)
-            # Cubic once near; a quotient outside the slice belongs to another eigenvalue and is not used as a shift.
-            done = turn >= 2 and rest <= 8 * np.finfo(np.float64).eps * size
-            if done and low <= quotient <= high or turn >= 2 and high - low <= 1e-13 * size:
+        while one and high - low > 1e-3 * max(abs(low), abs(high)):
+            low, high = _halved(matrix, low, high, over)
+        while True:
+            settled, quotients, block = _iterated(matrix, start[:, : total - over], vectors, low, high, rounding)
+            placed = above(matrix, min(quotients) - margin) >= total and above(matrix, max(quotients) + margin) <= over
+            if settled and placed:
                 break
-            if low < quotient < high:
-                shift = quotient
-        if total - over > 1:  # one space: any basis, in falling order of the quotients
-            inner, turned = np.linalg.eigh(inside)
-            block, quotients = block @ turned[:, ::-1], inner[::-1]
-        else:
-            quotients = [quotient]
-        margin = 64 * d * np.finfo(np.float64).eps * size
-        if above(matrix, min(quotients) - margin) < total or above(matrix, max(quotients) + margin) > over:
-            raise ArithmeticError(f"eigenvalues {over + 1} to {total} are not where the counts place them")
+            if not one or high - low <= rounding:
+                raise ArithmeticError(f"eigenvalues {over + 1} to {total} are not where the counts place them")
+            # The iteration went to a neighbour, which may be as near to the slice's middle as the eigenvalue itself
+            # (many nearly equal ones, as of vectors in no preferred direction). Counts narrow the slice until it is not.
+            for _ in range(4):
+                low, high = _halved(matrix, low, high, over)
         values += list(quotients)
         vectors = np.vstack([vectors, block.T])
     return np.array(values[:wanted]), vectors[:wanted]

@@ -106,3 +106,26 @@ def test_near_eigenvalues_are_told_apart():
     values, vectors = whitening.leading(basis @ np.diag(truth) @ basis.T)
     assert np.allclose(values, truth[:16], atol=1e-13)
     assert np.allclose(vectors @ vectors.T, np.eye(16), atol=1e-12)
+
+
+def test_nearly_equal_eigenvalues_of_many_vectors():
+    """Vectors in no preferred direction: the more there are, the nearer the eigenvalues; some lie beside a slice's edge."""
+    for seed in range(12):
+        noise = np.random.default_rng(seed).standard_normal((64, 64))
+        matrix = 64 * (np.eye(64) + (noise + noise.T) / math.sqrt(2 * 3e6))
+        values, vectors = whitening.leading(matrix)
+        assert np.allclose(values, np.linalg.eigvalsh(matrix)[::-1][:16], atol=1e-11, rtol=0)
+        assert np.abs(matrix @ vectors.T - vectors.T * values).max() < 1e-11
+        assert np.allclose(vectors @ vectors.T, np.eye(16), atol=1e-12)
+
+
+def test_rows_of_nearly_equal_eigenvalues(spark):
+    lengths = sorted(np.random.default_rng(0).choice(np.arange(100_000, 100_400), 16, replace=False).tolist())
+    vectors = [[sign * a / 64 if i == at else 0.0 for i in range(16)] for at, a in enumerate(lengths) for sign in (1, -1)]
+    found = whitened(spark, vectors)
+    trace = sum(a * a for a in lengths)
+    assert len(found) == 32 * 16 and all(r.identity_error < 1e-10 for r in found)
+    for r in found:
+        own = 16 - r.component == r.vec_id // 2
+        assert abs(abs(r.whitened) - (4.0 if own else 0.0)) < 1e-9
+        assert abs(r.explained - lengths[-r.component] ** 2 / trace) < 1e-12
