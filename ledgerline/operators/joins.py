@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def role(df: DataFrame, key: str, as_key: str, **columns: str) -> DataFrame:
@@ -23,17 +24,34 @@ def role(df: DataFrame, key: str, as_key: str, **columns: str) -> DataFrame:
     return df.select(F.col(key).alias(as_key), *[F.col(source).alias(name) for name, source in columns.items()])
 
 
-def _spread_condition(left_keys: Sequence[Column], right_key: Column, spread_by: Sequence[Column]) -> Column:
-    """Extra join key: varied where a left key is null, 0 elsewhere and on the right.
+def _spread_keys(left: DataFrame, right: DataFrame, pairs: Mapping[str, str], spread_by: Sequence[str]) -> Column:
+    """The keys' equality, with the rows that have a null in a left key dealt by ``spread_by``.
 
-    The right side's 0 is computed from its key, so that it remains a key of the join
-    rather than being folded into a constant.
+    Where a left key is null, a hash stands in for one of the keys and the pair is refused. The right side's
+    keys stay as they are, so that it is not dealt again where it is dealt by them already. Keys that are neither long
+    nor text get an extra key instead, whose 0 on the right is computed from the right key, lest it be folded into a constant.
     """
     any_null = F.lit(False)
-    for key in left_keys:
-        any_null = any_null | key.isNull()
-    varied = F.when(any_null, F.xxhash64(*spread_by).bitwiseOR(F.lit(1).cast("bigint"))).otherwise(F.lit(0))
-    return varied.cast("bigint") == F.xxhash64(right_key).bitwiseAND(F.lit(0).cast("bigint"))
+    for name in pairs:
+        any_null = any_null | F.col(name).isNull()
+    varied = F.xxhash64(*spread_by)
+    kinds = {name: left.schema[name].dataType for name in pairs}
+    able = [
+        name for name, other in pairs.items()
+        if isinstance(kinds[name], (T.LongType, T.StringType)) and kinds[name] == right.schema[other].dataType
+    ]
+    stands_in = able[0] if able else None
+    condition = ~any_null if able else F.lit(True)
+    for name, other in pairs.items():
+        value = F.col(name)
+        if name == stands_in:
+            value = F.when(any_null, varied.cast(kinds[name])).otherwise(value)
+        condition = condition & (value == F.col(f"_key_{other}"))
+    if able:
+        return condition
+    extra = F.when(any_null, varied.bitwiseOR(F.lit(1).cast("bigint"))).otherwise(F.lit(0)).cast("bigint")
+    first = F.col(f"_key_{next(iter(pairs.values()))}")
+    return condition & (extra == F.xxhash64(first).bitwiseAND(F.lit(0).cast("bigint")))
 
 
 def lookup(
@@ -55,14 +73,12 @@ def lookup(
         keys = [keys]
     pairs = keys if isinstance(keys, Mapping) else {key: key for key in keys}
     renamed = right.withColumnsRenamed({name: f"_key_{name}" for name in pairs.values()})
-    condition = F.lit(True)
-    for left_name, right_name in pairs.items():
-        condition = condition & (F.col(left_name) == F.col(f"_key_{right_name}"))
     if spread_by and how in ("left", "left_anti") and any(left.schema[name].nullable for name in pairs):
-        first = next(iter(pairs.values()))
-        condition = condition & _spread_condition(
-            [F.col(name) for name in pairs], F.col(f"_key_{first}"), [F.col(name) for name in spread_by]
-        )
+        condition = _spread_keys(left, right, pairs, spread_by)
+    else:
+        condition = F.lit(True)
+        for left_name, right_name in pairs.items():
+            condition = condition & (F.col(left_name) == F.col(f"_key_{right_name}"))
     joined = left.join(renamed, condition, how)
     return joined.drop(*[f"_key_{name}" for name in pairs.values()])
 

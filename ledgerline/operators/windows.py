@@ -21,15 +21,18 @@ def within_keys(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return rows.where((F.col(column) >= least) & (F.col(column) <= greatest))
 
 
-SLOTS = 1 << 25
+SLOTS = 1 << 26
 
 
 def near_keys(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose ``column`` may be one of ``keys``: all that are, and of the others those whose hash meets a key's.
 
-    The keys' hashes are bits of a bitmap of ``SLOTS``, 64 to a row of at most 2^19 rows whatever the number of keys, which
-    is broadcast. So rows of other keys are left out before they are dealt; the join behind it decides.
+    The keys' hashes are bits of a bitmap of ``SLOTS``, 64 to a row of at most 2^20 rows whatever the number of keys, which
+    is broadcast. So rows of other keys are left out before they are dealt; the join behind it decides. Where broadcasts
+    are switched off, all rows are left to that join.
     """
+    if rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return rows
 
     def bit_of(key: Column) -> tuple[Column, Column]:
         place = F.pmod(F.xxhash64(key), F.lit(SLOTS))

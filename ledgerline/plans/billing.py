@@ -15,6 +15,7 @@ three are grouped apart, each at its own grain, and joined; no row of names is g
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -65,7 +66,7 @@ def documents_in_window(tables: Tables, params: RunParams, mark: date | Column,
         "payment_form_id",
         "payment_term_id",
         F.col("customer_id").alias("sale_customer_id"),
-        F.col("sale_id").alias("known_sale_id"),
+        F.lit(True).alias("is_known"),
     )
     found = documents.join(fiscal, "document_id")
     found = lookup(found, within_keys(tables["document_sale"], "document_id", ids), "document_id")
@@ -74,12 +75,12 @@ def documents_in_window(tables: Tables, params: RunParams, mark: date | Column,
         recent_or_modified(F.col("issue_date"), F.col("modified_at"), params.recent_start, mark)
     ).select(
         "document_id", "issue_date", "document_number", "customer_id", "company_id", "address_id", "carrier_id",
-        "destination_code", F.col("known_sale_id").alias("sale_id"), "modified_at", "order_id", "order_type_id",
+        "destination_code", F.when(F.col("is_known"), F.col("sale_id")).alias("sale_id"), "modified_at", "order_id", "order_type_id",
         "payment_form_id", "payment_term_id", "sale_customer_id",
     )
 
 
-def payments_per_sale(tables: Tables, sales: DataFrame, few: bool = False) -> DataFrame:
+def payments_per_sale(tables: Tables, sales: DataFrame) -> DataFrame:
     """Per sale: how many payment rows it is repeated for, and their term value."""
     documents = (
         tables["payment_document"]
@@ -87,7 +88,7 @@ def payments_per_sale(tables: Tables, sales: DataFrame, few: bool = False) -> Da
         .groupBy("payment_document_id")
         .agg(F.count(F.lit(1)).alias("documents"), F.sum("term_value").alias("document_terms"))
     )
-    payments = of_keys(tables["sale_payment"], "sale_id", sales, few)
+    payments = of_keys(tables["sale_payment"], "sale_id", sales, few=True)
     payments = lookup(payments, documents, "payment_document_id", spread_by=["sale_id"])
     return payments.groupBy("sale_id").agg(
         F.sum(times(F.col("documents"))).alias("payment_rows"), F.sum("document_terms").alias("sale_terms")
@@ -95,7 +96,7 @@ def payments_per_sale(tables: Tables, sales: DataFrame, few: bool = False) -> Da
 
 
 def _with_sale_fields(
-    rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: list[str], few: bool = False
+    rows: DataFrame, tables: Tables, params: RunParams, sales: DataFrame, spread_by: Sequence[str] = ()
 ) -> DataFrame:
     """Add the sale's total, its two shown extra fields and how many rows the fields stand for.
 
@@ -104,7 +105,7 @@ def _with_sale_fields(
     """
     codes = params.codes
     shown = {"traffic_source": codes.traffic_pattern, "prospect_customer": codes.prospect_pattern}
-    values = of_keys(tables["attribute_value"], "sale_id", sales, few)
+    values = of_keys(tables["attribute_value"], "sale_id", sales, few=True)
     fields = fields_per_sale(tables["attribute_type"], values, shown, {"freight": codes.sale_freight_pattern})
     rows = lookup(rows, within_keys(tables["sale_total"], "sale_id", sales), "sale_id", spread_by=spread_by)
     rows = lookup(rows, fields, "sale_id", spread_by=spread_by)
@@ -115,20 +116,25 @@ def _with_sale_fields(
     return rows.drop("freight_rows", *[f"_{name}" for name in shown])
 
 
-def _with_parties(rows: DataFrame, tables: Tables, params: RunParams, key: str, sold_to: str) -> DataFrame:
-    """Add customer, tax kind, company, place, carrier, seller, order, partner and payment names.
-
-    Customer, tax record, company and address are required, the others are not.
-    """
-    spread_by = [key]
+def _with_parties(
+    rows: DataFrame, tables: Tables, key: str, order_ids: DataFrame, of_order: DataFrame | None = None
+) -> DataFrame:
+    """Add carrier, order, partner, customer and tax kind. Customer and tax record are required, the others are not."""
     party = tables["party"]
+    rows = parts.with_name(rows, party, "carrier_id", "carrier", [key])
+    rows = parts.with_order_and_partner(rows, tables, [key], order_ids, of_order)
     rows = rows.join(tables["customer_tax"], "customer_id")
-    rows = parts.with_seller(rows, tables, sold_to, spread_by)
-    rows = rows.join(role(party, "party_id", "customer_id", customer="name"), "customer_id")
+    return rows.join(role(party, "party_id", "customer_id", customer="name"), "customer_id")
+
+
+def _with_address(rows: DataFrame, tables: Tables) -> DataFrame:
+    return rows.join(tables["address"].select("address_id", "neighbourhood", "city_id"), "address_id")
+
+
+def _with_small_tables(rows: DataFrame, tables: Tables, params: RunParams) -> DataFrame:
+    """Add what small tables name: company (required), city, state, order type and payment. Last, as names are long."""
     rows = rows.join(role(tables["company"], "company_id", "company_id", company="trade_name"), "company_id")
-    rows = rows.join(parts.places(tables), "address_id")
-    rows = parts.with_name(rows, party, "carrier_id", "carrier", spread_by)
-    rows = parts.with_order_and_partner(rows, tables, spread_by)
+    rows = parts.with_city(rows, tables)
     order_types = parts.labelled_order_types(tables, params.codes.labelled_order_type)
     rows = lookup(rows, order_types, "order_type_id")
     rows = parts.with_name(rows, tables["payment_form_sales"], "payment_form_id", "payment_form")
@@ -168,9 +174,10 @@ def _product_rows(tables: Tables) -> DataFrame:
 
 
 def invoice_lines(
-    tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy, day: date | None = None
+    tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy, day: date | None = None,
+    shown: Sequence[str] = _SHOWN,
 ) -> DataFrame:
-    """Invoice lines of the window, or of one day of it.
+    """Invoice lines of the window, or of one day of it, with the columns of ``shown``.
 
     Lines are told apart by their values, not by item id: equal lines of one document become
     one row. ``sold_quantity`` is the product's quantity on the whole document, unpriced lines
@@ -181,11 +188,17 @@ def invoice_lines(
     document_ids = base.select("document_id")
     sale_ids = base.select("sale_id").where(F.col("sale_id").isNotNull())
 
+    # What is looked up by one key follows one another, what adds little comes first, and what adds rows late.
+    order_ids = base.select("order_id").where(F.col("order_id").isNotNull())
+    documents = _with_parties(base, tables, "document_id", order_ids)
+    documents = lookup(documents, payments_per_sale(tables, sale_ids), "sale_id", spread_by=["document_id"])
+    documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"])
+    documents = _with_address(documents, tables)
+    documents = parts.with_seller(documents, tables, "sale_customer_id", ["document_id"])
+    # Dealt by the document here, by which the rows are grouped and joined behind it.
     exits = of_keys(tables["document_exit"], "document_id", document_ids, few)
-    documents = base.join(matches_per_key(exits, "document_id", "exits"), "document_id")
-    documents = lookup(documents, payments_per_sale(tables, sale_ids, few), "sale_id", spread_by=["document_id"])
-    documents = _with_sale_fields(documents, tables, params, sale_ids, ["document_id"], few)
-    documents = _with_parties(documents, tables, params, "document_id", "sale_customer_id")
+    documents = documents.join(matches_per_key(exits, "document_id", "exits"), "document_id")
+    documents = _with_small_tables(documents, tables, params)
     # Each (document, sale) row stands for this many rows of the full join.
     without_payments = times(F.col("exits"), F.col("field_rows"))
     documents = documents.groupBy(
@@ -195,19 +208,24 @@ def invoice_lines(
         F.sum(money.repeated(F.col("sale_terms"), without_payments, 4)).alias("document_terms"),
     )
 
-    items = of_keys(tables["document_item"], "document_id", document_ids, few)
-    quantities = items.groupBy("document_id", "product_id").agg(F.sum("quantity").alias("product_quantity"))
+    items = of_keys(tables["document_item"], "document_id", document_ids, few=True)
     sold = tables["sale_item"].select("sale_item_id", "goods_cost", "item_expenses")
     priced = lookup(items.where(F.col("unit_price") > 0), sold, "sale_item_id", spread_by=["document_id", "item_id"])
-    lines = priced.groupBy(
-        "document_id", "product_id", "quantity", "unit_price", "discount", "item_freight", "recipient_tax", "goods_cost"
+    # Grouped once dealt by the product.
+    lines = priced.join(_product_rows(tables), "product_id").groupBy(
+        "document_id", "product_id", "quantity", "unit_price", "discount", "item_freight", "recipient_tax", "goods_cost",
+        *_PRODUCT_KEYS, "product_rows",
     ).agg(
         F.count(F.lit(1)).alias("items"),
         F.count("item_id").alias("known_items"),
         F.sum(money.repeated(money.in_units(F.col("item_expenses")), F.lit(1))).alias("item_expenses"),
     )
-    lines = lines.join(quantities, ["document_id", "product_id"])
-    lines = lines.join(_product_rows(tables), "product_id").join(documents, "document_id")
+    if "sold_quantity" in shown:  # of all items, so each line has its one quantity
+        quantities = items.groupBy("document_id", "product_id").agg(F.sum("quantity").alias("product_quantity"))
+        lines = lines.join(quantities, ["document_id", "product_id"])
+    else:
+        lines = lines.withColumn("product_quantity", F.lit(None).cast("decimal(28,4)"))
+    lines = lines.join(documents, "document_id")
     repeats = F.col("document_rows") * F.col("product_rows")
     grouped = lines.withColumns(
         {
@@ -231,13 +249,14 @@ def invoice_lines(
             "tax_difference": money.cents_to_units(F.col("recipient_tax")),
             "term_value": money.cents_to_units(F.col("terms")),
         }
-    ).select(*_SHOWN)
+    ).select(*shown)
 
 
 def direct_sale_lines(
-    tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy, day: date | None = None
+    tables: Tables, params: RunParams, mark: date | Column, cut: Cut = keep_lazy, day: date | None = None,
+    shown: Sequence[str] = _SHOWN,
 ) -> DataFrame:
-    """Lines of finished sales of the direct-sale project, of the window or of one day of it.
+    """Lines of finished sales of the direct-sale project, of the window or of one day of it, with the columns of ``shown``.
 
     The freight is the sale's whole freight and repeats on every line.
     """
@@ -248,6 +267,7 @@ def direct_sale_lines(
             & recent_or_modified(F.col("sale_date"), F.col("modified_at"), params.recent_start, mark)
             & (F.col("situation") == codes.sale_situation)
             & (F.col("project_id") == codes.sale_project)
+            & F.col("sale_id").isNotNull()  # such a sale has no items
         ).select(
             "sale_id", "sale_date", "customer_id", "company_id", "address_id", "carrier_id", "order_id",
             "order_type_id", "payment_form_id", "payment_term_id", "sale_freight", "modified_at",
@@ -257,20 +277,22 @@ def direct_sale_lines(
     sale_ids = base.select("sale_id")
     # Order totals are reached through the order, so those of unknown orders count for nothing.
     order_ids = base.select("order_id").where(F.col("order_id").isNotNull())
-    known_orders = within_keys(tables["order"].select("order_id"), "order_id", order_ids)
-    order_totals = of_keys(tables["order_total"], "order_id", order_ids, few).join(known_orders, "order_id", "left_semi")
-
-    sales = lookup(base, matches_per_key(order_totals, "order_id", "order_totals"), "order_id", spread_by=["sale_id"])
-    sales = _with_sale_fields(sales, tables, params, sale_ids, ["sale_id"], few)
-    sales = _with_parties(sales.withColumn("sold_to", F.col("customer_id")), tables, params, "sale_id", "sold_to")
-
+    order_totals = matches_per_key(of_keys(tables["order_total"], "order_id", order_ids, few), "order_id", "order_totals")
+
+    sales = _with_parties(base, tables, "sale_id", order_ids, order_totals)
+    # The customer is known, so there is no null to spread.
+    sales = parts.with_seller(sales, tables, "customer_id", [])
+    sales = _with_address(sales, tables)
+    # Dealt by the sale here, by which the rows are grouped and joined behind it.
+    sales = _with_sale_fields(sales, tables, params, sale_ids)
+    sales = _with_small_tables(sales, tables, params)
     sales = sales.groupBy("sale_id", "sale_date", "sale_freight", *_DOCUMENT_KEYS).agg(
         F.sum(times(F.col("order_totals"), F.col("field_rows"))).alias("sale_rows")
     )
 
     line = (F.col("quantity"), F.col("unit_price"), F.col("discount"))
     once = F.lit(1)
-    items = of_keys(tables["sale_item"], "sale_id", sale_ids, few)
+    items = of_keys(tables["sale_item"], "sale_id", sale_ids, few=True)
     sums = {
         "net_value": (money.net_line(*line), 8),
         "unit_value": (money.net_unit(*line), 10),
@@ -280,12 +302,12 @@ def direct_sale_lines(
         *[F.sum(money.repeated(amount, once, scale)).alias(name) for name, (amount, scale) in sums.items()],
         F.count("sale_item_id").alias("line_count"),
     )
-    # Products of one name are one line.
-    lines = lines.join(_product_rows(tables), "product_id").groupBy("sale_id", "goods_cost", *_PRODUCT_KEYS).agg(
+    # Products of one name are one line of each of the sale's rows. They meet once dealt by the sale.
+    lines = lines.join(_product_rows(tables), "product_id").join(sales, "sale_id")
+    grouped = lines.groupBy("goods_cost", *_PRODUCT_KEYS, *sales.columns).agg(
         *[F.sum(money.repeated(F.col(n), F.col("product_rows"), scale)).alias(n) for n, (_, scale) in sums.items()],
         F.sum(F.col("line_count") * F.col("product_rows")).alias("line_count"),
-    )
-    grouped = lines.join(sales, "sale_id").withColumns(
+    ).withColumns(
         {
             **{n: money.repeated(F.col(n), F.col("sale_rows"), scale) for n, (_, scale) in sums.items()},
             "line_count": F.col("line_count") * F.col("sale_rows"),
@@ -302,7 +324,7 @@ def direct_sale_lines(
             "tax_difference": F.lit(None).cast("decimal(22,8)"),
             "term_value": F.lit(0).cast("decimal(22,8)"),
         }
-    ).select(*_SHOWN)
+    ).select(*shown)
 
 
 def billing(
@@ -311,15 +333,17 @@ def billing(
     mark: date | Column | None = None,
     cut: Cut = keep_lazy,
     day: date | None = None,
+    shown: Sequence[str] = _SHOWN,
 ) -> DataFrame:
     """Invoice and direct-sale lines together, numbers filled with 0.
 
     Without a given mark the sales' own high-water mark is used. With ``day`` only that billing day's lines are made: the
-    documents and sales of other days are left out before ``cut``, past which no filter on the lines reaches.
+    documents and sales of other days are left out before ``cut``, past which no filter on the lines reaches. ``shown``
+    names the columns wanted; the lines are the same rows, told apart by all their values, whichever are shown.
     """
     if mark is None:
         mark = mark_value(tables["sale"], params)
     lines = union_by_name(
-        invoice_lines(tables, params, mark, cut, day), direct_sale_lines(tables, params, mark, cut, day)
+        invoice_lines(tables, params, mark, cut, day, shown), direct_sale_lines(tables, params, mark, cut, day, shown)
     )
     return coerce_numbers(lower_names(lines), NUMERIC_COLUMNS)

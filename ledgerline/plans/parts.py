@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.filters import is_true
 from ledgerline.operators.joins import lookup, role
+from ledgerline.operators.windows import near_keys, within_keys
 from ledgerline.sources.readers import Tables
 
 
@@ -29,18 +30,23 @@ def products_with_maker(tables: Tables) -> DataFrame:
 
 def places(tables: Tables) -> DataFrame:
     """Addresses with city and state; an address without a city stays."""
+    return with_city(tables["address"], tables).select("address_id", "neighbourhood", "city", "state")
+
+
+def with_city(rows: DataFrame, tables: Tables) -> DataFrame:
+    """Add the names of the city and its state."""
     cities = tables["city"].select("city_id", "state_id", F.col("name").alias("city"))
     states = role(tables["state"], "state_id", "state_id", state="code")
-    with_city = lookup(tables["address"], cities, "city_id")
-    return lookup(with_city, states, "state_id").select("address_id", "neighbourhood", "city", "state")
+    return lookup(lookup(rows, cities, "city_id"), states, "state_id")
 
 
 def with_seller(rows: DataFrame, tables: Tables, customer: str, spread_by: Sequence[str]) -> DataFrame:
     """Add ``seller``: the principal sellers of the named customer column; the name may be unknown."""
     principal = tables["customer_seller"].where(is_true(F.col("principal")))
     sellers = principal.select(F.col("customer_id").alias("_sold_to"), "seller_id")
-    rows = lookup(rows, sellers, {customer: "_sold_to"}, spread_by=spread_by)
-    return with_name(rows, tables["party"], "seller_id", "seller", spread_by)
+    # Named before they meet the rows, which are then dealt by the customer only.
+    sellers = with_name(sellers, tables["party"], "seller_id", "seller", ["_sold_to"])
+    return lookup(rows, sellers, {customer: "_sold_to"}, spread_by=spread_by)
 
 
 def with_name(
@@ -60,10 +66,17 @@ def labelled_order_types(tables: Tables, order_type_id: int) -> DataFrame:
     return types.where(F.col("order_type_id") == order_type_id)
 
 
-def with_order_and_partner(rows: DataFrame, tables: Tables, spread_by: Sequence[str]) -> DataFrame:
-    """Add the order of ``order_id`` and the name of the order's partner."""
-    orders = tables["order"].select(
+def with_order_and_partner(
+    rows: DataFrame, tables: Tables, spread_by: Sequence[str], order_ids: DataFrame, of_order: DataFrame | None = None
+) -> DataFrame:
+    """Add the order of ``order_id`` with the name of its partner, and what ``of_order`` has by ``order_id``.
+
+    ``order_ids``: the rows' orders. Few of an order's columns are wanted, so the partner is named there and not on the rows.
+    """
+    orders = near_keys(within_keys(tables["order"], "order_id", order_ids), "order_id", order_ids).select(
         "order_id", "order_date", F.col("identifier").alias("order_identifier"), "partner_id"
     )
-    rows = lookup(rows, orders, "order_id", spread_by=spread_by)
-    return with_name(rows, tables["party"], "partner_id", "order_partner", spread_by)
+    orders = with_name(orders, tables["party"], "partner_id", "order_partner", ["order_id"])
+    if of_order is not None:
+        orders = lookup(orders, of_order, "order_id")
+    return lookup(rows, orders, "order_id", spread_by=spread_by)

@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,7 +209,8 @@ class PartitionedTable:
         """The given partitions, with the partition column."""
         schema = f"{ddl(self.columns)}, `{self.partition_name}` string"
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            # The limit tells Spark that there is no row, so that joins with it are left out.
+            return self.spark.createDataFrame([], schema).limit(0)
         paths = [f"{self._data}/load_folder={load}/{self.partition_name}={name}" for name, load in folders.items()]
         reader = self.spark.read.schema(f"{schema}, load_folder string").option("basePath", self._data)
         return reader.parquet(*paths).drop("load_folder")
@@ -354,12 +355,15 @@ class PartitionedTable:
         """Write the touched partitions' new rows; returns every partition's load folder, and the rows by kind."""
         kinds = dict(self.columns)
         typed = wanted.dropna().select(*[F.col(key).cast(kinds[key]).alias(key) for key in keys])
-        near = self.candidates(version, typed, keys)
-        searched = self._rows_of({name: load for name, load in version.folders.items() if name in near})
-        old = searched.select(self.partition_name, *keys).join(typed, list(keys), "left_semi")
-        # Driver-side list of partition names, one per partition of the table at most.
-        names = old.select(self.partition_name).union(self._shaped(staged).select(self.partition_name)).distinct()
-        touched = {row[0] for row in names.collect()}
+        # Driver-side list of partition names, one per partition of the table at most. Those that the batch has rows
+        # for are written anyway; only the others need be searched for its keys.
+        touched = {row[0] for row in self._shaped(staged).select(self.partition_name).distinct().collect()}
+        others = replace(version, folders={name: load for name, load in version.folders.items() if name not in touched})
+        if others.folders:
+            near = self.candidates(others, typed, keys)
+            searched = self._rows_of({name: load for name, load in others.folders.items() if name in near})
+            old = searched.select(self.partition_name, *keys).join(typed, list(keys), "left_semi")
+            touched |= {row[0] for row in old.select(self.partition_name).distinct().collect()}
         held = {name: load for name, load in version.folders.items() if name in touched}
         before = self._rows_of(held)
         after = self._shaped(change(before.drop(self.partition_name), staged))

@@ -738,9 +738,8 @@ def daily_billing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_billing_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``daily_billing_summary`` from the day states that loads keep: a first load of some keys with other amounts, one that
     replaces them and inserts the rest, and a repeated run of it."""
-    lines = cut(billing.billing(yearly_tables(spark, sf_dir), WHOLE, MARK, cut))
     what = summary.BILLING_STATES
-    lines = lines.select("order_identifier", "sku", *what.columns)
+    lines = cut(billing.billing(yearly_tables(spark, sf_dir), WHOLE, MARK, cut, shown=("order_identifier", "sku", *what.columns)))
     path = f"{shared_folder(spark)}/written-{uuid.uuid4()}"
     month = F.date_format(F.col(what.day), "yyyy-MM")
     table = PartitionedTable(spark, path, _columns_of(lines), "month", month, day_states=what)

@@ -45,3 +45,17 @@ def test_near_keys_lose_no_row_and_drop_most_others(spark):
     assert sorted(r.id for r in exact.collect()) == sorted(wanted)
     plan = exact._jdf.queryExecution().optimizedPlan().toString()
     assert "bit_or" in plan
+
+
+def test_shown_columns_are_those_of_the_same_lines(retail, rows):
+    """Lines that differ in columns that are not shown stay apart."""
+    rows["document_item"].append(rows["document_item"][0] | {"item_id": 2, "recipient_tax": 77})
+    rows["customer_seller"].append(rows["customer_seller"][0] | {"seller_id": 31})
+    rows["party"].append(rows["party"][0] | {"party_id": 31, "name": "Another"})
+    tables = retail(rows)
+    shown = ("order_identifier", "sku", "net_value")
+    whole = billing(tables, PARAMS, MARK).select(*shown)
+    few = billing(tables, PARAMS, MARK, shown=shown)
+    assert few.columns == list(shown)
+    found = sorted(map(str, few.collect()))
+    assert found == sorted(map(str, whole.collect())) and len(set(found)) < len(found)

@@ -131,3 +131,32 @@ def test_last_rows_of_keys_that_are_never_null_meet_on_them_without_another_exch
 def test_the_key_of_an_order_line_is_never_null(spark):
     lines = orders.order_lines(registered.retail_tables(spark, FOLDER), registered.WHOLE)
     assert not any(lines.schema[key].nullable for key in orders.ORDER_KEY)
+
+
+def test_a_side_dealt_by_its_key_is_not_dealt_again_where_null_keys_are_spread(spark):
+    left = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("key"))
+    right = spark.range(1000).groupBy((F.col("id") % 400).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    with settings(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
+        joined = joins.lookup(left, right, "key", spread_by=["id"])
+        assert plan(joined).count("Exchange hashpartitioning") == 2
+        assert joined.count() == 1000 and joined.where("n IS NOT NULL").count() == 134
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "decimal(20,0)"])
+def test_a_null_key_matches_nothing_not_even_what_stands_in_for_it(spark, kind):
+    left = spark.range(50).select("id", F.lit(None).cast(kind).alias("key"), F.lit(1).cast("bigint").alias("other"))
+    right = spark.range(50).select(F.xxhash64("id").cast(kind).alias("key"), F.lit(1).cast("bigint").alias("other"), F.lit("x").alias("found"))
+    for keys in (["key"], ["key", "other"], ["other", "key"]):
+        kept = right.select(*keys, "found") if len(keys) > 1 else right.select("key", "found")
+        assert joins.lookup(left, kept, keys, spread_by=["id"]).where("found IS NOT NULL").count() == 0
+        assert joins.lookup(left, kept.drop("found"), keys, "left_anti", spread_by=["id"]).count() == 50
+
+
+def test_the_days_states_keep_only_the_columns_they_need(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(registered, "cut", lambda df: (made.append(df.columns), df)[1])
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(registered.PartitionedTable, "replace_by_key", lambda *_: 0)
+        patched.setattr(registered.PartitionedTable, "states", lambda *_: spark.createDataFrame([], registered.day_states.STATE_SCHEMA))
+        QUERIES["daily_billing_states"](spark, FOLDER)
+    assert set(made[-1]) == {"order_identifier", "sku", *registered.summary.BILLING_STATES.columns}

@@ -145,3 +145,30 @@ def test_a_repeated_attempt_of_a_writing_task_counts_once(tmp_path):
     done = subprocess.run(command, env=environment, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
     assert "RuntimeError: lost" in done.stderr
+
+
+def test_partitions_the_batch_writes_are_not_searched(spark, tmp_path, monkeypatch):
+    columns = (("id", "bigint"), ("day", "date"), ("note", "string"))
+    table = PartitionedTable(spark, str(tmp_path / "t"), columns, "month", F.date_format("day", "yyyy-MM"))
+
+    def batch(*rows):
+        values = ", ".join(f"({i}L, DATE'{day}', '{note}')" for i, day, note in rows)
+        return spark.sql(f"SELECT * FROM VALUES {values} AS t(id, day, note)")
+
+    searched = []
+    found = PartitionedTable.candidates
+
+    def candidates(self, version, wanted, keys):
+        searched.append(set(version.folders))
+        return found(self, version, wanted, keys)
+
+    monkeypatch.setattr(PartitionedTable, "candidates", candidates)
+    table.replace_by_key(batch((1, "2024-01-05", "a"), (2, "2024-02-05", "a"), (3, "2024-03-05", "a")), "first", ["id"])
+    # Key 1 moves from January to March, 3 stays in March: January is found by its summary, March is written anyway.
+    table.replace_by_key(batch((1, "2024-03-06", "b"), (3, "2024-03-07", "b")), "second", ["id"])
+    assert searched == [{"2024-01", "2024-02"}]
+    assert sorted((r.id, str(r.day), r.note) for r in table.read().collect()) == [
+        (1, "2024-03-06", "b"), (2, "2024-02-05", "a"), (3, "2024-03-07", "b"),
+    ]
+    assert dict(table.counts("second")) == {"kept": 0, "loaded": 2, "inserted": 0, "updated": 0, "removed": 2}
+    assert set(table.current().folders) == {"2024-02", "2024-03"}
