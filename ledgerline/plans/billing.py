@@ -28,7 +28,7 @@ from ledgerline.operators.attributes import fields_per_sale
 from ledgerline.operators.filters import listed, listed_or_null, on_day, recent_or_modified, since
 from ledgerline.operators.joins import lookup, matches_per_key, role, times
 from ledgerline.operators.tables import coerce_numbers, lower_names, union_by_name
-from ledgerline.operators.windows import of_keys, within_keys
+from ledgerline.operators.windows import near_keys, of_keys, within_keys
 from ledgerline.params import RunParams
 from ledgerline.plans import parts
 from ledgerline.sources.marks import mark_value
@@ -107,7 +107,8 @@ def _with_sale_fields(
     shown = {"traffic_source": codes.traffic_pattern, "prospect_customer": codes.prospect_pattern}
     values = of_keys(tables["attribute_value"], "sale_id", sales, few=True)
     fields = fields_per_sale(tables["attribute_type"], values, shown, {"freight": codes.sale_freight_pattern})
-    rows = lookup(rows, within_keys(tables["sale_total"], "sale_id", sales), "sale_id", spread_by=spread_by)
+    totals = near_keys(within_keys(tables["sale_total"], "sale_id", sales), "sale_id", sales)
+    rows = lookup(rows, totals, "sale_id", spread_by=spread_by)
     rows = lookup(rows, fields, "sale_id", spread_by=spread_by)
     for name in shown:
         rows = rows.withColumn(f"_{name}", F.explode_outer(name)).drop(name)
@@ -184,7 +185,6 @@ def invoice_lines(
     included, and repeats on each differing line.
     """
     base = cut(documents_in_window(tables, params, mark, day))
-    few = day is not None
     document_ids = base.select("document_id")
     sale_ids = base.select("sale_id").where(F.col("sale_id").isNotNull())
 
@@ -196,7 +196,7 @@ def invoice_lines(
     documents = _with_address(documents, tables)
     documents = parts.with_seller(documents, tables, "sale_customer_id", ["document_id"])
     # Dealt by the document here, by which the rows are grouped and joined behind it.
-    exits = of_keys(tables["document_exit"], "document_id", document_ids, few)
+    exits = of_keys(tables["document_exit"], "document_id", document_ids, few=True)
     documents = documents.join(matches_per_key(exits, "document_id", "exits"), "document_id")
     documents = _with_small_tables(documents, tables, params)
     # Each (document, sale) row stands for this many rows of the full join.
@@ -273,11 +273,10 @@ def direct_sale_lines(
             "order_type_id", "payment_form_id", "payment_term_id", "sale_freight", "modified_at",
         )
     )
-    few = day is not None
     sale_ids = base.select("sale_id")
     # Order totals are reached through the order, so those of unknown orders count for nothing.
     order_ids = base.select("order_id").where(F.col("order_id").isNotNull())
-    order_totals = matches_per_key(of_keys(tables["order_total"], "order_id", order_ids, few), "order_id", "order_totals")
+    order_totals = matches_per_key(of_keys(tables["order_total"], "order_id", order_ids, few=True), "order_id", "order_totals")
 
     sales = _with_parties(base, tables, "sale_id", order_ids, order_totals)
     # The customer is known, so there is no null to spread.
