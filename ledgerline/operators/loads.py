@@ -15,13 +15,13 @@ from ledgerline.operators.joins import lookup
 from ledgerline.operators.tables import conform
 
 
-def batch_keys(
+def typed_keys(
     batch: DataFrame,
     keys: Sequence[str],
     key_types: Mapping[str, str] | None = None,
     required: Sequence[str] = (),
 ) -> DataFrame:
-    """Distinct keys of a batch, each cast to its target type first.
+    """Keys of a batch's rows, each cast to its target type first.
 
     A value that does not fit its type raises, as does a null in a ``required`` key.
     """
@@ -33,7 +33,17 @@ def batch_keys(
             kind = key_types.get(key, batch.schema[key].dataType.simpleString())
             value = strict_cast(value, kind, f"key {key}", key in required)
         columns.append(value.alias(key))
-    return batch.select(*columns).distinct()
+    return batch.select(*columns)
+
+
+def batch_keys(
+    batch: DataFrame,
+    keys: Sequence[str],
+    key_types: Mapping[str, str] | None = None,
+    required: Sequence[str] = (),
+) -> DataFrame:
+    """Distinct ``typed_keys``."""
+    return typed_keys(batch, keys, key_types, required).distinct()
 
 
 def rows_outside(target: DataFrame, keys_table: DataFrame, keys: Sequence[str], null_safe_keys: bool = False) -> DataFrame:

@@ -38,6 +38,7 @@ from ledgerline.operators.loads import (
     observed,
     observed_kinds,
     replace_by_key,
+    typed_keys,
 )
 from ledgerline.sinks import summaries
 
@@ -284,7 +285,13 @@ class PartitionedTable:
         def change(target: DataFrame, staged: DataFrame) -> DataFrame:
             return replace_by_key(target, staged, keys, key_types, required, kind=_KIND)
 
-        return self._load(batch, run_id, keys, lambda staged: batch_keys(staged, keys, key_types, required), change)
+        def wanted(staged: DataFrame) -> DataFrame:
+            if key_types or required:
+                # A key that does not fit stops the load, also where no partition is searched for it.
+                typed_keys(staged, keys, key_types, required).agg(*[F.max(key) for key in keys]).collect()
+            return batch_keys(staged, keys, key_types, required)
+
+        return self._load(batch, run_id, keys, wanted, change)
 
     def upsert(
         self,
